@@ -1,4 +1,4 @@
 """All named queries, by theme."""
 
-from gondola.plans import customers, incentives, quality, stores  # noqa: F401
+from gondola.plans import baskets, customers, incentives, quality, stores  # noqa: F401
 from gondola.plans.registry import ORACLES, QUERIES  # noqa: F401
