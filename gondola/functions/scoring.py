@@ -58,6 +58,12 @@ def null_if_nothing(c: Column, allow_numeric: bool = False) -> Column:
     return F.when(~says_nothing(c, allow_numeric), c)
 
 
+def without_nothing(c: Column, allow_numeric: bool = False) -> Column:
+    """A list without such elements; null when none is left."""
+    kept = F.filter(c, lambda x: ~says_nothing(x, allow_numeric))
+    return F.when(F.size(kept) > 0, kept)
+
+
 def sweep_nothing(
     df: DataFrame, exclude: Sequence[str] = (), allow_numeric: Sequence[str] = ()
 ) -> DataFrame:
@@ -70,8 +76,7 @@ def sweep_nothing(
         elif isinstance(f.dataType, T.StringType):
             out.append(null_if_nothing(F.col(f.name), numeric).alias(f.name))
         elif isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StringType):
-            kept = F.filter(F.col(f.name), lambda x, n=numeric: ~says_nothing(x, n))
-            out.append(F.when(F.size(kept) > 0, kept).alias(f.name))
+            out.append(without_nothing(F.col(f.name), numeric).alias(f.name))
         else:
             out.append(F.col(f.name))
     return df.select(*out)

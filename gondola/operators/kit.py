@@ -180,12 +180,12 @@ def contains_join(
         terms.select(F.col(term)).filter(F.length(term) > 0).distinct()
         .withColumn("_gram", F.substring(term, 1, gram))
     )
-    sized = [
-        F.when(F.length(text) >= n, F.transform(
-            F.sequence(F.lit(1), F.length(text) - n + 1), lambda i, n=n: F.substr(F.col(text), i, F.lit(n)))
-        ).otherwise(F.array().cast("array<string>"))
-        for n in range(1, gram + 1)
-    ]
+    def pieces(n: int) -> Column:
+        """Every run of `n` characters of the text."""
+        runs = F.transform(F.sequence(F.lit(1), F.length(text) - n + 1), lambda i: F.substr(F.col(text), i, F.lit(n)))
+        return F.when(F.length(text) >= n, runs).otherwise(F.array().cast("array<string>"))
+
+    sized = [pieces(n) for n in range(1, gram + 1)]
     holds = texts.select(key, F.explode(F.array_distinct(F.concat(*sized))).alias("_gram"))
     met = spread_join(holds, anchors, "_gram").select(key, term).distinct()
     return met.join(texts.select(key, text), key).filter(F.contains(F.col(text), F.col(term))).select(key, term)
@@ -219,3 +219,50 @@ def ranks(df: DataFrame, group: Sequence[str], value: str, name: str) -> DataFra
     placed = order_positions(counted, group, [F.col(value).desc_nulls_last()], total="_n")
     places = placed.select(*group, value, (F.col("running") - F.col("_n") + 1).alias(name))
     return null_safe_join(df, places, [*group, value])
+
+
+def prefix_join(texts: DataFrame, text: str, prefixes: DataFrame, prefix: str, shortest: int = 1) -> DataFrame:
+    """Pairs of rows in which `text` starts with `prefix`: a text offers each of its beginnings (from
+    `shortest` characters on) and meets equal prefixes, instead of being compared with every prefix."""
+    starts = texts.withColumn("_start", F.explode(F.when(F.length(text) >= shortest, F.transform(
+        F.sequence(F.lit(shortest), F.length(text)), lambda n: F.substr(F.col(text), F.lit(1), n)))))
+    return spread_join(starts, prefixes.withColumn("_start", F.col(prefix)), "_start").drop("_start")
+
+
+def one_edit_pairs(left: DataFrame, a: str, right: DataFrame, b: str) -> DataFrame:
+    """Distinct (a, b) text pairs at edit distance 0 or 1. Texts that differ by one edit share the text
+    itself or one text with a character left out, so both sides meet on those variants."""
+
+    def variants(df: DataFrame, c: str) -> DataFrame:
+        text = F.col(c)
+        cut = F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: F.concat(
+            F.substr(text, F.lit(1), i - 1), F.substr(text, i + 1, F.length(text))))
+        return df.select(c).filter(F.length(text) > 0).distinct().withColumn(
+            "_variant", F.explode(F.array_distinct(F.concat(F.array(text), cut))))
+
+    met = spread_join(variants(left, a), variants(right, b), "_variant").select(a, b).distinct()
+    return met.filter(F.levenshtein(a, b) < 2)
+
+
+def components(edges: DataFrame, a: str, b: str, rounds: int = 50) -> DataFrame:
+    """(node, component): connected components of an undirected edge list, named by their smallest node.
+    Every round hands the smaller label across each edge, to the node and to the root of its label, and
+    then shortens label chains, so the number of rounds grows with the logarithm of the longest chain.
+    Labels are written down once per round (checkpoint)."""
+    both = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).filter(F.col("u") != F.col("v"))
+    both = lineage_cut(both.unionByName(both.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
+    labels = lineage_cut(both.select(F.col("u").alias("node")).distinct().withColumn("label", F.col("node")))
+    for _ in range(rounds):
+        at_u = labels.select(F.col("node").alias("u"), F.col("label").alias("lu"))
+        at_v = labels.select(F.col("node").alias("v"), F.col("label").alias("lv"))
+        seen = both.join(at_u, "u").join(at_v, "v").filter(F.col("lv") < F.col("lu"))
+        offers = seen.select(F.explode(F.array("u", "lu")).alias("node"), F.col("lv").alias("offer"))
+        best = offers.groupBy("node").agg(F.min("offer").alias("offer"))
+        moved = labels.join(best, "node", "left").select(
+            "node", F.col("label").alias("old"), F.least("label", F.coalesce("offer", "label")).alias("label"))
+        roots = moved.select(F.col("node").alias("label"), F.col("label").alias("root"))
+        after = lineage_cut(moved.join(roots, "label").select("node", "old", F.col("root").alias("label")))
+        labels = after.select("node", "label")
+        if after.filter(F.col("old") != F.col("label")).isEmpty():
+            return labels.withColumnRenamed("label", "component")
+    raise RuntimeError(f"components did not settle in {rounds} rounds")

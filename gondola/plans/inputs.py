@@ -150,3 +150,23 @@ COST_SQL = "CAST(qty * list_price AS DECIMAL(16,4))"
 
 def as_doubles(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({n: F.col(n).cast("double") for n in names})
+
+
+def nothing_sql(e: str, allow_numeric: bool = False) -> str:
+    """Statement form of `says_nothing`."""
+    from gondola.functions.scoring import EMPTY_LITERALS
+
+    t = f"trim({e})"
+    digits = f"regexp_matches({t}, '^\\d+$')"
+    repeated = f"length(replace(lower({t}), left(lower({t}), 1), '')) = 0"
+    out = (f"{e} IS NULL OR {t} = '' OR lower({t}) IN ({', '.join(repr(v) for v in EMPTY_LITERALS)}) "
+           f"OR regexp_matches({t}, '^[\\W_]+$') OR length({t}) = 1 OR ({repeated}{f' AND NOT {digits}' if allow_numeric else ''})")
+    return f"({out}{'' if allow_numeric else f' OR {digits}'})"
+
+
+def slug_sql(e: str) -> str:
+    return f"regexp_replace(regexp_replace(lower(strip_accents(trim({e}))), '[^a-z0-9]+', '-', 'g'), '^-|-$', '', 'g')"
+
+
+def key_sql(e: str) -> str:
+    return f"regexp_replace(strip_accents(lower(trim({e}))), '[^a-z0-9]+', '', 'g')"
