@@ -1,4 +1,4 @@
 """All named queries, by theme."""
 
-from gondola.plans import baskets, customers, enrich, fusion, incentives, quality, stores, vectors  # noqa: F401
+from gondola.plans import baskets, customers, enrich, fusion, incentives, outreach, quality, standardise, stores, vectors  # noqa: F401
 from gondola.plans.registry import ORACLES, QUERIES  # noqa: F401
