@@ -1,4 +1,18 @@
 """All named queries, by theme."""
 
-from gondola.plans import baskets, customers, enrich, fusion, incentives, outreach, quality, standardise, stores, vectors  # noqa: F401
+from gondola.plans import (  # noqa: F401
+    basics,
+    baskets,
+    customers,
+    enrich,
+    fusion,
+    incentives,
+    outreach,
+    quality,
+    sources,
+    standardise,
+    stores,
+    streaming,
+    vectors,
+)
 from gondola.plans.registry import ORACLES, QUERIES  # noqa: F401
