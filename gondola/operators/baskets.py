@@ -26,20 +26,12 @@ LADDERS = {
 }
 
 
-def _tuned(density: Column, transactions: Column) -> tuple[Column, Column]:
-    """Supports and confidences to try in turn for the density: the tuned pair, then its ladder."""
-    supports = confidences = None
-    for mode, bound, sf, s0, cf, c0 in DENSITY_MODES:
-        support = F.greatest(F.lit(s0), F.lit(2.0) / transactions, density * sf)
-        confidence = F.greatest(F.lit(c0), density * cf)
-        factors, fixed = LADDERS[mode]
-        s = F.array(support, *[support * a for a, _ in factors], *[F.lit(a) for a, _ in fixed])
-        c = F.array(confidence, *[confidence * b for _, b in factors], *[F.lit(b) for _, b in fixed])
-        supports = F.when(density > bound, s) if supports is None else (
-            supports.when(density > bound, s) if bound else supports.otherwise(s))
-        confidences = F.when(density > bound, c) if confidences is None else (
-            confidences.when(density > bound, c) if bound else confidences.otherwise(c))
-    return supports, confidences
+def _tuned(density: float, transactions: int) -> list[tuple[float, float]]:
+    """(support, confidence) pairs to try in turn: the ones tuned to the density, then their ladder."""
+    mode, _, sf, s0, cf, c0 = next(m for m in DENSITY_MODES if density > m[1])
+    support, confidence = max(s0, 2.0 / transactions, density * sf), max(c0, density * cf)
+    factors, fixed = LADDERS[mode]
+    return [(support, confidence), *[(support * a, confidence * b) for a, b in factors], *fixed]
 
 
 def association_rules(
@@ -56,44 +48,40 @@ def association_rules(
     sized = distinct.groupBy("sale_id").agg(F.count(F.lit(1)).alias("_k")).filter("_k >= 2").select("sale_id")
     baskets = lineage_cut(distinct.join(sized, "sale_id", "left_semi"))
     counts = baskets.groupBy(item).agg(F.count(F.lit(1)).alias("n"))
-    facts = counts.agg(F.sum("n").alias("entries"), F.count(F.lit(1)).alias("items")).withColumn(
-        "n", baskets.agg(F.countDistinct("sale_id")).scalar())
-    if thresholds is None:
-        supports, confidences = _tuned(F.col("entries") / (F.col("n") * F.col("items")), F.col("n"))
+    facts = counts.agg(F.sum("n").alias("entries"), F.count(F.lit(1)).alias("items")).head()  # one row
+    total = baskets.agg(F.countDistinct("sale_id")).head()[0]
+    if not total:
+        steps = [(1.0, 1.0)]
+    elif thresholds is not None:
+        steps = [thresholds]
     else:
-        supports, confidences = (F.array(F.lit(x)) for x in thresholds)
-    tuning = facts.select(
-        "n", supports.alias("supports"), confidences.alias("confidences")
-    ).select(F.struct("*").alias("t")).scalar()
-    floor = F.greatest(F.lit(2.0), F.array_min(tuning["supports"]) * tuning["n"])
+        steps = _tuned(facts["entries"] / (total * facts["items"]), total)
+    floor = max(2.0, min(s for s, _ in steps) * total)
     frequent = counts.filter(F.col("n") >= floor - 1e-9)
     pairs = co_occurrence(baskets.join(frequent, item, "left_semi"), "sale_id", item, wide_at).filter(
         F.col("together") >= floor - 1e-9)
 
     one_way = pairs.select(F.col("item_a").alias("a"), F.col("item_b").alias("b"), "together")
     both = one_way.unionByName(pairs.select(F.col("item_b").alias("a"), F.col("item_a").alias("b"), "together"))
-    total = tuning["n"]
     rules = (
         both.join(counts.select(F.col(item).alias("a"), F.col("n").alias("with_a")), "a")
         .join(counts.select(F.col(item).alias("b"), F.col("n").alias("with_b")), "b")
-        .withColumn("support", F.col("together") / total)
+        .withColumn("support", F.col("together") / F.lit(total))
         .withColumn("confidence", F.col("together") / F.col("with_a"))
-        .withColumn("lift", F.col("confidence") / (F.col("with_b") / total))
+        .withColumn("lift", F.col("confidence") / (F.col("with_b") / F.lit(total)))
     )
-    tried = max(1 + len(factors) + len(fixed) for factors, fixed in LADDERS.values())
     step = F.coalesce(*[
-        F.when((F.col("support") >= F.get(tuning["supports"], F.lit(i)) - 1e-12)
-               & (F.col("confidence") >= F.get(tuning["confidences"], F.lit(i)) - 1e-12), i + 1)
-        for i in range(tried)])
+        F.when((F.col("support") >= support - 1e-12) & (F.col("confidence") >= confidence - 1e-12), i + 1)
+        for i, (support, confidence) in enumerate(steps)])
     rules = rules.withColumn("_step", step).filter("_step > 0")
-    if thresholds is None:
+    if len(steps) > 1:
         rules = lineage_cut(rules)
         rules = rules.filter(F.col("_step") <= rules.agg(F.min("_step")).scalar())
-    base = F.col("with_b") / total if conviction == "textbook" else F.col("support")
+    base = F.col("with_b") / F.lit(total) if conviction == "textbook" else F.col("support")
     rules = (
         rules.drop("_step")
         .withColumn("conviction", F.when(F.col("confidence") < 1, (1 - base) / (1 - F.col("confidence"))))
-        .withColumn("transactions", total)
+        .withColumn("transactions", F.lit(total).cast("long"))
         .join(names.select(F.col(item).alias("a"), F.col("name").alias("name_a")), "a")
         .join(names.select(F.col(item).alias("b"), F.col("name").alias("name_b")), "b")
         .filter((F.col("lift") > 1) & (F.col("together") >= 2) & (F.col("name_a") != F.col("name_b")))

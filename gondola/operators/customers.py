@@ -95,8 +95,8 @@ def rfm_segments(
     rising = {"_r": not usual, "_f": usual, "_v": usual}
     scores = {}
     for c in ("_r", "_f", "_v"):
-        cuts = exact_percentiles(base.select(c), [], c, points).select(F.struct(*points).alias("cuts")).scalar()
-        scores[c[1:]] = quintile(F.col(c), [cuts[p] for p in points], rising[c])
+        cuts = exact_percentiles(base.select(c), [], c, points).head()  # one row
+        scores[c[1:]] = quintile(F.col(c), [F.lit(cuts[p]) for p in points], rising[c])
     out = base.withColumns(scores).withColumn("fv", (F.col("f") + F.col("v")) / 2)
     segment = None
     for name, (lo, hi), score, (a, b) in RFM_RULES:

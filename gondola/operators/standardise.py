@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from gondola.functions import codes, pharma, text
 from gondola.functions.scoring import age, age_band, sweep_nothing
 from gondola.operators.kit import latest, spread_join
+from gondola.session import lineage_cut
 
 
 def _rejects(df: DataFrame, key: str, checks: dict[str, tuple[Column, Column]]) -> DataFrame:
@@ -76,19 +77,38 @@ def invalid_sweep(df: DataFrame, exclude: Sequence[str], allow_numeric: Sequence
 def similar_name_pairs(
     left: DataFrame, right: DataFrame, low: float = 0.2, high: float = 0.95
 ) -> DataFrame:
-    """(left_id, right_id, similarity) of names that share significant words, Jaccard within [low, high).
-    Names meet on shared words, the words of common names spread over tasks; only pairs with a shared word
-    can have a similarity above 0. `left`, `right`: id, name."""
-
-    def tokens(df: DataFrame, side: str) -> DataFrame:
-        t = df.select(F.col("id").alias(f"{side}_id"), text.significant_tokens(F.col("name")).alias("_t"))
-        return t.select(f"{side}_id", F.size("_t").alias(f"{side}_n"), F.explode("_t").alias("_w"))
-
-    shared = spread_join(tokens(left, "left"), tokens(right, "right"), "_w").groupBy("left_id", "right_id", "left_n", "right_n").agg(
-        F.count(F.lit(1)).alias("_k"))
-    score = F.round(F.col("_k") / (F.col("left_n") + F.col("right_n") - F.col("_k")), 6)
-    return shared.select("left_id", "right_id", score.alias("similarity")).filter(
-        (F.col("similarity") >= low) & (F.col("similarity") < high))
+    """(left_id, right_id, similarity) of names whose significant words have a Jaccard similarity within
+    [low, high). Names with the same words are one set here, so a name that many rows share is compared
+    once. Two sets at or above `low` share a word among the rarest n - ceil(low * n) + 1 words of each, so
+    only those meet; common words are left out wherever a set has enough others. `left`, `right`: id, name."""
+
+    def sets(df: DataFrame) -> DataFrame:
+        t = df.select("id", F.array_sort(text.significant_tokens(F.col("name"))).alias("words")).filter(F.size("words") > 0)
+        return t.withColumn("set", F.md5(F.array_join("words", " ")))
+
+    a, b = lineage_cut(sets(left)), lineage_cut(sets(right))  # read several times below
+    both = a.select("set", "words").unionByName(b.select("set", "words")).dropDuplicates(["set"])
+    flat = both.select("set", F.explode("words").alias("_w"))
+    often = flat.groupBy("_w").agg(F.count(F.lit(1)).alias("_n"))
+    # a set is as long as one name
+    ordered = spread_join(flat, often, "_w").groupBy("set").agg(F.array_sort(F.collect_list(F.struct("_n", "_w"))).alias("_o"))
+    keep = F.size("_o") - F.ceil(F.lit(low) * F.size("_o") - 1e-9) + 1
+    rare = lineage_cut(ordered.select("set", F.explode(F.slice("_o", F.lit(1), keep.cast("int"))).alias("_r")).select("set", F.col("_r._w").alias("_w")))
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return rare.join(df.select("set").distinct(), "set", "left_semi").withColumnRenamed("set", name)
+
+    met = spread_join(side(a, "sa"), side(b, "sb"), "_w").select("sa", "sb").distinct()
+    words = both.select("set", "words")
+    scored = (
+        met.join(words.select(F.col("set").alias("sa"), F.col("words").alias("wa")), "sa")
+        .join(words.select(F.col("set").alias("sb"), F.col("words").alias("wb")), "sb")
+        .select("sa", "sb", F.round(text.jaccard(F.col("wa"), F.col("wb")), 6).alias("similarity"))
+        .filter((F.col("similarity") >= low) & (F.col("similarity") < high)))
+    return (
+        scored.join(a.select(F.col("id").alias("left_id"), F.col("set").alias("sa")), "sa")
+        .join(b.select(F.col("id").alias("right_id"), F.col("set").alias("sb")), "sb")
+        .select("left_id", "right_id", "similarity"))
 
 
 def closest_terms(values: DataFrame, vocabulary: DataFrame) -> DataFrame:

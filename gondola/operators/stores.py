@@ -144,10 +144,10 @@ def adherence(
     `stores_in_scope` best-selling stores. `lines`: sale_id, store_id, product_id, qty, net, cost;
     `stock`: store_id, product_id, stock."""
     scope = ranks(lines.groupBy("store_id").agg(F.sum("net").alias("_r")), [], "_r", "place")
-    scope = scope.filter(F.col("place") <= stores_in_scope).select("store_id")
+    scope = lineage_cut(scope.filter(F.col("place") <= stores_in_scope).select("store_id"))  # a few stores
     sold = lines.join(scope, "store_id", "left_semi")
     held = stock.join(scope, "store_id", "left_semi")
-    n = scope.agg(F.count(F.lit(1))).scalar()
+    n = F.lit(scope.count())
 
     margin = F.avg(F.when(F.col("net") > 0, (F.col("net") - F.col("cost")).cast("double") / F.col("net").cast("double"))
                    .otherwise(0.0))
@@ -161,7 +161,8 @@ def adherence(
 
     product = pair.groupBy("product_id").agg(F.sum("q").alias("q"), F.count(F.lit(1)).alias("selling"))
     product = product.withColumn("density", F.round(F.col("q") / F.col("selling"), 6))
-    p90 = exact_percentiles(product, [], "density", {"p90": 0.9}).scalar()
+    product = lineage_cut(product)  # one row per product, read for the percentile and for the scores
+    p90 = F.lit(exact_percentiles(product, [], "density", {"p90": 0.9}).head()["p90"])
     presence = held.groupBy("product_id").agg(F.sum(F.when(F.col("stock") > 0, 1).otherwise(0)).alias("in_stock"))
     product = (
         product.join(presence, "product_id")
@@ -220,11 +221,10 @@ def store_tiers(sales: DataFrame, prescription: DataFrame, as_of: str, active_da
     measures = ["monthly_revenue", "clerks", "sales"]
     out = lineage_cut(out)  # one row per store, read once per measure below
     quartiles = {"q1": 0.25, "q2": 0.5, "q3": 0.75}
-    cuts = {
-        m: exact_percentiles(out.select(m), [], m, quartiles).select(F.struct(*quartiles)).scalar() for m in measures}
+    cuts = {m: exact_percentiles(out.select(m), [], m, quartiles).head() for m in measures}  # one row each
 
     def votes(q: str) -> Column:
-        return sum((F.when(F.col(m) >= cuts[m][q], 1).otherwise(0) for m in measures), F.lit(0))
+        return sum((F.when(F.col(m) >= F.lit(cuts[m][q]), 1).otherwise(0) for m in measures), F.lit(0))
 
     tier = F.when(votes("q3") >= 2, "G").when(votes("q2") >= 2, "M").when(votes("q1") >= 1, "P").otherwise("PP")
     return out.withColumn("tier", tier)

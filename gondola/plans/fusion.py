@@ -117,11 +117,11 @@ def fill_from_principal(t):
 
 
 @query("d07_name_links", f"""
-WITH {PRODUCTS}, a AS (SELECT DISTINCT ean AS code, trim(unnest([name, ' ' || split_part(name, ' ', 1) || ' ring', category])) AS name FROM products WHERE product_id % 6 = 0)
+WITH {PRODUCTS}, a AS (SELECT DISTINCT ean AS code, trim(unnest([name, ' ' || split_part(name, ' ', 1) || ' ring', category])) AS name FROM products)
 SELECT a.code, a.name, count(DISTINCT p.ean) AS matched FROM a JOIN products p ON trim(p.name) = a.name AND p.ean <> a.code GROUP BY 1, 2""")
 def name_links(t):
     p = src.products(t)
-    alternates = p.filter("product_id % 6 = 0").select(
+    alternates = p.select(
         F.col("ean").alias("code"), F.array("name", F.concat(F.lit(" "), F.split_part("name", F.lit(" "), F.lit(1)), F.lit(" ring")), "category").alias("names"))
     return op.name_links(p.select(F.col("ean").alias("code"), "name"), alternates)
 
@@ -245,25 +245,24 @@ def cascade_match(t):
     return op.cascade_match(*_registry(t)).select("entry_id", "code", "matched_brand", "kind", "stage")
 
 
-_OTHERS = f"""rf AS (SELECT {slug_sql('p_name')} AS slug, p_partkey AS code FROM part WHERE p_partkey % 7 = 0),
-ot AS (SELECT {slug_sql("p_name || ' ' || p_brand")} AS slug, CASE WHEN p_partkey % 3 <> 0 THEN 'N' || (p_partkey % 50) END AS registration, p_partkey AS code, p_type AS kind FROM part WHERE p_partkey % 7 <> 0),
-ent AS (SELECT {slug_sql('p_name')} AS reference_slug, {slug_sql("p_name || ' ' || p_brand")} AS name_slug, CASE WHEN p_partkey % 5 < 2 THEN 'N' || (p_partkey % 50) END AS registration FROM part WHERE p_partkey % 11 = 0)"""
+_OTHERS = f"""rf AS (SELECT {slug_sql('p_name')} AS slug, p_partkey AS code FROM part WHERE p_type = 'LARGE'),
+ot AS (SELECT {slug_sql("p_name || ' ' || p_brand")} AS slug, CASE WHEN p_partkey % 3 <> 0 THEN 'N' || (p_partkey // 4) END AS registration, p_partkey AS code, p_type AS kind FROM part WHERE p_type <> 'LARGE'),
+ent AS (SELECT {slug_sql('p_name')} AS reference_slug, {slug_sql("p_name || ' ' || p_brand")} AS name_slug, CASE WHEN p_partkey % 5 < 2 THEN 'N' || (p_partkey // 4) END AS registration FROM part)"""
 
 
 @query("d15_interchangeable_pairs", f"""
 WITH {_OTHERS}, x AS (SELECT DISTINCT pr.code AS reference_code, ps.code AS other_code, kind FROM ent m JOIN rf pr ON pr.slug = m.reference_slug JOIN ot ps ON
   (m.registration IS NOT NULL AND ps.registration IS NOT NULL AND m.registration = ps.registration) OR ((m.registration IS NULL OR ps.registration IS NULL) AND ps.slug = m.name_slug))
-SELECT * FROM x WHERE NOT (reference_code % 2 = 0 AND other_code % 4 = 1)""")
+SELECT * FROM x WHERE NOT (reference_code % 2 = 0 AND other_code - reference_code IN (1, 3))""")
 def interchangeable_pairs(t):
     k, name = F.col("p_partkey"), slug(F.col("p_name"))
-    full = slug(F.concat_ws(" ", "p_name", "p_brand"))
-    refs = t.part.filter(k % 7 == 0).select(name.alias("slug"), k.alias("code"))
-    others = t.part.filter(k % 7 != 0).select(
-        full.alias("slug"), F.when(k % 3 != 0, F.concat(F.lit("N"), (k % 50).cast("string"))).alias("registration"), k.alias("code"), F.col("p_type").alias("kind"))
-    entries = t.part.filter(k % 11 == 0).select(
-        name.alias("reference_slug"), full.alias("name_slug"), F.when(k % 5 < 2, F.concat(F.lit("N"), (k % 50).cast("string"))).alias("registration"))
-    denied = op.interchangeable_pairs(entries, refs, others, t.spark.createDataFrame([], "reference_code bigint, other_code bigint")).filter(
-        "reference_code % 2 = 0 AND other_code % 4 = 1").select("reference_code", "other_code")
+    full, number = slug(F.concat_ws(" ", "p_name", "p_brand")), F.expr("'N' || (p_partkey div 4)")
+    refs = t.part.filter("p_type = 'LARGE'").select(name.alias("slug"), k.alias("code"))
+    others = t.part.filter("p_type <> 'LARGE'").select(
+        full.alias("slug"), F.when(k % 3 != 0, number).alias("registration"), k.alias("code"), F.col("p_type").alias("kind"))
+    entries = t.part.select(name.alias("reference_slug"), full.alias("name_slug"), F.when(k % 5 < 2, number).alias("registration"))
+    denied = refs.select(F.col("code").alias("reference_code")).filter("reference_code % 2 = 0").withColumn(
+        "other_code", F.explode(F.array(F.col("reference_code") + 1, F.col("reference_code") + 3)))
     return op.interchangeable_pairs(entries, refs, others, denied)
 
 
@@ -438,27 +437,27 @@ def feed_sara(t):
 # --- joins by blocking keys ----------------------------------------------------------------------
 
 @query("j09_contains_join", f"""
-WITH {PRODUCTS}, tm AS (SELECT DISTINCT unnest([split_part(name, ' ', 1), substr(name, 3, 4), substr(category, 1, 2)]) AS term FROM products WHERE product_id % 50 = 0)
+WITH {PRODUCTS}, tm AS (SELECT DISTINCT unnest([split_part(name, ' ', 1), substr(name, 3, 4), substr(category, 1, 2)]) AS term FROM products)
 SELECT ean, term FROM products JOIN tm ON contains(name, term)""")
 def contains_join(t):
     p = src.products(t)
-    terms = p.filter("product_id % 50 = 0").select(F.explode(F.array(
+    terms = p.select(F.explode(F.array(
         F.split_part("name", F.lit(" "), F.lit(1)), F.substring("name", 3, 4), F.substring("category", 1, 2))).alias("term"))
     return kit.contains_join(p, "ean", "name", terms, "term")
 
 
 @query("j10_prefix_join", f"""
-WITH {PRODUCTS}, px AS (SELECT DISTINCT substr(name, 1, 3 + product_id % 6) AS prefix FROM products WHERE product_id % 40 = 0)
+WITH {PRODUCTS}, px AS (SELECT DISTINCT substr(name, 1, 3 + product_id % 6) AS prefix FROM products)
 SELECT ean, prefix FROM products JOIN px ON starts_with(name, prefix)""")
 def prefix_join(t):
     p = src.products(t)
-    prefixes = p.filter("product_id % 40 = 0").select(F.expr("substring(name, 1, CAST(3 + product_id % 6 AS INT))").alias("prefix")).distinct()
+    prefixes = p.select(F.expr("substring(name, 1, CAST(3 + product_id % 6 AS INT))").alias("prefix")).distinct()
     return kit.prefix_join(p.select("ean", "name"), "name", prefixes, "prefix", 3).select("ean", "prefix")
 
 
 @query("j11_one_edit_pairs", """
-WITH a AS (SELECT DISTINCT c_name AS a FROM customer WHERE c_custkey < 400), b AS (SELECT DISTINCT replace(c_name, '#', '') AS b FROM customer WHERE c_custkey < 400 AND c_custkey % 3 = 0)
-SELECT a, b FROM a, b WHERE levenshtein(a, b) < 2""".replace(" WHERE c_custkey < 400 AND c_custkey % 3 = 0", " WHERE c_custkey % 3 = 0").replace(" WHERE c_custkey < 400", ""))
+WITH a AS (SELECT DISTINCT c_name AS a FROM customer), b AS (SELECT DISTINCT replace(c_name, '#', '') AS b FROM customer)
+SELECT a, b FROM a, b WHERE levenshtein(a, b) < 2""")
 def one_edit_pairs(t):
     c = t.customer
-    return kit.one_edit_pairs(c.select(F.col("c_name").alias("a")), "a", c.filter("c_custkey % 3 = 0").select(F.replace("c_name", F.lit("#"), F.lit("")).alias("b")), "b")
+    return kit.one_edit_pairs(c.select(F.col("c_name").alias("a")), "a", c.select(F.replace("c_name", F.lit("#"), F.lit("")).alias("b")), "b")

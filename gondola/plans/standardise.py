@@ -250,14 +250,13 @@ def null_counts(t):
 
 
 @query("n5_similar_name_pairs", f"""
-WITH {PRODUCTS}, a AS (SELECT product_id AS id, {tokens_sql("name || ' ' || category")} AS t FROM products WHERE product_id % 8 = 0), b AS (SELECT product_id AS id, {tokens_sql("name || ' ' || brand")} AS t FROM products WHERE product_id % 9 = 1),
+WITH a AS (SELECT item_id AS id, {tokens_sql('text')} AS t FROM benchmark), b AS (SELECT conv_id * 1000 + turn AS id, {tokens_sql('text')} AS t FROM conversations),
 x AS (SELECT a.id AS left_id, b.id AS right_id, len(list_intersect(a.t, b.t)) AS k, len(a.t) + len(b.t) AS n FROM a, b)
-SELECT left_id, right_id, {r('k / (n - k)', 6)} AS similarity FROM x WHERE k > 0 AND {r('k / (n - k)', 6)} >= 0.4 AND {r('k / (n - k)', 6)} < 0.95""")
+SELECT left_id, right_id, {r('k / (n - k)', 6)} AS similarity FROM x WHERE k > 0 AND {r('k / (n - k)', 6)} >= 0.1 AND {r('k / (n - k)', 6)} < 0.95""")
 def similar_name_pairs(t):
-    p = src.products(t)
-    left = p.filter("product_id % 8 = 0").select(F.col("product_id").alias("id"), F.concat_ws(" ", "name", "category").alias("name"))
-    right = p.filter("product_id % 9 = 1").select(F.col("product_id").alias("id"), F.concat_ws(" ", "name", "brand").alias("name"))
-    return op.similar_name_pairs(left, right, 0.4)
+    left = t.benchmark.select(F.col("item_id").alias("id"), F.col("text").alias("name"))
+    right = t.conversations.select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.col("text").alias("name"))
+    return op.similar_name_pairs(left, right, 0.1)
 
 
 _HTML = "regexp_replace(regexp_replace(html, '(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g')"
