@@ -133,21 +133,24 @@ def significant_tokens(c: Column) -> Column:
 
 def jaccard(a: Column, b: Column) -> Column:
     """Shared over all tokens of two token sets; 0 when either is empty."""
-    return F.when((F.size(a) > 0) & (F.size(b) > 0),
-                  F.size(F.array_intersect(a, b)) / F.size(F.array_union(a, b))).otherwise(F.lit(0.0))
+    shared = F.size(F.array_intersect(a, b))
+    return F.when((F.size(a) > 0) & (F.size(b) > 0), shared / (F.size(a) + F.size(b) - shared)).otherwise(F.lit(0.0))
 
 
 def similar_names(reference: Column, names: Column, low: float = 0.20, high: float = 0.95) -> Column:
     """Names that resemble the reference without repeating it (low <= Jaccard < high). Without
     significant words in the reference, all names that differ from it stay. An empty outcome is null."""
-    ref = significant_tokens(reference)
-    plain = F.lower(unaccent(reference))
-    by_words = F.filter(names, lambda n: (
-        (F.size(significant_tokens(n)) > 0)
-        & (jaccard(ref, significant_tokens(n)) >= low)
-        & (jaccard(ref, significant_tokens(n)) < high)))
-    by_text = F.filter(names, lambda n: (n != "") & (F.lower(unaccent(n)) != plain))
-    kept = F.when(F.size(ref) > 0, by_words).otherwise(by_text)
+
+    def scored(s: Column) -> Column:
+        """Every name with its similarity; the words of the reference are found once."""
+        pair = F.transform(s["names"], lambda n: F.struct(n.alias("n"), significant_tokens(n).alias("t")))
+        return F.transform(pair, lambda x: F.struct(x["n"].alias("n"), jaccard(s["ref"], x["t"]).alias("j")))
+
+    bound = F.array(F.struct(significant_tokens(reference).alias("ref"), names.alias("names"), F.lower(unaccent(reference)).alias("plain")))
+    kept = F.transform(bound, lambda s: F.when(
+        F.size(s["ref"]) > 0,
+        F.transform(F.filter(scored(s), lambda x: (x["j"] > 0) & (x["j"] >= low) & (x["j"] < high)), lambda x: x["n"])
+    ).otherwise(F.filter(s["names"], lambda n: (n != "") & (F.lower(unaccent(n)) != s["plain"]))))[0]
     untouched = reference.isNull() | (reference == "") | names.isNull() | (F.size(names) == 0)
     return F.when(untouched, names).otherwise(F.when(F.size(kept) > 0, kept))
 

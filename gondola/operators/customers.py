@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gondola.functions.scoring import age, age_band, first_largest, quintile
-from gondola.operators.kit import exact_percentiles, joined, latest
+from gondola.operators.kit import column_percentiles, joined, latest
 from gondola.session import lineage_cut
 
 ADDRESS = ["zip", "street", "number", "complement", "district", "city", "state"]
@@ -93,10 +93,9 @@ def rfm_segments(
     points = {"a": 0.2, "b": 0.4, "c": 0.6, "d": 0.8}
     usual = orientation == "conventional"
     rising = {"_r": not usual, "_f": usual, "_v": usual}
-    scores = {}
-    for c in ("_r", "_f", "_v"):
-        cuts = exact_percentiles(base.select(c), [], c, points).head()  # one row
-        scores[c[1:]] = quintile(F.col(c), [F.lit(cuts[p]) for p in points], rising[c])
+    cuts = column_percentiles(base, list(rising), points)
+    scores = {
+        c[1:]: quintile(F.col(c), [F.lit(cuts.get(c, {}).get(p)) for p in points], up) for c, up in rising.items()}
     out = base.withColumns(scores).withColumn("fv", (F.col("f") + F.col("v")) / 2)
     segment = None
     for name, (lo, hi), score, (a, b) in RFM_RULES:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gondola.operators.kit import latest, order_positions, top_n
+from gondola.session import lineage_cut
 
 
 def unsettled(invoices: DataFrame, settled: DataFrame) -> DataFrame:
@@ -22,7 +23,8 @@ def combo_days(lines: DataFrame, rules: DataFrame, first: str, last: str, back_d
 
     A day's brand total counts towards that day and the `back_days` after it, so the sliding totals are a
     grouped sum that combines map-side, and rules meet totals on the brand, not by a cross join."""
-    daily = lines.groupBy("account_id", "brand", "day").agg(F.sum("qty").alias("qty"), F.sum("net").alias("net"))
+    daily = lineage_cut(  # one row per account, brand and day, read twice
+        lines.groupBy("account_id", "brand", "day").agg(F.sum("qty").alias("qty"), F.sum("net").alias("net")))
     days = daily.select("account_id", "day").distinct()
     slid = (
         daily.join(rules.select("brand").distinct(), "brand", "left_semi")
@@ -101,7 +103,7 @@ def reimbursement(sales: DataFrame, stock_prices: DataFrame, first: str, last: s
     product_id, price, taken_on."""
     keys = ["account_id", "store_id", "product_id"]
     start, end = F.lit(first).cast("date"), F.lit(last).cast("date")
-    prices = day_prices(sales, keys)
+    prices = lineage_cut(day_prices(sales, keys))  # one row per key and day, read three times
     before = prices.filter(F.col("sold_on") < start).groupBy(*keys).agg(
         F.max_by("price", "sold_on").alias("p1"), F.max("sold_on").alias("d1"))
     inside = prices.filter(F.col("sold_on").between(start, end))

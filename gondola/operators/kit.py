@@ -108,6 +108,14 @@ def exact_percentiles(
     )
 
 
+def column_percentiles(df: DataFrame, columns: Sequence[str], points: dict[str, float]) -> dict[str, dict[str, float]]:
+    """Exact percentiles of several numeric columns, found in one pass; one row per column comes back."""
+    flat = df.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])))
+    rows = exact_percentiles(flat, ["column"], "value", points).collect()
+    return {r["column"]: {p: r[p] for p in points} for r in rows}
+
+
 def spread_join(many: DataFrame, few: DataFrame, on: str, rows_per_task: int = 200_000) -> DataFrame:
     """Inner join on `on` for inputs in which one key may hold a large part of `many`. Keys above
     `rows_per_task` rows are cut into parts and their partners in `few` are repeated per part; all
@@ -141,10 +149,12 @@ def co_occurrence(lines: DataFrame, basket: str, item: str, wide_at: int = 200)
     pairs of ordinary baskets plus the pairs met in a wide basket that is not the widest one of either
     item (two items that share two or more wide baskets share one that is not last in their list). The
     candidates are then counted exactly against the wide baskets that hold both."""
-    sized = lines.join(lines.groupBy(basket).agg(F.count(F.lit(1)).alias("_width")), basket)
+    sized = lineage_cut(lines.join(lines.groupBy(basket).agg(F.count(F.lit(1)).alias("_width")), basket))
     narrow = sized.filter(F.col("_width").between(2, wide_at)).select(basket, item)
     wide = sized.filter(F.col("_width") > wide_at)
     pairs = _pairs_inside(narrow, basket, item).groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("_n"))
+    if wide.isEmpty():
+        return pairs.withColumnRenamed("_n", "together")
 
     widest = wide.groupBy(item).agg(F.max(F.struct("_width", basket)).alias("_last"))
     not_last = wide.join(widest, item).filter(F.col("_last")[basket] != F.col(basket)).select(basket, item)

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gondola.operators.kit import exact_percentiles, latest, order_positions, ranks
+from gondola.operators.kit import column_percentiles, exact_percentiles, latest, order_positions, ranks
 from gondola.session import lineage_cut
 
 # Localised names of weekdays (Sunday first) and months.
@@ -220,11 +220,10 @@ def store_tiers(sales: DataFrame, prescription: DataFrame, as_of: str, active_da
     out = totals.join(averaged, "store_id").join(peak, "store_id").join(mix, "store_id", "left")
     measures = ["monthly_revenue", "clerks", "sales"]
     out = lineage_cut(out)  # one row per store, read once per measure below
-    quartiles = {"q1": 0.25, "q2": 0.5, "q3": 0.75}
-    cuts = {m: exact_percentiles(out.select(m), [], m, quartiles).head() for m in measures}  # one row each
+    cuts = column_percentiles(out, measures, {"q1": 0.25, "q2": 0.5, "q3": 0.75})
 
     def votes(q: str) -> Column:
-        return sum((F.when(F.col(m) >= F.lit(cuts[m][q]), 1).otherwise(0) for m in measures), F.lit(0))
+        return sum((F.when(F.col(m) >= F.lit(cuts.get(m, {}).get(q)), 1).otherwise(0) for m in measures), F.lit(0))
 
     tier = F.when(votes("q3") >= 2, "G").when(votes("q2") >= 2, "M").when(votes("q1") >= 1, "P").otherwise("PP")
     return out.withColumn("tier", tier)

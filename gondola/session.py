@@ -4,6 +4,7 @@ that must fix an intermediate result before reading it twice."""
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,7 +44,11 @@ def checkpoint_folder(spark: SparkSession) -> None:
 
 
 def lineage_cut(df: DataFrame) -> DataFrame:
-    """Writes `df` to the shared checkpoint folder, so later reads (and retries after the loss
-    of an executor) see the same rows in the same partitions."""
-    checkpoint_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Writes `df` as a table into the shared checkpoint folder and reads it back: later reads, and retries
+    after the loss of an executor, see the same rows, and the planner knows their size. Tables stay below
+    `cuts` in that folder until its owner clears it."""
+    spark = df.sparkSession
+    checkpoint_folder(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/cuts/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
