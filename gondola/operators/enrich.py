@@ -129,7 +129,7 @@ def otc_decision(products: DataFrame, otc_list: DataFrame, no_stripe: str) -> Da
     product's form or the other way round, or no form known), else the market flag, else the stripe.
     `products`: code, ingredient, form, is_otc, stripe; `otc_list`: ingredient, forms."""
     listed = otc_list.select(alnum_key(F.col("ingredient")).alias("_k"), F.explode("forms").alias("_f")).select(
-        "_k", F.lower(unaccent(F.col("_f"))).alias("_f"))
+        "_k", F.lower(unaccent(F.col("_f"))).alias("_f")).distinct()
     mine = products.withColumn("_k", alnum_key(F.col("ingredient"))).withColumn("_form", F.lower(unaccent(F.col("form"))))
     hit = F.col("_form").isNull() | F.contains(F.col("_form"), F.col("_f")) | F.contains(F.col("_f"), F.col("_form"))
     official = mine.join(listed, "_k").filter(hit).select("code").distinct().withColumn("_official", F.lit(True))

@@ -10,9 +10,9 @@ from gondola.streaming import incremental as op
 
 
 def _stream(t) -> DataFrame:
-    """The events file as a stream, with a plain timestamp."""
-    schema = t.events.schema
-    raw = t.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(t.folder)
+    """The events table as a stream, with a plain timestamp. Written as a pattern, because a stream takes a
+    plain path for a folder only, and the table may be a single file."""
+    raw = t.spark.readStream.schema(t.events.schema).parquet(f"{t.folder}/events.parque[t]")
     return raw.withColumn("ts", F.col("ts").cast("timestamp"))
 
 

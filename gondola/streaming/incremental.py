@@ -11,6 +11,7 @@ from datetime import date, timedelta
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gondola.operators.contracts import upsert
 from gondola.operators.kit import latest
@@ -36,6 +37,10 @@ def run_update(stream: DataFrame, folder: str, keys: Sequence[str]) -> DataFrame
     """Keeps the rows every batch changed and reads the last state per key. A batch writes to a folder of its
     own, so a batch that is run again after a failure replaces itself."""
 
+    spark = stream.sparkSession
+    nothing = spark.createDataFrame([], stream.schema)
+    nothing.write.mode("overwrite").parquet(f"{folder}/table/batch=-1")  # a table even before the first batch
+
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{folder}/table/batch={number}")
 
@@ -43,7 +48,7 @@ def run_update(stream: DataFrame, folder: str, keys: Sequence[str]) -> DataFrame
         stream.writeStream.foreachBatch(write).outputMode("update").trigger(availableNow=True)
         .option("checkpointLocation", f"{folder}/state").start())
     query.awaitTermination()
-    table = stream.sparkSession.read.option("basePath", f"{folder}/table").parquet(f"{folder}/table")
+    table = spark.read.schema(T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])).option("basePath", f"{folder}/table").parquet(f"{folder}/table")
     return latest(table, keys, [F.desc("batch")]).drop("batch")
 
 
