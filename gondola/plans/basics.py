@@ -151,6 +151,31 @@ def as_of_price(t):
     return s.groupBy("product_id").agg(F.max_by("price", F.struct("sold_on", "sale_id", "price")).alias("price"))
 
 
+@query("j13_rule_threshold", """
+WITH r(kind, needed, prize) AS (VALUES ('F', 3, 10), ('F', 6, 25), ('O', 4, 15)), c AS (SELECT o_custkey, o_orderstatus, count(*) AS n FROM orders GROUP BY 1, 2)
+SELECT o_custkey, max(prize) AS prize FROM c JOIN r ON kind = o_orderstatus AND n >= needed GROUP BY 1""")
+def rule_threshold(t):
+    rules = t.spark.createDataFrame([("F", 3, 10), ("F", 6, 25), ("O", 4, 15)], "o_orderstatus string, needed int, prize int")
+    counted = t.orders.groupBy("o_custkey", "o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+    return counted.join(rules, "o_orderstatus").filter("n >= needed").groupBy("o_custkey").agg(F.max("prize").alias("prize"))
+
+
+@query("j14_argmax", "SELECT o_custkey, arg_max(o_orderkey, (o_totalprice, o_orderkey)) AS o_orderkey FROM orders GROUP BY 1")
+def argmax(t):
+    return t.orders.groupBy("o_custkey").agg(F.max_by("o_orderkey", F.struct("o_totalprice", "o_orderkey")).alias("o_orderkey"))
+
+
+_EXISTS = """SELECT c_custkey FROM customer c WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderstatus = 'F' AND o.o_totalprice > 400000)
+AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderpriority = '1-URGENT' AND o.o_totalprice > 450000)"""
+
+
+@query("j16_exists", _EXISTS)
+def exists(t):
+    t.customer.createOrReplaceTempView("gondola_customer")
+    t.orders.createOrReplaceTempView("gondola_orders")
+    return t.spark.sql(_EXISTS.replace("FROM customer", "FROM gondola_customer").replace("FROM orders", "FROM gondola_orders"))
+
+
 # --- aggregates ----------------------------------------------------------------------------------
 
 @query("a01_basic_aggregates", f"""
@@ -287,6 +312,20 @@ def fill_first_set(t):
     return t.part.join(first, "p_brand").select("p_partkey", F.coalesce(v, "f").alias("name"))
 
 
+@query("w10_level_counts", """
+WITH c AS (SELECT o_custkey, o_orderstatus, count(*) AS n FROM orders GROUP BY 1, 2) SELECT o_custkey, string_agg(o_orderstatus || '=' || n, '|' ORDER BY o_orderstatus) AS levels FROM c GROUP BY 1""")
+def level_counts(t):
+    per = t.orders.groupBy("o_custkey", "o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+    pair = F.concat_ws("=", "o_orderstatus", F.col("n").cast("string"))
+    return per.groupBy("o_custkey").agg(kit.joined(F.collect_list(pair)).alias("levels"))  # three statuses at most
+
+
+@query("w12_distinct_on", """
+SELECT s_nationkey, s_suppkey FROM (SELECT *, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_acctbal DESC NULLS LAST, s_suppkey) AS k FROM supplier) WHERE k = 1""")
+def distinct_on(t):
+    return kit.latest(t.supplier, ["s_nationkey"], [F.desc_nulls_last("s_acctbal"), F.col("s_suppkey")]).select("s_nationkey", "s_suppkey")
+
+
 @query("w11_previous_round", "SELECT DISTINCT CAST(date_trunc('week', ts) AS DATE) AS started_on FROM events WHERE date_trunc('week', ts) < (SELECT max(date_trunc('week', ts)) FROM events) ORDER BY 1 DESC LIMIT 1")
 def previous_round(t):
     weeks = t.events.select(F.date_trunc("week", "ts").cast("date").alias("started_on")).distinct()

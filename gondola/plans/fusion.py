@@ -389,13 +389,15 @@ def feed_iqvia(t):
                  "CAST(NULL AS STRING) AS cc_4_desc", "size > 20 AS fg_medicamento", "CASE WHEN size % 3 = 0 THEN 'E' WHEN size % 3 = 1 THEN 'O' END AS otc_rx")
 
 
-_ANVISA = dict(brand="name", maker="brand", ingredient="category", kind=_KIND)
+_ANVISA = dict(name="name || ', cx'", brand="name", maker="brand", ingredient="category", kind=_KIND, **(
+    _flags(_STRIPES["anvisa"]) | {"is_controlled": "size % 4 = 2", "is_otc": "NULL::BOOLEAN"}))
+# every fourth product has a second code, which becomes a row of its own
+_SECOND = "'2' || substr(ean, 2)"
 
 
-@query("d24_feed_anvisa", _feed_sql("Anvisa", "true", name="name || ', cx'", **_ANVISA, **(_flags(_STRIPES["anvisa"]) | {"is_controlled": "size % 4 = 2", "is_otc": "NULL::BOOLEAN"})).replace(
-    " FROM products WHERE true", " FROM products WHERE true UNION ALL " + _feed_sql("Anvisa", "product_id % 4 = 1", code="'2' || substr(ean, 2)", name="name || ', cx'", **_ANVISA,
-    **(_flags(_STRIPES["anvisa"]) | {"is_controlled": "size % 4 = 2", "is_otc": "NULL::BOOLEAN"})).split(f"WITH {PRODUCTS} ")[1].replace("'' AS alternatives", "ean AS alternatives")).replace(
-    "ean AS code, '' AS alternatives", "ean AS code, CASE WHEN product_id % 4 = 1 THEN '2' || substr(ean, 2) ELSE '' END AS alternatives"))
+@query("d24_feed_anvisa", " UNION ALL ".join([
+    _feed_sql("Anvisa", "true", alternatives=f"CASE WHEN product_id % 4 = 1 THEN {_SECOND} ELSE '' END", **_ANVISA),
+    "SELECT * FROM (" + _feed_sql("Anvisa", "product_id % 4 = 1", code=_SECOND, alternatives="ean", **_ANVISA) + ")"]))
 def feed_anvisa(t):
     return _feed(t, "Anvisa", "ean AS ean_1", "CASE WHEN product_id % 4 = 1 THEN '2' || substr(ean, 2) ELSE '    -     ' END AS ean_2", "name AS produto", "'cx' AS apresentacao",
                  "brand AS laboratorio", "category AS substancia", f"{_TEXTS['kind']} AS tipo_de_produto", f"{_TEXTS['anvisa']} AS tarja")

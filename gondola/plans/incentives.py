@@ -85,7 +85,7 @@ WITH {_INVOICES},
 open AS (SELECT * FROM invoices WHERE NOT (status = 'P' AND invoice % 3 = 0)),
 b AS (SELECT account_id, product_id, day, CAST(sum(qty) AS BIGINT) AS units, round(sum(net), 2) AS value, count(DISTINCT invoice) AS invoices
       FROM open WHERE day BETWEEN DATE '{FIRST}' AND DATE '{LAST}' GROUP BY 1, 2, 3)
-SELECT account_id, product_id, day, units, {d('value')} AS value, invoices, {d('round(value * CAST(p_size AS DECIMAL(5,2)) / 100, 2)').replace('/ 100', '* CAST(0.01 AS DECIMAL(3,2))')} AS cashback
+SELECT account_id, product_id, day, units, {d('value')} AS value, invoices, {d('round(value * CAST(p_size AS DECIMAL(5,2)) * CAST(0.01 AS DECIMAL(3,2)), 2)')} AS cashback
 FROM b JOIN part ON p_partkey = product_id WHERE p_type = 'PROMO'""")
 def pix_cashback(t):
     lines = _invoices(t)

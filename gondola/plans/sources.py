@@ -72,6 +72,15 @@ def latest_partition(t):
     return readers.latest_partition(t.spark.read.parquet(path), "year")
 
 
+@query("s10_append_table", "SELECT c_mktsegment, count(*) AS customers FROM customer GROUP BY 1")
+def append_table(t):
+    """Two appends into one table; the batch in between replaces nothing."""
+    path = work_folder(t.spark, "append")
+    for part in ("c_nationkey < 12", "c_nationkey >= 12"):
+        t.customer.filter(part).write.mode("append").parquet(path)
+    return readers.parquet(t.spark, path).groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("customers"))
+
+
 @query("s11_partition_overwrite", """
 SELECT o_orderkey, CASE WHEN year(o_orderdate) = 1997 THEN 'new' ELSE 'old' END AS state, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders WHERE NOT (year(o_orderdate) = 1997 AND o_orderkey % 2 = 1)""")
 def partition_overwrite(t):

@@ -77,10 +77,8 @@ def embedding_delta(t):
 
 
 @query("d100_attach_vectors", """
-WITH p AS (SELECT doc_id AS id, lang, source, n_chars, text, to_json({lang: lang, source: source, n_chars: n_chars, body: substr(text, 1, 400)}) AS js FROM documents WHERE doc_id % 30 > 9)
-SELECT p.id, vec_id IS NOT NULL AS ready, CAST(round(embedding[1]::DOUBLE, 6) AS DOUBLE) AS first FROM p LEFT JOIN embeddings e ON vec_id = id
-WHERE (length(substr(text, 1, 400)) <= 300 AND vec_id IS NOT NULL) OR length(substr(text, 1, 400)) > 300""".replace("vec_id IS NOT NULL AS ready", "length(substr(text, 1, 400)) <= 300 AS ready").replace(
-    "CAST(round(embedding[1]::DOUBLE, 6) AS DOUBLE) AS first", "CASE WHEN length(substr(text, 1, 400)) <= 300 THEN round(CAST(embedding[1] AS DOUBLE), 6) END AS first").replace(", to_json({lang: lang, source: source, n_chars: n_chars, body: substr(text, 1, 400)}) AS js", ""))
+WITH p AS (SELECT doc_id AS id, length(substr(text, 1, 400)) <= 300 AS small FROM documents WHERE doc_id % 30 > 9)
+SELECT id, small AS ready, CASE WHEN small THEN round(CAST(embedding[1] AS DOUBLE), 6) END AS first FROM p LEFT JOIN embeddings ON vec_id = id WHERE NOT small OR vec_id IS NOT NULL""")
 def attach_vectors(t):
     products = t.documents.select(
         F.col("doc_id").alias("id"), F.concat_ws(" ", F.col("doc_id").cast("string"), F.col("lang")).alias("text"),
