@@ -149,13 +149,16 @@ def co_occurrence(lines: DataFrame, basket: str, item: str, wide_at: int = 200)
     pairs of ordinary baskets plus the pairs met in a wide basket that is not the widest one of either
     item (two items that share two or more wide baskets share one that is not last in their list). The
     candidates are then counted exactly against the wide baskets that hold both."""
-    sized = lineage_cut(lines.join(lines.groupBy(basket).agg(F.count(F.lit(1)).alias("_width")), basket))
-    narrow = sized.filter(F.col("_width").between(2, wide_at)).select(basket, item)
-    wide = sized.filter(F.col("_width") > wide_at)
-    pairs = _pairs_inside(narrow, basket, item).groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("_n"))
-    if wide.isEmpty():
-        return pairs.withColumnRenamed("_n", "together")
+    broad = lineage_cut(  # the few wide baskets: at most one row per `wide_at` lines
+        lines.groupBy(basket).agg(F.count(F.lit(1)).alias("_width")).filter(F.col("_width") > wide_at))
 
+    def listed(ordinary: DataFrame) -> DataFrame:
+        return _pairs_inside(ordinary, basket, item).groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("_n"))
+
+    if broad.isEmpty():
+        return listed(lines).withColumnRenamed("_n", "together")
+    pairs = listed(lines.join(broad, basket, "left_anti"))
+    wide = lines.join(broad, basket)
     widest = wide.groupBy(item).agg(F.max(F.struct("_width", basket)).alias("_last"))
     not_last = wide.join(widest, item).filter(F.col("_last")[basket] != F.col(basket)).select(basket, item)
     shared = _pairs_inside(not_last, basket, item).select("item_a", "item_b")
