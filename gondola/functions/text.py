@@ -36,7 +36,9 @@ ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#
 
 
 def unaccent(c: Column) -> Column:
-    return F.translate(F.regexp_replace(c, "[\\u0300-\\u036F]", ""), _MARKED, _PLAIN)
+    """Letters without their marks; texts of plain characters pass untouched."""
+    plain = F.translate(F.regexp_replace(c, "[\\u0300-\\u036F]", ""), _MARKED, _PLAIN)
+    return F.when(c.rlike("[^\\x00-\\x7F]"), plain).otherwise(c)
 
 
 def alnum_key(c: Column) -> Column:

@@ -342,11 +342,6 @@ def vocabulary_table(t):
     return op.vocabulary_table({"stripe": ["Preta", "Vermelha"], "sex": ["Mulhér"]}, src.products(t).select(F.upper("name").alias("value")))
 
 
-@query("d47_leaflet_texts")
-def leaflet_texts(t):
-    return op.leaflet_texts(t.pages, t.pages.filter("page_id % 4 = 0"), "page_id", "html")
-
-
 @query("d120_priority_backlog", f"""
 WITH {LINES}, {PRODUCTS}, s AS (SELECT product_id AS code, CAST(sum(net) AS DOUBLE) AS value FROM lines WHERE product_id % 2 = 0 GROUP BY 1),
 x AS (SELECT product_id AS code, name, CASE WHEN product_id % 3 = 0 THEN NULL ELSE brand END AS brand, CASE WHEN product_id % 5 = 0 THEN NULL ELSE category END AS maker FROM products WHERE length(name) >= 8 AND size > 5),

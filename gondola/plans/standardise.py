@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gondola.functions import codes, pharma, scoring, text
+from gondola.operators import enrich
 from gondola.operators import standardise as op
 from gondola.plans import inputs as src
 from gondola.plans.enrich import _CLOSEST
@@ -269,6 +270,11 @@ def document_texts(t):
     return op.document_texts(t.pages, "page_id", "html", t.pages.filter("page_id % 3 = 0"))[0]
 
 
+@query("d47_leaflet_texts", f"SELECT page_id, trim(regexp_replace({_HTML}, '\\s+', ' ', 'g')) AS text FROM pages WHERE page_id NOT IN (SELECT page_id FROM pages WHERE url LIKE '%/en/%')")
+def leaflet_texts(t):
+    return enrich.leaflet_texts(t.pages, t.pages.filter(F.col("url").like("%/en/%")), "page_id", "html")
+
+
 @query("f24_sections_text", f"""
 WITH x AS (SELECT page_id, trim(regexp_replace({_HTML}, '\\s+', ' ', 'g')) AS t FROM pages) SELECT page_id, md5(t || ' ' || 'end') AS digest FROM x""")
 def sections_text(t):

@@ -298,3 +298,38 @@ def test_large_vector_rows_are_set_aside(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, x string").withColumns({f"t{i}": F.when(F.col("id") == 2, F.repeat(F.lit("y"), 9000)) for i in range(8)})
     ready, large = sinks.vector_rows(df, [], {}, "id")
     assert [r["id"] for r in ready.collect()] == [1] and [r["id"] for r in large.collect()] == [2]
+
+
+def test_catalog_tables_are_written_and_read(spark):
+    from gondola.sources import readers
+
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
+    spark.sql("DROP TABLE IF EXISTS gondola_saved")
+    sinks.save_table(df, "gondola_saved", "overwrite", ["v"])
+    sinks.save_table(df, "gondola_saved", "append", ["v"])
+    assert readers.table(spark, "gondola_saved").groupBy("id").count().filter("count = 2").count() == 2
+    spark.sql("DROP TABLE gondola_saved")
+
+
+def test_batches_reach_the_database_cursor(spark, tmp_path):
+    """Every task opens one connection and sends its rows in batches."""
+    log = str(tmp_path)
+
+    class Cursor:
+        def executemany(self, statement, rows):
+            with open(f"{log}/{id(self)}-{rows[0][0]}", "w") as f:
+                f.write(f"{statement} {len(rows)}")
+
+    class Connection:
+        def cursor(self):
+            return Cursor()
+
+        def commit(self):
+            pass
+
+        def close(self):
+            pass
+
+    sinks.write_batches(spark.range(25).coalesce(1), Connection, sinks.insert_statement("t", ["id"]), 10)
+    sent = sorted(p.read_text() for p in tmp_path.iterdir())
+    assert sent == ["INSERT INTO t (id) VALUES (%s) 10"] * 2 + ["INSERT INTO t (id) VALUES (%s) 5"]
