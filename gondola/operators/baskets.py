@@ -99,15 +99,16 @@ def publish_rules(rules: DataFrame, required: Sequence[str], keys: Sequence[str]
 def attribution(recommendations: DataFrame, cart: DataFrame, sold: DataFrame) -> DataFrame:
     """Every recommendation (message_id, basket_id, ref, rec) with whether reference and recommended
     product were in the cart and were sold, units and value sold, and its status. Cart and sale lines are
-    first folded per (basket, product), so a join never multiplies rows."""
-    inside = cart.groupBy("basket_id", "product_id").agg(F.count(F.lit(1)).alias("lines"))
-    bought = sold.groupBy("basket_id", "product_id").agg(F.sum("qty").alias("qty"), F.sum("net").alias("value"))
+    folded into one row per (basket, product) first, so each role is one join that never multiplies rows."""
+    none = F.lit(None)
+    rows = cart.select("basket_id", "product_id", F.lit(True).alias("in_cart"), none.cast("bigint").alias("qty"), none.cast("decimal(16,4)").alias("net"))
+    facts = rows.unionByName(
+        sold.select("basket_id", "product_id", none.cast("boolean").alias("in_cart"), F.col("qty").cast("bigint").alias("qty"), F.col("net").cast("decimal(16,4)").alias("net"))
+    ).groupBy("basket_id", "product_id").agg(F.max("in_cart").alias("in_cart"), F.sum("qty").alias("qty"), F.sum("net").alias("value"))
     out = recommendations.filter(F.col("ref") != F.col("rec"))
     for role in ("ref", "rec"):
-        out = out.join(inside.select("basket_id", F.col("product_id").alias(role), F.lit(True).alias(f"{role}_in_cart")),
-                       ["basket_id", role], "left")
-        out = out.join(bought.select("basket_id", F.col("product_id").alias(role), F.col("qty").alias(f"{role}_qty"),
-                                     F.col("value").alias(f"{role}_value")), ["basket_id", role], "left")
+        side = facts.select("basket_id", F.col("product_id").alias(role), *[F.col(c).alias(f"{role}_{c}") for c in ("in_cart", "qty", "value")])
+        out = out.join(side, ["basket_id", role], "left")
     sold_rec = F.col("rec_qty").isNotNull()
     return out.select(
         "message_id", "basket_id", "ref", "rec",

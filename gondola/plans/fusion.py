@@ -136,15 +136,24 @@ def _alternatives(t):
                          .when(k % 10 == 1, F.array(k + 7, k + 19)).otherwise(F.array().cast("array<bigint>")).alias("alternatives"))
 
 
-@query("d08_closure", f"""
-WITH RECURSIVE {_ALTS}, e0 AS (SELECT code AS a, unnest(alternatives) AS b FROM adj WHERE len(alternatives) BETWEEN 1 AND 50), e1 AS (SELECT a, b FROM e0 WHERE a <> b),
+def _closure_sql(where: str) -> str:
+    return f"""
+WITH RECURSIVE {_ALTS}, e0 AS (SELECT code AS a, unnest(alternatives) AS b FROM adj WHERE {where}), e1 AS (SELECT a, b FROM e0 WHERE a <> b),
 e AS (SELECT a, b FROM e1 UNION SELECT b, a FROM e1), reach(a, b) AS (SELECT a, a FROM e UNION SELECT r.a, e.b FROM reach r JOIN e ON e.a = r.b),
 c AS (SELECT a AS code, min(b) AS component FROM reach GROUP BY 1)
-SELECT code, component, count(*) OVER (PARTITION BY component) AS members FROM c""")
+SELECT code, component, count(*) OVER (PARTITION BY component) AS members FROM c"""
+
+
+@query("d08_closure", _closure_sql("len(alternatives) > 0"))
 def closure(t):
     return op.closure(_alternatives(t))
 
 
+@query("d08_closure_listed_50", _closure_sql("len(alternatives) BETWEEN 1 AND 50"))
+def closure_listed_50(t):
+    return op.closure(_alternatives(t), 50)
+
+
 _MAKERS = """mk AS (SELECT p_partkey AS code, p_brand AS brand, CASE WHEN p_partkey % 9 <> 0 THEN p_type END AS maker, [p_partkey + 1, p_partkey + 25, (p_partkey * 7) % 2000] AS alternatives FROM part)"""
 _SAME = f"""{_MAKERS}, ep AS (SELECT DISTINCT code, brand, maker, unnest(alternatives) AS alternative FROM mk), jd AS (
   SELECT e.code, e.alternative, coalesce({key_sql('e.brand')} = {key_sql('o.brand')} AND {key_sql('e.maker')} = {key_sql('o.maker')}, false) AS same FROM ep e LEFT JOIN mk o ON o.code = e.alternative)"""

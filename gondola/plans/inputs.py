@@ -13,7 +13,6 @@ from gondola.functions.codes import barcode
 from gondola.plans.registry import Tables
 
 AS_OF = "2001-08-02"
-EVENTS_AS_OF = "2024-01-31"
 
 
 def money(name: str) -> Column:

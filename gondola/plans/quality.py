@@ -10,7 +10,7 @@ from gondola.operators import quality
 from gondola.plans import customers as people
 from gondola.plans import inputs as src
 from gondola.plans.customers import COMPLETE
-from gondola.plans.inputs import HEADERS, PRODUCTS, as_doubles, d, r
+from gondola.plans.inputs import HEADERS, PRODUCTS, as_doubles, r
 from gondola.plans.registry import query
 
 
@@ -98,9 +98,6 @@ def incremental(t):
     return op.incremental(existing, h, "sale_id", "sold_on")
 
 
-_STATE = {"purchase": "success", "error": "failed"}
-
-
 @query("t07_sync_checkpoint", """
 WITH x AS (SELECT user_id, event_id, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS k FROM events WHERE event_type = 'purchase')
 SELECT 'job ' || user_id AS job, event_id AS last_run, epoch_us(ts) AS since FROM x WHERE k = 1""")

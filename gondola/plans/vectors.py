@@ -77,16 +77,16 @@ def embedding_delta(t):
 
 
 @query("d100_attach_vectors", """
-WITH p AS (SELECT doc_id AS id, length(substr(text, 1, 400)) <= 300 AS small FROM documents WHERE doc_id % 30 > 9)
+WITH p AS (SELECT doc_id AS id, length(text) <= 3000 AS small FROM documents WHERE doc_id % 30 > 9)
 SELECT id, small AS ready, CASE WHEN small THEN round(CAST(embedding[1] AS DOUBLE), 6) END AS first FROM p LEFT JOIN embeddings ON vec_id = id WHERE NOT small OR vec_id IS NOT NULL""")
 def attach_vectors(t):
     products = t.documents.select(
         F.col("doc_id").alias("id"), F.concat_ws(" ", F.col("doc_id").cast("string"), F.col("lang")).alias("text"),
-        F.regexp_replace(F.substring("text", 1, 400), r"(?s).", "x").alias("body"),
+        F.regexp_replace("text", r"(?s).", "x").alias("body"),
         F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 30).cast("int")).alias("updated_on"))
     vectors = t.documents.join(t.embeddings, F.col("doc_id") == F.col("vec_id")).select(
         F.concat_ws(" ", F.col("doc_id").cast("string"), F.col("lang")).alias("text"), F.col("embedding").alias("vector"))
-    limit = 300 + len('{"body":""}')
+    limit = 3000 + len('{"body":""}')
     ready, large = op.attach_vectors(products, vectors, F.lit("2024-01-10").cast("date"), limit, skip=("id", "text", "updated_on"))
     out = ready.select("id", F.lit(True).alias("ready"), F.round(F.col("vector")[0].cast("double"), 6).alias("first"))
     return out.unionByName(large.select("id", F.lit(False).alias("ready"), F.lit(None).cast("double").alias("first")))
@@ -140,13 +140,11 @@ def question_answers(t):
 
 
 @query("d104_fresh_questions", f"""
-WITH {_PAIRS}, z AS (SELECT request_id, chat_date, substr(question, 1, 6) AS question, answer FROM pairs),
-o AS (SELECT *, row_number() OVER (PARTITION BY question ORDER BY chat_date DESC, request_id DESC, answer) AS k FROM z)
+WITH {_PAIRS}, o AS (SELECT *, row_number() OVER (PARTITION BY question ORDER BY chat_date DESC, request_id DESC, answer) AS k FROM pairs)
 SELECT request_id, chat_date, question, answer FROM o WHERE k = 1 AND chat_date > DATE '2024-01-08' AND answer NOT IN (SELECT text FROM conversations WHERE conv_id % 4 = 0)""")
 def fresh_questions(t):
-    pairs = _qa(t).withColumn("question", F.substring("question", 1, 6))
     rejected = t.conversations.filter("conv_id % 4 = 0").select(F.col("text").alias("answer"))
-    return chat.fresh_questions(pairs, rejected, F.lit("2024-01-08").cast("date"))
+    return chat.fresh_questions(_qa(t), rejected, F.lit("2024-01-08").cast("date"))
 
 
 _ESC = "replace(replace(replace(replace({c}, '\\', '\\\\'), '\"', '\\\"'), chr(10), '\\n'), chr(9), '\\t')"

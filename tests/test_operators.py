@@ -35,10 +35,21 @@ def test_fuse_sources_takes_the_first_value_that_says_something(spark):
     assert got == {"1": ("B one", "x1"), "2": ("A two", None), "3": ("B three", None)}
 
 
-def test_closure_reaches_any_distance_and_skips_long_lists(spark):
+def test_closure_reaches_any_distance(spark):
     rows = [(str(i), [str(i + 1)]) for i in range(1, 9)] + [("90", [str(k) for k in range(100, 160)]), ("91", [])]
-    got = {r["code"]: (r["component"], r["members"]) for r in fusion.closure(spark.createDataFrame(rows, "code string, alternatives array<string>")).collect()}
-    assert got == {str(i): ("1", 9) for i in range(1, 10)}
+    df = spark.createDataFrame(rows, "code string, alternatives array<string>")
+    chain = {str(i): ("1", 9) for i in range(1, 10)}
+    star = {str(i): ("100", 61) for i in [90, *range(100, 160)]}
+    for limit, expected in ((None, chain | star), (50, chain)):
+        assert {r["code"]: (r["component"], r["members"]) for r in fusion.closure(df, limit).collect()} == expected
+
+
+def test_fresh_questions_keep_the_last_answer(spark):
+    pairs = spark.createDataFrame([(1, day(1), "q", "old"), (2, day(3), "q", "new"), (3, day(3), "r", "bad"), (4, day(0), "s", "x")],
+                                  "request_id int, chat_date date, question string, answer string")
+    rejected = spark.createDataFrame([("bad",)], "answer string")
+    assert [r["request_id"] for r in chat.fresh_questions(pairs, rejected, F.lit(str(day(0))).cast("date")).collect()] == [2]
+    assert {r["request_id"] for r in chat.fresh_questions(pairs, rejected, F.lit(None).cast("date")).collect()} == {2, 4}
 
 
 def test_name_links_feed_components(spark):
