@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 #: Fixed value: the pattern of one word, for Spark and DuckDB alike.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -20,17 +22,13 @@ def remainder(doc_id: Column, divisor: int) -> Column:
 def map_texts(
     df: DataFrame, columns: Sequence[str], schema: str, fn: Callable[[list[str]], dict[str, Sequence]], text: str = "text"
 ) -> DataFrame:
-    """`columns` of `df` unchanged, plus what `fn` makes of each Arrow batch of texts (null: empty). `schema` names
-    the new columns with their types. No column of `df` other than the chosen ones leaves the scan."""
+    """`columns` of `df` unchanged, plus what `fn` makes of each Arrow batch of texts (null: empty). `schema` (DDL) names
+    the new columns. No column of `df` other than the chosen ones leaves the scan."""
     kept = [F.col(c) for c in columns]
     chosen = df.select(*kept, F.coalesce(F.col(text), F.lit("")).alias("__text"))
-    out = chosen.drop("__text").schema
-    for name, kind in (x.strip().split(" ", 1) for x in schema.split(";")):
-        out = out.add(name, kind)
+    out = T.StructType(chosen.drop("__text").schema.fields + T.StructType.fromDDL(schema).fields)
     names = list(columns)
     added = [f.name for f in out.fields[len(names):]]
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     arrow = to_arrow_schema(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from gondola.llm import sql
 from gondola.llm.line_rules import line_rules
 from gondola.llm.mixing import mix
+from gondola.llm.simhash import hex_digits, near_copies
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,6 +29,12 @@ def query(key: str, statement: str | None = None):
     return register
 
 
+@query("op1_simhash")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_copies(table(spark, folder, "documents"))
+    return found.select("doc_id", hex_digits(found["fp"]).alias("fingerprint"), "component_id")
+
+
 @query("op3_mix_sources", sql.MIX)
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
