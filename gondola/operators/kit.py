@@ -257,15 +257,15 @@ def one_edit_pairs(left: DataFrame, a: str, right: DataFrame, b: str) -> DataFra
     return met.filter(F.levenshtein(a, b) < 2)
 
 
-def components(edges: DataFrame, a: str, b: str, rounds: int = 50) -> DataFrame:
+def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, component): connected components of an undirected edge list, named by their smallest node.
     Every round hands the smaller label across each edge, to the node and to the root of its label, and
-    then shortens label chains, so the number of rounds grows with the logarithm of the longest chain.
-    Labels are written down once per round (checkpoint)."""
+    then shortens label chains, so the number of rounds grows with the logarithm of the longest chain; it
+    ends when no label moves (labels only ever shrink). Labels are written down once per round (checkpoint)."""
     both = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).filter(F.col("u") != F.col("v"))
     both = lineage_cut(both.unionByName(both.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
     labels = lineage_cut(both.select(F.col("u").alias("node")).distinct().withColumn("label", F.col("node")))
-    for _ in range(rounds):
+    while True:
         at_u = labels.select(F.col("node").alias("u"), F.col("label").alias("lu"))
         at_v = labels.select(F.col("node").alias("v"), F.col("label").alias("lv"))
         seen = both.join(at_u, "u").join(at_v, "v").filter(F.col("lv") < F.col("lu"))
@@ -278,4 +278,3 @@ def components(edges: DataFrame, a: str, b: str, rounds: int = 50) -> DataFrame:
         labels = after.select("node", "label")
         if after.filter(F.col("old") != F.col("label")).isEmpty():
             return labels.withColumnRenamed("label", "component")
-    raise RuntimeError(f"components did not settle in {rounds} rounds")
