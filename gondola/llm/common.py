@@ -43,6 +43,21 @@ def map_texts(
     return chosen.mapInArrow(run, out)
 
 
+def map_batches(df: DataFrame, schema: str, fn: Callable[[dict[str, list]], dict[str, Sequence]]) -> DataFrame:
+    """Rows of `schema` (DDL) that `fn` makes of each Arrow batch of `df`, given and returned as lists by column. For
+    sums that shrink a batch before it is shuffled."""
+    out = T.StructType.fromDDL(schema)
+    arrow = to_arrow_schema(out)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                made = fn(batch.to_pydict())
+                yield pa.RecordBatch.from_arrays([pa.array(made[f.name], type=f.type) for f in arrow], schema=arrow)
+
+    return df.mapInArrow(run, out)
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, usable: Column, rows: int) -> DataFrame:
     """(doc_id, text, label) of at most `rows` labelled documents for which `usable` (over doc_id) holds, chosen by
     a hash of the id, so that reruns agree. Only ids, at most `rows`, are broadcast; exact copies of a text with the same label

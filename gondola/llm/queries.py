@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gondola.llm import sql
+from gondola.llm import quality, sql, toxicity
 from gondola.llm.line_rules import line_rules
 from gondola.llm.mixing import mix
 from gondola.llm.simhash import hex_digits, near_copies
@@ -35,6 +35,11 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", hex_digits(found["fp"]).alias("fingerprint"), "component_id")
 
 
+@query("op2_quality")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.scored(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query("op3_mix_sources", sql.MIX)
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
@@ -43,3 +48,8 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_line_rules", sql.LINE_RULES)
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return line_rules(table(spark, folder, "documents"))
+
+
+@query("op9_toxicity")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.scored(table(spark, folder, "documents"), table(spark, folder, "labels"))
