@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gondola.llm import quality, sql, toxicity
+from gondola.llm import leaks, licences, quality, sql, toxicity
 from gondola.llm.line_rules import line_rules
 from gondola.llm.mixing import mix
 from gondola.llm.simhash import hex_digits, near_copies
@@ -45,6 +45,16 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op6_leaks", sql.LEAKS)
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return leaks.hits(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op7_licences", sql.licences(licences.TEMPLATES))
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.scan(table(spark, folder, "documents"))
+
+
 @query("op8_line_rules", sql.LINE_RULES)
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return line_rules(table(spark, folder, "documents"))

@@ -62,3 +62,55 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_words - n_line_words >= n_words * 0.3 AS kept
 FROM m
 """
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+LEAKS = rf"""
+WITH words AS (
+  SELECT 'd' AS side, CAST(row_number() OVER () AS BIGINT) AS r, doc_id AS id,
+         regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+') AS w FROM documents
+  UNION ALL
+  SELECT 'i', CAST(row_number() OVER () AS BIGINT), item_id,
+         regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+')
+  FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL)),
+s AS (
+  SELECT DISTINCT side, r, id, array_to_string(w[k:k + 4], ' ') AS gram
+  FROM (SELECT *, unnest(range(1, greatest(2, len(w) - 3))) AS k FROM words WHERE len(w) > 0)),
+n AS (SELECT r, count(*) AS n FROM s WHERE side = 'i' GROUP BY r),
+m AS (
+  SELECT d.r AS dr, d.id AS doc_id, i.r AS ir, i.id AS item_id, count(*) AS shared
+  FROM s d JOIN s i ON d.gram = i.gram WHERE d.side = 'd' AND i.side = 'i' GROUP BY ALL)
+SELECT doc_id, item_id, CAST(shared AS INTEGER) AS shared, CAST(n AS INTEGER) AS shingles, shared / n AS containment
+FROM m JOIN n ON m.ir = n.r WHERE shared >= ceil(round(0.8 * n, 9))
+"""
+
+
+def licences(templates: dict[str, str]) -> str:
+    """The statement of the licence scan; templates are written out as values."""
+    values = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in templates.items())
+    fold = rf"""string_split(trim(regexp_replace(translate(%s, '{UPPER}', '{LOWER}'),
+                '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g')), ' ')"""
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents WHERE text IS NOT NULL),
+lines AS (
+  SELECT r, doc_id, 'line' AS unit, x, generate_subscripts(x, 1) - 1 AS unit_no, unnest(x) AS body
+  FROM (SELECT *, string_split(text, chr(10)) AS x FROM d)),
+paragraphs AS (
+  SELECT r, doc_id, 'paragraph' AS unit, x, generate_subscripts(x, 1) - 1 AS unit_no, unnest(x) AS body
+  FROM (SELECT *, regexp_split_to_array(text, '\n[ \t\r\x0B\x0C]*\n') AS x FROM d)),
+units AS (
+  SELECT r, doc_id, unit, unit_no, {fold % "body"} AS w FROM lines
+  UNION ALL
+  SELECT r, doc_id, unit, unit_no, {fold % "body"} FROM paragraphs
+  WHERE contains(regexp_replace(body, '^[ \t\n\r\x0B\x0C]+|[ \t\n\r\x0B\x0C]+$', '', 'g'), chr(10))),
+known AS (SELECT name, {fold % "body"} AS w FROM (VALUES {values}) v(name, body)),
+u AS (SELECT DISTINCT r, doc_id, unit, unit_no, w[k] || ' ' || w[k + 1] AS pair
+      FROM (SELECT *, unnest(range(1, len(w))) AS k FROM units WHERE len(w) > 1)),
+t AS (SELECT DISTINCT name, w[k] || ' ' || w[k + 1] AS pair FROM (SELECT *, unnest(range(1, len(w))) AS k FROM known)),
+un AS (SELECT r, unit, unit_no, count(*) AS n FROM u GROUP BY ALL),
+tn AS (SELECT name, count(*) AS n FROM t GROUP BY ALL),
+m AS (SELECT r, doc_id, unit, unit_no, name, count(*) AS n FROM u JOIN t USING (pair) GROUP BY ALL)
+SELECT m.doc_id, m.unit, CAST(m.unit_no AS INTEGER) AS unit_no, m.name AS licence, 2 * m.n / (un.n + tn.n) AS dice
+FROM m JOIN un ON m.r = un.r AND m.unit = un.unit AND m.unit_no = un.unit_no JOIN tn ON m.name = tn.name
+WHERE 2 * m.n / (un.n + tn.n) >= 0.8
+"""
