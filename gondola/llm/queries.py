@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gondola.llm import leaks, licences, quality, sql, toxicity
+from gondola.llm import leaks, licences, private, quality, sql, toxicity
 from gondola.llm.line_rules import line_rules
 from gondola.llm.mixing import mix
 from gondola.llm.simhash import hex_digits, near_copies
@@ -45,6 +45,12 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op4_private")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return private.found(docs, private.learn(docs))
+
+
 @query("op6_leaks", sql.LEAKS)
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return leaks.hits(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
