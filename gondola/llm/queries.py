@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gondola.llm import leaks, licences, private, quality, sql, toxicity
+from gondola.llm import language_model, leaks, licences, private, quality, sql, toxicity
 from gondola.llm.line_rules import line_rules
 from gondola.llm.mixing import mix
 from gondola.llm.simhash import hex_digits, near_copies
@@ -69,3 +69,8 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_toxicity")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.scored(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op10_language_model")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return language_model.scored(table(spark, folder, "documents"))
