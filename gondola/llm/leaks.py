@@ -158,13 +158,19 @@ def hits(
     return out.withColumn("containment", F.col("shared") / F.col("shingles"))
 
 
+def _holds_any(ready: Search):
+    """A column function: text -> whether it contains an item of the block."""
+
+    @F.pandas_udf("boolean")
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series([bool(ready.found(t)) for t in texts], dtype=bool)
+
+    return run
+
+
 def leaked(benchmark: DataFrame, text: Column, threshold: float = 0.8, shingle: int = 5, block_items: int = 50_000) -> Column:
     """A boolean column: whether a text contains any item."""
     out = F.lit(False)
     for ready in blocks(benchmark, threshold, shingle, block_items):
-
-        def any_item(texts: pd.Series, ready=ready) -> pd.Series:
-            return pd.Series([bool(ready.found(t)) for t in texts], dtype=bool)
-
-        out = out | F.pandas_udf(any_item, "boolean")(text)
+        out = out | _holds_any(ready)(text)
     return out
