@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from gondola.llm import language_model, leaks, licences, private, quality, sql, toxicity
 from gondola.llm.line_rules import line_rules
 from gondola.llm.mixing import mix
+from gondola.llm.repeats import without_repeats
 from gondola.llm.simhash import hex_digits, near_copies
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,6 +52,11 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     return private.found(docs, private.learn(docs))
 
 
+@query("op5_repeats")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return without_repeats(table(spark, folder, "documents")).drop("kept")
+
+
 @query("op6_leaks", sql.LEAKS)
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return leaks.hits(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
