@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -36,7 +37,7 @@ def _tuned(density: float, transactions: int) -> list[tuple[float, float]]:
 
 def association_rules(
     lines: DataFrame, item: str, names: DataFrame, deny: str | None = None,
-    thresholds: tuple[float, float] | None = None, conviction: str = "textbook", wide_at: int = 200,
+    thresholds: tuple[float, float] | None = None, conviction: str = "textbook", block: int = 200,
 ) -> DataFrame:
     """1 -> 1 rules between items bought together: distinct items per sale, sales with two or more items,
     thresholds tuned from the density of the baskets (or given), lift above 1, at least two sales with
@@ -49,7 +50,7 @@ def association_rules(
     baskets = lineage_cut(distinct.join(sized, "sale_id", "left_semi"))
     counts = baskets.groupBy(item).agg(F.count(F.lit(1)).alias("n"))
     facts = counts.agg(F.sum("n").alias("entries"), F.count(F.lit(1)).alias("items")).head()  # one row
-    total = baskets.agg(F.countDistinct("sale_id")).head()[0]
+    total = sized.count()
     if not total:
         steps = [(1.0, 1.0)]
     elif thresholds is not None:
@@ -57,9 +58,7 @@ def association_rules(
     else:
         steps = _tuned(facts["entries"] / (total * facts["items"]), total)
     floor = max(2.0, min(s for s, _ in steps) * total)
-    frequent = counts.filter(F.col("n") >= floor - 1e-9)
-    pairs = co_occurrence(baskets.join(frequent, item, "left_semi"), "sale_id", item, wide_at).filter(
-        F.col("together") >= floor - 1e-9)
+    pairs = co_occurrence(baskets, "sale_id", item, math.ceil(floor - 1e-9), block)
 
     one_way = pairs.select(F.col("item_a").alias("a"), F.col("item_b").alias("b"), "together")
     both = one_way.unionByName(pairs.select(F.col("item_b").alias("a"), F.col("item_a").alias("b"), "together"))

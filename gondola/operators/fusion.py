@@ -141,15 +141,11 @@ def link_members(links: DataFrame, products: DataFrame) -> DataFrame:
     return links.select("code", "name").unionByName(bears.select("code", "name")).distinct().select("code", hub.alias("hub"))
 
 
-def closure(products: DataFrame, max_listed: int | None = None) -> DataFrame:
+def closure(products: DataFrame) -> DataFrame:
     """(code, component, members): codes that reach each other over their alternative codes, in any number
     of steps. The alternatives of a code are the other members of its component. The work grows with the
-    number of listed alternatives, so long lists take part; `max_listed` leaves the codes that list more
-    outside the graph, where that rule is wanted. `products`: code, alternatives."""
-    listed = F.size("alternatives") > 0
-    if max_listed is not None:
-        listed = listed & (F.size("alternatives") <= max_listed)
-    edges = products.filter(listed).select(F.col("code").alias("a"), F.explode("alternatives").alias("b"))
+    number of listed alternatives, so long lists take part. `products`: code, alternatives."""
+    edges = products.filter(F.size("alternatives") > 0).select(F.col("code").alias("a"), F.explode("alternatives").alias("b"))
     labelled = lineage_cut(components(edges, "a", "b"))
     sizes = labelled.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
     return labelled.join(sizes, "component").select(F.col("node").alias("code"), "component", "members")

@@ -7,7 +7,7 @@ all rows.
   partitioning and per-slice offsets; no group is ever sorted in one task.
 * `exact_percentiles`: order statistics on counted distinct values, built on `order_positions`.
 * `spread_join`: many-to-many equi-join in which the heavy keys are split over several tasks.
-* `co_occurrence`: pair counts inside baskets, whatever the width of a basket.
+* `co_occurrence`: pair counts inside baskets; a wide basket is split into blocks of items.
 """
 
 from __future__ import annotations
@@ -140,47 +140,28 @@ def spread_join(many: DataFrame, few: DataFrame, on: str, rows_per_task: int = 2
     return spread.join(repeated, [on, "_part"]).drop("_part")
 
 
-def co_occurrence(lines: DataFrame, basket: str, item: str, wide_at: int = 200) -> DataFrame:
-    """(item_a < item_b, together): number of baskets that hold both, for every pair seen together in
-    at least two baskets, plus all pairs of ordinary baskets. `lines` is distinct on (basket, item).
-
-    Baskets up to `wide_at` items list their pairs. A wider basket never does: its pairs would be
-    quadratic. A pair needs a second basket to reach two, so for wide baskets the candidates are the
-    pairs of ordinary baskets plus the pairs met in a wide basket that is not the widest one of either
-    item (two items that share two or more wide baskets share one that is not last in their list). The
-    candidates are then counted exactly against the wide baskets that hold both."""
-    broad = lineage_cut(  # the few wide baskets: at most one row per `wide_at` lines
-        lines.groupBy(basket).agg(F.count(F.lit(1)).alias("_width")).filter(F.col("_width") > wide_at))
-
-    def listed(ordinary: DataFrame) -> DataFrame:
-        return _pairs_inside(ordinary, basket, item).groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("_n"))
-
-    if broad.isEmpty():
-        return listed(lines).withColumnRenamed("_n", "together")
-    pairs = listed(lines.join(broad, basket, "left_anti"))
-    wide = lines.join(broad, basket)
-    widest = wide.groupBy(item).agg(F.max(F.struct("_width", basket)).alias("_last"))
-    not_last = wide.join(widest, item).filter(F.col("_last")[basket] != F.col(basket)).select(basket, item)
-    shared = _pairs_inside(not_last, basket, item).select("item_a", "item_b")
-    candidates = pairs.select("item_a", "item_b").unionByName(shared).distinct()
-    held = wide.select(basket, item)
-    in_wide = (
-        candidates.join(held.select(F.col(item).alias("item_a"), basket), "item_a")
-        .join(held.select(F.col(item).alias("item_b"), basket), ["item_b", basket])
-        .groupBy("item_a", "item_b")
-        .agg(F.count(F.lit(1)).alias("_n"))
+def co_occurrence(lines: DataFrame, basket: str, item: str, least: int = 1, block: int = 200) -> DataFrame:
+    """(item_a < item_b, together): number of baskets that hold both, for every pair in at least `least` baskets. `lines` is
+    distinct on (basket, item).
+
+    Items in fewer baskets than `least` cannot be in such a pair and are dropped first. The items of a basket are dealt into
+    blocks of about `block` by hash, and pairs are listed per pair of blocks, so no task lists more than block * block
+    pairs of one key, however wide the basket. The result does not depend on `block`."""
+    if least > 1:
+        often = lines.groupBy(item).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= least)
+        lines = lines.join(often, item, "left_semi")
+    wide = lines.groupBy(basket).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("_blocks"))
+    dealt = (
+        lines.join(wide, basket).withColumn("_own", F.pmod(F.xxhash64(item), F.col("_blocks")).cast("int"))
+        .withColumn("_met", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+        .select(basket, "_own", F.col(item).alias("_item"), F.least("_own", "_met").alias("_low"), F.greatest("_own", "_met").alias("_high"))
     )
-    return (
-        pairs.unionByName(in_wide)
-        .groupBy("item_a", "item_b")
-        .agg(F.sum("_n").alias("together"))
-    )
-
-
-def _pairs_inside(lines: DataFrame, basket: str, item: str) -> DataFrame:
-    a = lines.select(basket, F.col(item).alias("item_a"))
-    b = lines.select(basket, F.col(item).alias("item_b"))
-    return a.join(b, basket).filter(F.col("item_a") < F.col("item_b"))
+    left = dealt.filter("_own = _low").select(basket, "_low", "_high", F.col("_item").alias("_a"))
+    right = dealt.filter("_own = _high").select(basket, "_low", "_high", F.col("_item").alias("_b"))
+    pairs = left.join(right, [basket, "_low", "_high"]).filter((F.col("_low") < F.col("_high")) | (F.col("_a") < F.col("_b")))
+    counted = pairs.groupBy(F.least("_a", "_b").alias("item_a"), F.greatest("_a", "_b").alias("item_b")).agg(
+        F.count(F.lit(1)).alias("together"))
+    return counted.filter(F.col("together") >= least) if least > 1 else counted
 
 
 def contains_join(

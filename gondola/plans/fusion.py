@@ -149,11 +149,6 @@ def closure(t):
     return op.closure(_alternatives(t))
 
 
-@query("d08_closure_listed_50", _closure_sql("len(alternatives) BETWEEN 1 AND 50"))
-def closure_listed_50(t):
-    return op.closure(_alternatives(t), 50)
-
-
 _MAKERS = """mk AS (SELECT p_partkey AS code, p_brand AS brand, CASE WHEN p_partkey % 9 <> 0 THEN p_type END AS maker, [p_partkey + 1, p_partkey + 25, (p_partkey * 7) % 2000] AS alternatives FROM part)"""
 _SAME = f"""{_MAKERS}, ep AS (SELECT DISTINCT code, brand, maker, unnest(alternatives) AS alternative FROM mk), jd AS (
   SELECT e.code, e.alternative, coalesce({key_sql('e.brand')} = {key_sql('o.brand')} AND {key_sql('e.maker')} = {key_sql('o.maker')}, false) AS same FROM ep e LEFT JOIN mk o ON o.code = e.alternative)"""

@@ -98,15 +98,23 @@ def text_lines(t):
     return t.spark.read.text(path)
 
 
+# What the vector store of the survey holds per text column and row.
+STORE_TEXTS, STORE_ROW = {"ean": 20, "phrase": 500, "ingredient": 1000, "": 10_000}, 65_536
+
+
 @query("s17_vector_rows", f"""
-WITH {PRODUCTS}, x AS (SELECT product_id, substr(ean || ean, 1, 20) AS ean, lower(category) AS category, substr(repeat(name || ' ', 100), 1, 500) AS phrase, size % 3 = 0 AS unstriped FROM products)
-SELECT product_id, ean, category, md5(phrase) AS phrase, unstriped FROM x""")
+WITH {PRODUCTS}, x AS (SELECT product_id, substr(ean || ean, 1, 20) AS ean, lower(category) AS category, substr(repeat(name || ' ', 100), 1, 500) AS phrase,
+  size % 3 = 0 AS unstriped, size % 25 = 1 AS too_large FROM products)
+SELECT product_id, CASE WHEN too_large THEN NULL ELSE ean END AS ean, CASE WHEN too_large THEN NULL ELSE category END AS category,
+  CASE WHEN too_large THEN NULL ELSE md5(phrase) END AS phrase, CASE WHEN too_large THEN NULL ELSE unstriped END AS unstriped, NOT too_large AS ready FROM x""")
 def vector_rows(t):
     rows = src.products(t).select(
         "product_id", F.concat("ean", "ean").alias("ean"), F.concat(F.lit(" "), "category").alias("category"), F.repeat(F.concat("name", F.lit(" ")), 100).alias("phrase"),
-        F.when(F.col("size") % 3 == 0, False).when(F.col("size") % 3 == 1, True).alias("striped"))
-    ready, _ = sinks.vector_rows(rows, ["category"], {"unstriped": "striped"}, "product_id")
-    return ready.select("product_id", "ean", "category", F.md5("phrase").alias("phrase"), "unstriped")
+        F.when(F.col("size") % 3 == 0, False).when(F.col("size") % 3 == 1, True).alias("striped"),
+        F.when(F.col("size") % 25 == 1, F.sequence(F.lit(100_000), F.lit(120_000))).alias("codes"))
+    ready, large = sinks.vector_rows(rows, ["category"], {"unstriped": "striped"}, "product_id", STORE_TEXTS, STORE_ROW)
+    kept = ready.select("product_id", "ean", "category", F.md5("phrase").alias("phrase"), "unstriped", F.lit(True).alias("ready"))
+    return kept.unionByName(large.withColumn("ready", F.lit(False)), allowMissingColumns=True)
 
 
 @query("s18_view_over_join", f"WITH {LINES}, {PRODUCTS} SELECT brand, CAST(sum(qty) AS BIGINT) AS units FROM lines JOIN products USING (product_id) GROUP BY 1")

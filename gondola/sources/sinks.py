@@ -62,28 +62,33 @@ def write_batches(df: DataFrame, connect: Callable, statement: str, size: int =
     df.foreachPartition(send)
 
 
-# Longest texts a vector store row may hold, by column; other texts and the whole row.
-TEXT_LIMITS = {"ean": 20, "phrase": 500, "ingredient": 1000}
-TEXT_LIMIT, ROW_LIMIT = 10_000, 65_536
-
-
 def vector_rows(
-    df: DataFrame, filters: Sequence[str], flags: dict[str, str], key: str, unlimited: Sequence[str] = ()
+    df: DataFrame, filters: Sequence[str], flags: dict[str, str], key: str, text_limits: dict[str, int] | None = None,
+    row_limit: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """(rows ready for a vector store, keys of rows that are too large): filter columns trimmed and lower
-    case, texts cut to their limits, flags that are true only when the source is false (null is not)."""
+    """(rows ready for a vector store, keys of rows too large for it): filter columns trimmed and lower case, flags that are true
+    only when the source is false (null is not). What the store cannot hold is an explicit contract of its caller: `text_limits`
+    cuts the named columns (the key "" stands for all other texts), `row_limit` sets rows aside whose JSON without the uncut
+    text columns is longer. Without them nothing is cut or set aside."""
+    limits = text_limits or {}
     out: list[Column] = []
+    uncut = []
     for f in df.schema.fields:
         c = F.col(f.name)
         if isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StringType) and f.name in filters:
             c = F.transform(c, lambda x: F.lower(F.trim(x)))
         elif isinstance(f.dataType, T.StringType):
             c = F.lower(F.trim(c)) if f.name in filters else c
-            if f.name not in unlimited:
-                c = F.substring(c, 1, TEXT_LIMITS.get(f.name, TEXT_LIMIT))
+            limit = limits.get(f.name, limits.get(""))
+            if limit:
+                c = F.substring(c, 1, limit)
+            elif limits:
+                uncut.append(f.name)
         out.append(c.alias(f.name))
     rows = df.select(*out).withColumns({n: F.coalesce(~F.col(source), F.lit(False)) for n, source in flags.items()})
-    small = F.length(F.to_json(F.struct(*[c for c in rows.columns if c not in unlimited]))) <= ROW_LIMIT
+    if row_limit is None:
+        return rows, rows.filter(F.lit(False)).select(key)
+    small = F.length(F.to_json(F.struct(*[c for c in rows.columns if c not in uncut]))) <= row_limit
     return rows.filter(small), rows.filter(~small).select(key)
 
 

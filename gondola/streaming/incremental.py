@@ -53,23 +53,38 @@ def run_update(stream: DataFrame, folder: str, keys: Sequence[str]) -> DataFrame
 
 
 def run_upsert(
-    stream: DataFrame, folder: str, keys: Sequence[str], order: Sequence[Column], empty: DataFrame
+    stream: DataFrame, folder: str, keys: Sequence[str], order: Sequence[Column], empty: DataFrame, parts: int = 64
 ) -> DataFrame:
-    """Merges every batch into a versioned table: batch n reads version n - 1 and writes version n. Both are
-    tables in the shared folder, so a lost executor only repeats the batch."""
+    """Merges every batch into a table of `parts` parts by key hash. Batch n reads the last version below n of the parts it
+    touches and writes them as version n, so a batch that runs again after a failure replaces itself and other parts stay
+    as they are. What is current is found in the folder, so a rerun without new data returns the same table."""
     spark = stream.sparkSession
-    version = {"n": -1}
+    table = f"{folder}/table"
+    layout = T.StructType([*empty.schema.fields, T.StructField("_version", T.LongType()), T.StructField("_part", T.IntegerType())])
+    part = F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int")
+    empty.write.mode("overwrite").parquet(f"{table}/_version=-1/_part=0")  # a table even before the first batch
+
+    def current(below: int | None = None, only: Sequence[int] | None = None) -> DataFrame:
+        """Rows of the newest version of each part; at most one folder per part is read."""
+        held = spark.read.schema(layout).option("basePath", table).parquet(table).select("_version", "_part").distinct()
+        if below is not None:
+            held = held.filter(F.col("_version") < below)
+        if only is not None:
+            held = held.filter(F.col("_part").isin(list(only)))
+        newest = held.groupBy("_part").agg(F.max("_version").alias("v")).collect()
+        paths = [f"{table}/_version={r['v']}/_part={r['_part']}" for r in newest]
+        return spark.read.schema(empty.schema).parquet(*paths) if paths else empty
 
     def merge(batch: DataFrame, number: int) -> None:
-        before = empty if number == 0 else spark.read.parquet(f"{folder}/table/version={number - 1}")
-        upsert(before, batch.select(*empty.columns), keys, order).write.mode("overwrite").parquet(f"{folder}/table/version={number}")
-        version["n"] = number
+        touched = [r[0] for r in batch.select(part).distinct().collect()]
+        merged = upsert(current(number, touched), batch.select(*empty.columns), keys, order)
+        merged.withColumn("_part", part).write.mode("overwrite").partitionBy("_part").parquet(f"{table}/_version={number}")
 
     query = (
         stream.writeStream.foreachBatch(merge).outputMode("append").trigger(availableNow=True)
         .option("checkpointLocation", f"{folder}/state").start())
     query.awaitTermination()
-    return empty if version["n"] < 0 else spark.read.parquet(f"{folder}/table/version={version['n']}")
+    return current()
 
 
 def deduplicated(stream: DataFrame, key: str, at: str, overlap: str = "1 day") -> DataFrame:

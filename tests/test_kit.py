@@ -47,19 +47,31 @@ def test_spread_join_splits_heavy_keys(spark):
     assert sorted(map(tuple, spread.collect())) == sorted(map(tuple, plain.collect()))
 
 
-@pytest.mark.parametrize("wide_at", [3, 8, 200])
-def test_co_occurrence_against_brute_force(spark, wide_at):
+@pytest.mark.parametrize("block, least", [(1, 1), (3, 1), (8, 2), (200, 1), (4, 3)])
+def test_co_occurrence_against_brute_force(spark, block, least):
     rng = random.Random(3)
     baskets = {b: set(rng.sample(range(30), rng.randrange(1, 7))) for b in range(60)}
     baskets[100], baskets[101], baskets[102] = set(range(25)), set(range(10, 30)), set(range(0, 30, 2))
     lines = spark.createDataFrame([(b, i) for b, items in baskets.items() for i in items], "sale_id int, item int")
-    got = {(r["item_a"], r["item_b"]): r["together"] for r in kit.co_occurrence(lines, "sale_id", "item", wide_at).collect()}
+    got = {(r["item_a"], r["item_b"]): r["together"] for r in kit.co_occurrence(lines, "sale_id", "item", least, block).collect()}
     truth = {}
     for items in baskets.values():
         for p in itertools.combinations(sorted(items), 2):
             truth[p] = truth.get(p, 0) + 1
-    assert {p: n for p, n in got.items() if n >= 2} == {p: n for p, n in truth.items() if n >= 2}
-    assert all(truth[p] == n for p, n in got.items())
+    assert got == {p: n for p, n in truth.items() if n >= least}
+
+
+def test_a_basket_with_a_third_of_all_lines_is_split(spark):
+    lines = [(0, i) for i in range(600)] + [(1 + i // 3, i) for i in range(1200)]
+    df = spark.createDataFrame(lines, "sale_id int, item int")
+    pairs = kit.co_occurrence(df, "sale_id", "item", 2, block=50)
+    assert {(r["item_a"], r["item_b"]) for r in pairs.collect()} == {
+        p for k in range(200) for p in itertools.combinations(range(3 * k, 3 * k + 3), 2)}
+    # rows that share a key of the pair join: two blocks at most
+    wide = df.groupBy("sale_id").count().agg(F.max("count")).first()[0]
+    blocks = -(-wide // 50)
+    dealt = df.filter("sale_id = 0").groupBy(F.pmod(F.xxhash64("item"), F.lit(blocks))).count().agg(F.max("count")).first()[0]
+    assert blocks == 12 and dealt < 100
 
 
 def test_contains_join(spark):

@@ -63,6 +63,12 @@ def test_upsert_versions(spark, landing):
     empty = spark.createDataFrame([], SCHEMA)
     rows = op.run_upsert(stream(), out, ["account"], [F.desc("ts"), F.desc("id")], empty)
     assert sorted((r["account"], r["v"]) for r in rows.collect()) == [(1, 8), (2, 7)]
+    # again without new data: the same table; then with a change of one key
+    rows = op.run_upsert(stream(), out, ["account"], [F.desc("ts"), F.desc("id")], empty)
+    assert sorted((r["account"], r["v"]) for r in rows.collect()) == [(1, 8), (2, 7)]
+    put((5, 2, at(3), 9), (6, 3, at(0), 1))
+    rows = op.run_upsert(stream(), out, ["account"], [F.desc("ts"), F.desc("id")], empty)
+    assert sorted((r["account"], r["v"]) for r in rows.collect()) == [(1, 8), (2, 9), (3, 1)]
 
 
 def test_capacity(landing):
