@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -13,23 +14,54 @@ from gondola.operators.kit import contains_join, exact_percentiles, latest, null
 from gondola.operators.standardise import closest_terms
 from gondola.operators.vectors import dense_top_k
 
-# Wording that restricts a product to an age group or sex, tried in this order.
-NOT_FOR_CHILDREN = (
-    "n[ãa]o\\s*recomendad[ao].*(crian[çc]a|beb[êe])|n[ãa]o\\s*.*indicado.*(crian[çc]a|beb[êe])|evite.*(crian[çc]a|beb[êe])"
-    "|contraindicado.*(crian[çc]a|beb[êe])|mant(enha|er).*(alcance|longe).*crian[çc]a")
-FOR_BABIES = "(^|[^\\p{L}])beb[êe]s?($|[^\\p{L}])|rec[ée]m-nascido|0-2 anos|chupeta|mamadeira"
-FOR_CHILDREN = "infantil|pediatrico|para crian[çc]a|crian[çc]a.*para|cuidado.*crian[çc]a|crian[çc]a.*cuidado|3-12 anos"
-FOR_TEENS = "(^|[^\\p{L}])adolescente($|[^\\p{L}])|13-17 anos"
-FOR_SENIORS = "(^|[^\\p{L}])(idoso|s[êe]nior)($|[^\\p{L}])|terceira idade|60\\+|65\\+"
-FOR_ADULTS = "uso adulto|para adultos?|produto adulto|p[úu]blico adulto"
-AGE_RULES = [(NOT_FOR_CHILDREN, "adulto"), (FOR_BABIES, "bebe"), (FOR_CHILDREN, "crianca"), (FOR_TEENS, "adolescente"),
-             (FOR_SENIORS, "idoso"), (FOR_ADULTS, "adulto")]
-WOMEN = "mulher|feminino|gestante|gravidez|menopausa"
-MEN = "homem|homens|masculino|barba|prostata"
-WOMEN_NAMES = "esmalte|maquiagem|batom|rímel|sombra|blush|feminino|mulher|rosa|pink"
-MEN_NAMES = "barba|masculino|homem|homens"
-NOT_FOR_WOMEN = "(nao recomendado|evite|contraindicado).*mulher"
-NOT_FOR_MEN = "(nao recomendado|evite|contraindicado).*homem"
+# Wording (lower case, without accents) that restricts a product to an age group or sex. A pair of lists stands for a
+# word of the first list somewhere before a word of the second.
+CHILDREN, BABIES = ["crianca"], ["bebe"]
+DENIALS = ["nao recomendado", "nao recomendada", "evite", "contraindicado"]
+NOT_FOR_CHILDREN = [
+    (DENIALS, CHILDREN + BABIES), (["nao"], ["indicado"], CHILDREN + BABIES),
+    (["mantenha", "manter"], ["alcance", "longe"], CHILDREN),
+]
+FOR_BABIES = ["recem-nascido", "0-2 anos", "chupeta", "mamadeira"]
+FOR_CHILDREN = ["infantil", "pediatrico", "para crianca", "3-12 anos"]
+CHILD_PAIRS = [(CHILDREN, ["para"]), (["cuidado"], CHILDREN), (CHILDREN, ["cuidado"])]
+FOR_TEENS = ["13-17 anos"]
+FOR_SENIORS = ["terceira idade", "60+", "65+"]
+FOR_ADULTS = ["uso adulto", "para adulto", "produto adulto", "publico adulto"]
+WHOLE_WORDS = {"bebe": ["bebe", "bebes"], "adolescente": ["adolescente"], "idoso": ["idoso", "senior"]}
+WOMEN = ["mulher", "feminino", "gestante", "gravidez", "menopausa"]
+MEN = ["homem", "homens", "masculino", "barba", "prostata"]
+WOMEN_NAMES = ["esmalte", "maquiagem", "batom", "rimel", "sombra", "blush", "feminino", "mulher", "rosa", "pink"]
+MEN_NAMES = ["barba", "masculino", "homem", "homens"]
+SEX_DENIALS = ["nao recomendado", "evite", "contraindicado"]
+
+
+def _any(words: Sequence[str]) -> str:
+    return "(?:" + "|".join(re.escape(w) for w in words) + ")"
+
+
+def _in_order(*lists: Sequence[str]) -> str:
+    return ".*".join(_any(words) for words in lists)
+
+
+def _whole(group: str) -> str:
+    return rf"(?:^|[^\p{{L}}]){_any(WHOLE_WORDS[group])}(?:$|[^\p{{L}}])"
+
+
+def age_rules() -> list[tuple[str, str]]:
+    """(pattern, age group) in the order in which they are tried."""
+    return [
+        ("|".join(_in_order(*lists) for lists in NOT_FOR_CHILDREN), "adulto"),
+        (f"{_whole('bebe')}|{_any(FOR_BABIES)}", "bebe"),
+        (f"{_any(FOR_CHILDREN)}|{'|'.join(_in_order(*pair) for pair in CHILD_PAIRS)}", "crianca"),
+        (f"{_whole('adolescente')}|{_any(FOR_TEENS)}", "adolescente"),
+        (f"{_whole('idoso')}|{_any(FOR_SENIORS)}", "idoso"),
+        (_any(FOR_ADULTS), "adulto"),
+    ]
+
+
+def not_for(person: str) -> str:
+    return _in_order(SEX_DENIALS, [person])
 
 
 def consolidate_flag(base: DataFrame, categories: DataFrame, corrections: DataFrame, prefix: str) -> DataFrame:
@@ -165,19 +197,23 @@ def keyword_classes(products: DataFrame, pattern: str, deny_like: Sequence[str],
 
 
 def age_and_sex(products: DataFrame, key: str) -> DataFrame:
-    """Recommended age group and sex from the texts of a product, restrictions first. `products`: key, name,
-    description, indication, categories (list)."""
-    text = F.lower(F.concat_ws(" ", "name", "description", "indication", F.concat_ws(" ", "categories")))
-    name = F.lower("name")
-    group = None
-    for pattern, label in AGE_RULES:
-        group = F.when(text.rlike(pattern), label) if group is None else group.when(text.rlike(pattern), label)
-    women = text.rlike(WOMEN) | name.rlike(WOMEN_NAMES)
-    men = text.rlike(MEN) | name.rlike(MEN_NAMES)
+    """Recommended age group and sex from the texts of a product, restrictions first, where the product has none: values that
+    are given and not blank stay. `products`: key, name, description, indication, categories (list), age_group, sex."""
+    text = F.lower(unaccent(F.concat_ws(" ", "name", "description", "indication", F.concat_ws(" ", "categories"))))
+    name = F.lower(unaccent(F.col("name")))
+    group = F.lit("todos")
+    for pattern, label in reversed(age_rules()):
+        group = F.when(text.rlike(pattern), label).otherwise(group)
+    women = text.rlike(_any(WOMEN)) | name.rlike(_any(WOMEN_NAMES))
+    men = text.rlike(_any(MEN)) | name.rlike(_any(MEN_NAMES))
     sex = (
-        F.when(text.rlike(NOT_FOR_WOMEN), "homem").when(text.rlike(NOT_FOR_MEN), "mulher")
+        F.when(text.rlike(not_for("mulher")), "homem").when(text.rlike(not_for("homem")), "mulher")
         .when(women & ~men, "mulher").when(men & ~women, "homem").otherwise("todos"))
-    return products.select(key, group.otherwise("todos").alias("age_group"), sex.alias("sex"))
+
+    def unless_given(column: str, found: Column) -> Column:
+        return F.when(F.trim(column) != "", F.col(column)).otherwise(found).alias(column)
+
+    return products.select(key, unless_given("age_group", group), unless_given("sex", sex))
 
 
 def token_categories(

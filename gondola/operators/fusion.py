@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -268,27 +269,30 @@ def interchangeable_pairs(
     return pairs.select("reference_code", "other_code", "kind").distinct().join(denied, ["reference_code", "other_code"], "left_anti")
 
 
+# Words after which a text of reference names is a remark, words that end one name, phrases that are no part of
+# a name, and a phrase that holds a separator.
+REMARK_WORDS = ["medicamento", "n/a", "referência", "similar"]
+NAME_ENDS = ["genérico", "m.s", "&", ","]
+NO_NAME = ["s/a", "creme e comprimidos", "- novartis"]
+WITH_SLASH = {"im/iv": "im-iv"}
+
+
 def reference_names(df: DataFrame, column: str) -> DataFrame:
-    """Multi-valued reference names, cleaned, one per row: parentheses and remarks are dropped, parts are
-    split at ';', '/' and ' e ', doses and maker notes are cut."""
-    t = F.regexp_replace(F.lower(F.col(column)), r"\(.*\)", "")
-    t = F.regexp_replace(t, r"(medicamento|n/a|referência|similar).*$", "")
-
-    def by_slash(part: Column) -> Column:
-        p = F.regexp_replace(F.regexp_replace(part, r"\d.*mg/ml|\d.*mg/g|s/a", ""), "im/iv", "im-iv")
-        return F.split(p, "/")
-
-    def by_and(part: Column) -> Column:
-        return F.split(F.replace(part, F.lit("creme e comprimidos"), F.lit("")), " e ")
-
-    def tidy(part: Column) -> Column:
-        p = F.regexp_replace(F.replace(part, F.lit("- novartis"), F.lit("")), "®$", "")
-        p = F.regexp_replace(p, r"(m\.s|[&,]|genérico).*$", "")
-        return F.trim(F.regexp_replace(p, r"\d.*g", ""))
-
-    parts = F.flatten(F.transform(F.flatten(F.transform(F.split(t, "; "), by_slash)), by_and))
-    names = F.array_distinct(F.filter(F.transform(parts, tidy), lambda p: p != ""))
-    return df.withColumn(column, F.explode(names))
+    """Multi-valued reference names, cleaned, one per row. A text is names up to its first remark; names part at ';', '/' and
+    ' e ', which also stand inside strengths and a few phrases; what follows a maker note, and strengths, are no name."""
+
+    def before(text: Column, words: Sequence[str]) -> Column:
+        """The text up to the first of the words."""
+        stop = "|".join(re.escape(w) for w in words)
+        return F.regexp_extract(text, rf"^(?:(?!{stop})[\s\S])*", 0)
+
+    text = before(F.regexp_replace(F.lower(F.col(column)), r"\(.*\)", ""), REMARK_WORDS)
+    for phrase, kept in [*WITH_SLASH.items(), *[(p, "") for p in NO_NAME]]:
+        text = F.replace(text, F.lit(phrase), F.lit(kept))
+    strength = r"\d[^;]*(?:mg/ml|mg/g)"
+    parts = F.split(F.regexp_replace(text, strength, ""), "; |/| e ")
+    names = F.transform(parts, lambda p: F.trim(F.regexp_replace(before(F.rtrim(p, F.lit("®")), NAME_ENDS), r"\d.*g", "")))
+    return df.withColumn(column, F.explode(F.array_distinct(F.filter(names, lambda n: n != ""))))
 
 
 def capped_lists(pairs: DataFrame, group: str, item: str, limit: int) -> DataFrame:

@@ -146,16 +146,25 @@ def keyword_classes(t):
 _HINT = "CASE doc_id % 12 WHEN 0 THEN 'mantenha fora do alcance das crianças' WHEN 1 THEN 'para bebê' WHEN 2 THEN 'uso infantil' WHEN 3 THEN 'para adolescente' WHEN 4 THEN 'idoso' WHEN 5 THEN 'uso adulto' WHEN 6 THEN 'gestante' WHEN 7 THEN 'barba' WHEN 8 THEN 'evite em mulher' ELSE '' END"
 
 
+def _re2(pattern: str) -> str:
+    return pattern.replace("'", "''")
+
+
+_GIVEN = {"age_group": "CASE doc_id % 17 WHEN 3 THEN 'jovem' WHEN 5 THEN ' ' END", "sex": "CASE doc_id % 19 WHEN 4 THEN 'homem' WHEN 6 THEN '' END"}
+_SAYS = {k: f"regexp_matches({t}, '{_re2(op._any(words))}')" for k, t, words in (
+    ("women", "t", op.WOMEN), ("women_name", "n", op.WOMEN_NAMES), ("men", "t", op.MEN), ("men_name", "n", op.MEN_NAMES))}
+
+
 @query("d34_age_and_sex", f"""
-WITH x AS (SELECT doc_id, source AS name, text || ' ' || {_HINT} AS description, lower(concat_ws(' ', source, text || ' ' || {_HINT}, lang)) AS t FROM documents)
-SELECT doc_id, CASE {' '.join(f"WHEN regexp_matches(t, '{p}') THEN '{label}'" for p, label in op.AGE_RULES)} ELSE 'todos' END AS age_group,
-  CASE WHEN regexp_matches(t, '{op.NOT_FOR_WOMEN}') THEN 'homem' WHEN regexp_matches(t, '{op.NOT_FOR_MEN}') THEN 'mulher'
-  WHEN (regexp_matches(t, '{op.WOMEN}') OR regexp_matches(name, '{op.WOMEN_NAMES}')) AND NOT (regexp_matches(t, '{op.MEN}') OR regexp_matches(name, '{op.MEN_NAMES}')) THEN 'mulher'
-  WHEN (regexp_matches(t, '{op.MEN}') OR regexp_matches(name, '{op.MEN_NAMES}')) AND NOT (regexp_matches(t, '{op.WOMEN}') OR regexp_matches(name, '{op.WOMEN_NAMES}')) THEN 'homem' ELSE 'todos' END AS sex FROM x""")
+WITH x AS (SELECT doc_id, lower(strip_accents(source)) AS n, lower(strip_accents(concat_ws(' ', source, text || ' ' || {_HINT}, lang))) AS t, {', '.join(f'{e} AS {c}' for c, e in _GIVEN.items())} FROM documents),
+y AS (SELECT *, {_SAYS['women']} OR {_SAYS['women_name']} AS women, {_SAYS['men']} OR {_SAYS['men_name']} AS men FROM x)
+SELECT doc_id, CASE WHEN trim(age_group) <> '' THEN age_group {' '.join(f"WHEN regexp_matches(t, '{_re2(p)}') THEN '{label}'" for p, label in op.age_rules())} ELSE 'todos' END AS age_group,
+  CASE WHEN trim(sex) <> '' THEN sex WHEN regexp_matches(t, '{_re2(op.not_for('mulher'))}') THEN 'homem' WHEN regexp_matches(t, '{_re2(op.not_for('homem'))}') THEN 'mulher'
+  WHEN women AND NOT men THEN 'mulher' WHEN men AND NOT women THEN 'homem' ELSE 'todos' END AS sex FROM y""")
 def age_and_sex(t):
     products = t.documents.select(
         "doc_id", F.col("source").alias("name"), F.expr(f"text || ' ' || {_HINT}").alias("description"), F.lit(None).cast("string").alias("indication"),
-        F.array("lang").alias("categories"))
+        F.array("lang").alias("categories"), *[F.expr(e).alias(c) for c, e in _GIVEN.items()])
     return op.age_and_sex(products, "doc_id")
 
 

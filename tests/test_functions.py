@@ -10,7 +10,7 @@ def check(spark, cases, expr):
     """Evaluates `expr(column)` for all inputs in one frame."""
     rows = spark.createDataFrame([(i, a) for i, (a, _) in enumerate(cases)], "i int, a string")
     got = {r["i"]: r["v"] for r in rows.select("i", expr(F.col("a")).alias("v")).collect()}
-    assert [got[i] for i in range(len(cases))] == [b for _, b in cases]
+    assert {a: got[i] for i, (a, _) in enumerate(cases)} == dict(cases)
 
 
 def test_valid_barcode(spark):
@@ -72,7 +72,17 @@ DOSAGES = [
     ("500mg por comprimido", "500mg"), ("0,21mg/gota", "0.21mg"), ("1g de vitamina c por cápsula", "1g"), ("25 mg/mL", "25mg/mL"), ("150mg,12h", "150mg"),
     ("1 comprimido por dia", None), ("2 a 4 comprimidos a cada 8 horas", None), ("1ch", None), ("100mg - 150mg", None), ("100mg ou 1g", None),
     ("20/30mg", None), ("0,07ml/ml", None), ("10mg + 3,5g", None), ("10^3,0 ccid50", None), ("500None", None), ("n/a", None), ("", None), (None, None),
-    ("0.5mg/g + 1mg/g", "0.5mg/g + 1mg/g"),
+    ("0.5mg/g + 1mg/g", "0.5mg/g + 1mg/g"), ("1.000mg + 1.0005mg", "1000mg + 1.0005mg"), ("   ", None), ("  500mg  ", "500mg"), ("200 mcg", "200mcg"),
+    ("0,12 %", "0.12%"), ("500 mui", "500mui"), ("2 ud", "2ud"), ("50mg  +  12,5mg", "50mg + 12.5mg"), ("NoneNone", None), ("Nonemg", None),
+    ("500mg por cápsula", "500mg"), ("25mg/mL por dose", "25mg/mL"), ("200mg por sachê", "200mg"), ("100.000ui/ml", "100000ui/ml"), ("0.125mg", "0.125mg"),
+    ("10.250mg", "10.250mg"), ("15mcg/cepa", "15mcg"), ("15mcg/cepa/0,5ml", "15mcg"), ("1500mg por porção", "1500mg"), ("0,25mg por quilo de peso corpóreo", "0.25mg"),
+    ("0,1g por kg de peso corporal", "0.1g"), ("15mcg para cada cepa", "15mcg"), ("2,2mcg para cada sorotipo", "2.2mcg"), ("1000mg de ômega 3 por cápsula", "1000mg"),
+    ("15mcg de hemaglutinina/cepa", "15mcg"), ("200mg de cafeína + 300mg de taurina", "200mg + 300mg"), ("1.350 ufp", None), ("25tru/g", None), ("15 lf toxoide", None),
+    ("40 u.d. poliovírus", None), ("1d", None), ("100 u", "100ui"), ("15-19mg/ml", None), ("0.1 a 0.25 g/kg", None), ("100mg, 200mg", None), ("100/25mg", None),
+    ("0,4mg/mg", None), ("10mg + 3,5g + 12g", None), ("0.5mg/g", "0.5mg/g"), ("2 comprimidos a cada 8 horas", None), ("1 a 2 comprimidos até 4 vezes ao dia", None),
+    ("0,125mg (com branco)", "0.125mg"), ("100mg (ampola 1) + 5mg (ampola 2)", "100mg + 5mg"), ("> 20 ui", "20ui"), ("500mg +", None),
+    ("(120+120+120)mcg/ml", "120mcg/ml + 120mcg/ml + 120mcg/ml"), ("(0,05mg + 0,03mg) + (0,075mg + 0,04mg)", "0.05mg + 0.03mg + 0.075mg + 0.04mg"),
+    ("2,0 x 10e13 gv/ml", None),
 ]
 
 
@@ -90,14 +100,17 @@ def test_ingredient(spark):
         ("paracetamol;cafeina", "CAFEINA + PARACETAMOL"), ("Cafeína, cafeina", "CAFEINA"), ("metformina (cloridrato)", "CLORIDRATO DE METFORMINA"),
         ("metformina cloridrato", "CLORIDRATO DE METFORMINA"), ("cloridrato metformina", "CLORIDRATO DE METFORMINA"), ("cloridrato de metformina", "CLORIDRATO DE METFORMINA"),
         ("acetilsalicílico ácido", "ACIDO ACETILSALICILICO"), ("amoxicilina triidratada", "AMOXICILINA TRI-HIDRATADA"), ("dipirona 500 mg", "DIPIRONA"),
-        ("clorexidina 0,12%", "CLOREXIDINA"), ("a\r\nb", "A + B"), ("", ""), (None, None)], pharma.ingredient)
+        ("clorexidina 0,12%", "CLOREXIDINA"), ("a\r\nb", "A + B"), ("zolpidem + alprazolam + diazepam", "ALPRAZOLAM + DIAZEPAM + ZOLPIDEM"),
+        ("paracetamol   +   cafeina", "CAFEINA + PARACETAMOL"), ("losartana potássica;hidroclorotiazida", "HIDROCLOROTIAZIDA + LOSARTANA POTASSICA"),
+        ("   ", "   "), ("cloridrato de x (5 mg)", "CLORIDRATO DE X"), ("", ""), (None, None)], pharma.ingredient)
 
 
 def test_forms_and_streets(spark):
     check(spark, [("Gel / Creme (tubo)", ["gel", "creme"]), ("Comprimido,Cápsula", ["comprimido", "capsula"]), (None, [])], pharma.forms)
     check(spark, [
         ("R. das Flores nº 10 - Centro", "Rua das Flores, 10"), ("Av. Brasil, 200", "Avenida Brasil, 200"), ("Rua 27 de Setembro 258", "Rua 27 de Setembro, 258"),
-        ("Rua Nova, 12B apto 3", "Rua Nova, 12B"), ("Praça da Sé", "Praça da Sé"), (None, None), ("Rua Sete 45 fundos", "Rua Sete, 45")], pharma.street_and_number)
+        ("Rua Nova, 12B apto 3", "Rua Nova, 12B"), ("Praça da Sé", "Praça da Sé"), (None, None), ("R.Sol 5", "Rua Sol, 5"), ("Rua 13, 45 fundos", "Rua 13, 45"), ("Av. Gov. Dix n° 7a/b", "Avenida Governador Dix, 7a"),
+        ("Presidente Vargas, s/n", "Presidente Vargas"), ("Rua Sete 45 fundos", "Rua Sete, 45")], pharma.street_and_number)
 
 
 @pytest.mark.parametrize("value, cuts, up, down", [(0, [1, 2, 3, 4], 1, 5), (1, [1, 2, 3, 4], 1, 5), (2, [1, 2, 3, 4], 2, 4), (5, [1, 2, 3, 4], 5, 1),
