@@ -90,6 +90,14 @@ def association_rules(
     return rules
 
 
+def category_lines(lines: DataFrame, products: DataFrame) -> DataFrame:
+    """One row per sale and category: a product counts for each of its categories, once per sale. `lines`: sale_id, product_id;
+    `products`: product_id, categories (list). The lists are exploded before the join, so that the sale lines meet
+    (product, category) rows and are folded by sale at once."""
+    flat = products.select("product_id", F.explode(F.array_distinct("categories")).alias("category")).filter(F.col("category").isNotNull())
+    return lines.select("sale_id", "product_id").join(flat, "product_id").select("sale_id", "category").distinct()
+
+
 def publish_rules(rules: DataFrame, required: Sequence[str], keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """Complete rules, one per key."""
     return latest(rules.dropna(subset=list(required)), keys, order)

@@ -295,15 +295,27 @@ def reference_names(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.explode(F.array_distinct(F.filter(names, lambda n: n != ""))))
 
 
-def capped_lists(pairs: DataFrame, group: str, item: str, limit: int) -> DataFrame:
+def attached(pairs: DataFrame, guide: DataFrame) -> DataFrame:
+    """(code, side, name, kind), one row each: the similars of every reference product, the references of every interchangeable
+    one, and what a second source says about either side of a code. `pairs`: reference_code, reference_name, other_code,
+    other_name, kind; `guide`: code, side, name, kind."""
+    similars = pairs.select(F.col("reference_code").alias("code"), F.lit("similar").alias("side"), F.col("other_name").alias("name"), "kind")
+    references = pairs.select(
+        F.col("other_code").alias("code"), F.lit("reference").alias("side"), F.col("reference_name").alias("name"), F.lit("reference").alias("kind"))
+    told = guide.select("code", "side", "name", "kind")
+    return similars.unionByName(references).unionByName(told).filter("code is not null and name is not null").distinct()
+
+
+def capped_lists(pairs: DataFrame, group: str | Sequence[str], item: str, limit: int) -> DataFrame:
     """Per group a JSON list of its distinct items in order, as many as fit into `limit` characters (the
-    first one always). The running length is computed in a distributed sort; only items that fit are
-    gathered, so a list never holds more than `limit` characters."""
-    once = pairs.filter(F.col(item).isNotNull()).select(group, item).distinct().withColumn(
+    first one always), and how many there are: a presentation of `pairs`, which hold them all. The running length is computed
+    in a distributed sort; only items that fit are gathered, so a list never holds more than `limit` characters."""
+    keys = [group] if isinstance(group, str) else list(group)
+    once = pairs.filter(F.col(item).isNotNull()).select(*keys, item).distinct().withColumn(
         "_len", F.length(F.to_json(F.array(F.col(item)))).cast("long") - 1)  # quoted item and one separator
-    placed = order_positions(once, [group], [F.col(item)], total="_len")
+    placed = order_positions(once, keys, [F.col(item)], total="_len")
     fits = placed.filter((F.col("running") + 1 <= limit) | (F.col("position") == 1))
-    return fits.groupBy(group).agg(
+    return fits.groupBy(*keys).agg(
         F.to_json(F.array_sort(F.collect_list(item))).alias("items"), F.max("group_rows").alias("available"))
 
 

@@ -96,22 +96,27 @@ def price_drops(prices: DataFrame, keys: Sequence[str], day: str = "sold_on") ->
     return fell.groupBy(*keys).agg(F.min(day).alias("first_drop"))
 
 
-def reimbursement(sales: DataFrame, stock_prices: DataFrame, first: str, last: str, cap: float = 20.0) -> DataFrame:
+def reimbursement(
+    sales: DataFrame, stock_prices: DataFrame, first: str, last: str, cap: float = 20.0, tells_price: Column | None = None
+) -> DataFrame:
     """Refund of consumer discounts. The original price is the last one before the campaign, else the
-    first one in it, else the stock price; the discount is capped and the refund never negative.
+    first one in it, else the oldest stock price; the discount is capped and the refund never negative. Lines for
+    which `tells_price` does not hold (returns, say) are refunded, but set no price; without any price a line has no refund.
     `sales`: account_id, store_id, product_id, sale_id, sold_on, qty, net; `stock_prices`: store_id,
     product_id, price, taken_on."""
     keys = ["account_id", "store_id", "product_id"]
     start, end = F.lit(first).cast("date"), F.lit(last).cast("date")
-    prices = lineage_cut(day_prices(sales, keys))  # one row per key and day, read three times
+    telling = sales if tells_price is None else sales.filter(tells_price)
+    prices = lineage_cut(day_prices(telling, keys).filter("price is not null"))  # one row per key and day, read three times
     before = prices.filter(F.col("sold_on") < start).groupBy(*keys).agg(
         F.max_by("price", "sold_on").alias("p1"), F.max("sold_on").alias("d1"))
     inside = prices.filter(F.col("sold_on").between(start, end))
     after = inside.groupBy(*keys).agg(F.min_by("price", "sold_on").alias("p2"), F.min("sold_on").alias("d2"))
+    asked = sales.filter(F.col("sold_on").between(start, end)).select(*keys).distinct()
     stock = stock_prices.groupBy("store_id", "product_id").agg(
         F.min_by("price", "taken_on").alias("p3"), F.min("taken_on").alias("d3"))
     refs = (
-        after.join(before, keys, "left").join(stock, ["store_id", "product_id"], "left")
+        asked.join(after, keys, "left").join(before, keys, "left").join(stock, ["store_id", "product_id"], "left")
         .join(price_drops(inside, keys), keys, "left")
         .select(
             *keys, "first_drop", F.coalesce("p1", "p2", "p3").alias("original"),
@@ -126,9 +131,10 @@ def reimbursement(sales: DataFrame, stock_prices: DataFrame, first: str, last: s
     return (
         sales.filter(F.col("sold_on").between(start, end)).join(refs, keys)
         .withColumn("unit", unit).withColumn("pct", pct)
-        .withColumn("capped", F.least(F.col("pct"), F.lit(float(cap))))
+        .withColumn("capped", F.when(F.col("pct").isNotNull(), F.least(F.col("pct"), F.lit(float(cap)))))
         .withColumn("unit_refund", refund)
-        .withColumn("refund", F.greatest(F.round(F.col("unit_refund") * F.col("qty"), 2), F.lit(0.0)))
+        .withColumn("refund", F.when(F.col("unit_refund").isNotNull(), F.greatest(
+            F.round(F.col("unit_refund") * F.col("qty"), 2), F.lit(0.0))))
     )
 
 

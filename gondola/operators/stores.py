@@ -27,15 +27,17 @@ def like_patterns(patterns: Sequence[str]) -> str:
 
 
 def sales_facts(
-    lines: DataFrame, headers: DataFrame, products: DataFrame, stores: DataFrame, customers: DataFrame
+    lines: DataFrame, headers: DataFrame, products: DataFrame, stores: DataFrame, customers: DataFrame, clerks: DataFrame
 ) -> DataFrame:
-    """One row per sale line with header, product, store and customer attributes and the unit price. The
-    fact tables meet on the sale; the dimensions follow, as hash joins where their size allows it."""
+    """One row per sale line with header, product, store, customer and clerk attributes and the unit price. The
+    fact tables meet on the sale; the dimensions follow, as hash joins where their size allows it. A sale without a known
+    clerk (customer, ...) stays. `headers` holds customer_id and clerk_id."""
     return (
         lines.join(headers, "sale_id")
         .join(products, "product_id", "left")
         .join(stores, "store_id", "left")
         .join(customers, "customer_id", "left")
+        .join(clerks, "clerk_id", "left")
         .withColumn("unit_price", F.when(F.col("qty") > 0, F.round(F.col("net").cast("double") / F.col("qty"), 4)))
     )
 
@@ -300,13 +302,11 @@ def stock_snapshot(stock: DataFrame, own: DataFrame, rivals: DataFrame, taken_on
 
 
 def availability(stock: DataFrame, scope: DataFrame) -> DataFrame:
-    """Stores that hold an in-scope product, as one delimited list per product (bounded by the number
-    of stores)."""
+    """(product_id, account_id, store_id, stores): one row per in-scope product and store that holds it, with the number of
+    such stores. A product in every store is as many rows, and its count is made of partial counts."""
     inside = stock.filter(F.col("stock") > 0).join(scope.select("product_id").distinct(), "product_id", "left_semi")
-    label = F.concat_ws(":", F.col("account_id").cast("string"), F.col("store_id").cast("string"))
-    return inside.groupBy("product_id").agg(F.collect_set(label).alias("_s")).select(
-        "product_id", F.size("_s").alias("stores"),
-        F.concat(F.lit("|"), F.array_join(F.array_sort("_s"), "|"), F.lit("|")).alias("store_list"))
+    held = inside.select("product_id", "account_id", "store_id").distinct()
+    return held.join(held.groupBy("product_id").agg(F.count(F.lit(1)).alias("stores")), "product_id")
 
 
 def weekly_units(lines: DataFrame, missions: DataFrame) -> DataFrame:

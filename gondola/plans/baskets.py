@@ -55,12 +55,13 @@ def product_rules(t):
 
 
 @query("d86_category_rules", f"WITH {LINES}, " + _rules_sql(
-    "brand", "SELECT DISTINCT sale_id, p_brand AS i FROM lines JOIN part ON p_partkey = product_id", "[[0.001::DOUBLE, 0.005::DOUBLE]]",
-    "SELECT DISTINCT p_brand AS i, p_brand AS name FROM part", "#25"))
+    "category", "SELECT DISTINCT sale_id, unnest([p_brand, p_type]) AS i FROM lines JOIN part ON p_partkey = product_id", "[[0.001::DOUBLE, 0.005::DOUBLE]]",
+    "SELECT DISTINCT unnest([p_brand, p_type]) AS i, i AS name FROM part", "#25"))
 def category_rules(t):
-    lines = src.lines(t).join(src.products(t).select("product_id", "brand"), "product_id")
-    names = src.products(t).select("brand", F.col("brand").alias("name")).distinct()
-    return _shown(op.association_rules(lines, "brand", names, deny="#25", thresholds=(0.001, 0.005)))
+    categories = src.products(t).select("product_id", F.array("brand", "category").alias("categories"))
+    names = categories.select(F.explode("categories").alias("category")).distinct().withColumn("name", F.col("category"))
+    lines = op.category_lines(src.lines(t), categories)
+    return _shown(op.association_rules(lines, "category", names, deny="#25", thresholds=(0.001, 0.005)))
 
 
 @query("d87_publish_rules", f"""
@@ -120,12 +121,12 @@ def weekly_funnel(t):
     return op.weekly_funnel(recs, opened, sold, ["store"])
 
 
-_PAIRS = f"""{LINES}, prs AS (SELECT min(product_id) % 50 AS ref, max(product_id) % 50 AS rec FROM lines GROUP BY sale_id)"""
+_PAIRS = f"""{LINES}, prs AS (SELECT min(product_id) AS ref, max(product_id) AS rec FROM lines GROUP BY sale_id)"""
 
 
 def _pairs(t):
     return src.lines(t).groupBy("sale_id").agg(
-        (F.min("product_id") % 50).alias("ref"), (F.max("product_id") % 50).alias("rec"))
+        F.min("product_id").alias("ref"), F.max("product_id").alias("rec"))
 
 
 @query("d90_recommendation_counts", f"WITH {_PAIRS} SELECT ref, rec, count(*) AS times FROM prs GROUP BY 1, 2")

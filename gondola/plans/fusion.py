@@ -282,6 +282,37 @@ def reference_names(t):
     return op.reference_names(rows, "reference")
 
 
+# Interchangeable pairs of the stand-in: products of size divisible by five are references of the next two; a guide names more.
+_ATTACHED = f"""{PRODUCTS}, q AS (SELECT a.ean AS reference_code, a.name AS reference_name, b.ean AS other_code, b.name AS other_name, lower(b.category) AS kind
+  FROM products a JOIN products b ON b.product_id IN (a.product_id + 1, a.product_id + 2) WHERE a.size % 5 = 0),
+att AS (SELECT reference_code AS code, 'similar' AS side, other_name AS name, kind FROM q UNION SELECT other_code, 'reference', reference_name, 'reference' FROM q
+  UNION SELECT ean, CASE WHEN product_id % 2 = 0 THEN 'similar' ELSE 'reference' END, name || ' ' || brand, 'guide' FROM products WHERE product_id % 3 = 0)"""
+
+
+def _attached(t):
+    p = src.products(t)
+    reference = p.filter("size % 5 = 0").select(
+        F.col("ean").alias("reference_code"), F.col("name").alias("reference_name"), F.explode(F.array(F.col("product_id") + 1, F.col("product_id") + 2)).alias("product_id"))
+    other = p.select("product_id", F.col("ean").alias("other_code"), F.col("name").alias("other_name"), F.lower("category").alias("kind"))
+    guide = p.filter("product_id % 3 = 0").select(
+        F.col("ean").alias("code"), F.when(F.col("product_id") % 2 == 0, "similar").otherwise("reference").alias("side"),
+        F.concat_ws(" ", "name", "brand").alias("name"), F.lit("guide").alias("kind"))
+    return op.attached(reference.join(other, "product_id"), guide)
+
+
+@query("d17_attached", f"WITH {_ATTACHED} SELECT * FROM att")
+def attached(t):
+    return _attached(t)
+
+
+@query("d17_attached_lists", f"""
+WITH {_ATTACHED}, o AS (SELECT DISTINCT code, side, name AS item FROM att),
+r AS (SELECT *, sum(length(item) + 3) OVER (PARTITION BY code, side ORDER BY item) AS run, row_number() OVER (PARTITION BY code, side ORDER BY item) AS k, count(*) OVER (PARTITION BY code, side) AS n FROM o)
+SELECT code, side, '["' || string_agg(item, '","' ORDER BY item) || '"]' AS items, max(n) AS available FROM r WHERE run + 1 <= 40 OR k = 1 GROUP BY 1, 2""")
+def attached_lists(t):
+    return op.capped_lists(_attached(t), ["code", "side"], "name", 40)
+
+
 @query("d17_capped_lists", f"""
 WITH {PRODUCTS}, o AS (SELECT DISTINCT brand, name || ' ' || category AS item FROM products),
 r AS (SELECT *, sum(length(item) + 3) OVER (PARTITION BY brand ORDER BY item) AS run, row_number() OVER (PARTITION BY brand ORDER BY item) AS k, count(*) OVER (PARTITION BY brand) AS n FROM o)

@@ -109,26 +109,31 @@ def price_drops(t):
     return op.price_drops(op.day_prices(s, keys), keys)
 
 
+# Stock prices of the stand-in: what a store paid per unit on the day of its lines, for products with an even key.
 @query("d64_reimbursement", f"""
-WITH {_DROPS},
+WITH {_DROPS.replace('qty, net FROM sales', 'qty, net, sale_kind FROM sales').replace('FROM x GROUP', "FROM x WHERE sale_kind <> 'R' GROUP")},
+c AS (SELECT * FROM x WHERE sold_on BETWEEN DATE '1998-06-01' AND DATE '2000-12-31'),
 i AS (SELECT * FROM p WHERE sold_on BETWEEN DATE '1998-06-01' AND DATE '2000-12-31'),
 b AS (SELECT account_id, store_id, product_id, arg_max(price, sold_on) AS p1, max(sold_on) AS d1 FROM p WHERE sold_on < DATE '1998-06-01' GROUP BY 1, 2, 3),
 a AS (SELECT account_id, store_id, product_id, arg_min(price, sold_on) AS p2, min(sold_on) AS d2 FROM i GROUP BY 1, 2, 3),
+st AS (SELECT l_suppkey AS store_id, l_partkey AS product_id, min(CAST(l_shipdate AS DATE)) AS d3, any_value(p_retailprice) AS p3
+       FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_partkey % 2 = 0 GROUP BY 1, 2),
 dr AS (SELECT account_id, store_id, product_id, min(sold_on) AS first_drop FROM
        (SELECT *, lag(price) OVER (PARTITION BY account_id, store_id, product_id ORDER BY sold_on) AS prev FROM i) WHERE price < prev GROUP BY 1, 2, 3),
-z AS (SELECT x.*, first_drop, coalesce(p1, p2) AS original, CASE WHEN p1 IS NOT NULL THEN 'sale_before' ELSE 'sale_inside' END AS source,
-             coalesce(d1, d2) AS source_day, {r('CAST(net AS DOUBLE) / qty', 2)} AS unit
-      FROM x JOIN a USING (account_id, store_id, product_id) LEFT JOIN b USING (account_id, store_id, product_id)
-      LEFT JOIN dr USING (account_id, store_id, product_id) WHERE sold_on BETWEEN DATE '1998-06-01' AND DATE '2000-12-31'),
+z AS (SELECT c.*, first_drop, coalesce(p1, p2, p3) AS original, CASE WHEN p1 IS NOT NULL THEN 'sale_before' WHEN p2 IS NOT NULL THEN 'sale_inside' WHEN p3 IS NOT NULL THEN 'stock' END AS source,
+             coalesce(d1, d2, d3) AS source_day, {r('CAST(net AS DOUBLE) / qty', 2)} AS unit
+      FROM c LEFT JOIN a USING (account_id, store_id, product_id) LEFT JOIN b USING (account_id, store_id, product_id)
+      LEFT JOIN st USING (store_id, product_id) LEFT JOIN dr USING (account_id, store_id, product_id)),
 y AS (SELECT *, {r('(original - unit) / original * 100', 2)} AS pct FROM z),
-w AS (SELECT *, least(pct, 20.0) AS capped, {r('original * (least(pct, 20.0) / 100)', 2)} AS unit_refund FROM y)
+w AS (SELECT *, CASE WHEN pct IS NOT NULL THEN least(pct, 20.0) END AS capped, {r('original * (least(pct, 20.0) / 100)', 2)} AS unit_refund0 FROM y),
+v AS (SELECT *, CASE WHEN pct IS NOT NULL THEN unit_refund0 END AS unit_refund FROM w)
 SELECT account_id, store_id, product_id, sale_id, qty, unit, original, source, source_day, first_drop, pct, CAST(capped AS DOUBLE) AS capped, unit_refund,
-       greatest({r('unit_refund * qty', 2)}, CAST(0 AS DOUBLE)) AS refund FROM w""")
+       CASE WHEN unit_refund IS NOT NULL THEN greatest({r('unit_refund * qty', 2)}, CAST(0 AS DOUBLE)) END AS refund FROM v""")
 def reimbursement(t):
     s = src.sales(t).join(src.stores(t).select("store_id", "account_id"), "store_id")
-    stock = t.part.limit(0).select(F.col("p_partkey").alias("store_id"), F.col("p_partkey").alias("product_id"),
-                                   F.col("p_retailprice").alias("price"), F.lit(None).cast("date").alias("taken_on"))
-    return op.reimbursement(s, stock, "1998-06-01", "2000-12-31").select(
+    prices = t.part.select(F.col("p_partkey").alias("product_id"), F.col("p_retailprice").alias("price"))
+    stock = src.lines(t).filter("product_id % 2 = 0").select("store_id", "product_id", F.col("shipped_on").alias("taken_on")).join(prices, "product_id")
+    return op.reimbursement(s, stock, "1998-06-01", "2000-12-31", tells_price=F.col("sale_kind") != "R").select(
         "account_id", "store_id", "product_id", "sale_id", "qty", "unit", "original", "source", "source_day", "first_drop",
         "pct", "capped", "unit_refund", "refund")
 

@@ -27,11 +27,11 @@ def json_lines(t):
 
 
 def _page_files(t) -> str:
-    """Fifty suppliers per JSON document, one document per file."""
+    """JSON documents of fifty suppliers each, one per file, all in one folder: a task writes as many files as it has documents."""
     path = work_folder(t.spark, "pages")
     page = t.supplier.withColumn("p", F.expr("s_suppkey div 50")).groupBy("p").agg(
         F.to_json(F.struct(F.collect_list(F.struct("s_suppkey", "s_name")).alias("results"))).alias("value"))
-    page.write.partitionBy("p").text(path)
+    page.select("value").write.option("maxRecordsPerFile", 1).text(path)
     return path
 
 
