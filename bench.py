@@ -13,7 +13,7 @@ import sys
 import time
 
 from gondola.plans import QUERIES
-from gondola.session import local_session
+from gondola.session import local_session, scratch
 
 HEADLINE = [
     "d70_sales_facts", "d71_abc_by_revenue", "d73_store_product_abc", "d74_stock_coverage", "d76_adherence_score", "d77_store_tiers",
@@ -26,7 +26,8 @@ HEADLINE = [
 
 def run(spark, key: str, folder: str) -> float:
     start = time.perf_counter()
-    QUERIES[key](spark, folder).write.format("noop").mode("overwrite").save()
+    with scratch(spark):
+        QUERIES[key](spark, folder).write.format("noop").mode("overwrite").save()
     return time.perf_counter() - start
 
 

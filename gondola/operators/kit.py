@@ -6,7 +6,7 @@ all rows.
 * `order_positions`: exact position and running total inside groups of any size, from a range
   partitioning and per-slice offsets; no group is ever sorted in one task.
 * `exact_percentiles`: order statistics on counted distinct values, built on `order_positions`.
-* `spread_join`: many-to-many equi-join in which the heavy keys are split over several tasks.
+* `spread_join`: many-to-many equi-join whose heavy partitions adaptive execution splits on both sides.
 * `co_occurrence`: pair counts inside baskets; a wide basket is split into blocks of items.
 """
 
@@ -116,28 +116,11 @@ def column_percentiles(df: DataFrame, columns: Sequence[str], points: dict[str,
     return {r["column"]: {p: r[p] for p in points} for r in rows}
 
 
-def spread_join(many: DataFrame, few: DataFrame, on: str, rows_per_task: int = 200_000) -> DataFrame:
-    """Inner join on `on` for inputs in which one key may hold a large part of `many`. Keys above
-    `rows_per_task` rows are cut into parts and their partners in `few` are repeated per part; all
-    other keys join as usual. No pair is lost or doubled."""
-    heavy = (
-        many.groupBy(on)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > rows_per_task)
-        .select(on, F.ceil(F.col("_rows") / rows_per_task).cast("int").alias("_parts"))
-    )
-    spread = (
-        many.join(heavy, on, "left")
-        .withColumn("_part", F.when(F.col("_parts").isNull(), 0).otherwise(
-            F.pmod(F.xxhash64(*[c for c in many.columns]), F.col("_parts")).cast("int")))
-        .drop("_parts")
-    )
-    repeated = (
-        few.join(heavy, on, "left")
-        .withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)))
-        .drop("_parts")
-    )
-    return spread.join(repeated, [on, "_part"]).drop("_part")
+def spread_join(many: DataFrame, few: DataFrame, on: str) -> DataFrame:
+    """Inner many-to-many join on `on`, in which keys may be heavy on either side or both. Both sides are read once and shuffled
+    once; adaptive execution then splits a partition that came out too large on either side and pairs the
+    splits (`spark.sql.adaptive.skewJoin.enabled`, which has to stay on). Rows with a null key meet nothing."""
+    return many.filter(F.col(on).isNotNull()).join(few.filter(F.col(on).isNotNull()), on)
 
 
 def co_occurrence(lines: DataFrame, basket: str, item: str, least: int = 1, block: int = 200) -> DataFrame:
@@ -174,12 +157,15 @@ def contains_join(
         terms.select(F.col(term)).filter(F.length(term) > 0).distinct()
         .withColumn("_gram", F.substring(term, 1, gram))
     )
+    # the lengths that anchors have, `gram` at most
+    lengths = sorted(r[0] for r in anchors.select(F.length("_gram")).distinct().collect())
+
     def pieces(n: int) -> Column:
         """Every run of `n` characters of the text."""
         runs = F.transform(F.sequence(F.lit(1), F.length(text) - n + 1), lambda i: F.substr(F.col(text), i, F.lit(n)))
         return F.when(F.length(text) >= n, runs).otherwise(F.array().cast("array<string>"))
 
-    sized = [pieces(n) for n in range(1, gram + 1)]
+    sized = [pieces(n) for n in lengths] or [F.array().cast("array<string>")]
     holds = texts.select(key, F.explode(F.array_distinct(F.concat(*sized))).alias("_gram"))
     met = spread_join(holds, anchors, "_gram").select(key, term).distinct()
     return met.join(texts.select(key, text), key).filter(F.contains(F.col(text), F.col(term))).select(key, term)
@@ -216,10 +202,12 @@ def ranks(df: DataFrame, group: Sequence[str], value: str, name: str) -> DataFra
 
 
 def prefix_join(texts: DataFrame, text: str, prefixes: DataFrame, prefix: str, shortest: int = 1) -> DataFrame:
-    """Pairs of rows in which `text` starts with `prefix`: a text offers each of its beginnings (from
-    `shortest` characters on) and meets equal prefixes, instead of being compared with every prefix."""
-    starts = texts.withColumn("_start", F.explode(F.when(F.length(text) >= shortest, F.transform(
-        F.sequence(F.lit(shortest), F.length(text)), lambda n: F.substr(F.col(text), F.lit(1), n)))))
+    """Pairs of rows in which `text` starts with `prefix`: a text offers its beginnings of the lengths that prefixes have
+    (from `shortest` characters on) and meets equal prefixes, instead of being compared with every prefix."""
+    # one number per length of a prefix
+    lengths = sorted(r[0] for r in prefixes.select(F.length(prefix)).distinct().collect() if r[0] is not None and r[0] >= shortest)
+    offered = F.filter(F.array(*[F.lit(n) for n in lengths]).cast("array<int>"), lambda n: n <= F.length(text))
+    starts = texts.withColumn("_start", F.explode(F.transform(offered, lambda n: F.substr(F.col(text), F.lit(1), n))))
     return spread_join(starts, prefixes.withColumn("_start", F.col(prefix)), "_start").drop("_start")
 
 

@@ -5,12 +5,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cores: int = 8, memory: str = "8g", partitions: int | None = None) -> SparkSession:
-    """A local session as tests and benches use it. A cluster brings its own."""
+def local_session(cores: int = 8, memory: str = "8g", partitions: int | None = None, folder: str | None = None) -> SparkSession:
+    """A local session as tests and benches use it; `folder` takes intermediate tables. A cluster brings its own."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("gondola")
@@ -21,15 +23,19 @@ def local_session(cores: int = 8, memory: str = "8g", partitions: int | None = N
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
-        .getOrCreate()
     )
+    spark = (spark.config("spark.checkpoint.dir", folder) if folder else spark).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
+_own_folders: list[tempfile.TemporaryDirectory] = []
+_scopes: list[str] = []
+
+
 def checkpoint_folder(spark: SparkSession) -> None:
-    """Uses the checkpoint folder the cluster names. Only a local master may fall back to a
-    folder of this machine; on a cluster a missing setting is an error, because executors
+    """Uses the checkpoint folder the cluster names. Only a local master may fall back to a folder of this machine, which goes
+    away with the process; on a cluster a missing setting is an error, because executors
     could not read each other's files after a loss."""
     context = spark.sparkContext
     if context.getCheckpointDir():
@@ -37,8 +43,9 @@ def checkpoint_folder(spark: SparkSession) -> None:
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if named:
         context.setCheckpointDir(named)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="gondola-checkpoint-"))
+    elif context.master == "local" or context.master.startswith("local["):
+        _own_folders.append(tempfile.TemporaryDirectory(prefix="gondola-checkpoint-", ignore_cleanup_errors=True))
+        context.setCheckpointDir(_own_folders[-1].name)
     else:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
 
@@ -46,9 +53,24 @@ def checkpoint_folder(spark: SparkSession) -> None:
 def lineage_cut(df: DataFrame) -> DataFrame:
     """Writes `df` as a table into the shared checkpoint folder and reads it back: later reads, and retries
     after the loss of an executor, see the same rows, and the planner knows their size. Tables stay below
-    `cuts` in that folder until its owner clears it."""
+    `cuts` in that folder until the `scratch` around the call ends, or else until its owner clears it."""
     spark = df.sparkSession
     checkpoint_folder(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/cuts/{uuid.uuid4().hex}"
+    scope = _scopes[-1] if _scopes else "unscoped"
+    path = f"{spark.sparkContext.getCheckpointDir()}/cuts/{scope}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes the intermediate tables of the queries built inside when it ends; their results must be written by then."""
+    _scopes.append(uuid.uuid4().hex)
+    try:
+        yield
+    finally:
+        name = _scopes.pop()
+        folder = spark.sparkContext.getCheckpointDir()
+        if folder:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/cuts/{name}")
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -39,12 +39,24 @@ def test_exact_percentiles_with_ties(spark):
         assert [round(r[c], 9) for c in "abc"] == [round(float(x), 9) for x in np.percentile(values, [10, 50, 93])]
 
 
-def test_spread_join_splits_heavy_keys(spark):
-    many = spark.range(5000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 11)).alias("k"), F.col("id").alias("a"))
-    few = spark.createDataFrame([("hot", 1), ("hot", 2), ("k3", 3), ("zz", 4)], "k string, b int")
-    plain = many.join(few, "k").select("k", "a", "b")
-    spread = kit.spread_join(many, few, "k", rows_per_task=50).select("k", "a", "b")
-    assert sorted(map(tuple, spread.collect())) == sorted(map(tuple, plain.collect()))
+def test_spread_join_with_a_key_heavy_on_both_sides(spark):
+    hot = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 == 0, None)
+    many = spark.range(3000).select(hot.otherwise(F.concat(F.lit("k"), F.col("id") % 11)).alias("k"), F.col("id").alias("a"))
+    few = spark.range(300).select(hot.otherwise(F.concat(F.lit("k"), F.col("id") % 13)).alias("k"), F.col("id").alias("b"))
+    left, right = many.collect(), few.collect()
+    expected = sorted((x["k"], x["a"], y["b"]) for x in left for y in right if x["k"] is not None and x["k"] == y["k"])
+    small = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        joined = kit.spread_join(many, few, "k").select("k", "a", "b")
+        assert sorted(map(tuple, joined.collect())) == expected
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 @pytest.mark.parametrize("block, least", [(1, 1), (3, 1), (8, 2), (200, 1), (4, 3)])
