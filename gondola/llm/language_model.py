@@ -171,7 +171,9 @@ def train(docs: DataFrame, settings: Settings = Settings()) -> tuple[Model, Data
         # the parent seats one customer for each table of a context, and one for each token outside the frequent pairs
         sent = seated.groupBy("w").agg(F.sum(F.col("n") - F.col("t")).alias("kept"))
         fresh = F.lit((s.parent_strength + s.parent_discount * parent_tables) * base)
-        served = words.join(sent, "w", "left").withColumn("k", F.col("n") - F.coalesce("kept", F.lit(0.0)))
+        often_served = words.filter("w is not null").join(sent, "w", "left").withColumn("k", F.col("n") - F.coalesce("kept", F.lit(0.0)))
+        rare_served = words.filter("w is null").withColumn("k", F.col("n").cast("double"))
+        served = often_served.drop("kept").unionByName(rare_served)
         served = lineage_cut(served.withColumn("t", _seated("k", fresh, "key", s.parent_discount, 2 * sweep, s.one_by_one))
                              .select("word", "w", "n", "key", "k", "t"))
         mass = served.agg(F.coalesce(F.sum("k"), F.lit(0.0)).alias("k"), F.coalesce(F.sum("t"), F.lit(0.0)).alias("t")).first()
