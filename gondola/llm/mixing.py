@@ -8,7 +8,7 @@ it needs, spread evenly over the mix, without a range join. Slots are ranked per
 shuffled on one line of words, cut into blocks, and the slot of rank r takes block r modulo the number of blocks.
 
 Everything is DataFrame expressions. The two running totals (words before a document, slots before a slot) are sums
-over fixed slices plus the rows of one slice, so a source that holds most of the rows is never sorted in one task.
+over slices, in two levels, plus the rows of one slice, so a source that holds most of the rows is never sorted in one task.
 
 Defined results: null or empty texts have size 0 and are taken 0 times; a null source is a source of its own, last in
 order; null ids are allowed; repeated rows are separate documents; an empty table gives an empty mix.
@@ -86,6 +86,20 @@ def planned(targets: DataFrame, block: int) -> DataFrame:
         "slots", whole * blocks + F.ceil(last / block).cast("long"))
 
 
+def _ahead(rows: DataFrame, value: Column) -> DataFrame:
+    """(source_no, broad, slice, before): the sum of `value` over the slices of a source before each slice. Slices are summed
+    within broad slices, and broad slices within the source, so no window holds all slices of a source."""
+    fine = rows.groupBy("source_no", "broad", "slice").agg(F.sum(value).alias("n"))
+    coarse = fine.groupBy("source_no", "broad").agg(F.sum("n").alias("n"))
+    so_far = (Window.unboundedPreceding, -1)
+    by_broad = Window.partitionBy("source_no").orderBy("broad").rowsBetween(*so_far)
+    by_slice = Window.partitionBy("source_no", "broad").orderBy("slice").rowsBetween(*so_far)
+    ahead = coarse.select("source_no", "broad", F.coalesce(F.sum("n").over(by_broad), F.lit(0)).alias("ahead"))
+    inside = fine.withColumn("inside", F.coalesce(F.sum("n").over(by_slice), F.lit(0))).drop("n")
+    return inside.join(ahead, ["source_no", "broad"]).select(
+        "source_no", "broad", "slice", (F.col("ahead") + F.col("inside")).alias("before"))
+
+
 def schedule(targets: DataFrame, block: int = 256) -> DataFrame:
     """(at, source_no, rank, block_no, words): the slots of the mix, in the order of `at`. `targets` as `source_targets`
     gives them; it is read three times and should be a table."""
@@ -101,12 +115,10 @@ def schedule(targets: DataFrame, block: int = 256) -> DataFrame:
     listed = runs.repartition("source_no", "run").withColumn(
         "point", F.explode(F.sequence(start, F.least(start + CHUNK, F.col("slots")) - 1)))
     slots = listed.withColumn("at", _reversed(F.col("first") + F.col("point"), bits)).withColumn(
-        "slice", F.shiftright("at", bits - chunk_bits))
-    slices = slots.groupBy("source_no", "slice").agg(F.count(F.lit(1)).alias("n"))
-    earlier = Window.partitionBy("source_no").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = slices.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
-    inside = Window.partitionBy("source_no", "slice").orderBy("at")
-    ranked = slots.withColumn("in_slice", F.row_number().over(inside)).join(offsets, ["source_no", "slice"])
+        "slice", F.shiftright("at", bits - chunk_bits)).withColumn("broad", F.shiftright("slice", chunk_bits // 2))
+    inside = Window.partitionBy("source_no", "broad", "slice").orderBy("at")
+    ranked = slots.withColumn("in_slice", F.row_number().over(inside)).join(
+        _ahead(slots, F.lit(1)), ["source_no", "broad", "slice"])
     rank = F.col("before") + F.col("in_slice") - 1
     number = F.col("rank") % F.col("blocks")
     whole = F.least(F.lit(block), F.col("source_size") - number * block)
@@ -118,15 +130,13 @@ def schedule(targets: DataFrame, block: int = 256) -> DataFrame:
 def placed(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     """Documents with `source_no` and `start`, the words of their source that lie before them on its line."""
     numbered = sizes.join(targets, sizes["source"].eqNullSafe(targets["source"])).drop(targets["source"])
-    numbered = numbered.withColumn("slice", F.substring("place", 1, 4))
-    slices = numbered.groupBy("source_no", "slice").agg(F.sum("size").alias("n"))
-    earlier = Window.partitionBy("source_no").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = slices.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
-    inside = Window.partitionBy("source_no", "slice").orderBy("place", "doc_id", "size").rowsBetween(
+    numbered = numbered.withColumn("slice", F.substring("place", 1, 4)).withColumn("broad", F.substring("place", 1, 2))
+    inside = Window.partitionBy("source_no", "broad", "slice").orderBy("place", "doc_id", "size").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     return (
-        numbered.withColumn("upto", F.sum("size").over(inside)).join(offsets, ["source_no", "slice"])
-        .withColumn("start", F.col("before") + F.col("upto") - F.col("size")).drop("slice", "place", "upto", "before")
+        numbered.withColumn("upto", F.sum("size").over(inside))
+        .join(_ahead(numbered, F.col("size")), ["source_no", "broad", "slice"])
+        .withColumn("start", F.col("before") + F.col("upto") - F.col("size")).drop("slice", "broad", "place", "upto", "before")
     )
 
 
