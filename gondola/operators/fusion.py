@@ -147,7 +147,7 @@ def closure(products: DataFrame) -> DataFrame:
     of steps. The alternatives of a code are the other members of its component. The work grows with the
     number of listed alternatives, so long lists take part. `products`: code, alternatives."""
     edges = products.filter(F.size("alternatives") > 0).select(F.col("code").alias("a"), F.explode("alternatives").alias("b"))
-    labelled = lineage_cut(components(edges, "a", "b"))
+    labelled = components(edges, "a", "b")  # read from a table
     sizes = labelled.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
     return labelled.join(sizes, "component").select(F.col("node").alias("code"), "component", "members")
 

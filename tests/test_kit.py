@@ -2,12 +2,14 @@
 
 import itertools
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from gondola.operators import kit
+from gondola.session import checkpoint_folder, lineage_cut, scratch
 
 
 def test_order_positions_with_one_heavy_group(spark):
@@ -136,3 +138,13 @@ def test_latest_limits_groups_before_the_shuffle(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("k"), "id")
     plan = kit.latest(df, ["k"], [F.desc("id")])._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_scratch_deletes_intermediate_tables(spark):
+    checkpoint_folder(spark)
+    folder = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:")) / "cuts"
+    with scratch(spark):
+        before = set(folder.iterdir()) if folder.exists() else set()
+        assert sorted(r["id"] for r in lineage_cut(spark.range(5)).collect()) == [0, 1, 2, 3, 4]
+        assert len(set(folder.iterdir()) - before) == 1
+    assert set(folder.iterdir()) <= before
