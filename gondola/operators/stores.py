@@ -145,8 +145,10 @@ def adherence(
     """Product score from stock presence, sales density, price attractiveness and margin in the
     `stores_in_scope` best-selling stores. `lines`: sale_id, store_id, product_id, qty, net, cost;
     `stock`: store_id, product_id, stock."""
-    scope = ranks(lines.groupBy("store_id").agg(F.sum("net").alias("_r")), [], "_r", "place")
-    scope = lineage_cut(scope.filter(F.col("place") <= stores_in_scope).select("store_id"))  # a few stores
+    revenue = lineage_cut(lines.groupBy("store_id").agg(F.sum("net").alias("_r")))
+    # stores that sell as much as the last one in scope are in scope, too; one number comes back
+    least = revenue.orderBy(F.desc_nulls_last("_r")).limit(stores_in_scope).agg(F.min("_r")).head()[0]
+    scope = revenue.filter(F.col("_r") >= F.lit(least)).select("store_id")
     sold = lines.join(scope, "store_id", "left_semi")
     held = stock.join(scope, "store_id", "left_semi")
     n = F.lit(scope.count())
