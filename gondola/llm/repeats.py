@@ -6,7 +6,7 @@ A byte goes when a string of `window` bytes that covers it also starts anywhere
    strings have equal anchors, and all strings around an anchor lie in a segment of a fixed size. Anchors that occur once are dropped:
    what is left is near the repeated part of the corpus.
 2. Equal segments are one class. A class that occurs twice is repeated throughout, and its places are marked at once.
-3. What remains are anchors with several classes: near copies, and the ends of shared passages. One place of each class, all
+3. What remains are anchors with several classes, some of which occur once: near copies, and the ends of shared passages. One place of each class, all
    that shares an anchor together, goes to an index: the Burrows-Wheeler transform of the segments, compressed to runs, with suffixes sampled
    at the run ends. Matching statistics are streamed over the text from these samples: the match with the neighbouring suffix is compared byte
    by byte only at a run end, and inside a run it shrinks by one with every byte. Where they reach `window`, the match is marked.
@@ -21,7 +21,7 @@ Defined results: a null or empty text has no byte and keeps nothing; null ids an
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
@@ -89,14 +89,24 @@ def anchors(text: bytes, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
     return place, np.concatenate(values)[first]
 
 
-def segments(text: bytes, window: int = WINDOW) -> Iterator[tuple[int, int, int]]:
-    """(anchor, segment, place) of every anchor: the hash of its piece, the hash of all bytes that share a window with the piece, and
+def segments(text: bytes, window: int = WINDOW) -> tuple[np.ndarray, list[int], np.ndarray]:
+    """(anchors, segments, places) of a text: the hash of each anchor piece, the hash of all bytes that share a window with it, and
     where it is."""
     reach, size = window - piece(window), piece(window)
     place, value = anchors(text, window)
-    for p, v in zip(place.tolist(), value.view(np.int64).tolist()):
-        left = min(reach, p)
-        yield v, xxhash.xxh3_64_intdigest(text[p - left:p + size + reach], left) - (1 << 63), p
+    digest = xxhash.xxh3_64_intdigest
+    around = [digest(text[max(0, p - reach):p + size + reach], min(reach, p)) - (1 << 63) for p in place.tolist()]
+    return value.view(np.int64), around, place
+
+
+#: Masks of the first k of eight bytes.
+HEADS = np.array([(1 << 64) - (1 << (64 - 8 * k)) for k in range(8)], dtype=np.uint64)
+
+
+def _first_of_equal(ordered: np.ndarray) -> np.ndarray:
+    """For each of some sorted values, the place of the first equal one."""
+    new = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+    return np.maximum.accumulate(np.where(new, np.arange(len(ordered)), 0))
 
 
 def suffix_array(data: np.ndarray, left: np.ndarray) -> np.ndarray:
@@ -104,22 +114,32 @@ def suffix_array(data: np.ndarray, left: np.ndarray) -> np.ndarray:
     all bytes, and earlier ends smaller than later ones. Ranks of doubled length are sorted until all differ or the
     longest string is covered."""
     n = len(data)
-    symbol = np.concatenate([data.astype(np.int64) + 1, np.zeros(8, dtype=np.int64)])
-    rank = np.zeros(n, dtype=np.int64)
-    for k in range(7):
-        rank = (rank << 9) | np.where(left > k, symbol[k:k + n], 0)
+    padded = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
+    words = np.ndarray((n,), dtype=">u8", buffer=padded.tobytes(), strides=(1,)).astype(np.uint64)
+    held = np.minimum(left, 7)
+    # seven bytes and how many of them are there: an end is smaller than a zero byte
+    key = (words & HEADS[held]) | held.astype(np.uint64)
+    order = np.argsort(key)
+    rank = np.empty(n, dtype=np.int64)
+    rank[order] = _first_of_equal(key[order])
     depth, longest = 7, int(left.max())
     while True:
-        order = np.argsort(rank, kind="stable")
-        ordered = rank[order]
-        new = np.empty(n, dtype=np.int64)
-        new[order] = np.cumsum(np.concatenate([[1], (ordered[1:] != ordered[:-1]).astype(np.int64)]))
-        if depth >= longest or new[order[-1]] == n:
+        # only places that share their rank are sorted on; a rank is the first place of its group in the order
+        sorted_rank = rank[order]
+        shared = np.concatenate([sorted_rank[1:] == sorted_rank[:-1], [False]])
+        shared[1:] |= shared[:-1].copy()
+        spots = np.flatnonzero(shared)
+        if not len(spots):
+            return order
+        at = order[spots]
+        if depth >= longest:  # equal to their ends, which are in the order of places
+            order[spots] = at[np.lexsort((at, rank[at]))]
             return order
-        after = np.zeros(n, dtype=np.int64)
-        inside = np.flatnonzero(left > depth)
-        after[inside] = new[inside + depth]
-        rank = new * (n + 1) + after
+        after = np.where(left[at] > depth, rank[np.minimum(at + depth, n - 1)] + 1, 0)
+        key = rank[at] * (n + 1) + after
+        within = np.argsort(key)
+        order[spots] = at[within]
+        rank[at[within]] = spots[_first_of_equal(key[within])]
         depth *= 2
 
 
@@ -217,13 +237,19 @@ def _places(texts: DataFrame, window: int) -> DataFrame:
         times: dict = {}
         for t, key, size in zip(batch["text"], batch["key"], batch["bytes"]):
             times[key, size] = (times.get((key, size), (0, t))[0] + 1, t)
-        rows = [(a, s, key, size, p, n) for (key, size), (n, t) in times.items() for a, s, p in segments(t.encode(), window)]
-        return {name: [r[i] for r in rows] for i, name in enumerate(names)}
+        found = [segments(t.encode(), window) for _, t in times.values()]
+        lengths = [len(s) for _, s, _ in found]
+        columns = [np.concatenate([f[0] for f in found]), [s for f in found for s in f[1]]]
+        for values in ([k for k, _ in times], [b for _, b in times], None, [n for n, _ in times.values()]):
+            columns.append(np.concatenate([f[2] for f in found]) if values is None else np.repeat(values, lengths))
+        return dict(zip(names, columns))
 
     rows = map_batches(
         texts.filter(F.col("bytes") >= window).select("text", "key", "bytes"),
         "anchor long, segment long, key long, bytes int, place int, n long", listed)
-    met = lineage_cut(rows.join(often.filter("n > 1").select("anchor"), "anchor"))
+    # a table, so that both sides of the join are shuffled for it alone and its heavy partitions can be split
+    again = lineage_cut(often.filter("n > 1").select("anchor"))
+    met = lineage_cut(rows.join(again, "anchor"))
     return met.groupBy("anchor", "segment", "key", "bytes", "place").agg(F.sum("n").alias("n"))
 
 
@@ -242,8 +268,9 @@ def marks(docs: DataFrame, window: int = WINDOW, bucket_bytes: int = 1 << 20, mo
     at_once = places.join(again, ["anchor", "segment"]).filter(last - first >= window).select(
         "key", "bytes", first.alias("a"), last.alias("b"))
 
-    # anchors with several classes: one place of each
-    several = classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("classes")).filter("classes > 1")
+    # anchors with several classes, one of which occurs once: one place of each class
+    alone = F.count(F.when(F.col("n") == 1, 1)).alias("alone")
+    several = classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("classes"), alone).filter("classes > 1 and alone > 0")
     needed = lineage_cut(classes.join(several, "anchor").select("anchor", "classes", "at.*"))
     width = window + reach
     total = needed.agg(F.count(F.lit(1))).first()[0] * width
