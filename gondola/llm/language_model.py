@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections import Counter
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -132,7 +133,7 @@ def pair_counts(docs: DataFrame, ids: dict[bytes, int], contexts: np.ndarray) ->
         found = []
         for t in batch["text"]:
             words = tokens(t)
-            x = np.fromiter((ids.get(w, -1) for w in words), dtype=np.int64, count=len(words))
+            x = np.fromiter(map(ids.get, words, repeat(-1)), dtype=np.int64, count=len(words))
             before = np.concatenate([[ids.get(END, -1)], x[:-1]])
             good = (x >= 0) & (before >= 0)
             good[good] = contexts[before[good]]
@@ -182,8 +183,8 @@ def train(docs: DataFrame, settings: Settings = Settings()) -> tuple[Model, Data
         rest = (s.parent_strength + s.parent_discount * mass["t"]) / whole * base
         chance = served.select("word", "w", "n", ((F.col("k") - F.col("t") * s.parent_discount) / whole + rest).alias("p"))
         # every context seats the customers of its dishes anew, given the tables of its other dishes and the parent
-        rooms = seated.groupBy("u").agg(F.sum("t").alias("tables"))
-        ready = seated.join(rooms, "u").join(chance.filter("w is not null").select("w", "p"), "w")
+        rooms = seated.groupBy("u").agg(F.sum("t").alias("tables"))  # 1 / context_share rows at most
+        ready = seated.join(F.broadcast(rooms), "u").join(chance.filter("w is not null").select("w", "p"), "w")
         weight = (s.strength + s.discount * (F.col("tables") - F.col("t"))) * F.col("p")
         seated = lineage_cut(ready.withColumn("t", _seated("n", weight, "pair", s.discount, 2 * sweep + 1, s.one_by_one))
                              .select("pair", "u", "w", "n", "t"))
@@ -225,7 +226,7 @@ def scored(docs: DataFrame, fold: int = 7, held_out: int = 2, settings: Settings
         out: dict[str, list] = {"n_tokens": [], "known": [], "base": [], "model": [], "rare": []}
         for t in texts:
             toks = tokens(t)
-            x = np.fromiter((get(w, -1) for w in toks), dtype=np.int64, count=len(toks))
+            x = np.fromiter(map(get, toks, repeat(-1)), dtype=np.int64, count=len(toks))
             before = np.concatenate([[end], x[:-1]])
             back = np.where(before >= 0, m.back_off[before], 1.0) if len(m.back_off) else np.ones(len(x))
             often = x >= 0
