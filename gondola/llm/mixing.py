@@ -9,6 +9,8 @@ shuffled on one line of words, cut into blocks, and the slot of rank r takes blo
 
 Everything is DataFrame expressions. The two running totals (words before a document, slots before a slot) are sums
 over slices, in two levels, plus the rows of one slice, so a source that holds most of the rows is never sorted in one task.
+Joins of exploded rows are asked to merge: their size is guessed from the few rows before the explosion, and a broadcast
+chosen by that guess would grow with the corpus.
 
 Defined results: null or empty texts have size 0 and are taken 0 times; a null source is a source of its own, last in
 order; null ids are allowed; repeated rows are separate documents; an empty table gives an empty mix.
@@ -96,7 +98,7 @@ def _ahead(rows: DataFrame, value: Column) -> DataFrame:
     by_slice = Window.partitionBy("source_no", "broad").orderBy("slice").rowsBetween(*so_far)
     ahead = coarse.select("source_no", "broad", F.coalesce(F.sum("n").over(by_broad), F.lit(0)).alias("ahead"))
     inside = fine.withColumn("inside", F.coalesce(F.sum("n").over(by_slice), F.lit(0))).drop("n")
-    return inside.join(ahead, ["source_no", "broad"]).select(
+    return inside.join(ahead.hint("merge"), ["source_no", "broad"]).select(
         "source_no", "broad", "slice", (F.col("ahead") + F.col("inside")).alias("before"))
 
 
@@ -118,7 +120,7 @@ def schedule(targets: DataFrame, block: int = 256) -> DataFrame:
         "slice", F.shiftright("at", bits - chunk_bits)).withColumn("broad", F.shiftright("slice", chunk_bits // 2))
     inside = Window.partitionBy("source_no", "broad", "slice").orderBy("at")
     ranked = slots.withColumn("in_slice", F.row_number().over(inside)).join(
-        _ahead(slots, F.lit(1)), ["source_no", "broad", "slice"])
+        _ahead(slots, F.lit(1)).hint("merge"), ["source_no", "broad", "slice"])
     rank = F.col("before") + F.col("in_slice") - 1
     number = F.col("rank") % F.col("blocks")
     whole = F.least(F.lit(block), F.col("source_size") - number * block)
@@ -135,7 +137,7 @@ def placed(sizes: DataFrame, targets: DataFrame) -> DataFrame:
         Window.unboundedPreceding, Window.currentRow)
     return (
         numbered.withColumn("upto", F.sum("size").over(inside))
-        .join(_ahead(numbered, F.col("size")), ["source_no", "broad", "slice"])
+        .join(_ahead(numbered, F.col("size")).hint("merge"), ["source_no", "broad", "slice"])
         .withColumn("start", F.col("before") + F.col("upto") - F.col("size")).drop("slice", "broad", "place", "upto", "before")
     )
 
@@ -156,7 +158,7 @@ def mix(
     low = F.greatest(F.col("start"), F.col("block_no") * block)
     over = F.least(end, (F.col("block_no") + 1) * block) - low
     in_part = F.greatest(F.lit(0), F.least(end, F.col("block_no") * block + F.col("part")) - low)
-    taken = pieces.join(used, ["source_no", "block_no"]).select(
+    taken = pieces.join(used.hint("merge"), ["source_no", "block_no"]).select(
         "source_no", "start", (over * F.col("times") + in_part).alias("taken"))
     # a document with words is alone at its start on the line of its source
     taken = taken.groupBy("source_no", "start").agg(F.sum("taken").alias("taken"))
