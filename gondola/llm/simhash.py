@@ -83,7 +83,8 @@ def links(fps: DataFrame, most_bits: int = 2, crowded: int = 64) -> DataFrame:
     looked = entries.select("segment", F.col("fp").alias("a"), F.col("value").alias("own"), F.col("other"),
                             F.explode(F.concat(F.array("value"), upward)).alias("value"))
     table = entries.select("segment", "value", F.col("fp").alias("b"))
-    met = looked.join(table.join(crowd, ["segment", "value"], "left_anti"), ["segment", "value"]).filter(
+    # the size of the exploded side is guessed too low for a broadcast to be chosen by it
+    met = looked.join(table.join(crowd, ["segment", "value"], "left_anti").hint("merge"), ["segment", "value"]).filter(
         ((F.col("own") != F.col("value")) | (F.col("a") < F.col("b"))) & (_distance("a", "b") <= most_bits))
     # crowded values: those at the value bring the ball around their other segment, those one bit away only that segment
     ball = F.expr("array_append(transform(sequence(0, 31), i -> other ^ shiftleft(1L, i)), other)")
