@@ -119,8 +119,8 @@ def suffix_array(data: np.ndarray, left: np.ndarray) -> np.ndarray:
     held = np.minimum(left, 7)
     # seven bytes and how many of them are there: an end is smaller than a zero byte
     key = (words & HEADS[held]) | held.astype(np.uint64)
-    order = np.argsort(key)
-    rank = np.empty(n, dtype=np.int64)
+    order = np.argsort(key).astype(np.int32)  # a bucket is far below 2 GB, and small numbers are gathered faster
+    rank = np.empty(n, dtype=np.int32)
     rank[order] = _first_of_equal(key[order])
     depth, longest = 7, int(left.max())
     while True:
@@ -136,7 +136,7 @@ def suffix_array(data: np.ndarray, left: np.ndarray) -> np.ndarray:
             order[spots] = at[np.lexsort((at, rank[at]))]
             return order
         after = np.where(left[at] > depth, rank[np.minimum(at + depth, n - 1)] + 1, 0)
-        key = rank[at] * (n + 1) + after
+        key = rank[at].astype(np.int64) * (n + 1) + after
         within = np.argsort(key)
         order[spots] = at[within]
         rank[at[within]] = spots[_first_of_equal(key[within])]
@@ -172,7 +172,7 @@ def matching_statistics(strings: Sequence[bytes]) -> tuple[np.ndarray, np.ndarra
     if not n:
         return np.zeros(0, dtype=np.int64), starts
     which = np.repeat(np.arange(len(sizes)), sizes)
-    left = starts[which + 1] - np.arange(n)
+    left = (starts[which + 1] - np.arange(n)).astype(np.int32)
     order = suffix_array(data, left)
     # the transform: the byte before each suffix; the end before a first byte equals nothing
     before = np.where(order == starts[which[order]], -1 - which[order], data[order - 1].astype(np.int64))
