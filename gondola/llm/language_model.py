@@ -1,16 +1,17 @@
 """A hierarchical Pitman-Yor language model, counted and sampled with Spark.
 
-Restaurants: the parent serves single tokens over a uniform base; every frequent word is a context with a restaurant of its own,
+Restaurants: the parent serves single tokens over a uniform base; every word is a context with a restaurant of its own,
 which serves what follows that word, and all of them send a customer to the shared parent whenever a new table opens.
 Training counts every token and every pair of the corpus. Seats are then sampled by Gibbs sweeps: given the tables of all
 others, the customers of a dish are seated anew, each at a new table with a weight of (theta + d T) times the parent's
 probability of the dish; then the parent seats the customers that all contexts sent. After a burn-in, the predictive
 parameters are averaged over the sweeps, and the averaged probabilities score all documents.
 
-What travels to the tasks is bounded by shares of the corpus: words of at least `word_share` of all tokens (1 / word_share
-words at most), contexts of at least `context_share`, pairs of at least `pair_share`. Customers of rarer pairs are draws from the
-parent: they count there, and in their context they only strengthen the back-off, so probabilities still sum to one. Rarer words
-are not sent anywhere: documents meet their counts in a join, as (document, word, times) rows.
+Every word is a dish and a context, and every pair counts, however rare; the tables of words and pairs stay in Spark. A pair seen once has
+one table whatever is drawn, so only pairs seen again are sampled. What travels to the tasks is a hot head, on which the result does not depend
+(but for the draws, which follow the numbers of words): words of at least one in `hot_words` tokens and pairs of at least one in `hot_pairs` (so at most that many). Documents meet
+all other words and pairs in joins. Words are known by number: hot ones by their place, others by a 64-bit hash that is drawn anew should
+two words of the table share it. `word_share`, `context_share` and `pair_share` make a smaller model on request (0: everything).
 
 Defined results: null or empty texts consist of the end token; null ids count as empty text for the fold; repeated rows are scored
 (and counted) each on their own; without training rows every probability is one (a vocabulary of nothing but the unknown word).
@@ -20,11 +21,12 @@ from __future__ import annotations
 
 from collections import Counter
 from dataclasses import dataclass
-from itertools import repeat
+from itertools import count, repeat
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gondola.llm.common import map_batches, map_texts, remainder
@@ -40,9 +42,11 @@ def tokens(text: str) -> list[bytes]:
 
 @dataclass(frozen=True)
 class Settings:
-    word_share: float = 2e-6
-    context_share: float = 2e-5
-    pair_share: float = 5e-7
+    word_share: float = 0.0
+    context_share: float = 0.0
+    pair_share: float = 0.0
+    hot_words: int = 500_000
+    hot_pairs: int = 2_000_000
     discount: float = 0.7
     strength: float = 2.0
     parent_discount: float = 0.6
@@ -99,8 +103,8 @@ def _seated(customers: str, fresh, key: str, discount: float, seed: int, one_by_
 
 @dataclass
 class Model:
-    """What the tasks need: numbers of frequent words, their parent probabilities, the back-off weight of each (1 where it is no
-    context), and the averaged share of each frequent pair, by sorted pair number."""
+    """What the tasks need: numbers of hot words, their parent probabilities, the back-off weight of each (1 where it is no
+    context), and the averaged share of each hot pair, by sorted pair number. `seed`: of the numbers of other words."""
 
     ids: dict[bytes, int]
     counts: np.ndarray
@@ -111,153 +115,216 @@ class Model:
     total: int
     distinct: int
     unknown: float
+    seed: int
 
 
-def token_counts(docs: DataFrame) -> DataFrame:
-    """(word, n) over all rows of `docs` (text)."""
+def number(word: bytes, seed: int) -> int:
+    """The number of a word that is not hot: negative."""
+    return -1 - (xxhash.xxh3_64_intdigest(word, seed) >> 1)
 
-    def count(batch):
+
+def numbers(words: list[bytes], ids: dict[bytes, int], seed: int) -> np.ndarray:
+    x = np.fromiter(map(ids.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+    for i in np.flatnonzero(x < 0).tolist():
+        x[i] = number(words[i], seed)
+    return x
+
+
+def token_counts(docs: DataFrame, seed: int) -> DataFrame:
+    """(word, key, n) of all words of `docs` (text, counted); n counts the rows to count only."""
+
+    def run(batch):
         seen: Counter = Counter()
-        for t in batch["text"]:
-            seen.update(tokens(t))
-        return {"word": list(seen), "n": list(seen.values())}
+        for t, counted in zip(batch["text"], batch["counted"]):
+            words = tokens(t)
+            seen.update(words if counted else dict.fromkeys(words, 0))
+        return {"word": list(seen), "key": [number(w, seed) for w in seen], "n": list(seen.values())}
 
-    return map_batches(docs.select("text"), "word binary, n long", count).groupBy("word").agg(F.sum("n").alias("n"))
+    found = map_batches(docs, "word binary, key long, n long", run)
+    return found.groupBy("word", "key").agg(F.sum("n").alias("n"))
 
 
-def pair_counts(docs: DataFrame, ids: dict[bytes, int], contexts: np.ndarray) -> DataFrame:
-    """(pair, n): how often a frequent word follows a context; pair = context number * number of words + word number."""
-    width = len(ids)
+def pair_counts(docs: DataFrame, ids: dict[bytes, int], seed: int) -> DataFrame:
+    """(u, w, n): how often a word follows another (or the end before it), by their numbers."""
 
-    def count(batch):
-        found = []
+    def run(batch):
+        words, before = [], []
         for t in batch["text"]:
-            words = tokens(t)
-            x = np.fromiter(map(ids.get, words, repeat(-1)), dtype=np.int64, count=len(words))
-            before = np.concatenate([[ids.get(END, -1)], x[:-1]])
-            good = (x >= 0) & (before >= 0)
-            good[good] = contexts[before[good]]
-            found.append(before[good] * width + x[good])
-        pairs, n = np.unique(np.concatenate(found), return_counts=True)
-        return {"pair": pairs, "n": n}
+            words += (toks := tokens(t))
+            before += [END, *toks[:-1]]
+        every, at = np.unique(numbers(words + before, ids, seed), return_inverse=True)
+        pairs, n = np.unique(at[len(words):] * len(every) + at[: len(words)], return_counts=True)
+        return {"u": every[pairs // len(every)], "w": every[pairs % len(every)], "n": n}
 
-    return map_batches(docs.select("text"), "pair long, n long", count).groupBy("pair").agg(F.sum("n").alias("n"))
+    return map_batches(docs.select("text"), "u long, w long, n long", run).groupBy("u", "w").agg(F.sum("n").alias("n"))
 
 
-def train(docs: DataFrame, settings: Settings = Settings()) -> tuple[Model, DataFrame]:
-    """The model, and (word, n, parent) of every training token. `docs`: text of the training rows."""
-    s = settings
-    counts = lineage_cut(token_counts(docs))
-    sums = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count(F.lit(1)).alias("distinct")).first()
+def of_words(pairs: DataFrame, words: DataFrame, name: str, how: str = "inner") -> DataFrame:
+    """`pairs` joined by number with `words`: hot ones, at most hot_words, by a broadcast, so that no frequent word makes a large group."""
+    hot = pairs.filter(F.col(name) >= 0).join(F.broadcast(words.filter(F.col(name) >= 0)), name, how)
+    return hot.unionByName(pairs.filter(F.col(name) < 0).join(words.filter(F.col(name) < 0), name, how))
+
+
+@dataclass
+class Tables:
+    """What stays in Spark: `words` (word, key, n, parent, room, back) of all words, and `pairs` (u, w, n, t) of all pairs with their averaged tables."""
+
+    words: DataFrame
+    pairs: DataFrame
+
+
+def train(docs: DataFrame, settings: Settings = Settings(), counted: Column | None = None) -> tuple[Model, DataFrame]:
+    """The model, and (word, n, parent) of every training token. `docs`: text; `counted`: which rows train, all by default."""
+    model, tables = trained(docs, settings, counted)
+    return model, tables.words.filter("n > 0").select("word", "n", "parent")
+
+
+def trained(docs: DataFrame, s: Settings, counted: Column | None = None) -> tuple[Model, Tables]:
+    rows = docs.select("text", (F.lit(True) if counted is None else counted).alias("counted"))
+    for seed in count():
+        counts = lineage_cut(token_counts(rows, seed))
+        if counts.groupBy("key").count().filter("count > 1").isEmpty():
+            break
+    sums = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count(F.when(F.col("n") > 0, 1)).alias("distinct")).first()
     total, distinct = sums["total"], sums["distinct"]
-    # 1 / word_share words at most
-    often = counts.filter(F.col("n") >= s.word_share * max(total, 1)).orderBy("word").toPandas()
+    # hot_words at most, numbered by rank
+    often = counts.filter(F.greatest("n", F.lit(0)) >= max(1, total / s.hot_words)).orderBy(F.desc("n"), "word").select("word", "n").toPandas()
     ids = {bytes(w): i for i, w in enumerate(often["word"])}
     n = often["n"].to_numpy(np.int64)
-    contexts = n >= s.context_share * total
-    width = max(len(ids), 1)
-    pairs = pair_counts(docs, ids, contexts)
-    # 1 / pair_share pairs at most
-    pairs = lineage_cut(pairs.filter(F.col("n") >= s.pair_share * max(total, 1)).select(
-        "pair", F.floor(F.col("pair") / width).cast("long").alias("u"), (F.col("pair") % width).alias("w"), "n"))
     spark = docs.sparkSession
-    numbers = spark.createDataFrame(pd.DataFrame({"word": often["word"], "w": np.arange(len(n), dtype=np.int64)}), "word binary, w long")
-    words = lineage_cut(counts.join(numbers, "word", "left").withColumn("key", F.xxhash64("word")))
+    places = spark.createDataFrame(pd.DataFrame({"word": often["word"], "place": np.arange(len(n), dtype=np.int64)}), "word binary, place long")
+    pairs = pair_counts(rows.filter("counted"), ids, seed)
+    words = counts.join(places, "word", "left").select("word", F.coalesce("place", "key").alias("key"), "n")
+    is_context = F.col("n") >= max(1, s.context_share * total, s.word_share * total)
+    if s.word_share or s.context_share or s.pair_share:
+        pairs = pairs.filter(F.col("n") >= s.pair_share * total)
+        pairs = pairs.join(words.filter(is_context).select(F.col("key").alias("u")), "u", "left_semi")
+        pairs = pairs.join(words.filter(F.col("n") >= s.word_share * total).select(F.col("key").alias("w")), "w", "left_semi")
+    pairs = lineage_cut(pairs.select("u", "w", "n"))
+    held = pairs.groupBy(F.col("u").alias("key")).agg(F.sum("n").alias("held"), F.count(F.when(F.col("n") == 1, 1)).alias("ones"))
+    words = lineage_cut(words.join(held, "key", "left").fillna(0, ["held", "ones"]))
+    known = words.filter("n > 0").select("word", "key", "n", "ones")
 
     base = 1.0 / (distinct + 1)
-    seated = pairs.withColumn("t", F.lit(1.0))
+    seated = pairs.filter("n > 1").withColumn("t", F.lit(1.0)).withColumn("ts", F.lit(0.0))
     parent_tables = float(distinct)
-    shares = parents = backs = None
+    parents = None
     for sweep in range(s.burn_in + s.sweeps):
-        # the parent seats one customer for each table of a context, and one for each token outside the frequent pairs
-        sent = seated.groupBy("w").agg(F.sum(F.col("n") - F.col("t")).alias("kept"))
+        # the parent seats one customer for each table of a context, and one for each token outside the pairs of the model
+        sent = seated.groupBy(F.col("w").alias("key")).agg(F.sum(F.col("n") - F.col("t")).alias("kept"))
+        rooms = seated.groupBy(F.col("u").alias("key")).agg(F.sum("t").alias("again"))
         fresh = F.lit((s.parent_strength + s.parent_discount * parent_tables) * base)
-        often_served = words.filter("w is not null").join(sent, "w", "left").withColumn("k", F.col("n") - F.coalesce("kept", F.lit(0.0)))
-        rare_served = words.filter("w is null").withColumn("k", F.col("n").cast("double"))
-        served = often_served.drop("kept").unionByName(rare_served)
-        served = lineage_cut(served.withColumn("t", _seated("k", fresh, "key", s.parent_discount, 2 * sweep, s.one_by_one))
-                             .select("word", "w", "n", "key", "k", "t"))
+        served = known.join(sent, "key", "left").join(rooms, "key", "left").select(
+            "word", "key", (F.col("n") - F.coalesce("kept", F.lit(0.0))).alias("k"), (F.col("ones") + F.coalesce("again", F.lit(0.0))).alias("tables"),
+            F.xxhash64("word").alias("draw"))
+        served = lineage_cut(served.withColumn("t", _seated("k", fresh, "draw", s.parent_discount, 2 * sweep, s.one_by_one)).select("key", "k", "t", "tables"))
         mass = served.agg(F.coalesce(F.sum("k"), F.lit(0.0)).alias("k"), F.coalesce(F.sum("t"), F.lit(0.0)).alias("t")).first()
         parent_tables = mass["t"]
         whole = s.parent_strength + mass["k"]
         rest = (s.parent_strength + s.parent_discount * mass["t"]) / whole * base
-        chance = served.select("word", "w", "n", ((F.col("k") - F.col("t") * s.parent_discount) / whole + rest).alias("p"))
+        chance = served.select("key", ((F.col("k") - F.col("t") * s.parent_discount) / whole + rest).alias("p"), "tables")
         # every context seats the customers of its dishes anew, given the tables of its other dishes and the parent
-        rooms = seated.groupBy("u").agg(F.sum("t").alias("tables"))  # 1 / context_share rows at most
-        ready = seated.join(F.broadcast(rooms), "u").join(chance.filter("w is not null").select("w", "p"), "w")
-        weight = (s.strength + s.discount * (F.col("tables") - F.col("t"))) * F.col("p")
-        seated = lineage_cut(ready.withColumn("t", _seated("n", weight, "pair", s.discount, 2 * sweep + 1, s.one_by_one))
-                             .select("pair", "u", "w", "n", "t"))
-        if sweep < s.burn_in:
-            continue
-        # at most 1 / pair_share, 1 / word_share and 1 / context_share rows come back
-        got = seated.select("pair", "u", "n", "t").orderBy("pair").toPandas()
-        at = got["u"].to_numpy(np.int64)
-        held = np.bincount(at, got["n"] - s.discount * got["t"], len(n)) if len(n) else np.zeros(0)
-        here = np.where(contexts, n + s.strength, 1.0)
-        share = (got["n"].to_numpy(np.float64) - s.discount * got["t"].to_numpy(np.float64)) / here[at]
-        back = np.where(contexts, 1 - held / here, 1.0)
-        shares = share if shares is None else shares + share
-        backs = back if backs is None else backs + back
-        chance = chance.withColumn("unknown", F.lit(rest))
-        parents = chance if parents is None else parents.unionByName(chance)
-        keys = got["pair"].to_numpy(np.int64)
-    averaged = lineage_cut(parents.groupBy("word", "w", "n").agg(F.avg("p").alias("parent"), F.avg("unknown").alias("unknown")))
-    frequent = averaged.filter("w is not null").orderBy("w").toPandas()
-    unknown = averaged.agg(F.max("unknown")).first()[0]
+        ready = of_words(of_words(seated, chance.select(F.col("key").alias("u"), "tables"), "u"), chance.select(F.col("key").alias("w"), "p"), "w")
+        ready = ready.withColumn("weight", (s.strength + s.discount * (F.col("tables") - F.col("t"))) * F.col("p")).withColumn("draw", F.xxhash64("u", "w"))
+        drawn = ready.withColumn("t", _seated("n", F.col("weight"), "draw", s.discount, 2 * sweep + 1, s.one_by_one))
+        kept = F.col("ts") + F.col("t") if sweep >= s.burn_in else F.col("ts")
+        seated = lineage_cut(drawn.select("u", "w", "n", "t", kept.alias("ts")))
+        if sweep >= s.burn_in:
+            chance = chance.select("key", "p", F.lit(rest).alias("unknown"))
+            parents = chance if parents is None else parents.unionByName(chance)
+    parents = parents.groupBy("key").agg(F.avg("p").alias("parent"), F.avg("unknown").alias("unknown"))
+    averaged = seated.select("u", "w", "n", (F.col("ts") / s.sweeps).alias("t"))
+    rooms = averaged.groupBy(F.col("u").alias("key")).agg(F.sum("t").alias("again"))
+    room = F.col("n") + F.lit(s.strength)
+    tables = F.col("ones") + F.coalesce("again", F.lit(0.0))
+    back = F.when(is_context, 1 - (F.col("held") - tables * s.discount) / room).otherwise(F.lit(1.0))
+    words = lineage_cut(words.join(rooms, "key", "left").join(parents, "key", "left").select(
+        "word", "key", "n", "parent", "unknown", room.alias("room"), back.alias("back")))
+    pairs = pairs.filter("n = 1").withColumn("t", F.lit(1.0)).unionByName(averaged)
+    # hot_words and hot_pairs rows at most come back
+    hot = words.filter("key >= 0").orderBy("key").select("parent", "back", "room").toPandas()
+    got = pairs.filter(is_hot(s, total)).toPandas()
+    at = got["u"].to_numpy(np.int64)
+    keys = at * max(len(n), 1) + got["w"].to_numpy(np.int64)
+    share = (got["n"].to_numpy(np.float64) - s.discount * got["t"].to_numpy(np.float64)) / hot["room"].to_numpy(np.float64)[at]
+    order = np.argsort(keys)
+    unknown = words.agg(F.max("unknown")).first()[0]
     model = Model(
-        ids, n, frequent["parent"].to_numpy(np.float64), backs / s.sweeps, keys, shares / s.sweeps, total, distinct,
-        1.0 if unknown is None else float(unknown))
-    return model, averaged.select("word", "n", "parent")
+        ids, n, hot["parent"].to_numpy(np.float64), hot["back"].to_numpy(np.float64), keys[order], share[order], total, distinct,
+        1.0 if unknown is None else float(unknown), seed)
+    return model, Tables(words.drop("unknown"), pairs)
+
+
+def is_hot(s: Settings, total: int) -> Column:
+    return (F.col("u") >= 0) & (F.col("w") >= 0) & (F.col("n") >= max(1, total / s.hot_pairs))
 
 
 def scored(docs: DataFrame, fold: int = 7, held_out: int = 2, settings: Settings = Settings()) -> DataFrame:
     """All documents: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity."""
+    s = settings
     rows = docs.select(
         "doc_id", (remainder(F.col("doc_id"), fold) == held_out).alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
-    model, words = train(rows.filter(~F.col("held_out")), settings)
+    model, tables = trained(rows, s, ~F.col("held_out"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     room = float(model.total + model.distinct + 1)
 
     def run(texts):
         m = shared.value
         width = max(len(m.ids), 1)
-        log_base, get, end = np.log10((m.counts + 1) / room), m.ids.get, m.ids.get(END, -1)
-        out: dict[str, list] = {"n_tokens": [], "known": [], "base": [], "model": [], "rare": []}
+        log_base = np.log10((m.counts + 1) / room)
+        end = numbers([END], m.ids, m.seed)
+        out: dict[str, list] = {"n_tokens": [], "known": [], "base": [], "model": [], "us": [], "ws": []}
         for t in texts:
-            toks = tokens(t)
-            x = np.fromiter(map(get, toks, repeat(-1)), dtype=np.int64, count=len(toks))
-            before = np.concatenate([[end], x[:-1]])
-            back = np.where(before >= 0, m.back_off[before], 1.0) if len(m.back_off) else np.ones(len(x))
+            x = numbers(tokens(t), m.ids, m.seed)
+            before = np.concatenate([end, x[:-1]])
             often = x >= 0
-            p = back[often] * m.parent[x[often]] if len(m.parent) else np.zeros(0)
+            hot, p = np.zeros(len(x), dtype=bool), np.zeros(0)
             if len(m.pairs):
-                key = np.where(before[often] >= 0, before[often] * width + x[often], -1)
+                both = np.flatnonzero(often & (before >= 0))
+                key = before[both] * width + x[both]
                 at = np.minimum(np.searchsorted(m.pairs, key), len(m.pairs) - 1)
-                p = p + np.where(m.pairs[at] == key, m.shares[at], 0.0)
-            out["n_tokens"].append(len(toks))
+                found = m.pairs[at] == key
+                hot[both[found]] = True
+                p = m.back_off[before[hot]] * m.parent[x[hot]] + m.shares[at[found]]
+            out["n_tokens"].append(len(x))
             out["known"].append(int(often.sum()))
             out["base"].append(float(log_base[x[often]].sum()))
-            out["model"].append(float(np.log10(p).sum() + np.log10(back[~often]).sum()))
-            out["rare"].append([(w, k) for w, k in Counter(toks[i] for i in np.flatnonzero(~often)).items()])
+            out["model"].append(float(np.log10(p).sum()))
+            out["us"].append(before[~hot])
+            out["ws"].append(x[~hot])
         return out
 
     first = map_texts(
         rows, ["doc_id", "held_out"],
-        "n_tokens long, known long, base double, model double, rare array<struct<word binary, times int>>", run)
+        "n_tokens long, known long, base double, model double, us array<long>, ws array<long>", run)
     first = lineage_cut(first.withColumn("row", F.monotonically_increasing_id()))
-    rare = first.select("row", F.inline("rare")).join(words, "word", "left")
+    words = tables.words
     n = F.coalesce(F.col("n"), F.lit(0))
-    added = rare.groupBy("row").agg(
-        F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("rare_known"),
-        F.sum(F.col("times") * F.log10((n + 1) / F.lit(room))).alias("rare_base"),
-        F.sum(F.col("times") * F.log10(F.coalesce("parent", F.lit(model.unknown)))).alias("rare_model"))
-    out = first.drop("rare").join(added, "row", "left")
+    rare = first.select("row", F.explode(F.filter("ws", lambda x: x < 0)).alias("key")).groupBy("row", "key").agg(F.count(F.lit(1)).alias("times"))
+    rare = rare.join(words.filter("key < 0").select("key", "n"), "key", "left").select(
+        "row", F.when(n > 0, F.col("times")).otherwise(0).alias("known"), (F.col("times") * F.log10((n + 1) / F.lit(room))).alias("base"),
+        F.lit(0.0).alias("model"))
+    # pairs of the model, other than the hot ones
+    context = words.select(F.col("key").alias("u"), "back", "room")
+    dish = words.select(F.col("key").alias("w"), "parent")
+    p = (F.col("n") - F.col("t") * s.discount) / F.col("room") + F.col("back") * F.col("parent")
+    ready = of_words(of_words(tables.pairs.filter(~is_hot(s, model.total)), context, "u"), dish, "w").select("u", "w", F.log10(p).alias("model"))
+    cold = first.select("row", "held_out", F.inline(F.arrays_zip("us", "ws"))).toDF("row", "held_out", "u", "w")
+    nothing = [F.lit(0).alias("known"), F.lit(0.0).alias("base")]
+    seen = cold.select("row", "u", "w").join(ready, ["u", "w"]).select("row", *nothing, "model")
+    # pairs that the model lacks: without shares every pair of a training row is there
+    some = cold if s.word_share or s.context_share or s.pair_share else cold.filter("held_out")
+    missed = some.select("row", "u", "w").join(tables.pairs.select("u", "w"), ["u", "w"], "left_anti")
+    missed = of_words(of_words(missed, context, "u", "left"), dish, "w", "left").select(
+        "row", *nothing, F.log10(F.coalesce("back", F.lit(1.0)) * F.coalesce("parent", F.lit(model.unknown))).alias("model"))
+    added = rare.unionByName(seen).unionByName(missed).groupBy("row").agg(
+        F.sum("known").alias("more_known"), F.sum("base").alias("more_base"), F.sum("model").alias("more_model"))
+    out = first.drop("us", "ws").join(added, "row", "left")
     none = F.lit(0.0)
     out = out.select(
         "doc_id", "held_out", "n_tokens",
-        (F.col("known") + F.coalesce("rare_known", F.lit(0))).cast("long").alias("n_known"),
+        (F.col("known") + F.coalesce("more_known", F.lit(0))).cast("long").alias("n_known"),
         F.lit(model.total).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("rare_base", none)).alias("base_score"),
-        (F.col("model") + F.coalesce("rare_model", none)).alias("score"))
+        (F.col("base") + F.coalesce("more_base", none)).alias("base_score"),
+        (F.col("model") + F.coalesce("more_model", none)).alias("score"))
     return out.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))

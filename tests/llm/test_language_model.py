@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gondola.llm.language_model import END, Settings, scored, seat, tokens, train
+from gondola.llm.language_model import END, Settings, scored, seat, tokens, train, trained
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -79,3 +79,20 @@ def test_defined_cases(spark, documents):
     only_held = [(i, "a b") for i in range(60) if zlib.crc32(str(i).encode()) % 7 == 2]
     assert all(r["base_score"] == 0 and r["n_known"] == 0 and r["train_tokens"] == 0 for r in scored(documents(only_held)).collect())
     assert tokens(" A\tb\x0bÉ ") == [b"a", b"b", "É".encode(), END]
+
+
+def test_rare_pairs_count_and_the_hot_head_changes_nothing(documents):
+    rare = "heron lagoon"
+    docs = documents([(i, f"the cat sat on the mat number {i} and the dog " * 20) for i in range(60)] + [(100 + i, f"{rare} w{i}") for i in range(8)])
+    model, tables = trained(docs, Settings(hot_words=30, hot_pairs=20))
+    assert 0 < len(model.ids) <= 30 and 0 < len(model.pairs) <= 20
+    key = {bytes(r["word"]): r["key"] for r in tables.words.collect()}
+    pairs = {(r["u"], r["w"]): r["n"] for r in tables.pairs.collect()}
+    assert pairs[key[b"heron"], key[b"lagoon"]] == 8 and pairs[key[b"lagoon"], key[b"w3"]] == 1
+    few, every = (sorted((r["doc_id"], r["n_known"], r["base_score"], r["score"]) for r in scored(docs, settings=s).collect())
+                  for s in (Settings(hot_words=30, hot_pairs=20), Settings(hot_words=30)))
+    assert all(a[:2] == b[:2] and np.allclose(a[2:], b[2:], rtol=1e-9) for a, b in zip(few, every))
+    # a pair far below the former shares is predicted from its context
+    by_id = {r["doc_id"]: r["score"] for r in scored(documents(
+        [(i, "the cat sat on the mat " * 20_000) for i in range(12)] + [(50 + i, rare) for i in range(6)] + [(90 + i, "lagoon heron") for i in range(1)])).collect()}
+    assert by_id[50] > by_id[90] + 1
