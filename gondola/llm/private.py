@@ -2,12 +2,13 @@
 
 1. Base rules find e-mail addresses, IP addresses, card numbers and phone numbers; these are the seeds.
 2. Seeds induce lexical patterns: the word before them, the two words before them, or an attached prefix such as `tel:`.
-   Patterns seen with few different seeds are dropped; a seed spreads its support over its patterns, so at most
-   1 / `least_share` patterns of each type and kind remain, whatever the size of the corpus.
-3. A second pass counts every occurrence of such a pattern, and lists those that lead to something of the loose shape of a
+   Patterns seen with few different seeds are dropped; a seed spreads its support over its patterns. The support
+   needed is a fixed number, so patterns grow with the corpus.
+3. A second pass counts every occurrence of such a pattern (patterns go to the tasks in blocks of about `block_patterns`, each block
+   is one pass), and lists those that lead to something of the loose shape of a
    kind, an instance. Spark scores the graph of patterns and instances in rounds: a pattern is as good as the share of
    its occurrences that lead to trusted instances; seeds are trusted, other instances as far as their patterns are.
-4. Patterns of high confidence go to the tasks (few, see 2.) and discover identifiers that the base rules miss.
+4. Patterns of high confidence go to the tasks, all of them, and discover identifiers that the base rules miss.
 
 Every pass reads whole texts once, without shuffling them. Offsets are code points, ends exclusive.
 
@@ -155,9 +156,8 @@ class Patterns:
         return base, sorted(out, key=lambda s: (s[0], s[2]))
 
 
-def candidates(docs: DataFrame, least_share: float, least: float, text: str) -> Patterns:
-    """Patterns that enough different seeds share. A seed spreads a weight of one over its patterns of a type, so no more than
-    1 / least_share patterns of a type and kind reach that share of all seeds of the kind."""
+def candidates(docs: DataFrame, least: float, text: str) -> DataFrame:
+    """(kind, pattern) of the patterns that enough different seeds share. A seed spreads a weight of one over its patterns of a type."""
 
     names = ("kind", "type", "pattern", "seed")
 
@@ -169,21 +169,19 @@ def candidates(docs: DataFrame, least_share: float, least: float, text: str) ->
     seen = lineage_cut(map_batches(source, "kind int, type string, pattern string, seed string", induce).distinct())
     weight = seen.groupBy("kind", "type", "seed").agg((1 / F.count(F.lit(1))).alias("weight"))
     support = seen.join(weight, ["kind", "type", "seed"]).groupBy("kind", "type", "pattern").agg(F.sum("weight").alias("support"))
-    seeds = seen.select("kind", "seed").distinct().groupBy("kind").agg(F.count(F.lit(1)).alias("seeds"))
-    kept = support.join(seeds, "kind").filter(F.col("support") >= F.greatest(F.lit(least), F.col("seeds") * least_share))
+    # weights are fractions: their sum may fall short of the support by a rounding error
+    return lineage_cut(support.filter(F.col("support") >= least - 1e-9).select("kind", "pattern"))
+
+
+def patterns_of(rows: DataFrame) -> Patterns:
     kinds: dict[str, tuple[int, ...]] = {}
-    for r in kept.select("kind", "pattern").collect():
+    for r in rows.select("pattern", "kind").toLocalIterator():
         kinds[r["pattern"]] = tuple(sorted({*kinds.get(r["pattern"], ()), r["kind"]}))
     return Patterns(kinds)
 
 
-def learn(
-    docs: DataFrame, confidence: float = 0.8, rounds: int = 3, least_share: float = 0.001, least: float = 3.0, text: str = "text"
-) -> Patterns:
-    """The patterns of at least `confidence` after `rounds` of scoring the pattern-instance graph."""
-    tried = candidates(docs, least_share, least, text)
-    if not tried.kinds:
-        return tried
+def followed(docs: DataFrame, tried: Patterns, text: str) -> DataFrame:
+    """(pattern, kind, instance, seed, n): what the patterns of a block lead to, and, without a kind, how often they occur."""
     names = ("pattern", "kind", "instance", "seed")
 
     def follow(batch):
@@ -198,7 +196,23 @@ def learn(
 
     source = docs.select(F.coalesce(F.col(text), F.lit("")).alias("t"))
     seen = map_batches(source, "pattern string, kind int, instance string, seed boolean, n long", follow)
-    seen = lineage_cut(seen.groupBy("pattern", "kind", "instance").agg(F.sum("n").alias("n"), F.max("seed").alias("seed")))
+    return lineage_cut(seen.groupBy("pattern", "kind", "instance").agg(F.sum("n").alias("n"), F.max("seed").alias("seed")))
+
+
+def learn(
+    docs: DataFrame, confidence: float = 0.8, rounds: int = 3, least: float = 3.0, text: str = "text", block_patterns: int = 50_000
+) -> Patterns:
+    """The patterns of at least `confidence` after `rounds` of scoring the pattern-instance graph."""
+    tried = candidates(docs, least, text)
+    number = tried.count()
+    if not number:
+        return Patterns()
+    blocks = -(-number // block_patterns)
+    seen = None
+    for k in range(blocks):
+        # all kinds of a pattern are in one block
+        part = followed(docs, patterns_of(tried.filter(F.pmod(F.xxhash64("pattern"), F.lit(blocks)) == k)), text)
+        seen = part if seen is None else seen.unionByName(part)
     totals = seen.filter("kind is null").select("pattern", F.col("n").alias("total"))
     edges = seen.filter("kind is not null")
     trusted = edges.groupBy("kind", "instance").agg(F.max(F.col("seed").cast("double")).alias("seed"))
@@ -212,12 +226,8 @@ def learn(
             (1 - F.exp(F.sum(F.log(1 - F.col("sure"))))).alias("found"))
         trust = lineage_cut(trusted.join(doubt, ["kind", "instance"]).select(
             "kind", "instance", F.greatest("seed", "found").alias("trust")))
-        # at most the candidates come back, whose number is bounded
         best = patterns
-    kinds: dict[str, tuple[int, ...]] = {}
-    for r in best.filter(F.col("sure") >= confidence).collect():
-        kinds[r["pattern"]] = tuple(sorted({*kinds.get(r["pattern"], ()), r["kind"]}))
-    return Patterns(kinds)
+    return patterns_of(best.filter(F.col("sure") >= confidence))
 
 
 def found(docs: DataFrame, patterns: Patterns) -> DataFrame:

@@ -80,3 +80,15 @@ def test_masking_overlaps():
     text = "+1 4111 1111 1111 1111 x"
     assert masked("ab cd", [(0, 2, 0), (1, 4, 1)]) == "<email><ip>d" and masked("none", []) == "none"
     assert masked(text, base_spans(text)).endswith(" x") and KINDS[2] == "card"
+
+
+def test_support_does_not_grow_with_the_corpus_and_blocks_change_nothing(documents):
+    rows = [(i, f"we wrote to the desk mailto:user{i}@host{i}.example.com again") for i in range(3500)]
+    rows += [(9000 + i, f"reach inbox~= box{i}@rare{i}.example.com today") for i in range(20)]
+    docs = documents([*rows, (9999, "reach inbox~= root@localhost today")])
+    patterns = learn(docs, least=3.0)
+    assert "1 inbox~=" in patterns.kinds and "p mailto:" in patterns.kinds
+    assert learn(docs, least=3.0, block_patterns=1) == patterns
+    # more seeds elsewhere take no pattern away: 20 seeds are under a thousandth of 30,000
+    many = documents([*rows, *[(20_000 + i, f"mailto:more{i}@other{i}.example.com") for i in range(30_000)]])
+    assert "1 inbox~=" in learn(many, least=3.0).kinds
