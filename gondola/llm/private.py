@@ -21,7 +21,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -48,10 +48,11 @@ LOOSE = (
     re.compile(r"[0-9](?:[ -]?[0-9]){11,18}(?![0-9])"),
     re.compile(r"[+(]?[0-9](?:[ ().-]{0,2}[0-9]){6,14}(?![0-9])"),
 )
-# Words that hold a digit or an @, and the characters that end an attached prefix.
+# Words that hold a digit or an @, all words, and attached prefixes: a name and the delimiters behind it, anywhere in a word.
 MARKED = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*")
-ENDS = ":=(<[\"'/#|"
-PREFIX = re.compile(r"(?<!\S)[^\s:=(<\[\"'/#|]++[:=(<\[\"'/#|]++(?=\S)")
+WORDS = re.compile(r"\S++")
+DELIMITERS = ":=(<[\"'/#|,;&?{}"
+PREFIX = re.compile(r"[^\s:=(<\[\"'/#|,;&?{}]++[:=(<\[\"'/#|,;&?{}]++(?=\S)")
 
 
 def luhn(digits: str) -> bool:
@@ -96,17 +97,37 @@ def base_spans(text: str) -> list[Span]:
     return sorted(out, key=lambda s: (s[0], s[2]))
 
 
-def contexts(text: str, start: int) -> list[str]:
-    """The lexical patterns before a place, lower-cased and typed: `1 word`, `2 two words`, or `p prefix:`. They are read off the
-    120 characters before it."""
-    before = text[max(0, start - 120):start].lower()
-    words = before.split()
-    if not words:
-        return []
-    if not before[-1].isspace():
-        attached = PREFIX.match(words[-1] + "x")
-        return [f"p {words[-1]}"] if attached and attached.end() == len(words[-1]) else []
-    return [f"1 {words[-1]}", f"2 {words[-2]} {words[-1]}"] if len(words) > 1 else [f"1 {words[-1]}"]
+def contexts(text: str, places: Iterable[int]) -> dict[int, list[str]]:
+    """The lexical patterns before each of some places (none: no entry), lower-cased and typed: `1 word`, `2 two words`, or `p prefix:`,
+    with the name before the last delimiters. A word is read once, however many places it holds."""
+    asked, out = sorted(set(places)), {}
+    if not asked:
+        return out
+    i, before = 0, ["", ""]
+    for m in WORDS.finditer(text):
+        start, end = m.span()
+        if asked[i] <= start and before[1]:
+            out[start] = [f"1 {before[1]}", *([f"2 {before[0]} {before[1]}"] if before[0] else [])]
+        i += asked[i] == start
+        if i < len(asked) and asked[i] < end:
+            prefixes = {at: prefix for at, prefix in attached(m.group(), start)}
+            while i < len(asked) and asked[i] < end:
+                if asked[i] in prefixes:
+                    out[asked[i]] = [prefixes[asked[i]]]
+                i += 1
+        if i == len(asked):
+            break
+        before = [before[1], m.group().lower()]
+    return out
+
+
+def attached(run: str, start: int = 0) -> Iterator[tuple[int, str]]:
+    """(place, pattern) after every prefix in a word; a bracket that may begin a number is tried on both sides."""
+    for m in PREFIX.finditer(run):
+        prefix = m.group().lower()
+        if prefix[-1] == "(" and prefix[-2] in DELIMITERS:
+            yield start + m.end() - 1, f"p {prefix[:-1]}"
+        yield start + m.end(), f"p {prefix}"
 
 
 def named(spans: list[Span]) -> str:
@@ -121,15 +142,14 @@ class Patterns:
 
     def instances(self, text: str) -> Iterator[tuple[str, Span]]:
         """(pattern, span) wherever a pattern leads to something of the loose shape of its kind."""
-        for m in MARKED.finditer(text):
-            start = m.start()
-            places = [start, *[start + i + 1 for i, c in enumerate(m.group()[:80]) if c in ENDS]]
-            for at in places:
-                held = [(p, self.kinds[p]) for p in contexts(text, at) if p in self.kinds]
-                for pattern, kinds in held:
-                    for kind in kinds:
-                        if found := LOOSE[kind].match(text, at):
-                            yield pattern, (at, found.end(), kind)
+        marked = [(m.start(), m.group()) for m in MARKED.finditer(text)]
+        before = contexts(text, [start for start, _ in marked])
+        for start, run in marked:
+            places = [*((start, p) for p in before.get(start, [])), *attached(run, start)]
+            for at, pattern in places:
+                for kind in self.kinds.get(pattern, ()):
+                    if found := LOOSE[kind].match(text, at):
+                        yield pattern, (at, found.end(), kind)
 
     def counts(self, text: str) -> Counter:
         """How often each pattern occurs, whatever follows."""
@@ -162,7 +182,11 @@ def candidates(docs: DataFrame, least: float, text: str) -> DataFrame:
     names = ("kind", "type", "pattern", "seed")
 
     def induce(batch):
-        rows = {(k, c[0], c, t[a:b]) for t in batch["t"] for a, b, k in base_spans(t) for c in contexts(t, a)}
+        rows = set()
+        for t in batch["t"]:
+            spans = base_spans(t)
+            before = contexts(t, [a for a, *_ in spans])
+            rows.update((k, c[0], c, t[a:b]) for a, b, k in spans for c in before.get(a, []))
         return {n: [r[i] for r in rows] for i, n in enumerate(names)}
 
     source = docs.select(F.coalesce(F.col(text), F.lit("")).alias("t"))

@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from gondola.llm.private import KINDS, Patterns, base_spans, found, learn, luhn, mask, masked, named
+from gondola.llm.private import KINDS, Patterns, base_spans, contexts, found, learn, luhn, mask, masked, named
 
 PLAIN = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -92,3 +92,26 @@ def test_support_does_not_grow_with_the_corpus_and_blocks_change_nothing(documen
     # more seeds elsewhere take no pattern away: 20 seeds are under a thousandth of 30,000
     many = documents([*rows, *[(20_000 + i, f"mailto:more{i}@other{i}.example.com") for i in range(30_000)]])
     assert "1 inbox~=" in learn(many, least=3.0).kinds
+
+
+def test_prefixes_anywhere_in_a_run(documents):
+    rows = [(i, f"get q=x{i}&tel=+1(2{i:02d})555-01{i:02d}&end") for i in range(30)]
+    rows += [(100 + i, '{"a":%d,"mail":"user%d@host%d.example.com"}' % (i, i, i)) for i in range(30)]
+    far = "k=v&" * 50
+    rows += [(200, f"get {far}tel=555-867-5309&end"), (201, '{"b":"%s","mail":"root@localhost"}' % ("y" * 200)),
+             (202, "x" * 200 + " " * 200 + "plain")]
+    docs = documents(rows)
+    patterns = learn(docs)
+    assert {"p tel=", 'p mail":"'} <= set(patterns.kinds)
+    got = {r["doc_id"]: r["spans"] for r in found(docs, patterns).collect()}
+    assert got[200] == f"phone:{4 + len(far) + 4}:{4 + len(far) + 16}"
+    assert got[201].startswith("email:") and len(got[201].split(",")) == 1
+    long = "w" * 150
+    assert contexts(f"a {long}   +1 x", [155]) == {155: [f"1 {long}", f"2 a {long}"]}
+    assert contexts("+1 b", [0]) == {} and contexts("b", []) == {}
+
+
+def test_many_delimiters_take_linear_time():
+    patterns = Patterns({"p tel=": (3,), "1 a": (0, 3)})
+    for text in ("a=1&" * 100_000, "1" + "(" * 200_000, "1=" * 100_000 + "@", "a " * 100_000 + "1", "@=" * 100_000):
+        assert isinstance(patterns.spans(text)[1], list) and patterns.counts(text) is not None
