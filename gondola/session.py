@@ -50,14 +50,18 @@ def checkpoint_folder(spark: SparkSession) -> None:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
 
 
+def table_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables and files of the `scratch` around the call, below the shared checkpoint folder."""
+    checkpoint_folder(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/cuts/{_scopes[-1] if _scopes else 'unscoped'}"
+
+
 def lineage_cut(df: DataFrame) -> DataFrame:
     """Writes `df` as a table into the shared checkpoint folder and reads it back: later reads, and retries
     after the loss of an executor, see the same rows, and the planner knows their size. Tables stay below
     `cuts` in that folder until the `scratch` around the call ends, or else until its owner clears it."""
     spark = df.sparkSession
-    checkpoint_folder(spark)
-    scope = _scopes[-1] if _scopes else "unscoped"
-    path = f"{spark.sparkContext.getCheckpointDir()}/cuts/{scope}/{uuid.uuid4().hex}"
+    path = f"{table_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
