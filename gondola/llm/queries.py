@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gondola.llm import language_model, leaks, licences, private, quality, sql, toxicity
+from gondola.llm import language_model, leaks, licences, manifest, private, quality, resampling, sql, token_files, toxicity
 from gondola.llm.line_rules import line_rules
 from gondola.llm.mixing import mix
 from gondola.llm.repeats import without_repeats
 from gondola.llm.simhash import hex_digits, near_copies
+from gondola.session import table_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -80,3 +84,20 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_language_model")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return language_model.scored(table(spark, folder, "documents"))
+
+
+@query("op11_resampling", sql.RESAMPLING)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return resampling.resampled(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op12_token_files")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    files = token_files.write(
+        table(spark, folder, "documents"), f"{table_folder(spark)}/{uuid.uuid4().hex}", public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.read(files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op13_manifest", sql.manifest())
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return manifest.proofs(table(spark, folder, "documents"))

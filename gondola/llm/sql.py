@@ -114,3 +114,102 @@ SELECT m.doc_id, m.unit, CAST(m.unit_no AS INTEGER) AS unit_no, m.name AS licenc
 FROM m JOIN un ON m.r = un.r AND m.unit = un.unit AND m.unit_no = un.unit_no JOIN tn ON m.name = tn.name
 WHERE 2 * m.n / (un.n + tn.n) >= 0.8
 """
+
+
+# crc32 in SQL: the table of the 256 remainders from its rule, then one step per byte of `x`.
+CRC_TABLE = """tab AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                          lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+    FROM (SELECT CAST(range AS BIGINT) AS i FROM range(256))))"""
+
+
+def crc(x: str) -> str:
+    """crc32 of a text column; `tab` is among the tables read."""
+    body = f"list_transform(range(0, octet_length(encode({x}))), lambda k: ('0x' || substr(hex({x}), 2 * k + 1, 2))::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {body}), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+RESAMPLING = rf"""
+WITH {CRC_TABLE},
+rows AS (
+  SELECT 'd' AS side, row_number() OVER () AS r, doc_id, text FROM documents
+  UNION ALL SELECT 't', row_number() OVER (), NULL, text FROM benchmark),
+grams AS (
+  SELECT side, r, unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM rows),
+held AS (SELECT side, r, w, count(*) AS n FROM grams GROUP BY ALL),
+known AS (SELECT w, {crc("w")} % 10000 AS bucket FROM (SELECT DISTINCT w FROM held), tab),
+counts AS (
+  SELECT bucket, CAST(coalesce(sum(n) FILTER (side = 'd'), 0) AS BIGINT) AS s, CAST(coalesce(sum(n) FILTER (side = 't'), 0) AS BIGINT) AS t
+  FROM held JOIN known USING (w) GROUP BY bucket),
+sums AS (SELECT coalesce(sum(s), 0) AS all_s, coalesce(sum(t), 0) AS all_t FROM counts),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln(CAST(t + 1 AS DOUBLE) * CAST(all_s + 10000 AS DOUBLE)
+                                      / (CAST(s + 1 AS DOUBLE) * CAST(all_t + 10000 AS DOUBLE)))) AS BIGINT) AS gain
+  FROM counts, sums),
+weights AS (
+  SELECT r, CAST(sum(n) AS BIGINT) AS n_features, CAST(floor(CAST(sum(n * gain) AS DOUBLE) / sum(n)) AS BIGINT) AS weight
+  FROM held JOIN known USING (w) JOIN gains USING (bucket) WHERE side = 'd' GROUP BY r),
+scored AS (
+  SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8))::BIGINT
+                                                        + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM rows LEFT JOIN weights USING (r) WHERE side = 'd'),
+placed AS (
+  SELECT *, n_features >= 20 AS able, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST, n_features) AS place,
+         count(*) OVER (PARTITION BY n_features >= 20) AS n
+  FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN able AND place <= n * 10 // 100 THEN place END AS rank FROM placed
+"""
+
+
+def _tree(name: str, source: str, levels: int, width: int = 8) -> list[str]:
+    """Tables `name`0 .. : the nodes of every level (tree, i, h, n) from the leaves in `source`; and `name`r0 .. : the runs of siblings."""
+    out = [f"{name}0 AS (SELECT tree, i, h, n FROM {source})"]
+    for k in range(levels):
+        out.append(f"{name}r{k} AS (SELECT tree, i // {width} AS i, n, list(h ORDER BY i) AS run FROM {name}{k} GROUP BY ALL)")
+        out.append(f"""{name}{k + 1} AS (SELECT tree, i, CASE WHEN n > 1 THEN sha256(array_to_string(run, '')) ELSE run[1] END AS h,
+          CASE WHEN n > 1 THEN (n + {width - 1}) // {width} ELSE 1 END AS n FROM {name}r{k})""")
+    return out
+
+
+def _climb(name: str, first: str, tree: str, place: str, node: str, levels: int, width: int = 8) -> list[str]:
+    """Tables `first`1 .. : rows of `first`0 with `others` and `node` one level further up."""
+    out = []
+    for k in range(levels):
+        spot = f"({place} // {width**k} % {width})"
+        out.append(f"""{first}{k + 1} AS (
+          SELECT f.* REPLACE (
+            CASE WHEN r.n > 1 THEN others || array_to_string(run[1:{spot}], '') || array_to_string(run[{spot} + 2:], '') ELSE others END AS others,
+            CASE WHEN r.n > 1 THEN sha256(array_to_string(run[1:{spot}], '') || {node} || array_to_string(run[{spot} + 2:], '')) ELSE {node} END AS {node})
+          FROM {first}{k} f JOIN {name}r{k} r ON r.tree IS NOT DISTINCT FROM f.{tree} AND r.i = {place} // {width**(k + 1)})""")
+    return out
+
+
+def manifest(levels: int = 7, group_levels: int = 3) -> str:
+    """The statement of the Merkle manifest, written out for trees of up to 8 ** levels leaves and 8 ** group_levels groups."""
+
+    def value(c: str) -> str:
+        return f"coalesce(octet_length(encode(CAST({c} AS VARCHAR))) || ':' || {c}, '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(value(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    lowered = f"translate(text, '{UPPER}', '{LOWER}')"
+    doc_key = "coalesce(CAST(doc_id AS VARCHAR), '')"
+    parts = [
+        CRC_TABLE,
+        f"docs AS (SELECT doc_id, lang AS tree, {leaf('text')} AS h, CASE WHEN {crc('key')} % 3 = 0 THEN {leaf(lowered)} END AS changed "
+        f"FROM (SELECT *, {doc_key} AS key FROM documents), tab)",
+        "leaves AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, h) - 1 AS i, count(*) OVER (PARTITION BY tree) AS n FROM docs)",
+        *_tree("a", "leaves", levels),
+        f"subs AS (SELECT tree AS name, h, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS i, count(*) OVER () AS n, 0 AS tree FROM a{levels})",
+        *_tree("b", "subs", group_levels),
+        f"f0 AS (SELECT doc_id, tree, i, h AS leaf, coalesce(changed, h) AS node, '' AS others FROM leaves)",
+        *_climb("a", "f", "tree", "f.i", "node", levels),
+        f"g0 AS (SELECT f.*, s.h AS subroot, s.i AS at, 0 AS top FROM f{levels} f JOIN subs s ON s.name IS NOT DISTINCT FROM f.tree)",
+        *_climb("b", "g", "top", "f.at", "node", group_levels),
+    ]
+    return f"""WITH {", ".join(parts)}
+SELECT doc_id, leaf, subroot, b{group_levels}.h AS root, sha256(others) AS proof_sha256, node AS folded_root, node = b{group_levels}.h AS verified
+FROM g{group_levels}, b{group_levels}"""
