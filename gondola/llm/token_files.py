@@ -49,7 +49,7 @@ HEAD = len(MAGIC) + 1 + 32
 FOOT = 16 + len(MAGIC)
 NO_DICTIONARY = bytes(32)
 #: Pieces a worker remembers, and the length up to which it does.
-KNOWN, SHORT = 1 << 19, 48
+KNOWN, SHORT = 1 << 20, 48
 #: Bytes of ids that are handed on together.
 CHUNK = 16 << 20
 
@@ -57,6 +57,10 @@ CHUNK = 16 << 20
 BLANK, FULL = r"[ \t\n\r\x0b\x0c]", r"[^ \t\n\r\x0b\x0c]"
 LETTER = "[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-ɏ]"
 PIECE = re.compile(rf"{BLANK}?{LETTER}+(?=[!-/:-@\[-`{{-~])|{BLANK}?{FULL}+(?:{BLANK}+(?!{FULL}))?|{BLANK}+(?!{FULL})")
+#: Letters with or without a blank before them, and how byte-level vocabularies write bytes: printable ones as themselves, others from 256 on.
+WORD = re.compile(f" ?{LETTER}+")
+_PRINTED = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+BYTES = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _PRINTED)}
 #: What some definition of a blank holds besides those of ASCII.
 OTHER_BLANKS = "".join(map(chr, [
     *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF]))
@@ -74,9 +78,9 @@ class Encoder:
         self.in_pieces = (
             before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
             and not facts.get("normalizer") and not facts.get("post_processor") and facts["model"]["type"] == "BPE")
-        special = [re.escape(t["content"]) for t in facts.get("added_tokens") or [] if t["content"]]
-        self.odd = re.compile("|".join([f"[{OTHER_BLANKS}]", *special]))
-        self.known: dict[str, bytes] = {}
+        self.special = [t["content"] for t in facts.get("added_tokens") or [] if t["content"]]
+        self.odd = re.compile(f"[{OTHER_BLANKS}]")
+        self.known = Known(self)
 
     def serialized(self, texts: list[str]) -> list[bytes]:
         made = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -84,23 +88,28 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of every text, serialized."""
-        out: list = [None] * len(texts)
-        cut, whole = [], []
-        for i, t in enumerate(texts):
-            (cut if self.in_pieces and not self.odd.search(t) else whole).append(i)
-        for i, ids in zip(whole, self.serialized([texts[i] for i in whole])):
-            out[i] = ids
-        for i in cut:
-            pieces = PIECE.findall(texts[i])
-            found = list(map(self.known.get, pieces))
-            if None in found:
-                new = dict.fromkeys(p for p, ids in zip(pieces, found) if ids is None)
-                made = dict(zip(new, self.serialized(list(new))))
-                found = [made[p] if ids is None else ids for p, ids in zip(pieces, found)]
-                if len(self.known) < KNOWN:
-                    self.known.update((p, ids) for p, ids in made.items() if len(p) <= SHORT)
-            out[i] = b"".join(found)
-        return out
+        plain = [self.in_pieces and not self.odd.search(t) and not any(x in t for x in self.special) for t in texts]
+        whole = iter(self.serialized([t for t, p in zip(texts, plain) if not p]))
+        ids_of = self.known.__getitem__
+        return [b"".join(map(ids_of, PIECE.findall(t))) if p else next(whole) for t, p in zip(texts, plain)]
+
+
+class Known(dict):
+    """Serialized ids by piece; what is not there is encoded, and kept while there is room."""
+
+    def __init__(self, encoder: Encoder):
+        super().__init__()
+        self.encoder, self.model = encoder, encoder.tokenizer.model
+
+    def __missing__(self, piece: str) -> bytes:
+        if WORD.fullmatch(piece):  # one token before merging, so that the merges alone are left to do
+            tokens = self.model.tokenize(piece.encode().decode("latin-1").translate(BYTES))
+            ids = np.array([t.id for t in tokens], dtype=self.encoder.kind).tobytes()
+        else:
+            ids = self.encoder.serialized([piece])[0]
+        if len(self) < KNOWN and len(piece) <= SHORT:
+            self[piece] = ids
+        return ids
 
 
 @lru_cache(maxsize=2)
