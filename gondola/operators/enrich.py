@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -317,11 +317,13 @@ def propagate(
 
 
 def neighbour_transfer(
-    products: DataFrame, vectors: DataFrame, attributes: Sequence[str], done: DataFrame, cutoff: Column, floor: float
+    products: DataFrame, vectors: DataFrame, attributes: Sequence[str], done: DataFrame, cutoff: Column, floor: float,
+    nearest: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Attributes copied from the most similar complete product to products that miss some and were never,
     or not since `cutoff`, matched. `products`: code, attributes; `vectors`: code, vector; `done`: code,
-    matched_on. Returns code, source, score and the attributes."""
+    matched_on; `nearest`: finds (query, id, score) in a corpus (id, vector) for queries (query, vector), exactly by default. Returns
+    code, source, score and the attributes."""
     missing = F.lit(False)
     for a in attributes:
         missing = missing | F.col(a).isNull()
@@ -329,9 +331,10 @@ def neighbour_transfer(
         products.filter(missing).join(done, "code", "left")
         .filter(F.col("matched_on").isNull() | (F.col("matched_on") <= cutoff)).drop("matched_on"))
     whole = products.filter(~missing)
-    near = dense_top_k(
+    find = nearest or (lambda corpus, asked: dense_top_k(corpus, asked, 1, floor))
+    near = find(
         vectors.join(whole.select("code"), "code", "left_semi").withColumnRenamed("code", "id"),
-        vectors.join(waiting.select("code"), "code", "left_semi").withColumnRenamed("code", "query"), 1, floor)
+        vectors.join(waiting.select("code"), "code", "left_semi").withColumnRenamed("code", "query"))
     given = whole.select(F.col("code").alias("id"), *[F.col(a).alias(f"_{a}") for a in attributes])
     return waiting.join(near.withColumnRenamed("query", "code"), "code").join(given, "id").select(
         "code", F.col("id").alias("source"), "score", *[F.coalesce(a, f"_{a}").alias(a) for a in attributes])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gondola.operators import enrich as op
+from gondola.operators import neighbours
 from gondola.plans import inputs as src
 from gondola.plans.inputs import LINES, PRODUCTS, key_sql, r
 from gondola.plans.registry import query
@@ -261,11 +262,26 @@ w AS (SELECT * FROM x WHERE (kind IS NULL OR route IS NULL) AND NOT (code % 2 =
 n AS (SELECT a.code, b.code AS source, {_COSINE} AS score, row_number() OVER (PARTITION BY a.code ORDER BY {_COSINE} DESC, b.code) AS k, coalesce(a.kind, b.kind) AS kind, coalesce(a.route, b.route) AS route FROM w a, c b WHERE {_COSINE} >= 0.2)
 SELECT code, source, CAST(score AS DOUBLE) AS score, kind, route FROM n WHERE k = 1""")
 def neighbour_transfer(t):
+    return _transfer(t)
+
+
+@query("d42_indexed_transfer")
+def indexed_transfer(t):
+    """The same with the source found through the clustered index."""
+
+    def nearest(corpus, asked):
+        index = neighbours.build(corpus)
+        return neighbours.search(index, asked, 1, neighbours.probes_for(index, 1), 0.2)
+
+    return _transfer(t, nearest)
+
+
+def _transfer(t, nearest=None):
     e = t.embeddings
     products = e.selectExpr("vec_id AS code", "CASE WHEN vec_id % 3 <> 0 THEN 'L' || label END AS kind", "CASE WHEN vec_id % 5 <> 0 THEN 'R' || label END AS route")
     done = e.filter("vec_id % 2 = 0").selectExpr("vec_id AS code", "CASE WHEN vec_id % 14 = 0 THEN DATE '2023-01-01' ELSE DATE '2024-01-01' END AS matched_on")
     vectors = e.select(F.col("vec_id").alias("code"), F.col("embedding").alias("vector"))
-    return op.neighbour_transfer(products, vectors, ["kind", "route"], done, F.lit("2023-06-01").cast("date"), 0.2)
+    return op.neighbour_transfer(products, vectors, ["kind", "route"], done, F.lit("2023-06-01").cast("date"), 0.2, nearest)
 
 
 _BACKLOG = """bl AS (SELECT c_custkey AS code, DATE '2024-01-01' + CAST(c_custkey % 100 AS INTEGER) AS made_on, c_custkey % 4 <> 0 AS done FROM customer WHERE c_custkey % 2 = 0),

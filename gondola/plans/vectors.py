@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gondola.operators import chat
+from gondola.operators import chat, neighbours, postings
 from gondola.operators import vectors as op
 from gondola.plans.inputs import r
 from gondola.plans.registry import query
@@ -34,18 +34,36 @@ def similar_outside_family(t):
     return op.dense_top_k(v, v.withColumnRenamed("id", "query"), 3, family=True)
 
 
+@query("d72_indexed_top_k")
+def indexed_top_k(t):
+    """Every vector whose id 50 divides, against all vectors; as many probes as find 95 % of a sample's neighbours."""
+    v = _vectors(t).drop("family")
+    index = neighbours.build(v)
+    return neighbours.search(index, v.filter("id % 50 = 0").withColumnRenamed("id", "query"), 10, neighbours.probes_for(index, 10))
+
+
+@query("d101_certain_outside_family", _dense_sql("a.label <> b.label", 3, -1.0))
+def certain_outside_family(t):
+    v = _vectors(t)
+    return neighbours.search(neighbours.build(v), v.withColumnRenamed("id", "query"), 3, 8, certain=True)
+
+
 _TOK = "regexp_extract_all(lower(strip_accents(text)), '[\\p{L}\\p{N}_]+')"
-_BM25 = f"""q0 AS (SELECT item_id AS query, unnest({_TOK}) AS term FROM benchmark), q1 AS (SELECT query, term, count(*) AS qtf FROM q0 GROUP BY 1, 2),
+def _bm25_sql(drop: float) -> str:
+    return f"""q0 AS (SELECT item_id AS query, unnest({_TOK}) AS term FROM benchmark), q1 AS (SELECT query, term, count(*) AS qtf FROM q0 GROUP BY 1, 2),
 dd AS (SELECT doc_id AS id, {_TOK} AS tk FROM documents), st AS (SELECT count(*) AS n, avg(len(tk)) AS mean FROM dd),
 pt AS (SELECT id, len(tk) AS size, unnest(tk) AS term FROM dd), po AS (SELECT term, id, size, count(*) AS tf FROM pt WHERE term IN (SELECT term FROM q1) GROUP BY 1, 2, 3),
 df AS (SELECT term, count(*) AS df FROM po GROUP BY 1),
 qw AS (SELECT query, term, {r('qtf * ln(1 + (n - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE))', 9)} AS w FROM q1 JOIN df USING (term), st),
 qk AS (SELECT *, count(*) OVER (PARTITION BY query) AS m, row_number() OVER (PARTITION BY query ORDER BY w, term) AS k FROM qw),
 sc AS (SELECT query, id, {r('sum(w * (tf * 2.2::DOUBLE / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * size / mean))))', 6)} AS score
-       FROM po JOIN qk USING (term), st WHERE k > floor(m * 0.2) GROUP BY 1, 2),
+       FROM po JOIN qk USING (term), st WHERE k > floor(m * {drop}) GROUP BY 1, 2),
 bm AS (SELECT query, id, score FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, id) AS k FROM sc) WHERE k <= 10)"""
 
 
+_BM25 = _bm25_sql(0.2)
+
+
 def _bm25(t, k):
     docs = t.documents.select(F.col("doc_id").alias("id"), "text")
     return op.bm25_top_k(docs, t.benchmark.select(F.col("item_id").alias("query"), "text"), k, drop_ratio=0.2)
@@ -56,6 +74,12 @@ def bm25_top_k(t):
     return _bm25(t, 10)
 
 
+@query("d97_impact_blocks", f"WITH {_bm25_sql(0.0)} SELECT * FROM bm")
+def impact_blocks(t):
+    docs = t.documents.select(F.col("doc_id").alias("id"), "text")
+    return postings.bm25_top_k(docs, t.benchmark.select(F.col("item_id").alias("query"), "text"), 10)
+
+
 @query("d98_hybrid_top_k", f"""
 WITH {_BM25}, de AS ({_dense_sql('a.vec_id IN (SELECT item_id FROM benchmark) AND b.vec_id IN (SELECT doc_id FROM documents)', 10, -1.0)}),
 mx AS (SELECT query, id, {r('coalesce(bm.score, 0) * 0.2::DOUBLE + coalesce(de.score, 0) * 0.8::DOUBLE', 6)} AS score FROM bm FULL JOIN de USING (query, id))
