@@ -233,13 +233,15 @@ def token_categories(
     return words.join(terms, ["_w", "is_medicine"]).select("code", "path").distinct()
 
 
-def repair_vocabulary(df: DataFrame, key: str, vocabulary: DataFrame, columns: Sequence[str]) -> DataFrame:
+def repair_vocabulary(
+    df: DataFrame, key: str, vocabulary: DataFrame, columns: Sequence[str], closest: Callable[[DataFrame, DataFrame], DataFrame] = closest_terms
+) -> DataFrame:
     """Values outside their column's vocabulary are replaced by the closest term, where one shares a word.
-    `vocabulary`: vocabulary (column name), term."""
+    `vocabulary`: vocabulary (column name), term; `closest`: `closest_terms` or `fuzzy_terms`."""
     flat = df.select(key, F.inline(F.array(*[F.struct(F.lit(c).alias("vocabulary"), F.col(c).alias("value")) for c in columns])))
     wrong = flat.filter(F.trim("value") != "").join(
         vocabulary.select("vocabulary", F.col("term").alias("value")).distinct(), ["vocabulary", "value"], "left_anti")
-    terms = closest_terms(wrong.select("vocabulary", "value"), vocabulary)
+    terms = closest(wrong.select("vocabulary", "value"), vocabulary)
     fixed = wrong.join(terms, ["vocabulary", "value"]).groupBy(key).agg(*[
         F.max(F.when(F.col("vocabulary") == c, F.col("term"))).alias(c) for c in columns])
     return overlay(df, fixed, [key])

@@ -5,10 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gondola.functions import codes, pharma, text
+from gondola.functions import codes, fuzzy, pharma, text
 from gondola.functions.scoring import age, age_band, sweep_nothing
 from gondola.operators.kit import latest, spread_join
 from gondola.session import lineage_cut
@@ -133,10 +134,37 @@ def closest_terms(values: DataFrame, vocabulary: DataFrame) -> DataFrame:
     return best.select("vocabulary", "value", "term", "overlap", "ratio")
 
 
-def document_texts(pages: DataFrame, key: str, html: str, done: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Plain text of pages not processed before, and the pages without any text."""
+def fuzzy_terms(values: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """(vocabulary, value, term, overlap, score, scorer): for every distinct value the vocabulary term that shares most words with it, then the one with the
+    highest score of any of `fuzzy.SCORERS` (value without accents against the term as it is), then the earlier scorer, then the first by name. A value without a
+    shared word has no row. Only the terms that share most words are scored. `values`: vocabulary, value; `vocabulary`: vocabulary, term."""
+
+    def keyed(df: DataFrame, c: str) -> DataFrame:
+        once = df.select("vocabulary", c).filter(F.trim(c) != "").distinct()
+        words = F.explode(F.array_distinct(text.words(F.lower(text.unaccent(F.col(c))))))
+        return once.withColumn("_w", words).select("vocabulary", c, F.concat_ws("\u0001", "vocabulary", "_w").alias("_key"))
+
+    met = spread_join(keyed(values, "value").select("_key", "value"), keyed(vocabulary, "term"), "_key")
+    shared = met.groupBy("vocabulary", "value", "term").agg(F.count(F.lit(1)).alias("overlap"))
+    most = F.rank().over(Window.partitionBy("vocabulary", "value").orderBy(F.desc("overlap")))
+    close = shared.withColumn("_k", most).filter("_k = 1").drop("_k")
+
+    @F.pandas_udf("score double, scorer int")
+    def best(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([fuzzy.best(x, y) for x, y in zip(a, b)], columns=["score", "scorer"])
+
+    scored = close.withColumn("_s", best(text.unaccent(F.col("value")), F.col("term"))).select("vocabulary", "value", "term", "overlap", "_s.*")
+    chosen = latest(scored, ["vocabulary", "value"], [F.desc("score"), F.col("scorer"), F.col("term")])
+    names = F.array(*[F.lit(n) for n in fuzzy.SCORERS])
+    return chosen.withColumn("scorer", F.element_at(names, F.col("scorer") + 1))
+
+
+def document_texts(
+    pages: DataFrame, key: str, html: str, done: DataFrame | None = None, render: Callable[[Column], Column] = text.html_text
+) -> tuple[DataFrame, DataFrame]:
+    """Text of pages not processed before, flat or as `render` makes it, and the pages without any text."""
     todo = pages if done is None else pages.join(done.select(key), key, "left_anti")
-    out = todo.select(key, text.html_text(F.col(html)).alias("text"))
+    out = todo.select(key, render(F.col(html)).alias("text"))
     return out.filter("text <> ''"), out.filter("text = '' OR text IS NULL").select(key)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gondola.operators import enrich as op
-from gondola.operators import neighbours
+from gondola.operators import neighbours, standardise
 from gondola.plans import inputs as src
 from gondola.plans.inputs import LINES, PRODUCTS, key_sql, r
 from gondola.plans.registry import query
@@ -194,11 +194,21 @@ WITH {PRODUCTS}, voc AS (SELECT DISTINCT name AS term FROM products), vals AS (S
 {_CLOSEST}, x AS (SELECT ean, CASE WHEN product_id % 3 = 0 THEN replace(name, 'e', 'a') ELSE name END AS name, CASE WHEN size % 2 = 0 THEN 'Brand#7 x' ELSE 'none' END AS brand FROM products)
 SELECT ean, coalesce(term, name) AS name, brand FROM x LEFT JOIN best ON value = name""")
 def repair_vocabulary(t):
+    return _repair(t, standardise.closest_terms)
+
+
+@query("d36_fuzzy_repair")
+def fuzzy_repair(t):
+    """The same by the fuzzy scorers."""
+    return _repair(t, standardise.fuzzy_terms)
+
+
+def _repair(t, closest):
     p = src.products(t)
     vocabulary = p.select(F.lit("name").alias("vocabulary"), F.col("name").alias("term")).distinct().unionByName(
         p.filter("size > 50").select(F.lit("brand").alias("vocabulary"), F.col("brand").alias("term")).distinct())
     rows = p.selectExpr("ean", "CASE WHEN product_id % 3 = 0 THEN replace(name, 'e', 'a') ELSE name END AS name", "CASE WHEN size % 2 = 0 THEN 'Brand#7 x' ELSE 'none' END AS brand")
-    return op.repair_vocabulary(rows, "ean", vocabulary, ["name", "brand"])
+    return op.repair_vocabulary(rows, "ean", vocabulary, ["name", "brand"], closest)
 
 
 @query("d37_flatten_paths", f"""

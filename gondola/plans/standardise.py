@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gondola.functions import codes, pharma, scoring, text
+from gondola.functions import bpe, codes, html, pharma, scoring, text
 from gondola.operators import enrich
 from gondola.operators import standardise as op
 from gondola.plans import inputs as src
@@ -91,6 +91,15 @@ def token_budget(t):
     return t.documents.select("doc_id", F.md5(text.token_budget(F.col("text"), 100)).alias("digest"))
 
 
+@query("f09_bpe_budget")
+def bpe_budget(t):
+    """Texts cut at 100 byte-pair tokens of a published vocabulary."""
+    import public_tokenizers
+
+    cut = bpe.token_budget(t.documents, F.col("text"), 100, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return t.documents.select("doc_id", F.md5(cut).alias("digest"))
+
+
 _CODES = f"CASE p_partkey % 6 WHEN 0 THEN {EAN_SQL} WHEN 1 THEN '12348' WHEN 2 THEN '1234' WHEN 3 THEN '99' || substr({EAN_SQL}, 3) WHEN 4 THEN ' ' || ltrim({EAN_SQL}, '0') ELSE 'x' || p_partkey END"
 
 
@@ -155,10 +164,20 @@ def matching_tokens(t):
 WITH {PRODUCTS}, voc AS (SELECT DISTINCT name || ' ' || lower(category) AS term FROM products), vals AS (SELECT DISTINCT upper(name) || CASE WHEN product_id % 2 = 0 THEN ' promó' ELSE ' xx' END AS value FROM products),
 {_CLOSEST} SELECT * FROM best""")
 def closest_terms(t):
+    return op.closest_terms(*_spelled(t)).drop("vocabulary")
+
+
+@query("f15_fuzzy_terms")
+def fuzzy_terms(t):
+    return op.fuzzy_terms(*_spelled(t)).drop("vocabulary")
+
+
+def _spelled(t):
+    """(values, vocabulary)"""
     p = src.products(t)
     vocabulary = p.select(F.lit("v").alias("vocabulary"), F.concat_ws(" ", "name", F.lower("category")).alias("term"))
     values = p.select(F.lit("v").alias("vocabulary"), F.concat(F.upper("name"), F.when(F.col("product_id") % 2 == 0, " promó").otherwise(" xx")).alias("value"))
-    return op.closest_terms(values, vocabulary).drop("vocabulary")
+    return values, vocabulary
 
 
 # Dosages of the stand-in and what they become.
@@ -270,6 +289,12 @@ def document_texts(t):
     return op.document_texts(t.pages, "page_id", "html", t.pages.filter("page_id % 3 = 0"))[0]
 
 
+@query("n6_structured_texts")
+def structured_texts(t):
+    """Pages as lines: paragraphs, headings, lists, tables."""
+    return op.document_texts(t.pages, "page_id", "html", render=html.lines)[0]
+
+
 @query("d47_leaflet_texts", f"SELECT page_id, trim(regexp_replace({_HTML}, '\\s+', ' ', 'g')) AS text FROM pages WHERE page_id NOT IN (SELECT page_id FROM pages WHERE url LIKE '%/en/%')")
 def leaflet_texts(t):
     return enrich.leaflet_texts(t.pages, t.pages.filter(F.col("url").like("%/en/%")), "page_id", "html")
