@@ -75,34 +75,49 @@ def invalid_sweep(df: DataFrame, exclude: Sequence[str], allow_numeric: Sequence
     return clean, nulls(df, "nulls_before").join(nulls(clean, "nulls_after"), "column")
 
 
-def similar_name_pairs(
-    left: DataFrame, right: DataFrame, low: float = 0.2, high: float = 0.95
-) -> DataFrame:
-    """(left_id, right_id, similarity) of names whose significant words have a Jaccard similarity within
-    [low, high). Names with the same words are one set here, so a name that many rows share is compared
-    once. Two sets at or above `low` share a word among the rarest n - ceil(low * n) + 1 words of each, so
-    only those meet; common words are left out wherever a set has enough others. `left`, `right`: id, name."""
+def _word_sets(df: DataFrame) -> DataFrame:
+    """(id, words, set): the significant words of a name, and what identifies them."""
+    t = df.select("id", F.array_sort(text.significant_tokens(F.col("name"))).alias("words")).filter(F.size("words") > 0)
+    return t.withColumn("set", F.md5(F.array_join("words", " ")))
+
 
-    def sets(df: DataFrame) -> DataFrame:
-        t = df.select("id", F.array_sort(text.significant_tokens(F.col("name"))).alias("words")).filter(F.size("words") > 0)
-        return t.withColumn("set", F.md5(F.array_join("words", " ")))
+def set_pairs(a: DataFrame, b: DataFrame, low: float) -> DataFrame:
+    """(sa, sb): pairs of word sets of two tables (set, words) that may have a Jaccard similarity of `low` or more.
 
-    a, b = lineage_cut(sets(left)), lineage_cut(sets(right))  # read several times below
+    The words of a set are put in order, rarest first. Two sets of n and m words that are similar enough share c = ceil(low (n + m) / (1 + low)) words, so their
+    sizes differ by a factor of 1 / low at most, and after the first word they share, at places p and q, there are c - 1 more in both: p <= n - c + 1 and
+    q <= m - c + 1. Rows that meet on a word are dropped by this before they are a pair, so a word that most sets hold, last in their order, brings
+    together only sets so short that this one word is enough."""
     both = a.select("set", "words").unionByName(b.select("set", "words")).dropDuplicates(["set"])
     flat = both.select("set", F.explode("words").alias("_w"))
     often = flat.groupBy("_w").agg(F.count(F.lit(1)).alias("_n"))
     # a set is as long as one name
     ordered = spread_join(flat, often, "_w").groupBy("set").agg(F.array_sort(F.collect_list(F.struct("_n", "_w"))).alias("_o"))
-    keep = F.size("_o") - F.ceil(F.lit(low) * F.size("_o") - 1e-9) + 1
-    rare = lineage_cut(ordered.select("set", F.explode(F.slice("_o", F.lit(1), keep.cast("int"))).alias("_r")).select("set", F.col("_r._w").alias("_w")))
+    size = F.size("_o")
+    keep = size - F.ceil(F.lit(low) * size - 1e-9) + 1
+    placed = lineage_cut(ordered.select("set", size.alias("size"), F.posexplode(F.slice("_o", F.lit(1), keep.cast("int"))).alias("at", "_r")).select(
+        "set", "size", (F.col("at") + 1).alias("at"), F.col("_r._w").alias("_w")))
+
+    def side(df: DataFrame, tag: str) -> DataFrame:
+        return placed.join(df.select("set").distinct(), "set", "left_semi").select(
+            F.col("_w").alias(f"w{tag}"), F.col("set").alias(f"s{tag}"), F.col("size").alias(f"n{tag}"), F.col("at").alias(f"p{tag}"))
 
-    def side(df: DataFrame, name: str) -> DataFrame:
-        return rare.join(df.select("set").distinct(), "set", "left_semi").withColumnRenamed("set", name)
+    shared = F.ceil(F.lit(low / (1 + low)) * (F.col("na") + F.col("nb")) - 1e-9)
+    close = (F.col("na") >= F.col("nb") * low - 1e-9) & (F.col("nb") >= F.col("na") * low - 1e-9)
+    able = close & (F.col("pa") <= F.col("na") - shared + 1) & (F.col("pb") <= F.col("nb") - shared + 1)
+    return side(a, "a").join(side(b, "b"), (F.col("wa") == F.col("wb")) & able).select("sa", "sb").distinct()
 
-    met = spread_join(side(a, "sa"), side(b, "sb"), "_w").select("sa", "sb").distinct()
-    words = both.select("set", "words")
+
+def similar_name_pairs(
+    left: DataFrame, right: DataFrame, low: float = 0.2, high: float = 0.95
+) -> DataFrame:
+    """(left_id, right_id, similarity) of names whose significant words have a Jaccard similarity within
+    [low, high). Names with the same words are one set here, so a name that many rows share is compared
+    once; `set_pairs` brings sets together. `left`, `right`: id, name."""
+    a, b = lineage_cut(_word_sets(left)), lineage_cut(_word_sets(right))  # read several times below
+    words = a.select("set", "words").unionByName(b.select("set", "words")).dropDuplicates(["set"])
     scored = (
-        met.join(words.select(F.col("set").alias("sa"), F.col("words").alias("wa")), "sa")
+        set_pairs(a, b, low).join(words.select(F.col("set").alias("sa"), F.col("words").alias("wa")), "sa")
         .join(words.select(F.col("set").alias("sb"), F.col("words").alias("wb")), "sb")
         .select("sa", "sb", F.round(text.jaccard(F.col("wa"), F.col("wb")), 6).alias("similarity"))
         .filter((F.col("similarity") >= low) & (F.col("similarity") < high)))

@@ -73,13 +73,13 @@ def store_overrides(t):
 
 @query("d04_assign_ids", f"""
 WITH {PRODUCTS}, reg AS (SELECT ean, 'old-' || product_id AS id FROM products WHERE product_id % 4 = 0), x AS (
-  SELECT ean, CASE WHEN product_id % 10 = 5 THEN 'given-' || product_id END AS id, md5(ean) AS h FROM products WHERE product_id % 2 = 0 OR product_id % 10 = 5),
+  SELECT ean, CASE WHEN product_id % 10 = 5 THEN 'given-' || product_id END AS id, md5(ean) AS h FROM products),
 r AS (SELECT x.ean, coalesce(x.id, reg.id, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-' || substr(h, 17, 4) || '-' || substr(h, 21, 12)) AS id, reg.id IS NULL AS new FROM x LEFT JOIN reg ON reg.ean = x.ean)
 SELECT ean, id, 'row' AS part FROM r UNION ALL SELECT ean, id, 'registry' FROM reg UNION ALL SELECT ean, id, 'registry' FROM r WHERE new""")
 def assign_ids(t):
     p = src.products(t)
     registry = p.filter("product_id % 4 = 0").selectExpr("ean", "'old-' || product_id AS id")
-    rows = p.filter("product_id % 2 = 0 OR product_id % 10 = 5").selectExpr("ean", "CASE WHEN product_id % 10 = 5 THEN 'given-' || product_id END AS id")
+    rows = p.selectExpr("ean", "CASE WHEN product_id % 10 = 5 THEN 'given-' || product_id END AS id")
     with_ids, registered = op.assign_ids(rows, "ean", registry)
     return with_ids.select("ean", "id", F.lit("row").alias("part")).unionByName(registered.withColumn("part", F.lit("registry")))
 
@@ -322,11 +322,11 @@ def capped_lists(t):
 
 
 @query("d18_split_sides", f"""
-WITH {PRODUCTS}, a AS (SELECT ean, name FROM products WHERE product_id % 3 <> 0), b AS (SELECT ean, upper(name) AS name FROM products WHERE product_id % 2 = 0)
+WITH {PRODUCTS}, a AS (SELECT ean, name FROM products WHERE product_id % 3 <> 0), b AS (SELECT ean, upper(name) AS name FROM products WHERE product_id % 2 = 0 OR product_id % 3 = 0)
 SELECT ean, coalesce(a.name, b.name) AS name, CASE WHEN a.ean IS NULL THEN 'right' WHEN b.ean IS NULL THEN 'left' ELSE 'both' END AS side FROM a FULL JOIN b USING (ean)""")
 def split_sides(t):
     p = src.products(t)
-    return op.split_sides(p.filter("product_id % 3 <> 0").select("ean", "name"), p.filter("product_id % 2 = 0").select("ean", F.upper("name").alias("name")), "ean")
+    return op.split_sides(p.filter("product_id % 3 <> 0").select("ean", "name"), p.filter("product_id % 2 = 0 OR product_id % 3 = 0").select("ean", F.upper("name").alias("name")), "ean")
 
 
 @query("d19_alternate_names", f"""

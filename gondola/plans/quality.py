@@ -64,8 +64,11 @@ def _price_list(t):
     return target, s.filter(F.col("sold_on") >= cut).select(*columns, "sale_id"), order
 
 
-_PRICES = f"""{src.SALES}, p AS (SELECT product_id, sold_on, sale_id, store_id, {r('CAST(net AS DOUBLE) / qty', 2)} AS price FROM sales),
-rk AS (SELECT *, row_number() OVER (PARTITION BY product_id, sold_on < DATE '1996-01-01' ORDER BY sold_on DESC, sale_id DESC, price DESC, store_id DESC) AS k FROM p),
+# Only the lines of the last sale of a product, on either side of the day, get a price.
+_PRICES = f"""{src.SALES}, p AS (SELECT *, sold_on < DATE '1996-01-01' AS old FROM sales),
+m AS (SELECT product_id, old, arg_max(sale_id, (sold_on, sale_id)) AS last_sale, max(sold_on) AS last_day, count(*) AS n FROM p GROUP BY 1, 2),
+c AS (SELECT p.product_id, sold_on, sale_id, store_id, {r('CAST(net AS DOUBLE) / qty', 2)} AS price FROM p JOIN m ON p.product_id = m.product_id AND p.old = m.old AND sold_on = last_day AND sale_id = last_sale),
+rk AS (SELECT *, row_number() OVER (PARTITION BY product_id, sold_on ORDER BY price DESC, store_id DESC) AS k FROM c),
 tgt AS (SELECT * FROM rk WHERE k = 1 AND sold_on < DATE '1996-01-01'), srcs AS (SELECT * FROM rk WHERE k = 1 AND sold_on >= DATE '1996-01-01')"""
 
 
@@ -127,7 +130,7 @@ def only_new(t):
 
 
 @query("t10_history_and_latest", f"""
-WITH {_PRICES}, h AS (SELECT product_id, count(*) AS versions FROM p WHERE sold_on >= DATE '1996-01-01' OR (product_id, sold_on, sale_id, store_id, price) IN (SELECT product_id, sold_on, sale_id, store_id, price FROM tgt) GROUP BY 1)
+WITH {_PRICES}, h AS (SELECT product_id, CAST(sum(CASE WHEN old THEN 1 ELSE n END) AS BIGINT) AS versions FROM m GROUP BY 1)
 SELECT coalesce(s.product_id, g.product_id) AS product_id, coalesce(s.price, g.price) AS price, versions FROM tgt g FULL JOIN srcs s ON s.product_id = g.product_id
 JOIN h ON h.product_id = coalesce(s.product_id, g.product_id)""")
 def history_and_latest(t):

@@ -201,10 +201,10 @@ def topics(t):
 @query("d107_merge_payloads", f"""
 WITH {_PAYLOAD}, st AS (SELECT * FROM pay WHERE request_id % 3 = 0)
 SELECT request_id, status_code, 'stored' AS origin FROM st UNION ALL
-SELECT request_id, status_code, 'file' FROM pay WHERE request_id % 2 = 0 AND request_id NOT IN (SELECT request_id FROM st)""")
+SELECT request_id, status_code, 'file' FROM pay WHERE (request_id % 2 = 0 OR request_id % 3 <> 0) AND request_id NOT IN (SELECT request_id FROM st)""")
 def merge_payloads(t):
     p = _payloads(t)
     stored = p.filter("request_id % 3 = 0").withColumn("origin", F.lit("stored"))
-    files = p.filter("request_id % 2 = 0").withColumn("origin", F.lit("file"))
+    files = p.filter("request_id % 2 = 0 OR request_id % 3 <> 0").withColumn("origin", F.lit("file"))
     out = chat.merge_payloads(stored, files.unionByName(files), ["request_id", "request", "response", "chat_date"])
     return out.select("request_id", "status_code", "origin")
