@@ -29,6 +29,34 @@ def profile(df: DataFrame) -> DataFrame:
         F.round(F.col("uniqueness") / F.col("total"), 4).alias("uniqueness_share"))
 
 
+def sketch_profile(df: DataFrame, batch: Column, precision: int = 14) -> DataFrame:
+    """(column, batch, total, completeness, distinct, quantiles): what to store of a batch so that profiles merge. `distinct` is a HyperLogLog sketch of
+    2 ** precision registers, `quantiles` a KLL sketch of the values that are numbers. Sketches are made map-side; no value is shuffled."""
+    numeric = {f.name for f in df.schema if isinstance(f.dataType, T.NumericType)}
+    pairs = F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"),
+                 (F.col(c).cast("double") if c in numeric else F.lit(None).cast("double")).alias("number")) for c in df.columns]))
+    says = F.col("value").isNotNull() & ~F.trim("value").isin(BLANK)
+    return df.select(batch.alias("batch"), pairs).groupBy("column", "batch").agg(
+        F.count(F.lit(1)).alias("total"), F.count(F.when(says, 1)).alias("completeness"),
+        # by hash: the sketch of texts leaves out the empty one
+        F.hll_sketch_agg(F.when(F.col("value").isNotNull(), F.xxhash64("value")), F.lit(precision)).alias("distinct"),
+        F.when(F.count("number") > 0, F.kll_sketch_agg_double("number")).alias("quantiles"))
+
+
+def merged_profile(stored: DataFrame, points: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """The profile of all stored batches: rows, filled rows, about how many distinct values (to 3 % or so), and about the quantiles of numbers. Reads
+    sketches only; one list of them per column, as long as there are batches."""
+    merge = F.reduce(F.slice("q", 2, F.greatest(F.size("q") - 1, F.lit(0))), F.get("q", F.lit(0)), lambda a, b: F.kll_sketch_merge_double(a, b))
+    return (
+        stored.groupBy("column").agg(
+            F.sum("total").alias("total"), F.sum("completeness").alias("completeness"),
+            F.hll_sketch_estimate(F.hll_union_agg("distinct")).alias("uniqueness"), F.collect_list("quantiles").alias("q"))
+        .withColumn("_k", F.when(F.size("q") > 0, merge))
+        .withColumn("quantiles", F.when(F.col("_k").isNotNull(), F.array(*[F.kll_sketch_get_quantile_double("_k", F.lit(float(p))) for p in points])))
+        .drop("q", "_k"))
+
+
 def check_contract(df: DataFrame, contract: T.StructType) -> DataFrame:
     """Differences from the contract: columns added or removed, and over the data, per column of another
     type, values that cannot be cast, and nulls where the contract allows none. One pass over the data."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,6 +14,7 @@ from gondola.plans import inputs as src
 from gondola.plans.customers import COMPLETE
 from gondola.plans.inputs import HEADERS, PRODUCTS, as_doubles, r
 from gondola.plans.registry import query
+from gondola.session import lineage_cut
 
 
 def _profile_sql(frm: str, columns: list[str]) -> str:
@@ -28,6 +31,29 @@ def profile(t):
     return op.profile(people.complete(t).select(*_PERSON_COLUMNS))
 
 
+@query("t01_merged_profile", f"""
+WITH {COMPLETE}, x AS ({_profile_sql("complete", _PERSON_COLUMNS)})
+SELECT "column", total, completeness, true AS distinct_close, "column" IN ('customer_id', 'account_id') AS quantiles_close FROM x""")
+def merged_profile(t):
+    """The profile of a table from stored sketches of its batches, checked against the exact one: distinct values within 5 %, ranks of quantiles within 3 %."""
+    people_ = people.complete(t).select(*_PERSON_COLUMNS)
+    stored = lineage_cut(op.sketch_profile(people_, F.pmod(F.xxhash64("customer_id"), F.lit(8))))
+    points = (0.25, 0.5, 0.75)
+    merged = lineage_cut(op.merged_profile(stored, points))
+    exact = op.profile(people_).select("column", F.col("uniqueness").alias("distinct"))
+    close = F.abs(F.col("uniqueness") - F.col("distinct")) <= 0.05 * F.col("distinct") + 1
+    # two numeric columns: the shares of rows below and up to each quantile surround its point
+    numbers = ["customer_id", "account_id"]
+    flat = people_.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in numbers])))
+    met = flat.join(F.broadcast(merged.select("column", "quantiles")), "column").filter("v IS NOT NULL").groupBy("column").agg(*[
+        x for i, p in enumerate(points) for x in (F.avg((F.col("v") < F.col("quantiles")[i]).cast("double")).alias(f"lo{i}"),
+                                                  F.avg((F.col("v") <= F.col("quantiles")[i]).cast("double")).alias(f"hi{i}"))])
+    good = reduce(lambda a, b: a & b, [(F.col(f"lo{i}") <= p + 0.03) & (F.col(f"hi{i}") >= p - 0.03) for i, p in enumerate(points)])
+    ranks = met.select("column", good.alias("good"))
+    return merged.join(exact, "column").join(ranks, "column", "left").select(
+        "column", "total", "completeness", close.alias("distinct_close"), F.coalesce("good", F.lit(False)).alias("quantiles_close"))
+
+
 _CONTRACT = T.StructType([
     T.StructField("customer_id", T.LongType(), False), T.StructField("account_id", T.IntegerType()),
     T.StructField("tax_id", T.IntegerType()), T.StructField("sex", T.StringType(), False), T.StructField("loyalty", T.StringType())])

@@ -3,6 +3,8 @@ back from there."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from gondola.plans import inputs as src
@@ -72,6 +74,27 @@ def latest_partition(t):
     return readers.latest_partition(t.spark.read.parquet(path), "year")
 
 
+@query("s01_catalog_read", """
+SELECT c_custkey, c_mktsegment, count(o_orderkey) AS orders, CAST(coalesce(sum(CAST(o_totalprice AS DECIMAL(14,2))), 0) AS DOUBLE) AS total
+FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1, 2""")
+def catalog_read(t):
+    """Two tables of the catalog, bucketed by customer, joined and summed where they lie."""
+    return bucketed_totals(t, 16)
+
+
+def bucketed_totals(t, buckets: int):
+    names = {}
+    for name, key in (("customer", "c_custkey"), ("orders", "o_custkey")):
+        names[name] = f"gondola_{name}_{uuid.uuid4().hex}"
+        sinks.save_bucketed(t.read(name), names[name], [key], buckets, work_folder(t.spark, name))
+    customers, orders = (readers.table(t.spark, names[n]) for n in ("customer", "orders"))
+    joined = customers.select(F.col("c_custkey").alias("customer"), "c_mktsegment").hint("merge").join(
+        orders.select(F.col("o_custkey").alias("customer"), "o_orderkey", F.col("o_totalprice").cast("decimal(14,2)").alias("price")), "customer", "left")
+    out = joined.groupBy("customer", "c_mktsegment").agg(
+        F.count("o_orderkey").alias("orders"), F.coalesce(F.sum("price"), F.lit(0)).cast("double").alias("total"))
+    return out.withColumnRenamed("customer", "c_custkey")
+
+
 @query("s10_append_table", "SELECT c_mktsegment, count(*) AS customers FROM customer GROUP BY 1")
 def append_table(t):
     """Two appends into one table; the batch in between replaces nothing."""

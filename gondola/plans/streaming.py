@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gondola.plans.registry import query
 from gondola.streaming import incremental as op
+from gondola.streaming.merge_on_read import MergeTable, run_merge
 
 
 def _stream(t) -> DataFrame:
@@ -45,15 +46,25 @@ def sliding_totals(t):
     return _micros(out, "window_end").withColumn("total", F.col("total").cast("double"))
 
 
-@query("k04_cool_down", """
+_COOL_DOWN = """
 WITH RECURSIVE d AS (SELECT DISTINCT user_id AS account, CAST(ts AS DATE) AS day FROM events WHERE event_type = 'purchase'), s AS (SELECT *, row_number() OVER (PARTITION BY account ORDER BY day) AS i FROM d),
 w AS (SELECT account, i, day, day AS last, true AS paid FROM s WHERE i = 1 UNION ALL SELECT s.account, s.i, s.day, CASE WHEN s.day - w.last >= 7 THEN s.day ELSE w.last END, s.day - w.last >= 7 FROM w JOIN s ON s.account = w.account AND s.i = w.i + 1)
-SELECT account, day AS paid_on FROM w WHERE paid""")
+SELECT account, day AS paid_on FROM w WHERE paid"""
+
+
+@query("k04_cool_down", _COOL_DOWN)
 def cool_down(t):
     rows = _stream(t).filter("event_type = 'purchase'").select("user_id", F.to_date("ts").alias("day"))
     return op.run_append(op.pay_with_cool_down(rows, "user_id", "day"), op.work_folder(t.spark, "cooldown"))
 
 
+@query("k04_expiring_cool_down", _COOL_DOWN)
+def expiring_cool_down(t):
+    """The same with state that ends with the cool-down."""
+    rows = _stream(t).filter("event_type = 'purchase'").select("user_id", "ts", F.to_date("ts").alias("day"))
+    return op.run_append(op.pay_with_cool_down(rows, "user_id", "day", at="ts"), op.work_folder(t.spark, "timers"))
+
+
 @query("k05_capacity_left", """
 WITH x AS (SELECT date_trunc('hour', ts) AS h FROM events WHERE event_type = 'view'), y AS (SELECT h + to_hours(CAST(unnest(generate_series(1, 24)) AS INTEGER)) AS e FROM x)
 SELECT epoch_us(e) AS window_end, count(*) AS sent, greatest(60 - count(*), 0) AS "left" FROM y GROUP BY 1""")
@@ -63,8 +74,20 @@ def capacity_left(t):
     return _micros(out, "window_end")
 
 
-@query("k06_latest_upsert", """
-SELECT user_id, arg_max(event_type, (ts, event_id)) AS event_type, arg_max(value, (ts, event_id)) AS value, epoch_us(max(ts)) AS ts FROM events GROUP BY 1""")
+_LATEST = """
+SELECT user_id, arg_max(event_type, (ts, event_id)) AS event_type, arg_max(value, (ts, event_id)) AS value, epoch_us(max(ts)) AS ts FROM events GROUP BY 1"""
+
+
+@query("k06_merge_on_read", _LATEST)
+def latest_merge(t):
+    """Batches append deltas, readers merge them."""
+    folder, columns = op.work_folder(t.spark, "merge"), ["user_id", "event_type", "value", "ts", "event_id"]
+    rows = _stream(t).select(*columns)
+    table = MergeTable(t.spark, f"{folder}/table", rows.schema, ["user_id"], [F.desc("ts"), F.desc("event_id")])
+    return _micros(run_merge(rows, table, f"{folder}/state"), "ts").drop("event_id")
+
+
+@query("k06_latest_upsert", _LATEST)
 def latest_upsert(t):
     columns = ["user_id", "event_type", "value", "ts", "event_id"]
     rows = _stream(t).select(*columns)

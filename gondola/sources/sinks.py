@@ -17,6 +17,15 @@ def save_table(df: DataFrame, name: str, mode: str = "append", partition_by: Seq
     writer.saveAsTable(name)
 
 
+def save_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int, path: str, mode: str = "overwrite") -> None:
+    """A catalog table of which every task reads one bucket of `keys`, sorted by them, so that tables of as many buckets join and group by these keys
+    without a shuffle. Files lie in `path`."""
+    keys = list(keys)
+    # a file per bucket: rows are brought to where their bucket is written
+    spread = df.repartition(buckets, *keys)
+    spread.write.mode(mode).bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
+
+
 def save_partitions(df: DataFrame, path: str, partition_by: Sequence[str], mode: str = "append") -> None:
     """Append to, or replace only the touched partitions of, a partitioned folder. Rows are spread by their
     partition columns and a hash, so a large partition is written by several tasks."""

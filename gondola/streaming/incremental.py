@@ -6,7 +6,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator, Sequence
-from datetime import date, timedelta
+from datetime import date, datetime, time, timedelta, timezone
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -110,10 +110,14 @@ def capacity_left(stream: DataFrame, at: str, cap: int, width: str = "24 hours",
     return sent.select(F.col("w.end").alias("window_end"), "sent", F.greatest(F.lit(cap) - F.col("sent"), F.lit(0)).alias("left"))
 
 
-def cool_down(days: int) -> Callable:
-    """State function for `pay_with_cool_down`: keeps the day of the last payment per account."""
+def cool_down(days: int, expires: bool = False) -> Callable:
+    """State function for `pay_with_cool_down`: keeps the day of the last payment per account; where it `expires`, until the cool-down is over and
+    no earlier row can come."""
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         seen: set[date] = set()
         for pdf in batches:  # at most one entry per calendar day is kept
             seen.update(pdf["day"])
@@ -125,14 +129,22 @@ def cool_down(days: int) -> Callable:
                 last = day
         if paid:
             state.update((last.toordinal(),))
+        if expires and last is not None:
+            # a timer has to lie behind the watermark: the state of an account that could be paid again anyway goes with the next one
+            over = int(datetime.combine(last + timedelta(days=days), time(), timezone.utc).timestamp() * 1000)
+            state.setTimeoutTimestamp(max(over, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame({"account": [key[0]] * len(paid), "paid_on": paid})
 
     return step
 
 
-def pay_with_cool_down(stream: DataFrame, account: str, day: str, days: int = 7) -> DataFrame:
+def pay_with_cool_down(stream: DataFrame, account: str, day: str, days: int = 7, at: str | None = None, late: str = "1 day") -> DataFrame:
     """(account, paid_on): the first qualifying day of an account and every later one at least `days` after
-    the last payment. Days up to the last payment that arrive late change nothing."""
+    the last payment. Days up to the last payment that arrive late change nothing. With `at`, the UTC time of an event (`day` is its date), rows that are
+    more than `late` behind are left out, and the state of an account goes when the watermark is past its cool-down; without, it stays."""
     schema = f"account {stream.schema[account].dataType.simpleString()}, paid_on date"
-    return stream.select(F.col(account).alias("account"), F.col(day).alias("day")).groupBy("account").applyInPandasWithState(
-        cool_down(days), schema, "last int", "append", "NoTimeout")
+    if at is None:
+        return stream.select(F.col(account).alias("account"), F.col(day).alias("day")).groupBy("account").applyInPandasWithState(
+            cool_down(days), schema, "last int", "append", "NoTimeout")
+    timed = stream.select(F.col(account).alias("account"), F.col(day).alias("day"), F.col(at).alias("at")).withWatermark("at", late)
+    return timed.groupBy("account").applyInPandasWithState(cool_down(days, True), schema, "last int", "append", "EventTimeTimeout")
