@@ -9,8 +9,10 @@ shingles for its smallest item. Hits are verified by exact containment on word t
 The items are the stated query set: they go to the tasks in blocks of at most `block_items`, and each block is one pass
 over whole documents without a shuffle.
 
-Defined results: words are lower-cased for A-Z only; an item or document of fewer words than a shingle is one shingle, its whole
-sequence; null or empty items match nothing, null or empty documents hold nothing; equal items (id and text) count once, other
+Items shorter than a shingle are partitioned by their number of words, and each such partition is searched with shingles of that length, so a short item
+is found wherever it stands in a long document.
+
+Defined results: words are lower-cased for A-Z only; an item of fewer words than a shingle is one shingle, its whole sequence; null or empty items match nothing, null or empty documents hold nothing; equal items (id and text) count once, other
 repeated ids and all repeated documents are searched each on their own; empty tables give an empty result.
 """
 
@@ -42,10 +44,9 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _windows(ids: np.ndarray, shingle: int) -> np.ndarray:
-    """Hash values of the shingles whose words are all known."""
-    width = min(shingle, len(ids))
-    if not width:
+def _windows(ids: np.ndarray, width: int) -> np.ndarray:
+    """Hash values of the runs of `width` words that are all known."""
+    if len(ids) < width:
         return np.zeros(0, dtype=np.uint64)
     count = len(ids) - width + 1
     known = ids >= 0
@@ -59,15 +60,16 @@ def _windows(ids: np.ndarray, shingle: int) -> np.ndarray:
     return _mixed(value)
 
 
-def _tuples(ids, shingle: int) -> set[tuple]:
-    width = min(shingle, len(ids))
-    return set(zip(*[ids[k:] for k in range(width)])) if width else set()
+def _tuples(ids, width: int) -> set[tuple]:
+    return set(zip(*[ids[k:] for k in range(width)]))
 
 
 @dataclass
 class Part:
-    """Items of one size partition: the least number of shingles a document needs, and sorted signature values with their item."""
+    """Items of one size partition: the words of a shingle, the least number of shingles a document needs, and sorted signature values with
+    their item."""
 
+    width: int
     least: int
     values: np.ndarray
     owners: np.ndarray
@@ -81,6 +83,7 @@ class Search:
     shingle: int
     vocabulary: dict[bytes, int] = field(default_factory=dict)
     ids: list = field(default_factory=list)
+    widths: list[int] = field(default_factory=list)
     shingles: list[frozenset] = field(default_factory=list)
     parts: list[Part] = field(default_factory=list)
 
@@ -92,19 +95,24 @@ class Search:
         """item_id, shared and shingles of every item that the text contains."""
         words = words_of(text)
         ids = np.fromiter(map(self.vocabulary.get, words, repeat(-1)), dtype=np.int64, count=len(words))
-        values = np.unique(_windows(ids, self.shingle))
-        room = max(1, len(words) - self.shingle + 1)
+        by_width: dict[int, np.ndarray] = {}
         hits: set[int] = set()
         for part in self.parts:
-            if len(values) and room >= part.least:
+            if len(words) - part.width + 1 < part.least:
+                continue
+            if part.width not in by_width:
+                by_width[part.width] = np.unique(_windows(ids, part.width))
+            values = by_width[part.width]
+            if len(values):
                 at = np.minimum(np.searchsorted(part.values, values), len(part.values) - 1)
                 for value in values[part.values[at] == values]:
                     a, b = np.searchsorted(part.values, value), np.searchsorted(part.values, value, side="right")
                     hits.update(part.owners[a:b].tolist())
         if not hits:
             return []
-        held = _tuples(ids.tolist(), self.shingle)
-        shared = {i: len(self.shingles[i] & held) for i in hits}
+        listed = ids.tolist()
+        held = {w: _tuples(listed, w) for w in {self.widths[i] for i in hits}}
+        shared = {i: len(self.shingles[i] & held[self.widths[i]]) for i in hits}
         return [
             {"item_id": self.ids[i], "shared": n, "shingles": len(self.shingles[i])}
             for i, n in sorted(shared.items()) if n >= self.needed(len(self.shingles[i]))
@@ -114,23 +122,25 @@ class Search:
 def search(items: list[tuple], threshold: float = 0.8, shingle: int = 5) -> Search:
     """Prepares distinct (item_id, text) rows."""
     out = Search(threshold, shingle)
-    sizes: dict[int, list[tuple[int, np.ndarray]]] = defaultdict(list)
+    sizes: dict[tuple[int, int], list[tuple[int, np.ndarray]]] = defaultdict(list)
     for item_id, text in sorted(set(items), key=lambda r: (str(r[0]), r[1] or "")):
         words = words_of(text)
         if not words:
             continue
         ids = [out.vocabulary.setdefault(w, len(out.vocabulary)) for w in words]
-        held = frozenset(_tuples(ids, shingle))
+        width = min(shingle, len(ids))
+        held = frozenset(_tuples(ids, width))
         n = len(held)
-        signature = np.unique(_windows(np.array(ids, dtype=np.int64), shingle))[: n - out.needed(n) + 1]
-        sizes[n.bit_length()].append((len(out.ids), signature))
+        signature = np.unique(_windows(np.array(ids, dtype=np.int64), width))[: n - out.needed(n) + 1]
+        sizes[width, n.bit_length()].append((len(out.ids), signature))
         out.ids.append(item_id)
+        out.widths.append(width)
         out.shingles.append(held)
-    for bits, members in sorted(sizes.items()):
+    for (width, bits), members in sorted(sizes.items()):
         values = np.concatenate([s for _, s in members])
         owners = np.concatenate([np.full(len(s), i) for i, s in members])
         order = np.argsort(values, kind="stable")
-        out.parts.append(Part(out.needed(1 << (bits - 1)), values[order], owners[order]))
+        out.parts.append(Part(width, out.needed(1 << (bits - 1)), values[order], owners[order]))
     return out
 
 

@@ -58,20 +58,25 @@ def normalised(line: Column) -> Column:
 
 
 def line_rules(
-    docs: DataFrame, host: str = "source", share: float = 0.05, at_least: int = 20, keep_share: float = 0.3,
+    docs: DataFrame, host: str = "source", share: float = 0.05, at_least: int = 20, limit: int = 200, line_words: int = 3, keep_share: float = 0.3,
     min_words: int = 50, max_repeated: int = 50,
 ) -> DataFrame:
     """Every document once, with its measures, `n_line_words` (words in removed lines), `base_failed` and `kept`.
 
-    A line is removed when more than `share` of the documents of its host, and more than `at_least`, hold it. A document
+    A line is removed when more than `share` of the documents of its host, and more than `at_least`, hold it; lines of `line_words` words or more also
+    when more than `limit` documents of the host hold them, however large the host is. A document
     is rejected when it fails the base rules (under `min_words` words, or over `max_repeated` percent of words in
     repeated windows) or when less than `keep_share` of its words stay."""
     rows = lineage_cut(measures(docs, host).withColumn("row", F.monotonically_increasing_id()))
     key = F.coalesce(F.concat(F.lit("="), F.col("host")), F.lit("")).alias("host_key")  # null is a host, too
     hosts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("host_docs"))
-    held = rows.select(key, F.explode(F.array_distinct(F.transform("lines", lambda x: x["line"]))).alias("line"))
-    counted = held.groupBy("host_key", "line").agg(F.count(F.lit(1)).alias("docs")).filter(F.col("docs") > at_least)
-    common = counted.join(hosts, "host_key").filter(F.col("docs") > F.col("host_docs") * share).select("host_key", "line")
+    # equal lines have equally many words
+    held = rows.select(key, F.explode(F.array_distinct("lines")).alias("x")).select("host_key", "x.line", "x.words")
+    counted = held.groupBy("host_key", "line").agg(F.count(F.lit(1)).alias("docs"), F.max("words").alias("words"))
+    counted = counted.filter(F.col("docs") > min(at_least, limit))
+    over = (F.col("docs") > at_least) & (F.col("docs") > F.col("host_docs") * share)
+    over = over | ((F.col("docs") > limit) & (F.col("words") >= line_words))
+    common = counted.join(hosts, "host_key").filter(over).select("host_key", "line")
     lines = rows.select("row", key, F.explode("lines").alias("x")).select("row", "host_key", F.col("x.line"), F.col("x.words"))
     lost = lines.join(common, ["host_key", "line"]).groupBy("row").agg(F.sum("words").alias("lost"))
     failed = (F.col("n_words") < min_words) | (F.col("n_repeat_words") * 100 > F.col("n_words") * max_repeated)

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -169,11 +170,22 @@ class Patterns:
         base = base_spans(text)
         if not self.kinds:
             return base, base
-        out = list(base)
+        # what is covered, as stretches that do not touch each other's inside, by start
+        starts, ends = [], []
+        for a, b, _ in base:
+            if ends and a < ends[-1]:
+                ends[-1] = max(ends[-1], b)
+            else:
+                starts.append(a)
+                ends.append(b)
+        added = []
         for _, span in self.instances(text):
-            if all(span[1] <= a or b <= span[0] for a, b, _ in out):
-                out.append(span)
-        return base, sorted(out, key=lambda s: (s[0], s[2]))
+            at = bisect_right(starts, span[0])
+            if (at == 0 or ends[at - 1] <= span[0]) and (at == len(starts) or span[1] <= starts[at]):
+                starts.insert(at, span[0])
+                ends.insert(at, span[1])
+                added.append(span)
+        return base, sorted([*base, *added], key=lambda s: (s[0], s[2]))
 
 
 def candidates(docs: DataFrame, least: float, text: str) -> DataFrame:

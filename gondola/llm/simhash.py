@@ -115,19 +115,22 @@ def hex_digits(fp: Column) -> Column:
 
 
 def one_of_each(docs: DataFrame, shingle: int = 3, most_bits: int = 2) -> DataFrame:
-    """The documents of `docs`, all columns, one of each class: that with the smallest id (null ids last), and of several rows
-    with this id, one chosen by a hash of its text."""
-    id_key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    hashed = docs.withColumn("__copy", F.xxhash64("text")).withColumn("__id", id_key)
-    marks = near_copies(hashed, ["doc_id", "__id", "__copy"], shingle, most_bits)
-    first = F.row_number().over(
-        Window.partitionBy("component_id").orderBy(F.col("doc_id").asc_nulls_last(), "__copy"))
+    """The documents of `docs`, all columns, one of each class: that with the smallest id (null ids last). Of several rows with this id, the one whose text has the
+    smallest hash stays, and of rows with the same id and text the one with the smallest hashes of all columns, so the choice does not depend on
+    partitions. Columns of any name are kept as they are."""
+    tag = "_"
+    while any(c.startswith(tag) for c in docs.columns):
+        tag += "_"
+    id_, copy, again, chosen_ = f"{tag}id", f"{tag}copy", f"{tag}again", f"{tag}chosen"
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    hashed = docs.withColumns({id_: F.coalesce(F.col("doc_id").cast("string"), F.lit("")), copy: F.xxhash64("text")})
+    marks = near_copies(hashed, ["doc_id", id_, copy], shingle, most_bits)
     # a class of null ids only has no component id: its rows are told apart by fingerprint
     marks = marks.withColumn("component_id", F.coalesce(F.col("component_id").cast("string"), hex_digits(F.col("fp"))))
-    chosen = marks.withColumn("__first", first).filter("__first = 1").select("__id", "__copy")
-    again = Window.partitionBy("__id", "__copy").orderBy(F.lit(0))
+    first = F.row_number().over(Window.partitionBy("component_id").orderBy(F.col("doc_id").asc_nulls_last(), copy))
+    chosen = marks.withColumn(chosen_, first).filter(F.col(chosen_) == 1).select(id_, copy)
+    of_equal = Window.partitionBy(id_, copy).orderBy(F.xxhash64(*columns), F.xxhash64(F.lit(1), *columns))
     return (
-        hashed.join(chosen.distinct(), ["__id", "__copy"])
-        .withColumn("__again", F.row_number().over(again)).filter("__again = 1")
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
+        hashed.join(chosen.distinct(), [id_, copy])
+        .withColumn(again, F.row_number().over(of_equal)).filter(F.col(again) == 1).select(*columns)
     )

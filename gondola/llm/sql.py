@@ -45,8 +45,8 @@ lw AS (
 dup AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM lw GROUP BY r),
 hosts AS (SELECT source, count(*) AS docs FROM d GROUP BY source),
 common AS (
-  SELECT c.source, c.norm FROM (SELECT source, norm, count(DISTINCT r) AS docs FROM lw GROUP BY source, norm) c
-  JOIN hosts h ON c.source IS NOT DISTINCT FROM h.source WHERE c.docs > 20 AND c.docs > h.docs * 0.05),
+  SELECT c.source, c.norm FROM (SELECT source, norm, count(DISTINCT r) AS docs, max(words) AS words FROM lw GROUP BY source, norm) c
+  JOIN hosts h ON c.source IS NOT DISTINCT FROM h.source WHERE (c.docs > 20 AND c.docs > h.docs * 0.05) OR (c.docs > 200 AND c.words >= 3)),
 lost AS (
   SELECT r, sum(words) AS n FROM lw JOIN common c ON lw.norm = c.norm AND lw.source IS NOT DISTINCT FROM c.source GROUP BY r),
 m AS (
@@ -73,13 +73,14 @@ WITH words AS (
   SELECT 'i', CAST(row_number() OVER () AS BIGINT), item_id,
          regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+')
   FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL)),
+sizes AS (SELECT DISTINCT least(len(w), 5) AS width FROM words WHERE side = 'i' AND len(w) > 0),
 s AS (
-  SELECT DISTINCT side, r, id, array_to_string(w[k:k + 4], ' ') AS gram
-  FROM (SELECT *, unnest(range(1, greatest(2, len(w) - 3))) AS k FROM words WHERE len(w) > 0)),
+  SELECT DISTINCT side, r, id, width, array_to_string(w[k:k + width - 1], ' ') AS gram
+  FROM (SELECT *, unnest(range(1, len(w) - width + 2)) AS k FROM words JOIN sizes ON CASE WHEN side = 'i' THEN width = least(len(w), 5) ELSE len(w) >= width END)),
 n AS (SELECT r, count(*) AS n FROM s WHERE side = 'i' GROUP BY r),
 m AS (
   SELECT d.r AS dr, d.id AS doc_id, i.r AS ir, i.id AS item_id, count(*) AS shared
-  FROM s d JOIN s i ON d.gram = i.gram WHERE d.side = 'd' AND i.side = 'i' GROUP BY ALL)
+  FROM s d JOIN s i ON d.gram = i.gram AND d.width = i.width WHERE d.side = 'd' AND i.side = 'i' GROUP BY ALL)
 SELECT doc_id, item_id, CAST(shared AS INTEGER) AS shared, CAST(n AS INTEGER) AS shingles, shared / n AS containment
 FROM m JOIN n ON m.ir = n.r WHERE shared >= ceil(round(0.8 * n, 9))
 """

@@ -9,7 +9,7 @@ expectation is low. A text's score is the logistic of a fit on the evidence of i
 expectation, over labelled texts that were left out of the counts.
 
 Training uses a bounded, documented number of labelled rows. Spark counts in how many texts each token occurs; only tokens
-of at least `least_share` of the toxic texts come back. Scoring reads every whole text once, without a shuffle.
+of at least `least` toxic texts (a fixed number) come back. Scoring reads every whole text once, without a shuffle.
 
 Defined results: a null or empty text has no passage and the score of a text without evidence; null ids and repeated rows are
 scored like others; without labelled rows of both kinds all scores are 0.
@@ -152,7 +152,7 @@ def _held(sample: DataFrame, wanted: set[bytes] | None = None) -> tuple[DataFram
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, fold: int = 4, held_out: int = 2, least_share: float = 0.005
+    docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, fold: int = 4, held_out: int = 2, least: int = 3
 ) -> Detector:
     """A detector from at most `sample_rows` labelled documents outside the held-out fold: two thirds are counted, one
     third calibrates."""
@@ -161,8 +161,7 @@ def train(
     counted = F.pmod(F.xxhash64("text", F.lit(11)), F.lit(3)) != 0
     toxic_texts = sample.filter(counted & (F.col("label") == 1))
     rows, n_toxic = _held(toxic_texts)
-    floor = max(3.0, least_share * toxic_texts.count())
-    toxic = {bytes(r["unit"]): r["n"] for r in rows.filter(F.col("n") >= floor).collect()}
+    toxic = {bytes(r["unit"]): r["n"] for r in rows.filter(F.col("n") >= least).collect()}
     rows, n_clean = _held(sample.filter(counted & (F.col("label") != 1)), set(toxic))
     if not n_toxic or not n_clean:
         return Detector({})

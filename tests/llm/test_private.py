@@ -115,3 +115,21 @@ def test_many_delimiters_take_linear_time():
     patterns = Patterns({"p tel=": (3,), "1 a": (0, 3)})
     for text in ("a=1&" * 100_000, "1" + "(" * 200_000, "1=" * 100_000 + "@", "a " * 100_000 + "1", "@=" * 100_000):
         assert isinstance(patterns.spans(text)[1], list) and patterns.counts(text) is not None
+
+
+def test_many_discovered_spans_take_linear_time():
+    """A long table of numbers behind a pattern; overlaps are left out as by comparing all pairs."""
+    import time
+
+    known = Patterns({"p tel:": (3,), "1 tel": (3,)})
+    text = " ".join(f"tel:0301{i:06d}" for i in range(100_000))
+    start = time.perf_counter()
+    base, every = known.spans(text)
+    assert len(every) == 100_000 and not base and time.perf_counter() - start < 20
+    mixed = " ".join(["tel:+49 30 123456789", "tel 0301234567 tel:0301234567", "a@b.de tel:0301 234 567 1.2.3.4"] * 20)
+    base, every = known.spans(mixed)
+    out = list(base)
+    for _, span in known.instances(mixed):
+        if all(span[1] <= a or b <= span[0] for a, b, _ in out):
+            out.append(span)
+    assert every == sorted(out, key=lambda s: (s[0], s[2])) and len(every) > len(base)

@@ -76,3 +76,12 @@ def test_classes_and_defined_cases(documents):
     kept = one_of_each(documents(rows)).collect()
     assert sorted((r["doc_id"] for r in kept), key=str) == sorted([0, 3, 4, 5, 6, 8, 9, 10, 11, 12, None], key=str)
     assert near_copies(documents([])).collect() == [] and one_of_each(documents([])).collect() == []
+
+
+def test_one_of_equal_rows_is_the_same_under_every_partitioning(documents):
+    rows = [(1, "the same text in all of these rows", f"s{i}") for i in range(6)] + [(2, "quite another text with other words here", "x")]
+    df = documents(rows).withColumn("__copy", F.lit("mine")).withColumn("__id", F.lit(7)).withColumn("_x", F.lit(None).cast("string"))
+    kept = {tuple(sorted(map(str, one_of_each(df.repartition(n, "source")).collect()))) for n in (1, 2, 5)}
+    assert len(kept) == 1 and len(next(iter(kept))) == 2
+    out = one_of_each(df)
+    assert out.columns == df.columns and out.select("__copy", "__id").distinct().collect() == [("mine", 7)]
