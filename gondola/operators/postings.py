@@ -53,7 +53,6 @@ def indexed(
     part = F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("size") / F.lit(mean)))
     rows = written.filter("term <> ''").select("term", "id", part.alias("part")).withColumn(
         "tier", F.floor(F.col("part") * (tiers / (k1 + 1))).cast("int"))
-    rows = lineage_cut(rows)
     blocks = lineage_cut(rows.groupBy("term", "tier").agg(F.count(F.lit(1)).alias("n"), F.max("part").alias("top")))
     df = blocks.groupBy("term").agg(F.sum("n").alias("df"))
     idf = F.log(1 + (F.lit(facts["n"]) - F.col("df") + 0.5) / (F.col("df") + 0.5))
