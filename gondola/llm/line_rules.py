@@ -70,15 +70,13 @@ def line_rules(
     rows = lineage_cut(measures(docs, host).withColumn("row", F.monotonically_increasing_id()))
     key = F.coalesce(F.concat(F.lit("="), F.col("host")), F.lit("")).alias("host_key")  # null is a host, too
     hosts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("host_docs"))
-    # equal lines have equally many words
-    held = rows.select(key, F.explode(F.array_distinct("lines")).alias("x")).select("host_key", "x.line", "x.words")
-    counted = held.groupBy("host_key", "line").agg(F.count(F.lit(1)).alias("docs"), F.max("words").alias("words"))
-    counted = counted.filter(F.col("docs") > min(at_least, limit))
-    over = (F.col("docs") > at_least) & (F.col("docs") > F.col("host_docs") * share)
-    over = over | ((F.col("docs") > limit) & (F.col("words") >= line_words))
-    common = counted.join(hosts, "host_key").filter(over).select("host_key", "line")
+    held = rows.select(key, F.explode(F.array_distinct(F.transform("lines", lambda x: x["line"]))).alias("line"))
+    counted = held.groupBy("host_key", "line").agg(F.count(F.lit(1)).alias("docs")).filter(F.col("docs") > min(at_least, limit))
+    by_share = ((F.col("docs") > at_least) & (F.col("docs") > F.col("host_docs") * share)).alias("by_share")
+    common = counted.join(hosts, "host_key").select("host_key", "line", by_share, (F.col("docs") > limit).alias("by_limit")).filter("by_share or by_limit")
     lines = rows.select("row", key, F.explode("lines").alias("x")).select("row", "host_key", F.col("x.line"), F.col("x.words"))
-    lost = lines.join(common, ["host_key", "line"]).groupBy("row").agg(F.sum("words").alias("lost"))
+    over = F.col("by_share") | (F.col("words") >= line_words)
+    lost = lines.join(common, ["host_key", "line"]).filter(over).groupBy("row").agg(F.sum("words").alias("lost"))
     failed = (F.col("n_words") < min_words) | (F.col("n_repeat_words") * 100 > F.col("n_words") * max_repeated)
     stays = (F.col("n_words") - F.col("n_line_words")) >= F.col("n_words") * keep_share
     return (
