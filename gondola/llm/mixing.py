@@ -13,7 +13,7 @@ Joins of exploded rows are asked to merge: their size is guessed from the few ro
 chosen by that guess would grow with the corpus.
 
 Defined results: null or empty texts have size 0 and are taken 0 times; a null source is a source of its own, last in
-order; null ids are allowed; repeated rows are separate documents; an empty table gives an empty mix.
+order; null ids are allowed; repeated rows are separate documents, which follow each other on the line; an empty table gives an empty mix.
 """
 
 from __future__ import annotations
@@ -130,28 +130,44 @@ def schedule(targets: DataFrame, block: int = 256) -> DataFrame:
 
 
 def placed(sizes: DataFrame, targets: DataFrame) -> DataFrame:
-    """Documents with `source_no` and `start`, the words of their source that lie before them on its line."""
-    numbered = sizes.join(targets, sizes["source"].eqNullSafe(targets["source"])).drop(targets["source"])
+    """Lines of equal documents (same source, id, text): `copies` of them follow each other on the line of their source from `start` on, the
+    words that lie before them. Copies are folded before the sort, so that a row repeated very often is one row of it."""
+    folded = sizes.groupBy("source", "doc_id", "size", "place").agg(F.count(F.lit(1)).alias("copies"))
+    numbered = folded.join(targets, folded["source"].eqNullSafe(targets["source"])).drop(targets["source"])
     numbered = numbered.withColumn("slice", F.substring("place", 1, 4)).withColumn("broad", F.substring("place", 1, 2))
+    words = F.col("size") * F.col("copies")
     inside = Window.partitionBy("source_no", "broad", "slice").orderBy("place", "doc_id", "size").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     return (
-        numbered.withColumn("upto", F.sum("size").over(inside))
-        .join(_ahead(numbered, F.col("size")).hint("merge"), ["source_no", "broad", "slice"])
-        .withColumn("start", F.col("before") + F.col("upto") - F.col("size")).drop("slice", "broad", "place", "upto", "before")
+        numbered.withColumn("upto", F.sum(words).over(inside))
+        .join(_ahead(numbered, words).hint("merge"), ["source_no", "broad", "slice"])
+        .withColumn("start", F.col("before") + F.col("upto") - words).drop("slice", "broad", "place", "upto", "before")
     )
 
 
+def unfolded(lines: DataFrame) -> DataFrame:
+    """One row per document from `placed` lines, each with its own `start`; long runs of copies are listed by several tasks."""
+    few = lines.filter(F.col("copies") <= CHUNK).withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+    runs = lines.filter(F.col("copies") > CHUNK).withColumn(
+        "run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / CHUNK)))).repartition("source_no", "start", "doc_id", "run")
+    begin = F.col("run") * CHUNK
+    many = runs.withColumn("copy", F.explode(F.sequence(begin, F.least(begin + CHUNK, F.col("copies")) - 1))).drop("run")
+    return few.unionByName(many).withColumn("start", F.col("start") + F.col("copy") * F.col("size")).drop("copy", "copies")
+
+
 def mix(
     docs: DataFrame, source: str = "source", weights: Sequence[int] = (1, 2, 3), limit: int = 3, block: int = 256
 ) -> DataFrame:
     """Every document once: doc_id, source, size, source_size, target, taken (words that the scheduled slots take from
-    it, repeats counted). Each source takes its target, rounded to a word."""
+    it, repeats counted), first_slot (the place `at` in the mix of the first slot that takes words from it; null if none does). Each source takes
+    its target, rounded to a word."""
     sizes = lineage_cut(sized(docs, source))
     targets = lineage_cut(source_targets(sizes, weights, limit))
+    cut = F.col("cut")
     used = schedule(targets, block).groupBy("source_no", "block_no").agg(
-        F.count(F.when(~F.col("cut"), 1)).alias("times"), F.max(F.when(F.col("cut"), F.col("words")).otherwise(0)).alias("part"))
-    rows = lineage_cut(placed(sizes, targets))
+        F.count(F.when(~cut, 1)).alias("times"), F.max(F.when(cut, F.col("words")).otherwise(0)).alias("part"),
+        F.min(F.when(~cut, F.col("at"))).alias("whole_at"), F.min(F.when(cut, F.col("at"))).alias("part_at"))
+    rows = unfolded(lineage_cut(placed(sizes, targets)))
     end = F.col("start") + F.col("size")
     pieces = rows.filter(F.col("size") > 0).withColumn(
         "block_no", F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((end - 1) / block))))
@@ -159,10 +175,11 @@ def mix(
     over = F.least(end, (F.col("block_no") + 1) * block) - low
     in_part = F.greatest(F.lit(0), F.least(end, F.col("block_no") * block + F.col("part")) - low)
     taken = pieces.join(used.hint("merge"), ["source_no", "block_no"]).select(
-        "source_no", "start", (over * F.col("times") + in_part).alias("taken"))
+        "source_no", "start", (over * F.col("times") + in_part).alias("taken"),
+        F.least("whole_at", F.when(in_part > 0, F.col("part_at"))).alias("at"))
     # a document with words is alone at its start on the line of its source
-    taken = taken.groupBy("source_no", "start").agg(F.sum("taken").alias("taken"))
+    taken = taken.groupBy("source_no", "start").agg(F.sum("taken").alias("taken"), F.min("at").alias("first_slot"))
     taken = taken.withColumn("some", F.lit(True))
     out = rows.withColumn("some", F.col("size") > 0).join(taken, ["source_no", "start", "some"], "left")
     return out.select(
-        "doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+        "doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "first_slot")

@@ -47,7 +47,7 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op3_mix_sources", sql.MIX)
 def op3(spark: SparkSession, folder: str) -> DataFrame:
-    return mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken", "first_slot")
 
 
 @query("op4_private")

@@ -16,15 +16,33 @@ p AS (
   SELECT *, CAST(words - sum(CASE WHEN is_full THEN most ELSE 0 END) OVER () AS DOUBLE)
             / CAST(sum(CASE WHEN is_full THEN 0 ELSE weight END) OVER () AS DOUBLE) AS part
   FROM o),
-t AS (SELECT source, source_size, CASE WHEN is_full THEN CAST(most AS DOUBLE) ELSE part * weight END AS target FROM p),
+t AS (SELECT source, no, source_size, CASE WHEN is_full THEN CAST(most AS DOUBLE) ELSE part * weight END AS target FROM p),
 l AS (
-  SELECT d.doc_id, d.size, t.source_size, t.target, CAST(floor(t.target + 0.5) AS BIGINT) AS goal,
-         sum(d.size) OVER (PARTITION BY d.source ORDER BY place, doc_id, d.size ROWS UNBOUNDED PRECEDING) - d.size AS start
-  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+  SELECT d.doc_id, d.size, t.no, t.source_size, t.target, CAST(floor(t.target + 0.5) AS BIGINT) AS goal,
+         row_number() OVER () AS r,
+         CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY place, doc_id, d.size ROWS UNBOUNDED PRECEDING) - d.size AS BIGINT) AS start
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+-- the schedule: blocks of 256 words, their slots at reversed bits
+b AS (
+  SELECT no, source_size, goal // source_size AS passes, goal % source_size AS rest, (source_size + 255) // 256 AS blocks
+  FROM (SELECT *, CAST(floor(target + 0.5) AS BIGINT) AS goal FROM t WHERE source_size > 0)),
+c AS (SELECT *, passes * blocks + (rest + 255) // 256 AS slots FROM b),
+f AS (SELECT *, CAST(sum(slots) OVER (ORDER BY no) - slots AS BIGINT) AS before, CAST(sum(slots) OVER () AS BIGINT) AS total FROM c),
+e AS (SELECT *, CASE WHEN total < 2 THEN 0 ELSE length(ltrim(to_binary(total - 1), '0')) END AS bits FROM f),
+v AS (SELECT *, before + unnest(range(slots)) AS point FROM e),
+a AS (
+  SELECT *, CAST(coalesce(list_sum(list_transform(range(bits), lambda i: ((point >> i) & 1) << (bits - 1 - i))), 0) AS BIGINT) AS "at" FROM v),
+k AS (SELECT *, row_number() OVER (PARTITION BY no ORDER BY "at") - 1 AS place FROM a),
+q AS (
+  SELECT no, "at", place % blocks AS block, CASE WHEN place = slots - 1 AND rest > 0 THEN rest - place % blocks * 256 ELSE 256 END AS words FROM k),
+x AS (SELECT r, no, start, size, unnest(range(start // 256, (start + size - 1) // 256 + 1)) AS block FROM l WHERE size > 0),
+y AS (
+  SELECT x.r, min(q."at") AS first_slot FROM x JOIN q ON x.no = q.no AND x.block = q.block
+  WHERE x.start < q.block * 256 + q.words AND x.start + x.size > q.block * 256 GROUP BY x.r)
 SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
        CAST(CASE WHEN size = 0 THEN 0 ELSE goal // source_size * size
-            + greatest(0, least(start + size, goal % source_size) - start) END AS BIGINT) AS taken
-FROM l
+            + greatest(0, least(start + size, goal % source_size) - start) END AS BIGINT) AS taken, first_slot
+FROM l LEFT JOIN y USING (r)
 """
 
 LINE_RULES = r"""

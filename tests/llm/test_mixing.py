@@ -40,6 +40,29 @@ def test_targets_limits_and_defined_cases(documents):
     assert mix(documents([])).collect() == [] and [r["taken"] for r in mix(documents([(1, None), (2, "")])).collect()] == [0, 0]
 
 
+@pytest.mark.parametrize("block", [7, 64])
+def test_first_slot_is_where_the_schedule_first_takes_a_document(spark, documents, block):
+    docs = table(documents, 80).filter("doc_id is not null and doc_id < 1000")
+    slots = sorted((r["at"], r["source_no"], r["block_no"], r["words"]) for r in schedule(source_targets(sized(docs)), block).collect())
+    number = {s: i for i, s in enumerate(sorted({r["source"] for r in docs.collect()}, key=lambda s: (s is None, s or "")))}
+    lines = {}
+    for r in sorted(sized(docs).collect(), key=lambda r: (r["place"], r["doc_id"])):
+        lines.setdefault(number[r["source"]], []).extend([r["doc_id"]] * r["size"])
+    expected = {}
+    for at, source, no, words in slots:
+        for d in lines[source][no * block : no * block + words]:
+            expected.setdefault(d, at)
+    assert {r["doc_id"]: r["first_slot"] for r in mix(docs, block=block).collect() if r["first_slot"] is not None} == expected
+
+
+def test_very_long_texts_and_very_many_copies(documents, monkeypatch):
+    docs = documents([(1, "w " * 300_000, "a"), (2, "v", "a")] + [(7, "x y z", "b")] * 500 + [(8, "u " * 50, "c")])
+    expected = sorted(tuple(r) for r in mix(docs).collect())
+    assert len(expected) == 503 and sum(x[5] for x in expected if x[1] == "b") == math.floor(expected[2][4] + 0.5)
+    monkeypatch.setattr("gondola.llm.mixing.CHUNK", 16)
+    assert sorted(tuple(r) for r in mix(docs).collect()) == expected
+
+
 def test_schedule_is_a_low_discrepancy_sequence(spark, documents):
     targets = source_targets(sized(table(documents, 300)))
     block = 16
