@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gondola.plans.registry import query
 from gondola.streaming import incremental as op
 from gondola.streaming.merge_on_read import MergeTable, run_merge
+from gondola.streaming.sessions import SessionTable, run_sessions
 
 
 def _stream(t) -> DataFrame:
@@ -94,3 +95,17 @@ def latest_upsert(t):
     empty = t.events.limit(0).withColumn("ts", F.col("ts").cast("timestamp")).select(*columns)
     out = op.run_upsert(rows, op.work_folder(t.spark, "upsert"), ["user_id"], [F.desc("ts"), F.desc("event_id")], empty)
     return _micros(out, "ts").drop("event_id")
+
+
+@query("k07_sessions", """
+WITH s AS (SELECT *, CASE WHEN lag(ts) OVER o IS NULL OR ts - lag(ts) OVER o >= INTERVAL 2 DAY THEN 1 ELSE 0 END AS opens FROM events WINDOW o AS (PARTITION BY user_id ORDER BY ts)),
+n AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS no FROM (SELECT user_id, event_id, ts, value, CASE WHEN row_number() OVER (PARTITION BY user_id, ts ORDER BY event_id) = 1 THEN max(opens) OVER (PARTITION BY user_id, ts) ELSE 0 END AS opens FROM s)),
+g AS (SELECT user_id, no, epoch_us(min(ts)) AS started, epoch_us(max(ts)) AS ended, count(*) AS rows, CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS total FROM n GROUP BY 1, 2)
+SELECT user_id, started, ended, rows, total, ended + 172800000000 <= (SELECT epoch_us(max(ts)) FROM events) - 86400000000 AS closed FROM g""")
+def sessions(t):
+    """Visits of customers: less than two days between events, a day of tolerance for late ones."""
+    day = 86_400_000_000
+    rows = _stream(t).select("user_id", "ts", "value")
+    table = SessionTable(rows, op.work_folder(t.spark, "sessions"), "user_id", "ts", F.col("value").cast("decimal(12,2)"), 2 * day, day)
+    return run_sessions(rows, table).select(
+        F.col("key").alias("user_id"), F.col("start").alias("started"), F.col("last").alias("ended"), "rows", F.col("total").cast("double").alias("total"), "closed")
