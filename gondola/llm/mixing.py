@@ -167,7 +167,7 @@ def mix(
     used = schedule(targets, block).groupBy("source_no", "block_no").agg(
         F.count(F.when(~cut, 1)).alias("times"), F.max(F.when(cut, F.col("words")).otherwise(0)).alias("part"),
         F.min(F.when(~cut, F.col("at"))).alias("whole_at"), F.min(F.when(cut, F.col("at"))).alias("part_at"))
-    rows = unfolded(lineage_cut(placed(sizes, targets)))
+    rows = lineage_cut(unfolded(lineage_cut(placed(sizes, targets))))
     end = F.col("start") + F.col("size")
     pieces = rows.filter(F.col("size") > 0).withColumn(
         "block_no", F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((end - 1) / block))))
