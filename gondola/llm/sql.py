@@ -116,7 +116,7 @@ lines AS (
   FROM (SELECT *, string_split(text, chr(10)) AS x FROM d)),
 paragraphs AS (
   SELECT r, doc_id, 'paragraph' AS unit, x, generate_subscripts(x, 1) - 1 AS unit_no, unnest(x) AS body
-  FROM (SELECT *, regexp_split_to_array(text, '\n[ \t\r\x0B\x0C]*\n') AS x FROM d)),
+  FROM (SELECT *, regexp_split_to_array(text, '\n[\x00-\x09\x0B-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*\n') AS x FROM d)),
 units AS (
   SELECT r, doc_id, unit, unit_no, {fold % "body"} AS w FROM lines
   UNION ALL
@@ -128,7 +128,24 @@ u AS (SELECT DISTINCT r, doc_id, unit, unit_no, w[k] || ' ' || w[k + 1] AS pair
 t AS (SELECT DISTINCT name, w[k] || ' ' || w[k + 1] AS pair FROM (SELECT *, unnest(range(1, len(w))) AS k FROM known)),
 un AS (SELECT r, unit, unit_no, count(*) AS n FROM u GROUP BY ALL),
 tn AS (SELECT name, count(*) AS n FROM t GROUP BY ALL),
-m AS (SELECT r, doc_id, unit, unit_no, name, count(*) AS n FROM u JOIN t USING (pair) GROUP BY ALL)
+m AS (SELECT r, doc_id, unit, unit_no, name, count(*) AS n FROM u JOIN t USING (pair) GROUP BY ALL),
+-- windows of as many words as a template has, in texts that share enough of its bigrams
+tx AS (SELECT r, doc_id, {fold % "text"} AS w FROM d),
+g AS (SELECT r, i, w[i + 1] || ' ' || w[i + 2] AS pair FROM (SELECT r, w, unnest(range(len(w) - 1)) AS i FROM tx WHERE len(w) > 1)),
+c AS (
+  SELECT r, name FROM (SELECT DISTINCT r, pair FROM g) JOIN t USING (pair) JOIN tn USING (name)
+  GROUP BY r, name, tn.n HAVING count(*) >= tn.n * 0.8 / 1.2 - 1e-9),
+st AS (
+  SELECT c.r, tx.doc_id, c.name, len(tx.w) AS words, len(known.w) AS width, unnest(range(greatest(0, len(tx.w) - len(known.w)) + 1)) AS start
+  FROM c JOIN tx USING (r) JOIN known USING (name)),
+wp AS (SELECT r, doc_id, name, start, unnest(range(start, least(start + width, words) - 1)) AS i FROM st),
+wd AS (
+  SELECT wp.r, wp.doc_id, wp.name, wp.start, 2 * count(DISTINCT t.pair) / (count(DISTINCT g.pair) + any_value(tn.n)) AS dice
+  FROM wp JOIN g ON wp.r = g.r AND wp.i = g.i JOIN tn ON wp.name = tn.name LEFT JOIN t ON t.name = wp.name AND t.pair = g.pair GROUP BY ALL),
+runs AS (SELECT *, start - row_number() OVER (PARTITION BY r, name ORDER BY start) AS run FROM wd WHERE dice >= 0.8)
+SELECT doc_id, 'window' AS unit, CAST(arg_max(start, (dice, -start)) AS INTEGER) AS unit_no, name AS licence, max(dice) AS dice
+FROM runs GROUP BY r, doc_id, name, run
+UNION ALL
 SELECT m.doc_id, m.unit, CAST(m.unit_no AS INTEGER) AS unit_no, m.name AS licence, 2 * m.n / (un.n + tn.n) AS dice
 FROM m JOIN un ON m.r = un.r AND m.unit = un.unit AND m.unit_no = un.unit_no JOIN tn ON m.name = tn.name
 WHERE 2 * m.n / (un.n + tn.n) >= 0.8
