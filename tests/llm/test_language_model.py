@@ -96,3 +96,27 @@ def test_rare_pairs_count_and_the_hot_head_changes_nothing(documents):
     by_id = {r["doc_id"]: r["score"] for r in scored(documents(
         [(i, "the cat sat on the mat " * 20_000) for i in range(12)] + [(50 + i, rare) for i in range(6)] + [(90 + i, "lagoon heron") for i in range(1)])).collect()}
     assert by_id[50] > by_id[90] + 1
+
+
+def test_registered_settings_predict_held_out_texts_better_than_the_base(spark):
+    """All words and pairs: perplexity of the held-out documents, and every score again from the tables, token by token."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    got = {r["doc_id"]: r for r in scored(docs).collect()}
+    held = [r for r in got.values() if r["held_out"]]
+    n = sum(r["n_tokens"] for r in held)
+    model, base = (10 ** (-sum(r[c] for r in held) / n) for c in ("score", "base_score"))
+    assert model < 0.3 * base
+    settings = Settings()
+    counted = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7) != 2
+    learned, tables = trained(docs.select("text", "doc_id"), settings, counted)
+    words = {bytes(r["word"]): r for r in tables.words.collect()}
+    pairs = {(r["u"], r["w"]): (r["n"], r["t"]) for r in tables.pairs.collect()}
+    for r in docs.filter("doc_id % 7 < 2").select("doc_id", "text").collect():
+        total, before = 0.0, words[END]
+        for token in tokens(r["text"] or ""):
+            w = words[token]
+            p = before["back"] * (learned.unknown if w["parent"] is None else w["parent"])
+            count, seats = pairs.get((before["key"], w["key"]), (0, 0.0))
+            total += math.log10(p + (count - settings.discount * seats) / before["room"] if count else p)
+            before = w
+        assert abs(total - got[r["doc_id"]]["score"]) < 1e-6 * abs(total)

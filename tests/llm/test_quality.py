@@ -1,8 +1,11 @@
+import math
+import zlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gondola.llm.quality import FEATURES, features, fit, scored, train
+from gondola.llm.quality import FEATURES, _shallow_tree, features, fit, scored, train
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -51,3 +54,53 @@ def test_training_is_bounded_and_repeatable(spark):
     docs, labels = spark.read.parquet(f"{FOLDER}/documents.parquet"), spark.read.parquet(f"{FOLDER}/labels.parquet")
     a, b = train(docs, labels, 100), train(docs.repartition(7), labels.repartition(3), 100)
     assert all(np.array_equal(x, y) for x, y in zip(a.tables, b.tables))
+
+
+def test_scores_are_added_up_table_entries(spark):
+    """Every score of the query again, by walking over the edges of every table."""
+    docs, labels = spark.read.parquet(f"{FOLDER}/documents.parquet"), spark.read.parquet(f"{FOLDER}/labels.parquet")
+    model = train(docs, labels)
+    assert len(model.pairs) == 8 and len(model.tables) == len(FEATURES)
+
+    def plain(text):
+        x = features(text or "")
+        total = model.base
+        for f, table in enumerate(model.tables):
+            total += table[sum(1 for e in model.edges[f] if e <= x[f])]
+        for (a, b), table in zip(model.pairs, model.pair_tables):
+            total += table[sum(1 for e in model.coarse[a] if e <= x[a])][sum(1 for e in model.coarse[b] if e <= x[b])]
+        return 1 / (1 + math.exp(-total))
+
+    expected = {r["doc_id"]: plain(r["text"]) for r in docs.select("doc_id", "text").collect()}
+    got = scored(docs, labels).collect()
+    assert len(got) == len(expected)
+    for r in got:
+        assert abs(r["score"] - expected[r["doc_id"]]) < 1e-9 and r["predicted"] == int(r["score"] >= 0.3)
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
+
+
+def test_a_shallow_tree_takes_the_best_cuts():
+    """Both cuts against trying every place."""
+    rng = np.random.default_rng(11)
+
+    def worth(g, h):
+        return g.sum() ** 2 / (h.sum() + 5.0)
+
+    def cut(g, h):
+        return max(((worth(g[:i], h[:i]) + worth(g[i:], h[i:]) - worth(g, h), -i) for i in range(1, len(g))), default=(0.0, 0))
+
+    for _ in range(200):
+        g, h = rng.normal(size=rng.integers(2, 12)), rng.random(12)
+        h = h[: len(g)] + 0.01
+        gain, at = cut(g, h)
+        expected = np.zeros(len(g))
+        if gain > 0:
+            pieces = [slice(0, -at), slice(-at, len(g))]
+            again = [cut(g[p], h[p]) for p in pieces]
+            k = int(again[1][0] > again[0][0])
+            if again[k][0] > 0:
+                middle = pieces[k].start - again[k][1]
+                pieces[k : k + 1] = [slice(pieces[k].start, middle), slice(middle, pieces[k].stop)]
+            for p in pieces:
+                expected[p] = g[p].sum() / (h[p].sum() + 5.0)
+        assert np.allclose(_shallow_tree(g, h, 5.0), expected)
