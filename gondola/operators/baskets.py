@@ -46,11 +46,14 @@ def association_rules(
     Only pairs can make 1 -> 1 rules, so pairs are counted directly; items below the support floor are
     dropped first, because no pair can be more frequent than its items."""
     distinct = lines.select("sale_id", item).distinct()
-    sized = distinct.groupBy("sale_id").agg(F.count(F.lit(1)).alias("_k")).filter("_k >= 2").select("sale_id")
-    baskets = lineage_cut(distinct.join(sized, "sale_id", "left_semi"))
+    sized = distinct.groupBy("sale_id").agg(F.count(F.lit(1)).alias("_k")).filter("_k >= 2")
+    baskets = lineage_cut(distinct.join(sized, "sale_id"))
     counts = baskets.groupBy(item).agg(F.count(F.lit(1)).alias("n"))
     facts = counts.agg(F.sum("n").alias("entries"), F.count(F.lit(1)).alias("items")).head()  # one row
-    total = sized.count()
+    # k rows for every sale of k items
+    by_size = baskets.groupBy("_k").agg(F.count(F.lit(1)).alias("_rows"))
+    total = by_size.agg(F.sum(F.expr("_rows div _k"))).head()[0] or 0
+    baskets = baskets.drop("_k")
     if not total:
         steps = [(1.0, 1.0)]
     elif thresholds is not None:
