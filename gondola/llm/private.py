@@ -8,7 +8,8 @@
    is one pass), and lists those that lead to something of the loose shape of a
    kind, an instance. Spark scores the graph of patterns and instances in rounds: a pattern is as good as the share of
    its occurrences that lead to trusted instances; seeds are trusted, other instances as far as their patterns are.
-4. Patterns of high confidence go to the tasks, all of them, and discover identifiers that the base rules miss.
+4. Patterns of high confidence discover identifiers that the base rules miss. Up to `most_patterns` of them go to the tasks; more stay a table,
+   which is joined with what stands behind possible patterns in the texts (equal texts once). The spans are the same.
 
 Every pass reads whole texts once, without shuffling them. Offsets are code points, ends exclusive.
 
@@ -22,7 +23,7 @@ import hashlib
 import re
 from bisect import bisect_right
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -131,6 +132,35 @@ def attached(run: str, start: int = 0) -> Iterator[tuple[int, str]]:
         yield start + m.end(), f"p {prefix}"
 
 
+def behind(text: str) -> Iterator[tuple[int, str]]:
+    """(place, pattern) of everything that could be a pattern before a word with a digit or an @, or inside of one."""
+    marked = [(m.start(), m.group()) for m in MARKED.finditer(text)]
+    before = contexts(text, [start for start, _ in marked])
+    for start, run in marked:
+        yield from ((start, p) for p in before.get(start, []))
+        yield from attached(run, start)
+
+
+def with_added(base: list[Span], discovered: Iterable[Span]) -> list[Span]:
+    """Base spans and those discovered spans that overlap no base span and no discovered one before them."""
+    # what is covered, as stretches that do not touch each other's inside, by start
+    starts, ends = [], []
+    for a, b, _ in base:
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    added = []
+    for span in discovered:
+        at = bisect_right(starts, span[0])
+        if (at == 0 or ends[at - 1] <= span[0]) and (at == len(starts) or span[1] <= starts[at]):
+            starts.insert(at, span[0])
+            ends.insert(at, span[1])
+            added.append(span)
+    return sorted([*base, *added], key=lambda s: (s[0], s[2]))
+
+
 def named(spans: list[Span]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, b, k in spans)
 
@@ -143,14 +173,10 @@ class Patterns:
 
     def instances(self, text: str) -> Iterator[tuple[str, Span]]:
         """(pattern, span) wherever a pattern leads to something of the loose shape of its kind."""
-        marked = [(m.start(), m.group()) for m in MARKED.finditer(text)]
-        before = contexts(text, [start for start, _ in marked])
-        for start, run in marked:
-            places = [*((start, p) for p in before.get(start, [])), *attached(run, start)]
-            for at, pattern in places:
-                for kind in self.kinds.get(pattern, ()):
-                    if found := LOOSE[kind].match(text, at):
-                        yield pattern, (at, found.end(), kind)
+        for at, pattern in behind(text):
+            for kind in self.kinds.get(pattern, ()):
+                if found := LOOSE[kind].match(text, at):
+                    yield pattern, (at, found.end(), kind)
 
     def counts(self, text: str) -> Counter:
         """How often each pattern occurs, whatever follows."""
@@ -170,22 +196,7 @@ class Patterns:
         base = base_spans(text)
         if not self.kinds:
             return base, base
-        # what is covered, as stretches that do not touch each other's inside, by start
-        starts, ends = [], []
-        for a, b, _ in base:
-            if ends and a < ends[-1]:
-                ends[-1] = max(ends[-1], b)
-            else:
-                starts.append(a)
-                ends.append(b)
-        added = []
-        for _, span in self.instances(text):
-            at = bisect_right(starts, span[0])
-            if (at == 0 or ends[at - 1] <= span[0]) and (at == len(starts) or span[1] <= starts[at]):
-                starts.insert(at, span[0])
-                ends.insert(at, span[1])
-                added.append(span)
-        return base, sorted([*base, *added], key=lambda s: (s[0], s[2]))
+        return base, with_added(base, (span for _, span in self.instances(text)))
 
 
 def candidates(docs: DataFrame, least: float, text: str) -> DataFrame:
@@ -236,9 +247,10 @@ def followed(docs: DataFrame, tried: Patterns, text: str) -> DataFrame:
 
 
 def learn(
-    docs: DataFrame, confidence: float = 0.8, rounds: int = 3, least: float = 3.0, text: str = "text", block_patterns: int = 50_000
-) -> Patterns:
-    """The patterns of at least `confidence` after `rounds` of scoring the pattern-instance graph."""
+    docs: DataFrame, confidence: float = 0.8, rounds: int = 3, least: float = 3.0, text: str = "text", block_patterns: int = 50_000,
+    most_patterns: int = 50_000
+) -> Patterns | DataFrame:
+    """The patterns of at least `confidence` after `rounds` of scoring the pattern-instance graph; more than `most_patterns` as a table (pattern, kind)."""
     tried = candidates(docs, least, text)
     number = tried.count()
     if not number:
@@ -263,22 +275,61 @@ def learn(
         trust = lineage_cut(trusted.join(doubt, ["kind", "instance"]).select(
             "kind", "instance", F.greatest("seed", "found").alias("trust")))
         best = patterns
-    return patterns_of(best.filter(F.col("sure") >= confidence))
+    sure = lineage_cut(best.filter(F.col("sure") >= confidence).select("pattern", "kind"))
+    return patterns_of(sure) if sure.count() <= most_patterns else sure
+
+
+def _led(docs: DataFrame, columns: Sequence[str], table: DataFrame, text: str) -> tuple[DataFrame, str, str]:
+    """`columns` of `docs`, the text (null: empty) and an array of (no, kind, a, b): what the patterns of a table lead to, by a join; and the names of both, which
+    `docs` does not use. Texts are known by their digest, so that equal ones are searched and joined once."""
+    names = ("digest", "pattern", "kind", "no", "a", "b")
+    mark = "_"
+    while any(c.lower().startswith(mark) for c in docs.columns):
+        mark += "_"
+    whole, key, led = f"{mark}text", f"{mark}digest", f"{mark}leads"
+
+    def follow(batch):
+        out = []
+        for t in set(batch["t"]):
+            digest = hashlib.md5(t.encode("utf-8", "replace")).digest()
+            for no, (at, pattern) in enumerate(behind(t)):
+                out += [(digest, pattern, kind, no, at, m.end()) for kind, shape in enumerate(LOOSE) if (m := shape.match(t, at))]
+        return {n: [r[i] for r in out] for i, n in enumerate(names)}
+
+    rows = docs.select(*[F.col(f"`{c}`") for c in columns], F.coalesce(F.col(f"`{text}`"), F.lit("")).alias(whole))
+    places = map_batches(rows.select(F.col(whole).alias("t")), "digest binary, pattern string, kind int, no int, a int, b int", follow).distinct()
+    # a text holds no more leads than it has places
+    leads = places.join(table, ["pattern", "kind"], "left_semi").groupBy(F.col("digest").alias(key)).agg(
+        F.collect_list(F.struct("no", "kind", "a", "b")).alias(led))
+    return rows.withColumn(key, F.unhex(F.md5(F.col(whole).cast("binary")))).join(leads, key, "left").drop(key), whole, led
 
 
-def found(docs: DataFrame, patterns: Patterns) -> DataFrame:
+def _in_order(leads: Iterable | None) -> Iterator[Span]:
+    return ((x["a"], x["b"], x["kind"]) for x in sorted(leads if leads is not None else (), key=lambda x: (x["no"], x["kind"])))
+
+
+def found(docs: DataFrame, patterns: Patterns | DataFrame) -> DataFrame:
     """All documents: doc_id, the number of base spans by kind, the hash of the base spans, all spans, `n_added`."""
 
-    def run(texts):
-        rows = [patterns.spans(t) for t in texts]
+    def described(rows):
         out = {f"n_{kind}": [sum(s[2] == i for s in base) for base, _ in rows] for i, kind in enumerate(KINDS)}
         out["base_sha256"] = [hashlib.sha256(named(base).encode()).hexdigest() for base, _ in rows]
         out["spans"] = [named(every) for _, every in rows]
         out["n_added"] = [len(every) - len(base) for base, every in rows]
         return out
 
-    counts = ", ".join(f"n_{k} long" for k in KINDS)
-    return map_texts(docs, ["doc_id"], f"{counts}, base_sha256 string, spans string, n_added long", run)
+    added = ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, spans string, n_added long"
+    if isinstance(patterns, Patterns):
+        return map_texts(docs, ["doc_id"], added, lambda texts: described([patterns.spans(t) for t in texts]))
+
+    rows, whole, led = _led(docs, ["doc_id"], patterns, "text")
+
+    def run(batch):
+        pairs = ((base_spans(t), x) for t, x in zip(batch[whole], batch[led]))
+        return {"doc_id": batch["doc_id"], **described([(base, with_added(base, _in_order(x))) for base, x in pairs])}
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return map_batches(rows, f"doc_id {kind}, {added}", run)
 
 
 def masked(text: str, spans: list[Span]) -> str:
@@ -300,3 +351,18 @@ def mask(patterns: Patterns, text: Column) -> Column:
         return pd.Series([t if t is None else masked(t, patterns.spans(t)[1]) for t in texts], dtype=object)
 
     return run(text)
+
+
+def hidden(docs: DataFrame, patterns: Patterns | DataFrame, text: str = "text") -> DataFrame:
+    """`docs` with all personal data of a column masked; null stays null."""
+    if isinstance(patterns, Patterns):
+        return docs.withColumn(text, mask(patterns, F.col(f"`{text}`")))
+
+    @F.pandas_udf("string")
+    def run(texts: pd.Series, leads: pd.Series) -> pd.Series:
+        rows = ((t, base_spans(t), x) for t, x in zip(texts, leads))
+        return pd.Series([masked(t, with_added(base, _in_order(x))) for t, base, x in rows], dtype=object)
+
+    out, whole, led = _led(docs, docs.columns, patterns, text)
+    own = F.when(F.col(f"`{text}`").isNotNull(), run(whole, led)).alias(text)
+    return out.select(*[own if c == text else F.col(f"`{c}`") for c in docs.columns])

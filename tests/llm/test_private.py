@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from gondola.llm.private import KINDS, Patterns, base_spans, contexts, found, learn, luhn, mask, masked, named
+from gondola.llm.private import KINDS, Patterns, base_spans, contexts, found, hidden, learn, luhn, mask, masked, named
 
 PLAIN = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -151,3 +151,17 @@ def test_precision_and_recall_among_wrong_leads(documents):
     added = {r["doc_id"] for r in found(docs, learn(docs)).collect() if r["n_added"]}
     hits = len(added & planted)
     assert hits / len(planted) >= 0.95 and hits / max(1, len(added)) >= 0.95
+
+
+def test_a_table_of_patterns_finds_what_patterns_in_the_tasks_find(spark, corpus, documents):
+    mixed = ["tel:+49 30 123456789 and tel:0301234567", "number: 1.2.3.4 number:555-867-5309 mailto:a@b mailto:c@d.ef", None, "", "number: 555-867-5309 " * 3000]
+    docs = corpus.unionByName(documents([(900 + i % 3, t) for i, t in enumerate(mixed * 2)]), allowMissingColumns=True).withColumns({"_text": F.lit("clash"), "__digest": F.lit(1)})
+    few, many = learn(docs), learn(docs, most_patterns=0)
+    assert isinstance(few, Patterns) and few.kinds and {(r["pattern"], r["kind"]) for r in many.collect()} == {(p, k) for p, x in few.kinds.items() for k in x}
+    key = lambda r: tuple(map(str, r))
+    a, b = (sorted(map(key, found(docs, x).collect())) for x in (few, many))
+    assert a == b and sum(int(r[-1]) for r in a) > 3000
+    a, b = (hidden(docs, x) for x in (few, many))
+    assert a.columns == b.columns == docs.columns and sorted(map(key, a.collect())) == sorted(map(key, b.collect()))
+    nothing = documents([])
+    assert found(nothing, many).collect() == [] and hidden(nothing, many).collect() == []
