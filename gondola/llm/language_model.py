@@ -10,8 +10,8 @@ parameters are averaged over the sweeps, and the averaged probabilities score al
 Every word is a dish and a context, and every pair counts, however rare; the tables of words and pairs stay in Spark. A pair seen once has
 one table whatever is drawn, so only pairs seen again are sampled. What travels to the tasks is a hot head, on which the result does not depend
 (but for the draws, which follow the numbers of words): words of at least one in `hot_words` tokens and pairs of at least one in `hot_pairs` (so at most that many). Documents meet
-all other words and pairs in joins. Words are known by number: hot ones by their place, others by a 64-bit hash that is drawn anew should
-two words of the table share it. `word_share`, `context_share` and `pair_share` make a smaller model on request (0: everything).
+all other words and pairs in joins. Words are known by number: hot ones by their place, others by a hash of `number_bits` bits; words that share a hash
+(N words make about N * N / 2^64 such pairs: five for ten thousand million words) are numbered by place like the hot ones, so no two words are taken for one. `word_share`, `context_share` and `pair_share` make a smaller model on request (0: everything).
 
 Defined results: null or empty texts consist of the end token; null ids count as empty text for the fold; repeated rows are scored
 (and counted) each on their own; without training rows every probability is one (a vocabulary of nothing but the unknown word).
@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from collections import Counter
 from dataclasses import dataclass
-from itertools import count, repeat
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -54,6 +54,7 @@ class Settings:
     burn_in: int = 1
     sweeps: int = 3
     one_by_one: int = 48
+    number_bits: int = 63
 
 
 def uniform(keys: np.ndarray, step: int, seed: int) -> np.ndarray:
@@ -104,7 +105,7 @@ def _seated(customers: str, fresh, key: str, discount: float, seed: int, one_by_
 @dataclass
 class Model:
     """What the tasks need: numbers of hot words, their parent probabilities, the back-off weight of each (1 where it is no
-    context), and the averaged share of each hot pair, by sorted pair number. `seed`: of the numbers of other words."""
+    context), and the averaged share of each hot pair, by sorted pair number. `bits`: of the numbers of other words."""
 
     ids: dict[bytes, int]
     counts: np.ndarray
@@ -115,22 +116,22 @@ class Model:
     total: int
     distinct: int
     unknown: float
-    seed: int
+    bits: int
 
 
-def number(word: bytes, seed: int) -> int:
-    """The number of a word that is not hot: negative."""
-    return -1 - (xxhash.xxh3_64_intdigest(word, seed) >> 1)
+def number(word: bytes, bits: int) -> int:
+    """The number of a word without a place: negative."""
+    return -1 - (xxhash.xxh3_64_intdigest(word) >> (64 - bits))
 
 
-def numbers(words: list[bytes], ids: dict[bytes, int], seed: int) -> np.ndarray:
+def numbers(words: list[bytes], ids: dict[bytes, int], bits: int) -> np.ndarray:
     x = np.fromiter(map(ids.get, words, repeat(-1)), dtype=np.int64, count=len(words))
     for i in np.flatnonzero(x < 0).tolist():
-        x[i] = number(words[i], seed)
+        x[i] = number(words[i], bits)
     return x
 
 
-def token_counts(docs: DataFrame, seed: int) -> DataFrame:
+def token_counts(docs: DataFrame, bits: int) -> DataFrame:
     """(word, key, n) of all words of `docs` (text, counted); n counts the rows to count only."""
 
     def run(batch):
@@ -138,13 +139,13 @@ def token_counts(docs: DataFrame, seed: int) -> DataFrame:
         for t, counted in zip(batch["text"], batch["counted"]):
             words = tokens(t)
             seen.update(words if counted else dict.fromkeys(words, 0))
-        return {"word": list(seen), "key": [number(w, seed) for w in seen], "n": list(seen.values())}
+        return {"word": list(seen), "key": [number(w, bits) for w in seen], "n": list(seen.values())}
 
     found = map_batches(docs, "word binary, key long, n long", run)
     return found.groupBy("word", "key").agg(F.sum("n").alias("n"))
 
 
-def pair_counts(docs: DataFrame, ids: dict[bytes, int], seed: int) -> DataFrame:
+def pair_counts(docs: DataFrame, ids: dict[bytes, int], bits: int) -> DataFrame:
     """(u, w, n): how often a word follows another (or the end before it), by their numbers."""
 
     def run(batch):
@@ -152,7 +153,7 @@ def pair_counts(docs: DataFrame, ids: dict[bytes, int], seed: int) -> DataFrame:
         for t in batch["text"]:
             words += (toks := tokens(t))
             before += [END, *toks[:-1]]
-        every, at = np.unique(numbers(words + before, ids, seed), return_inverse=True)
+        every, at = np.unique(numbers(words + before, ids, bits), return_inverse=True)
         pairs, n = np.unique(at[len(words):] * len(every) + at[: len(words)], return_counts=True)
         return {"u": every[pairs // len(every)], "w": every[pairs % len(every)], "n": n}
 
@@ -180,20 +181,19 @@ def train(docs: DataFrame, settings: Settings = Settings(), counted: Column | No
 
 
 def trained(docs: DataFrame, s: Settings, counted: Column | None = None) -> tuple[Model, Tables]:
-    rows = docs.select("text", (F.lit(True) if counted is None else counted).alias("counted"))
-    for seed in count():
-        counts = lineage_cut(token_counts(rows, seed))
-        if counts.groupBy("key").count().filter("count > 1").isEmpty():
-            break
+    rows = docs.select(F.coalesce("text", F.lit("")).alias("text"), (F.lit(True) if counted is None else counted).alias("counted"))
+    counts = lineage_cut(token_counts(rows, s.number_bits))
+    shared = counts.groupBy("key").agg(F.count(F.lit(1)).alias("words")).filter("words > 1")
     sums = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count(F.when(F.col("n") > 0, 1)).alias("distinct")).first()
     total, distinct = sums["total"], sums["distinct"]
-    # hot_words at most, numbered by rank
-    often = counts.filter(F.greatest("n", F.lit(0)) >= max(1, total / s.hot_words)).orderBy(F.desc("n"), "word").select("word", "n").toPandas()
+    # hot_words at most, and the few words that share a hash, numbered by rank
+    often = counts.filter(F.col("n") >= max(1, total / s.hot_words)).select("word", "n")
+    often = often.union(counts.join(shared, "key", "left_semi").select("word", "n")).distinct().orderBy(F.desc("n"), "word").toPandas()
     ids = {bytes(w): i for i, w in enumerate(often["word"])}
     n = often["n"].to_numpy(np.int64)
     spark = docs.sparkSession
     places = spark.createDataFrame(pd.DataFrame({"word": often["word"], "place": np.arange(len(n), dtype=np.int64)}), "word binary, place long")
-    pairs = pair_counts(rows.filter("counted"), ids, seed)
+    pairs = pair_counts(rows.filter("counted"), ids, s.number_bits)
     words = counts.join(places, "word", "left").select("word", F.coalesce("place", "key").alias("key"), "n")
     is_context = F.col("n") >= max(1, s.context_share * total, s.word_share * total)
     if s.word_share or s.context_share or s.pair_share:
@@ -251,7 +251,7 @@ def trained(docs: DataFrame, s: Settings, counted: Column | None = None) -> tupl
     unknown = words.agg(F.max("unknown")).first()[0]
     model = Model(
         ids, n, hot["parent"].to_numpy(np.float64), hot["back"].to_numpy(np.float64), keys[order], share[order], total, distinct,
-        1.0 if unknown is None else float(unknown), seed)
+        1.0 if unknown is None else float(unknown), s.number_bits)
     return model, Tables(words.drop("unknown"), pairs)
 
 
@@ -272,10 +272,10 @@ def scored(docs: DataFrame, fold: int = 7, held_out: int = 2, settings: Settings
         m = shared.value
         width = max(len(m.ids), 1)
         log_base = np.log10((m.counts + 1) / room)
-        end = numbers([END], m.ids, m.seed)
+        end = numbers([END], m.ids, m.bits)
         out: dict[str, list] = {"n_tokens": [], "known": [], "base": [], "model": [], "us": [], "ws": []}
         for t in texts:
-            x = numbers(tokens(t), m.ids, m.seed)
+            x = numbers(tokens(t), m.ids, m.bits)
             before = np.concatenate([end, x[:-1]])
             often = x >= 0
             hot, p = np.zeros(len(x), dtype=bool), np.zeros(0)
@@ -287,7 +287,7 @@ def scored(docs: DataFrame, fold: int = 7, held_out: int = 2, settings: Settings
                 hot[both[found]] = True
                 p = m.back_off[before[hot]] * m.parent[x[hot]] + m.shares[at[found]]
             out["n_tokens"].append(len(x))
-            out["known"].append(int(often.sum()))
+            out["known"].append(int((m.counts[x[often]] > 0).sum()))
             out["base"].append(float(log_base[x[often]].sum()))
             out["model"].append(float(np.log10(p).sum()))
             out["us"].append(before[~hot])

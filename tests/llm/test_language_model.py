@@ -120,3 +120,19 @@ def test_registered_settings_predict_held_out_texts_better_than_the_base(spark):
             total += math.log10(p + (count - settings.discount * seats) / before["room"] if count else p)
             before = w
         assert abs(total - got[r["doc_id"]]["score"]) < 1e-6 * abs(total)
+
+
+def test_words_that_share_a_hash_stay_apart(documents):
+    """Four hashes for about eighty words: all that clash are numbered by place, those of held-out texts alone too."""
+    rows = [(i, f"the cat sat on w{i} and v{i % 7} by w{i * 3}") for i in range(40)] + [(None, ""), (99, None)]
+    docs = documents(rows)
+    few = Settings(hot_words=5, hot_pairs=5, number_bits=2)
+    expected = sorted((h, n, k, total, round(b, 6)) for h, n, k, total, b in plain_base(rows))
+    names = ("held_out", "n_tokens", "n_known", "train_tokens")
+    got = [(*(r[c] for c in names), round(r["base_score"], 6)) for r in scored(docs, settings=few).collect()]
+    assert any(h for h, *_ in expected) and sorted(got) == expected
+    model, tables = trained(docs, few)
+    keys = [r["key"] for r in tables.words.collect()]
+    assert len(set(keys)) == len(keys) and len(model.ids) > 5
+    parents = tables.words.filter("n > 0").agg(F.sum("parent")).first()[0]
+    assert abs(parents + model.unknown - 1) < 1e-9
