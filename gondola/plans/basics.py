@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from gondola.operators import kit
 from gondola.operators.baskets import sample_keys
 from gondola.operators.stores import like_patterns
+from gondola.operators.subtotals import cube_sets, rollup_sets, subtotals
 from gondola.plans import inputs as src
 from gondola.plans.inputs import FEED, LINES, PRODUCTS, SALES, STORES, as_doubles, d, r
 from gondola.plans.registry import query
@@ -271,6 +272,41 @@ def string_agg(t):
     return both.groupBy("r_name").agg(kit.joined(F.collect_list("n_name"), ", ").alias("nations"))
 
 
+_MONTHS = "s AS (SELECT *, CAST(date_trunc('month', sold_on) AS DATE) AS month FROM sales)"
+_TOTALS = f"CAST(sum(qty) AS BIGINT) AS units, {d('sum(net)')} AS revenue, count(*) AS lines"
+
+
+def _monthly(t):
+    return src.sales(t).withColumn("month", F.trunc("sold_on", "month"))
+
+
+def _sums():
+    return {"units": F.col("qty"), "revenue": F.col("net"), "lines": F.lit(1)}
+
+
+@query("a17_grouping_sets", f"""
+WITH {SALES}, {_MONTHS} SELECT store_id, channel, sale_kind, CAST(grouping(store_id, channel, sale_kind) AS BIGINT) AS level, {_TOTALS}, count(DISTINCT customer_id) AS customers
+FROM s GROUP BY GROUPING SETS ((store_id, sale_kind), (channel, sale_kind), (store_id), ())""")
+def grouping_sets(t):
+    sets = [["store_id", "sale_kind"], ["channel", "sale_kind"], ["store_id"], []]
+    return as_doubles(subtotals(src.sales(t), ["store_id", "channel", "sale_kind"], sets, _sums(), ("customer_id", "customers")), "revenue")
+
+
+@query("a17_rollup", f"""
+WITH {SALES}, {_MONTHS} SELECT channel, month, store_id, CAST(grouping(channel, month, store_id) AS BIGINT) AS level, {_TOTALS} FROM s GROUP BY ROLLUP (channel, month, store_id)""")
+def rollup(t):
+    dims = ["channel", "month", "store_id"]
+    return as_doubles(subtotals(_monthly(t), dims, rollup_sets(dims), _sums()), "revenue")
+
+
+@query("a17_cube", f"""
+WITH {SALES}, {_MONTHS} SELECT channel, sale_kind, month, CAST(grouping(channel, sale_kind, month) AS BIGINT) AS level, {_TOTALS}, count(DISTINCT product_id) AS products
+FROM s GROUP BY CUBE (channel, sale_kind, month)""")
+def cube(t):
+    dims = ["channel", "sale_kind", "month"]
+    return as_doubles(subtotals(_monthly(t), dims, cube_sets(dims), _sums(), ("product_id", "products")), "revenue")
+
+
 @query("a18_array_fold", f"WITH {PRODUCTS} SELECT product_id, CAST(list_sum([size, size * 2, size * 3][1:1 + product_id % 3]) AS BIGINT) AS total FROM products")
 def array_fold(t):
     a = F.array(F.col("size"), F.col("size") * 2, F.col("size") * 3)
