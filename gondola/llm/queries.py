@@ -58,7 +58,7 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op5_repeats")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
-    return without_repeats(table(spark, folder, "documents")).drop("kept")
+    return without_repeats(table(spark, folder, "documents"), bodies=False)
 
 
 @query("op6_leaks", sql.LEAKS)

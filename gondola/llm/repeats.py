@@ -332,13 +332,17 @@ def marks(docs: DataFrame, window: int = WINDOW, bucket_bytes: int = 1 << 20, mo
     return every.distinct().groupBy("key", "bytes").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
 
 
-def without_repeats(docs: DataFrame, window: int = WINDOW, bucket_bytes: int = 1 << 20, most_bytes: int = 1 << 22) -> DataFrame:
-    """All documents: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and `kept`, the bytes that stay."""
+def without_repeats(
+    docs: DataFrame, window: int = WINDOW, bucket_bytes: int = 1 << 20, most_bytes: int = 1 << 22, bodies: bool = True
+) -> DataFrame:
+    """All documents: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and `kept`, the bytes that stay (`bodies`: False leaves
+    that column out, and the bytes where they are)."""
     found = marks(docs, window, bucket_bytes, most_bytes)
     rows = _keyed(docs).join(found, ["key", "bytes"], "left").select("doc_id", "text", "spans")
+    body = ["kept"] if bodies else []
 
     def remove(batch):
-        out: dict[str, list] = {n: [] for n in ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")}
+        out: dict[str, list] = {n: [] for n in ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *body)}
         for doc_id, t, spans in zip(batch["doc_id"], batch["text"], batch["spans"]):
             raw = t.encode()
             runs = _merged([(s["a"], s["b"]) for s in spans or []])
@@ -349,9 +353,10 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, bucket_bytes: int = 1
             out["n_removed"].append(len(raw) - len(kept))
             out["n_spans"].append(len(runs))
             out["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
-            out["kept"].append(kept)
+            if bodies:
+                out["kept"].append(kept)
         return out
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return map_batches(
-        rows, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary", remove)
+        rows, ", ".join([f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string", *[f"{n} binary" for n in body]]), remove)

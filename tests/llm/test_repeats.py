@@ -98,3 +98,12 @@ def test_defined_cases(documents):
     assert got == sorted(plain([t for _, t in rows], 200))
     assert without_repeats(documents([])).collect() == []
     assert repeated([b"", b""]) == [[], []]
+
+
+def test_bodies_are_what_the_hash_is_of(documents):
+    docs = documents([(1, "a" * 500), (2, "short"), (3, None), (4, "x" + "a" * 300)])
+    whole = {r["doc_id"]: r for r in without_repeats(docs).collect()}
+    assert all(hashlib.sha256(bytes(r["kept"])).hexdigest() == r["kept_sha256"] for r in whole.values())
+    plain = without_repeats(docs, bodies=False)
+    assert "kept" not in plain.columns
+    assert {r["doc_id"]: r for r in without_repeats(docs).drop("kept").collect()} == {r["doc_id"]: r for r in plain.collect()}
