@@ -213,13 +213,15 @@ def leaderboard(players: DataFrame, top_level: int = 5, size: int = 10, coins_pe
 
 
 def campaign_margin(
-    lines: DataFrame, scope: DataFrame, as_of: str, target_roas: float, budget: float = 0.20
+    lines: DataFrame, products: DataFrame, stores: DataFrame, as_of: str, target_roas: float, budget: float = 0.20
 ) -> DataFrame:
     """Weekly sales of campaign products in campaign stores with the spend that meets a target return, if
     it stays within the budget share of sales, the margin after coins, and the return. Closed weeks only.
-    `lines`: store_id, product_id, sold_on, qty, net, coins; `scope`: store_id, product_id, campaign."""
+    `lines`: store_id, product_id, sold_on, qty, net, coins; `products`: product_id, campaign; `stores`: store_id, campaign.
+
+    A line meets the campaigns of its product, then those of its store: the stores of a campaign are never paired with all its products."""
     week = F.date_trunc("week", F.col("sold_on")).cast("date")
-    weekly = lines.join(scope, ["store_id", "product_id"]).groupBy(week.alias("week"), "campaign", "product_id").agg(
+    weekly = lines.join(products, "product_id").join(stores, ["store_id", "campaign"]).groupBy(week.alias("week"), "campaign", "product_id").agg(
         F.sum("qty").alias("qty"), F.sum("net").cast("double").alias("value"), F.sum("coins").alias("coins"))
     spend = F.col("value") / F.lit(float(target_roas))
     allowed = (F.col("value") > 0) & (spend <= F.lit(float(budget)) * F.col("value"))

@@ -241,11 +241,10 @@ SELECT week, campaign, product_id, qty, value, coins, {r('spend', 4)} AS spend,
        CASE WHEN spend > 0 THEN {r('value / spend', 2)} ELSE 0 END AS roas
 FROM x WHERE NOT (week < DATE '1996-01-01' AND product_id % 2 = 0)""")
 def campaign_margin(t):
-    scope = (
-        src.products(t).filter("category = 'PROMO'").select("product_id", F.col("brand").alias("campaign"))
-        .join(src.stores(t).select("store_id", F.concat(F.lit("Brand#"), (F.col("account_id") + 1).cast("string")).alias("campaign")), "campaign"))
+    products = src.products(t).filter("category = 'PROMO'").select("product_id", F.col("brand").alias("campaign"))
+    stores = src.stores(t).select("store_id", F.concat(F.lit("Brand#"), (F.col("account_id") + 1).cast("string")).alias("campaign"))
     lines = src.sales(t).withColumn("coins", F.col("qty") * 10)
-    new = op.campaign_margin(lines, scope, src.AS_OF, 6.5)
+    new = op.campaign_margin(lines, products, stores, src.AS_OF, 6.5)
     kept = new.filter("week < DATE '1996-01-01' AND product_id % 2 = 0").select("week", "product_id", "campaign")
     out = contracts.only_new(new, kept, ["week", "product_id", "campaign"])
     return out.withColumn("spend", F.round("spend", 4))
