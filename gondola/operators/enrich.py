@@ -424,8 +424,10 @@ def category_recommendations(
     start = own.select(F.col("product_id").alias("a"), F.col("category").alias("from"))
     between = rules.join(start, "a").join(to, "b").groupBy("from", "to").agg(
         F.avg("confidence").alias("c"), F.count(F.lit(1)).alias("n")).filter((F.col("n") >= min_rules) & (F.col("from") != F.col("to")))
-    fit = own.join(between, own["category"] == between["from"]).groupBy("product_id", F.col("to").alias("category")).agg(
-        F.round(F.avg("c"), 9).alias("confidence"))
+    # only what is on offer: a product's categories are not paired with every other one
+    fit = (
+        offers.join(own.withColumnRenamed("category", "from"), "product_id").join(between.withColumnRenamed("to", "category"), ["from", "category"])
+        .groupBy("product_id", "category").agg(F.round(F.avg("c"), 9).alias("confidence")))
     good = offers.join(fit, ["product_id", "category"], "left").filter(F.col("confidence").isNotNull() | (F.col("converted") == 1))
     return top_n(good, ["product_id"], [F.desc_nulls_last("confidence"), F.desc("converted"), F.col("category")], size, "place")
 
