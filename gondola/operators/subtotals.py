@@ -1,7 +1,8 @@
 """Subtotals over several sets of columns (grouping sets, rollup, cube) in one pass.
 
 Rows are summed per finest group before they are copied for the sets: Spark's own grouping sets copy every input row as often as there are sets, and only then begin
-to add up. A distinct count is no sum, so its column stays in the groups until every set has met it, as one more step of adding up; no group keeps a
+to add up. A distinct count is no sum, so its column stays in the groups until every set has met it. For that the groups of a
+value are brought to one place, once for all sets, and the first of them in a group of a set is counted there. No group keeps a
 set of values in memory, and a group that holds a third of all rows is folded by every map task."""
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -35,11 +36,37 @@ def subtotals(
     more = [F.col(distinct[0]).alias("_value")] if distinct else []
     names = ["_value"] if distinct else []
     fine = df.select(*dims, *more, *[c.alias(n) for n, c in sums.items()]).groupBy(*dims, *names).agg(*[F.sum(n).alias(n) for n in sums])
-    # the column to count is in every set, as the last bit of the level
-    level = F.grouping_id(*dims, *names)
-    level = F.shiftright(level, 1) if distinct else level
-    copied = fine.groupingSets([[F.col(d) for d in [*s, *names]] for s in chosen], *dims, *names)
     if not distinct:
-        return copied.agg(level.alias("level"), *[F.sum(n).alias(n) for n in sums])
-    per_value = copied.agg(level.alias("level"), *[F.sum(n).alias(n) for n in sums])
-    return per_value.groupBy(*dims, "level").agg(*[F.sum(n).alias(n) for n in sums], F.count("_value").alias(distinct[1]))
+        copied = fine.groupingSets([[F.col(d) for d in s] for s in chosen], *dims)
+        return copied.agg(F.grouping_id(*dims).alias("level"), *[F.sum(n).alias(n) for n in sums])
+    # a value has one row per group of all columns here, and all of them in one place: the first one in a group of a set counts for it
+    placed = fine.repartition("_value")
+    firsts = []
+    for order, some in _orders(dims, chosen):
+        windows = {}
+        for s in some:
+            place = F.row_number().over(Window.partitionBy("_value", *order[:len(s)]).orderBy(*order[len(s):])) if len(s) < len(dims) else F.lit(1)
+            windows[f"_first_{chosen.index(s)}"] = ((place == 1) & F.col("_value").isNotNull()).cast("long")
+        placed = placed.withColumns(windows)
+        firsts += windows
+    folded = placed.groupBy(*dims).agg(*[F.sum(n).alias(n) for n in [*sums, *firsts]])
+    copied = folded.groupingSets([[F.col(d) for d in s] for s in chosen], *dims)
+    totals = copied.agg(F.grouping_id(*dims).alias("level"), *[F.sum(n).alias(n) for n in [*sums, *firsts]])
+    number = F.coalesce(*[F.when(F.col("level") == _level(dims, s), F.col(f"_first_{i}")) for i, s in enumerate(chosen)])
+    return totals.select(*dims, "level", *sums, number.alias(distinct[1]))
+
+
+def _level(dims: Sequence[str], chosen: Sequence[str]) -> int:
+    return sum(0 if d in chosen else 1 << (len(dims) - 1 - i) for i, d in enumerate(dims))
+
+
+def _orders(dims: Sequence[str], sets: Sequence[tuple[str, ...]]) -> list[tuple[list[str], list[tuple[str, ...]]]]:
+    """Orders of all columns with the sets that are a beginning of them, each set once: sets of one order share its sort."""
+    out: list[tuple[list[str], list[tuple[str, ...]]]] = []
+    for s in sorted(sets, key=len, reverse=True):
+        fits = next((some for order, some in out if set(order[:len(s)]) == set(s)), None)
+        if fits is None:
+            out.append(([*s, *[d for d in dims if d not in s]], [s]))
+        else:
+            fits.append(s)
+    return out
