@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from gondola.functions import codes, fuzzy, pharma, text
 from gondola.functions.scoring import age, age_band, sweep_nothing
-from gondola.operators.kit import latest, spread_join
+from gondola.operators.kit import dealt, latest, spread_join
 from gondola.session import lineage_cut
 
 
@@ -26,6 +26,7 @@ def _rejects(df: DataFrame, key: str, checks: dict[str, tuple[Column, Column]])
 def contacts(df: DataFrame, key: str, as_of: str) -> tuple[DataFrame, DataFrame]:
     """Phone, tax id, e-mail, street and age band of people; and the values that could not be read.
     `df`: key, phone, tax_id, email, street, born_on."""
+    df = dealt(df, key)
     years = age(F.col("born_on"), F.lit(as_of).cast("date"))
     clean = {
         "phone": text.phone(F.col("phone")), "tax_id": text.tax_id(F.col("tax_id")), "email": text.email(F.col("email")),

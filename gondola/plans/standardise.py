@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from gondola.functions import bpe, codes, html, pharma, scoring, text
 from gondola.operators import enrich
 from gondola.operators import standardise as op
+from gondola.operators.kit import dealt
 from gondola.plans import inputs as src
 from gondola.plans.enrich import _CLOSEST
 from gondola.plans.inputs import EAN_SQL, PRODUCTS, key_sql, nothing_sql, r
@@ -148,7 +149,7 @@ SELECT ean, string_agg(n, '|' ORDER BY n) AS names FROM y WHERE len(q) > 0 AND l
 def similar_names(t):
     names = F.array(F.upper("name"), F.concat("name", F.lit(" extra")), F.concat_ws(" ", "name", "brand", "category"), F.lit("other thing"), F.lit(""))
     kept = text.similar_names(F.col("name"), names, 0.40)
-    return src.products(t).select("ean", F.array_join(F.array_sort(kept), "|").alias("names")).filter("names <> ''")
+    return dealt(src.products(t), "product_id").select("ean", F.array_join(F.array_sort(kept), "|").alias("names")).filter("names <> ''")
 
 
 @query("f14_matching_tokens", f"""
