@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gondola.operators.kit import column_percentiles, exact_percentiles, latest, order_positions, ranks
-from gondola.session import lineage_cut
+from gondola.session import lineage_cut, sized_shuffles
 
 # Localised names of weekdays (Sunday first) and months.
 WEEKDAYS = ["Domingo", "Segunda-feira", "Terça-feira", "Quarta-feira", "Quinta-feira", "Sexta-feira", "Sábado"]
@@ -192,26 +192,35 @@ def adherence(
         *[F.round(F.sum(c).cast("double") / F.count(F.lit(1)), 2).alias(c) for c in ["score", *parts]])
 
 
-def store_tiers(sales: DataFrame, prescription: DataFrame, as_of: str, active_days: int = 35) -> DataFrame:
+def store_tiers(
+    sales: DataFrame, prescription: DataFrame, as_of: str, active_days: int = 35, rows: int | None = None
+) -> DataFrame:
     """Store profile and size tier. Month metrics are daily averages inside a month, then averaged over
     months; a store collects one vote per measure (monthly revenue, active clerks, sales) that reaches a
     quartile: two at the upper one make G, two at the median M, one at the lower P, else PP.
 
-    `sales`: store_id, sale_id, clerk_id, sold_on, hour, qty, net; `prescription`: product_id, rx, otc."""
-    month = F.date_format("sold_on", "yyyy-MM")
-    monthly = sales.groupBy("store_id", month.alias("month")).agg(
-        F.sum("net").alias("revenue"), F.countDistinct("sale_id").alias("sales"),
-        F.max(F.dayofmonth(F.last_day("sold_on"))).alias("days"))
+    `sales`: store_id, sale_id, clerk_id, sold_on, hour, qty, net; `prescription`: product_id, rx, otc; `rows`: about how many
+    sales there are, for the number of tasks.
+
+    Sales are folded by store, sale and month first; what is counted after that are rows, and only few rows are left."""
+    month = F.year("sold_on") * 12 + F.month("sold_on")
+    folded = sales.groupBy("store_id", "sale_id", month.alias("month")).agg(
+        F.sum("net").alias("revenue"), F.min("sold_on").alias("first"), F.max(F.dayofmonth(F.last_day("sold_on"))).alias("days"))
+    monthly = folded.groupBy("store_id", "month").agg(
+        F.sum("revenue").alias("revenue"), F.count("sale_id").alias("sales"), F.max("days").alias("days"))
     revenue = F.col("revenue").cast("double")
     averaged = monthly.groupBy("store_id").agg(
         F.round(F.avg(F.round(revenue / F.col("days"), 2)), 2).alias("daily_revenue"),
         F.round(F.avg(F.round(revenue / F.col("sales"), 2)), 2).alias("ticket"),
         F.round(F.sum("revenue").cast("double") / F.count(F.lit(1)), 2).alias("monthly_revenue"))
-    totals = sales.groupBy("store_id").agg(
-        F.countDistinct(F.when(F.datediff(F.lit(as_of).cast("date"), "sold_on") <= active_days, F.col("clerk_id")))
-        .alias("clerks"),
-        F.countDistinct("sale_id").alias("sales"),
-        F.floor(F.months_between(F.lit(as_of).cast("date"), F.min("sold_on"))).cast("long").alias("tenure_months"))
+    as_of_day = F.lit(as_of).cast("date")
+    totals = folded.groupBy("store_id", "sale_id").agg(F.min("first").alias("first")).groupBy("store_id").agg(
+        F.count("sale_id").alias("sales"), F.min("first").alias("first"))
+    active = sales.filter(F.datediff(as_of_day, "sold_on") <= active_days).groupBy("store_id").agg(
+        F.countDistinct("clerk_id").alias("clerks"))
+    totals = totals.join(active, "store_id", "left").select(
+        "store_id", F.coalesce("clerks", F.lit(0)).alias("clerks"), "sales",
+        F.floor(F.months_between(as_of_day, F.col("first"))).cast("long").alias("tenure_months"))
     peak = latest(
         sales.groupBy("store_id", "hour").agg(F.sum("qty").alias("_q")), ["store_id"], [F.desc("_q"), F.col("hour")]
     ).select("store_id", F.col("hour").alias("peak_hour"))
@@ -223,7 +232,8 @@ def store_tiers(sales: DataFrame, prescription: DataFrame, as_of: str, active_da
     )
     out = totals.join(averaged, "store_id").join(peak, "store_id").join(mix, "store_id", "left")
     measures = ["monthly_revenue", "clerks", "sales"]
-    out = lineage_cut(out)  # one row per store, read once per measure below
+    with sized_shuffles(out.sparkSession, rows):
+        out = lineage_cut(out)  # one row per store, read once per measure below
     cuts = column_percentiles(out, measures, {"q1": 0.25, "q2": 0.5, "q3": 0.75})
 
     def votes(q: str) -> Column:

@@ -195,7 +195,7 @@ def store_tiers(t):
         "clerk_id": F.col("customer_id") % 50, "hour": (F.col("product_id") % 24).cast("int")})
     kinds = t.part.select(F.col("p_partkey").alias("product_id"), F.col("p_type").isin("SMALL", "PROMO").alias("rx"),
                           F.col("p_type").isin("LARGE", "ECONOMY").alias("otc"))
-    return op.store_tiers(sales, kinds, src.AS_OF)
+    return op.store_tiers(sales, kinds, src.AS_OF, rows=t.line_rows)
 
 
 _NAMES = lambda names: "[" + ", ".join(f"'{n}'" for n in names) + "]"
