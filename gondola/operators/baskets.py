@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gondola.operators.kit import co_occurrence, latest, top_n
-from gondola.session import lineage_cut
+from gondola.session import lineage_cut, sized_shuffles
 
 # Threshold tuning by density of the baskets: bound, support factor and floor, confidence
 # factor and floor.
@@ -37,17 +37,18 @@ def _tuned(density: float, transactions: int) -> list[tuple[float, float]]:
 
 def association_rules(
     lines: DataFrame, item: str, names: DataFrame, deny: str | None = None,
-    thresholds: tuple[float, float] | None = None, conviction: str = "textbook", block: int = 200,
+    thresholds: tuple[float, float] | None = None, conviction: str = "textbook", block: int = 200, rows: int | None = None,
 ) -> DataFrame:
     """1 -> 1 rules between items bought together: distinct items per sale, sales with two or more items,
     thresholds tuned from the density of the baskets (or given), lift above 1, at least two sales with
-    both, different names, names without `deny`. `names`: item, name.
+    both, different names, names without `deny`. `names`: item, name; `rows`: about how many lines there are, for the number of tasks.
 
     Only pairs can make 1 -> 1 rules, so pairs are counted directly; items below the support floor are
     dropped first, because no pair can be more frequent than its items."""
     distinct = lines.select("sale_id", item).distinct()
     sized = distinct.groupBy("sale_id").agg(F.count(F.lit(1)).alias("_k")).filter("_k >= 2")
-    baskets = lineage_cut(distinct.join(sized, "sale_id"))
+    with sized_shuffles(lines.sparkSession, rows):
+        baskets = lineage_cut(distinct.join(sized, "sale_id"))
     counts = baskets.groupBy(item).agg(F.count(F.lit(1)).alias("n"))
     facts = counts.agg(F.sum("n").alias("entries"), F.count(F.lit(1)).alias("items")).head()  # one row
     # k rows for every sale of k items
@@ -77,7 +78,8 @@ def association_rules(
         for i, (support, confidence) in enumerate(steps)])
     rules = rules.withColumn("_step", step).filter("_step > 0")
     if len(steps) > 1:
-        rules = lineage_cut(rules)
+        with sized_shuffles(lines.sparkSession, rows):
+            rules = lineage_cut(rules)
         rules = rules.filter(F.col("_step") <= rules.agg(F.min("_step")).scalar())
     base = F.col("with_b") / F.lit(total) if conviction == "textbook" else F.col("support")
     rules = (

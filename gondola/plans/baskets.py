@@ -51,7 +51,7 @@ def _shown(df):
     "product_id", "SELECT DISTINCT sale_id, product_id AS i FROM lines", _steps_sql(), "SELECT p_partkey AS i, p_name AS name FROM part", "anvil"))
 def product_rules(t):
     names = src.products(t).select("product_id", "name")
-    return _shown(op.association_rules(src.lines(t), "product_id", names, deny="anvil"))
+    return _shown(op.association_rules(src.lines(t), "product_id", names, deny="anvil", rows=t.line_rows))
 
 
 @query("d86_category_rules", f"WITH {LINES}, " + _rules_sql(
