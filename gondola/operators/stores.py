@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gondola.operators.kit import column_percentiles, exact_percentiles, latest, order_positions, ranks
+from gondola.operators.kit import column_percentiles, exact_percentiles, hashed_side, latest, order_positions, ranks
 from gondola.session import lineage_cut, sized_shuffles
 
 # Localised names of weekdays (Sunday first) and months.
@@ -27,17 +27,18 @@ def like_patterns(patterns: Sequence[str]) -> str:
 
 
 def sales_facts(
-    lines: DataFrame, headers: DataFrame, products: DataFrame, stores: DataFrame, customers: DataFrame, clerks: DataFrame
+    lines: DataFrame, headers: DataFrame, products: DataFrame, stores: DataFrame, customers: DataFrame, clerks: DataFrame,
+    rows: int | None = None,
 ) -> DataFrame:
-    """One row per sale line with header, product, store, customer and clerk attributes and the unit price. The
-    fact tables meet on the sale; the dimensions follow, as hash joins where their size allows it. A sale without a known
-    clerk (customer, ...) stays. `headers` holds customer_id and clerk_id."""
+    """One row per sale line with header, product, store, customer and clerk attributes and the unit price. What belongs to a
+    sale is joined with its header, of which there are fewer; the fact tables then meet on the sale, and the other dimensions follow, as hash joins
+    where their size allows it. A sale without a known clerk (customer, ...) stays. `headers` holds customer_id and clerk_id; `rows`: about how many
+    lines there are (many are streamed past the other sides and never sorted)."""
+    sales = headers.join(hashed_side(customers, rows), "customer_id", "left").join(hashed_side(clerks, rows), "clerk_id", "left")
     return (
-        lines.join(headers, "sale_id")
-        .join(products, "product_id", "left")
+        lines.join(hashed_side(sales, rows), "sale_id")
+        .join(hashed_side(products, rows), "product_id", "left")
         .join(stores, "store_id", "left")
-        .join(customers, "customer_id", "left")
-        .join(clerks, "clerk_id", "left")
         .withColumn("unit_price", F.when(F.col("qty") > 0, F.round(F.col("net").cast("double") / F.col("qty"), 4)))
     )
 

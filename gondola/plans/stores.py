@@ -24,7 +24,7 @@ def sales_facts(t):
     customers = t.customer.select(F.col("c_custkey").alias("customer_id"), F.col("c_mktsegment").alias("segment"))
     clerks = t.events.groupBy(F.col("user_id").alias("clerk_id")).agg(F.min(F.to_date("ts")).alias("clerk_since"))
     headers = src.headers(t).withColumn("clerk_id", F.expr(_CLERK.format(k="sale_id")))
-    out = op.sales_facts(src.lines(t), headers, src.products(t), src.stores(t), customers, clerks)
+    out = op.sales_facts(src.lines(t), headers, src.products(t), src.stores(t), customers, clerks, rows=t.line_rows)
     return as_doubles(out, "net").select(
         "sale_id", "product_id", "store_id", "customer_id", "account_id", "brand", "segment", "qty", "net",
         "unit_price", "status", "clerk_id", "clerk_since")
