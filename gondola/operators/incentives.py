@@ -7,13 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gondola.operators.kit import latest, order_positions, top_n
+from gondola.operators.kit import hashed_side, latest, order_positions, top_n
 from gondola.session import lineage_cut
 
 
-def unsettled(invoices: DataFrame, settled: DataFrame) -> DataFrame:
-    """Invoice lines of (account_id, invoice) pairs not settled before."""
-    return invoices.join(settled.select("account_id", "invoice").distinct(), ["account_id", "invoice"], "left_anti")
+def unsettled(invoices: DataFrame, settled: DataFrame, rows: int | None = None) -> DataFrame:
+    """Invoice lines of (account_id, invoice) pairs not settled before. `rows`: about how many lines there are."""
+    pairs = settled.select("account_id", "invoice").distinct()
+    return invoices.join(hashed_side(pairs, rows), ["account_id", "invoice"], "left_anti")
 
 
 def combo_days(lines: DataFrame, rules: DataFrame, first: str, last: str, back_days: int = 7) -> DataFrame:
@@ -75,8 +76,10 @@ def combo_cashback(days: DataFrame, cool_down: int = 7) -> DataFrame:
 
 
 def pix_cashback(lines: DataFrame, discounts: DataFrame, first: str, last: str) -> DataFrame:
-    """Cashback per (account, product, day) of the period: net value times the product's discount %."""
-    period = lines.filter(F.col("day").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+    """Cashback per (account, product, day) of the period: net value times the product's discount %. Lines of products without a discount
+    are left out before anything is summed."""
+    period = lines.filter(F.col("day").between(F.lit(first).cast("date"), F.lit(last).cast("date"))).join(
+        discounts.select("product_id"), "product_id", "left_semi")
     bought = period.groupBy("account_id", "product_id", "day").agg(
         F.sum("qty").alias("units"), F.round(F.sum("net"), 2).alias("value"), F.countDistinct("invoice").alias("invoices"))
     return bought.join(discounts, "product_id").withColumn(

@@ -91,7 +91,7 @@ def pix_cashback(t):
     lines = _invoices(t)
     discounts = t.part.filter("p_type = 'PROMO'").select(
         F.col("p_partkey").alias("product_id"), F.col("p_size").cast("decimal(5,2)").alias("discount"))
-    out = op.pix_cashback(op.unsettled(lines, lines.filter("status = 'P' AND invoice % 3 = 0")), discounts, FIRST, LAST)
+    out = op.pix_cashback(op.unsettled(lines, lines.filter("status = 'P' AND invoice % 3 = 0"), t.line_rows), discounts, FIRST, LAST)
     return as_doubles(out, "value", "cashback").drop("discount")
 
 
