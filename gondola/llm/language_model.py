@@ -10,7 +10,8 @@ parameters are averaged over the sweeps, and the averaged probabilities score al
 Every word is a dish and a context, and every pair counts, however rare; the tables of words and pairs stay in Spark. A pair seen once has
 one table whatever is drawn, so only pairs seen again are sampled. What travels to the tasks is a hot head, on which the result does not depend
 (but for the draws, which follow the numbers of words): words of at least one in `hot_words` tokens and pairs of at least one in `hot_pairs` (so at most that many). Documents meet
-all other words and pairs in joins. Words are known by number: hot ones by their place, others by a hash of `number_bits` bits; words that share a hash
+all other words and pairs in joins, a slice of the pairs after the other (`slices` of them, fewer where a slice would hold under `slice_tokens` training tokens), and a table
+goes as soon as what was made of it is written, so that the disk holds one step at a time. Words are known by number: hot ones by their place, others by a hash of `number_bits` bits; words that share a hash
 (N words make about N * N / 2^64 such pairs: five for ten thousand million words) are numbered by place like the hot ones, so no two words are taken for one. `word_share`, `context_share` and `pair_share` make a smaller model on request (0: everything).
 
 Defined results: null or empty texts consist of the end token; null ids count as empty text for the fold; repeated rows are scored
@@ -30,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gondola.llm.common import map_batches, map_texts, remainder
-from gondola.session import lineage_cut
+from gondola.session import forget, lineage_cut, little_disk
 
 #: The end token; no word is empty.
 END = b""
@@ -55,6 +56,8 @@ class Settings:
     sweeps: int = 3
     one_by_one: int = 48
     number_bits: int = 63
+    slices: int = 4
+    slice_tokens: int = 1_000_000
 
 
 def uniform(keys: np.ndarray, step: int, seed: int) -> np.ndarray:
@@ -181,6 +184,11 @@ def train(docs: DataFrame, settings: Settings = Settings(), counted: Column | No
 
 
 def trained(docs: DataFrame, s: Settings, counted: Column | None = None) -> tuple[Model, Tables]:
+    with little_disk(docs.sparkSession):
+        return _trained(docs, s, counted)
+
+
+def _trained(docs: DataFrame, s: Settings, counted: Column | None) -> tuple[Model, Tables]:
     rows = docs.select(F.coalesce("text", F.lit("")).alias("text"), (F.lit(True) if counted is None else counted).alias("counted"))
     counts = lineage_cut(token_counts(rows, s.number_bits))
     shared = counts.groupBy("key").agg(F.count(F.lit(1)).alias("words")).filter("words > 1")
@@ -202,13 +210,14 @@ def trained(docs: DataFrame, s: Settings, counted: Column | None = None) -> tupl
         pairs = pairs.join(words.filter(F.col("n") >= s.word_share * total).select(F.col("key").alias("w")), "w", "left_semi")
     pairs = lineage_cut(pairs.select("u", "w", "n"))
     held = pairs.groupBy(F.col("u").alias("key")).agg(F.sum("n").alias("held"), F.count(F.when(F.col("n") == 1, 1)).alias("ones"))
-    words = lineage_cut(words.join(held, "key", "left").fillna(0, ["held", "ones"]))
+    words = counted_words = lineage_cut(words.join(held, "key", "left").fillna(0, ["held", "ones"]))
+    forget(counts)
     known = words.filter("n > 0").select("word", "key", "n", "ones")
 
     base = 1.0 / (distinct + 1)
     seated = pairs.filter("n > 1").withColumn("t", F.lit(1.0)).withColumn("ts", F.lit(0.0))
     parent_tables = float(distinct)
-    parents = None
+    parents, last, chances = None, None, []
     for sweep in range(s.burn_in + s.sweeps):
         # the parent seats one customer for each table of a context, and one for each token outside the pairs of the model
         sent = seated.groupBy(F.col("w").alias("key")).agg(F.sum(F.col("n") - F.col("t")).alias("kept"))
@@ -229,7 +238,13 @@ def trained(docs: DataFrame, s: Settings, counted: Column | None = None) -> tupl
         drawn = ready.withColumn("t", _seated("n", F.col("weight"), "draw", s.discount, 2 * sweep + 1, s.one_by_one))
         kept = F.col("ts") + F.col("t") if sweep >= s.burn_in else F.col("ts")
         seated = lineage_cut(drawn.select("u", "w", "n", "t", kept.alias("ts")))
-        if sweep >= s.burn_in:
+        if last is not None:
+            forget(last)
+        last = seated
+        if sweep < s.burn_in:
+            forget(served)
+        else:
+            chances.append(served)
             chance = chance.select("key", "p", F.lit(rest).alias("unknown"))
             parents = chance if parents is None else parents.unionByName(chance)
     parents = parents.groupBy("key").agg(F.avg("p").alias("parent"), F.avg("unknown").alias("unknown"))
@@ -240,6 +255,8 @@ def trained(docs: DataFrame, s: Settings, counted: Column | None = None) -> tupl
     back = F.when(is_context, 1 - (F.col("held") - tables * s.discount) / room).otherwise(F.lit(1.0))
     words = lineage_cut(words.join(rooms, "key", "left").join(parents, "key", "left").select(
         "word", "key", "n", "parent", "unknown", room.alias("room"), back.alias("back")))
+    for table in (counted_words, *chances):
+        forget(table)
     pairs = pairs.filter("n = 1").withColumn("t", F.lit(1.0)).unionByName(averaged)
     # hot_words and hot_pairs rows at most come back
     hot = words.filter("key >= 0").orderBy("key").select("parent", "back", "room").toPandas()
@@ -261,7 +278,11 @@ def is_hot(s: Settings, total: int) -> Column:
 
 def scored(docs: DataFrame, fold: int = 7, held_out: int = 2, settings: Settings = Settings()) -> DataFrame:
     """All documents: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity."""
-    s = settings
+    with little_disk(docs.sparkSession):
+        return _scored(docs, fold, held_out, settings)
+
+
+def _scored(docs: DataFrame, fold: int, held_out: int, s: Settings) -> DataFrame:
     rows = docs.select(
         "doc_id", (remainder(F.col("doc_id"), fold) == held_out).alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
     model, tables = trained(rows, s, ~F.col("held_out"))
@@ -304,21 +325,28 @@ def scored(docs: DataFrame, fold: int = 7, held_out: int = 2, settings: Settings
     rare = rare.join(words.filter("key < 0").select("key", "n"), "key", "left").select(
         "row", F.when(n > 0, F.col("times")).otherwise(0).alias("known"), (F.col("times") * F.log10((n + 1) / F.lit(room))).alias("base"),
         F.lit(0.0).alias("model"))
-    # pairs of the model, other than the hot ones
+    rare = lineage_cut(rare.groupBy("row").agg(*[F.sum(c).alias(c) for c in ("known", "base", "model")]))
+    # pairs of the model, other than the hot ones; tokens whose pair the model lacks keep their numbers
     context = words.select(F.col("key").alias("u"), "back", "room")
     dish = words.select(F.col("key").alias("w"), "parent")
     p = (F.col("n") - F.col("t") * s.discount) / F.col("room") + F.col("back") * F.col("parent")
-    ready = of_words(of_words(tables.pairs.filter(~is_hot(s, model.total)), context, "u"), dish, "w").select("u", "w", F.log10(p).alias("model"))
-    cold = first.select("row", "held_out", F.inline(F.arrays_zip("us", "ws"))).toDF("row", "held_out", "u", "w")
+    cold = first.select("row", F.inline(F.arrays_zip("us", "ws"))).toDF("row", "u", "w")
+    lacks = F.col("model").isNull()
+    slices = max(1, min(s.slices, model.total // s.slice_tokens))
+    found = None
+    for i in range(slices):
+        own = F.pmod(F.xxhash64("u", "w"), F.lit(slices)) == i
+        ready = of_words(of_words(tables.pairs.filter(~is_hot(s, model.total) & own), context, "u"), dish, "w").select("u", "w", F.log10(p).alias("model"))
+        part = lineage_cut(cold.filter(own).join(ready, ["u", "w"], "left").groupBy(
+            "row", F.when(lacks, F.col("u")).alias("u"), F.when(lacks, F.col("w")).alias("w")).agg(F.count(F.lit(1)).alias("times"), F.sum("model").alias("model")))
+        found = part if found is None else found.unionByName(part)
     nothing = [F.lit(0).alias("known"), F.lit(0.0).alias("base")]
-    seen = cold.select("row", "u", "w").join(ready, ["u", "w"]).select("row", *nothing, "model")
-    # pairs that the model lacks: without shares every pair of a training row is there
-    some = cold if s.word_share or s.context_share or s.pair_share else cold.filter("held_out")
-    missed = some.select("row", "u", "w").join(tables.pairs.select("u", "w"), ["u", "w"], "left_anti")
-    missed = of_words(of_words(missed, context, "u", "left"), dish, "w", "left").select(
-        "row", *nothing, F.log10(F.coalesce("back", F.lit(1.0)) * F.coalesce("parent", F.lit(model.unknown))).alias("model"))
-    added = rare.unionByName(seen).unionByName(missed).groupBy("row").agg(
-        F.sum("known").alias("more_known"), F.sum("base").alias("more_base"), F.sum("model").alias("more_model"))
+    seen = found.filter("u IS NULL").select("row", *nothing, "model")
+    lone = F.log10(F.coalesce("back", F.lit(1.0)) * F.coalesce("parent", F.lit(model.unknown)))
+    missed = of_words(of_words(found.filter("u IS NOT NULL").select("row", "u", "w", "times"), context, "u", "left"), dish, "w", "left").select(
+        "row", *nothing, (F.col("times") * lone).alias("model"))
+    added = lineage_cut(rare.unionByName(seen).unionByName(missed).groupBy("row").agg(
+        F.sum("known").alias("more_known"), F.sum("base").alias("more_base"), F.sum("model").alias("more_model")))
     out = first.drop("us", "ws").join(added, "row", "left")
     none = F.lit(0.0)
     out = out.select(

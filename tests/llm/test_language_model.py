@@ -2,11 +2,13 @@ import math
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from gondola.llm import language_model
 from gondola.llm.language_model import END, Settings, scored, seat, tokens, train, trained
 
 FOLDER = "/root/testdata/sf0.01"
@@ -136,3 +138,23 @@ def test_words_that_share_a_hash_stay_apart(documents):
     assert len(set(keys)) == len(keys) and len(model.ids) > 5
     parents = tables.words.filter("n > 0").agg(F.sum("parent")).first()[0]
     assert abs(parents + model.unknown - 1) < 1e-9
+
+
+def test_past_steps_leave_the_disk_and_slices_change_nothing(spark, documents, monkeypatch):
+    rows = [(i, f"the cat sat on w{i % 9} and v{i % 7} by w{i * 3} " * (1 + i % 3)) for i in range(60)] + [(None, ""), (99, None), (100, "sat the sat the")]
+    docs, made = documents(rows), []
+    cut = language_model.lineage_cut
+
+    def kept(df):
+        made.append(cut(df))
+        return made[-1]
+
+    monkeypatch.setattr(language_model, "lineage_cut", kept)
+    trained(docs, Settings())
+    # words, pairs and the last seats; counts and earlier sweeps are gone
+    left = [t for t in made if Path(t.inputFiles()[0].removeprefix("file:")).exists()]
+    assert len(made) > 8 and len(left) == 3
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    few, one = (sorted((str(r["doc_id"]), r["n_tokens"], r["n_known"], round(r["base_score"], 6), round(r["score"], 6)) for r in scored(docs, settings=s).collect())
+                for s in (Settings(hot_pairs=5, slices=3, slice_tokens=1), Settings(hot_pairs=5)))
+    assert few == one and len(few) == len(rows)
