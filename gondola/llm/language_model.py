@@ -20,18 +20,25 @@ Defined results: null or empty texts consist of the end token; null ids count as
 
 from __future__ import annotations
 
-from collections import Counter
+import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from gondola.llm.common import map_batches, map_texts, remainder
-from gondola.session import forget, lineage_cut, little_disk
+from gondola.llm.common import remainder
+from gondola.session import few_rows_at_once, forget, lineage_cut, little_disk
 
 #: The end token; no word is empty.
 END = b""
@@ -58,6 +65,7 @@ class Settings:
     number_bits: int = 63
     slices: int = 4
     slice_tokens: int = 1_000_000
+    chunk_tokens: int = 2_000_000
 
 
 def uniform(keys: np.ndarray, step: int, seed: int) -> np.ndarray:
@@ -134,33 +142,190 @@ def numbers(words: list[bytes], ids: dict[bytes, int], bits: int) -> np.ndarray:
     return x
 
 
-def token_counts(docs: DataFrame, bits: int) -> DataFrame:
-    """(word, key, n) of all words of `docs` (text, counted); n counts the rows to count only."""
+class Places(dict):
+    """Places of words in the order they come."""
 
-    def run(batch):
-        seen: Counter = Counter()
-        for t, counted in zip(batch["text"], batch["counted"]):
-            words = tokens(t)
-            seen.update(words if counted else dict.fromkeys(words, 0))
-        return {"word": list(seen), "key": [number(w, bits) for w in seen], "n": list(seen.values())}
+    def __missing__(self, word: bytes) -> int:
+        place = self[word] = len(self)
+        return place
 
-    found = map_batches(docs, "word binary, key long, n long", run)
-    return found.groupBy("word", "key").agg(F.sum("n").alias("n"))
 
+#: A chunk: some documents' ids, whether they train and how many tokens they have; its words, how often each comes in training, and the place of every token's word.
+CHUNK = "chunk long, counted array<boolean>, lens array<long>, words array<binary>, times array<long>, x array<int>"
 
-def pair_counts(docs: DataFrame, ids: dict[bytes, int], bits: int) -> DataFrame:
-    """(u, w, n): how often a word follows another (or the end before it), by their numbers."""
 
-    def run(batch):
-        words, before = [], []
-        for t in batch["text"]:
-            words += (toks := tokens(t))
-            before += [END, *toks[:-1]]
-        every, at = np.unique(numbers(words + before, ids, bits), return_inverse=True)
-        pairs, n = np.unique(at[len(words):] * len(every) + at[: len(words)], return_counts=True)
-        return {"u": every[pairs // len(every)], "w": every[pairs % len(every)], "n": n}
+def chunked(rows: DataFrame, size: int) -> DataFrame:
+    """Documents (text, counted, and doc_id where there is one) as tokens, in chunks of `size` tokens or one document more."""
+    ids = [T.StructField("ids", T.ArrayType(rows.schema["doc_id"].dataType))] if "doc_id" in rows.columns else []
+    out = T.StructType(T.StructType.fromDDL(CHUNK).fields + ids)
+    arrow = to_arrow_schema(out)
 
-    return map_batches(docs.select("text"), "u long, w long, n long", run).groupBy("u", "w").agg(F.sum("n").alias("n"))
+    def made(chunk: int, places: Places, x: list, counted: list, docs: list) -> pa.RecordBatch:
+        lens = [len(v) for v in x]
+        every = np.concatenate(x)
+        times = np.bincount(every[np.repeat(counted, lens)], minlength=len(places))
+        values = [chunk, counted, lens, list(places), times, every, docs]
+        return pa.RecordBatch.from_arrays([pa.array([v], type=f.type) for v, f in zip(values, arrow)], schema=arrow)
+
+    def run(batches):
+        first, at = TaskContext.get().partitionId() << 32, 0
+        places, x, counted, docs, held = Places(), [], [], [], 0
+        for batch in batches:
+            doc_ids = batch.column("doc_id").to_pylist() if ids else repeat(None)
+            for t, c, d in zip(batch.column("text").to_pylist(), batch.column("counted").to_pylist(), doc_ids):
+                toks = tokens(t)
+                x.append(np.fromiter(map(places.__getitem__, toks), dtype=np.int32, count=len(toks)))
+                counted.append(c)
+                docs.append(d)
+                held += len(toks)
+                if held >= size:
+                    yield made(first + at, places, x, counted, docs)
+                    places, x, counted, docs, held, at = Places(), [], [], [], 0, at + 1
+        if x:
+            yield made(first + at, places, x, counted, docs)
+
+    return rows.mapInArrow(run, out)
+
+
+def flat(lists) -> np.ndarray:
+    """The values of a column of lists, one list after the other."""
+    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+    return lists.flatten().to_numpy(zero_copy_only=False)
+
+
+def lengths(lists) -> np.ndarray:
+    return pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def listed(values: np.ndarray, sizes: np.ndarray, kind: pa.DataType) -> pa.Array:
+    """A column of lists of `sizes` values each."""
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(values, kind.value_type))
+
+
+def batch_of(schema: pa.Schema, rows: int, **columns) -> pa.RecordBatch:
+    """`rows` rows of `schema`; columns that are not given are null, single values hold for all rows."""
+    def whole(f):
+        v = columns.get(f.name)
+        return v if isinstance(v, pa.Array) else pa.nulls(rows, f.type) if v is None else pa.array(np.broadcast_to(v, rows), f.type)
+
+    return pa.RecordBatch.from_arrays([whole(f) for f in schema], schema=schema)
+
+
+def mixed(u: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """A hash of each pair of numbers."""
+    x = w.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(29))) + u.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def grouped(u: np.ndarray, w: np.ndarray, hash_=mixed) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order in which equal pairs are neighbours and hashes ascend, where in it each pair starts, and the hashes in it."""
+    h = hash_(u, w)
+
+    def starts(order):
+        new = np.ones(len(u), dtype=bool)
+        new[1:] = (np.diff(u[order]) != 0) | (np.diff(w[order]) != 0)
+        return new
+
+    order = np.argsort(h, kind="stable")
+    new = starts(order)
+    if (new[1:] & (np.diff(h[order]) == 0)).any():
+        # pairs that share a hash
+        order = np.lexsort((w, u, h))
+        new = starts(order)
+    return order, np.flatnonzero(new), h[order]
+
+
+def before(x: np.ndarray, lens: np.ndarray, end: int) -> np.ndarray:
+    """What comes before each token: the end, for the first of a document."""
+    u = np.empty_like(x)
+    u[1:] = x[:-1]
+    u[np.cumsum(lens) - lens] = end
+    return u
+
+
+@dataclass
+class Chunk:
+    """A row of `chunked` with its words numbered, and its distinct pairs: their order, starts, hashes and times in training."""
+
+    number: int
+    counted: np.ndarray
+    lens: np.ndarray
+    keys: np.ndarray
+    x: np.ndarray
+    u: np.ndarray
+    order: np.ndarray
+    starts: np.ndarray
+    hashes: np.ndarray
+    n: np.ndarray
+
+
+def chunks(batch, ids: dict[bytes, int], bits: int) -> Iterator[Chunk]:
+    for i in range(batch.num_rows):
+        words, lens, counted, x = (batch.column(c)[i].values for c in ("words", "lens", "counted", "x"))
+        words, lens, counted, x = words.to_pylist(), lens.to_numpy(), counted.to_numpy(zero_copy_only=False).astype(bool), x.to_numpy()
+        keys = numbers(words, ids, bits)
+        # every document has an end
+        u = before(x, lens, words.index(END))
+        order, starts, hashes = grouped(keys[u], keys[x])
+        n = np.add.reduceat(np.repeat(counted, lens)[order].astype(np.int64), starts)
+        yield Chunk(batch.column("chunk")[i].as_py(), counted, lens, keys, x, u, order, starts, hashes[starts], n)
+
+
+#: Pairs by part. Kind PAIRS: (u, w, n, at) of those to sample. ASKED: places `asked` among the pairs of a chunk, of pairs `at`. ONCE: places in a chunk of pairs that
+#: another chunk has once. ONES: (u, w) of all other pairs.
+PAIRS, ASKED, ONCE, ONES = range(4)
+DEALT = "part int, kind int, chunk long, u array<long>, w array<long>, n array<long>, at array<int>, asked array<int>"
+
+
+def pair_counts(rows: DataFrame, shared: Broadcast, parts: int, least: int, hot: float, ask: bool, bits: int) -> DataFrame:
+    """The pairs of all chunks, counted: a chunk sends each of its pairs once to one of `parts` parts. Pairs of at least `least` are to be sampled. `ask`: whether the chunks'
+    places are kept (but of pairs of hot words with `hot` or more, which the tasks will know), or else the pairs that come once."""
+    sent = T.StructType.fromDDL("part int, chunk long, start long, u array<long>, w array<long>, n array<long>")
+    sent_arrow, out_arrow = to_arrow_schema(sent), to_arrow_schema(T.StructType.fromDDL(DEALT))
+
+    def send(batches):
+        for batch in batches:
+            for c in chunks(batch, shared.value, bits):
+                first = c.order[c.starts]
+                u, w, n = c.keys[c.u[first]], c.keys[c.x[first]], c.n
+                if not ask:
+                    u, w, n, c.hashes = u[n > 0], w[n > 0], n[n > 0], c.hashes[n > 0]
+                part = (((c.hashes >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
+                own, start, sizes = np.unique(part, return_index=True, return_counts=True)
+                lists = {k: listed(v, sizes, pa.list_(pa.int64())) for k, v in (("u", u), ("w", w), ("n", n))}
+                yield batch_of(sent_arrow, len(own), part=own, chunk=c.number, start=start, **lists)
+
+    def count(table: pa.Table) -> pa.Table:
+        part = table.column("part")[0].as_py()
+        u, w, n = (flat(table.column(c)) for c in "uwn")
+        order, starts, _ = grouped(u, w)
+        total = np.add.reduceat(n[order], starts)
+        pu, pw = u[order[starts]], w[order[starts]]
+        of = np.empty(len(u), dtype=np.int64)
+        of[order] = np.repeat(np.arange(len(starts)), np.diff([*starts, len(u)]))
+        sampled = total >= least
+        at = np.cumsum(sampled) - 1
+        one = lambda kind, **lists: batch_of(out_arrow, 1, part=part, kind=kind, **{k: listed(v, [len(v)], out_arrow.field(k).type) for k, v in lists.items()})
+        out = [one(PAIRS, u=pu[sampled], w=pw[sampled], n=total[sampled], at=at[sampled])]
+        if not ask:
+            once = (total > 0) & ~sampled
+            return pa.Table.from_batches([*out, one(ONES, u=pu[once], w=pw[once])])
+        sizes, chunk = lengths(table.column("u")), table.column("chunk").to_numpy()
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        place = np.arange(len(u)) - np.repeat(np.cumsum(sizes) - sizes - table.column("start").to_numpy(), sizes)
+        known = sampled & ~((pu >= 0) & (pw >= 0) & (total >= hot))
+        for kind, those in ((ASKED, known[of]), (ONCE, ((total > 0) & ~sampled)[of] & (n == 0))):
+            each = np.bincount(row[those], minlength=len(sizes))
+            lists = {"asked": listed(place[those], each, pa.list_(pa.int32()))}
+            if kind == ASKED:
+                lists["at"] = listed(at[of[those]], each, pa.list_(pa.int32()))
+            out.append(batch_of(out_arrow, len(sizes), part=part, kind=kind, chunk=chunk, **lists))
+        return pa.Table.from_batches(out)
+
+    return rows.drop("times").mapInArrow(send, sent).groupBy("part").applyInArrow(count, DEALT)
 
 
 def of_words(pairs: DataFrame, words: DataFrame, name: str, how: str = "inner") -> DataFrame:
@@ -171,10 +336,12 @@ def of_words(pairs: DataFrame, words: DataFrame, name: str, how: str = "inner")
 
 @dataclass
 class Tables:
-    """What stays in Spark: `words` (word, key, n, parent, room, back) of all words, and `pairs` (u, w, n, t) of all pairs with their averaged tables."""
+    """What stays in Spark: `words` (word, key, n, parent, room, back) of all words, `pairs` (u, w, n, t) of all pairs with their averaged tables,
+    and `sampled` (part, at, u, w, n, t) of those that were sampled, with their part and place there."""
 
     words: DataFrame
     pairs: DataFrame
+    sampled: DataFrame
 
 
 def train(docs: DataFrame, settings: Settings = Settings(), counted: Column | None = None) -> tuple[Model, DataFrame]:
@@ -184,13 +351,20 @@ def train(docs: DataFrame, settings: Settings = Settings(), counted: Column | No
 
 
 def trained(docs: DataFrame, s: Settings, counted: Column | None = None) -> tuple[Model, Tables]:
-    with little_disk(docs.sparkSession):
-        return _trained(docs, s, counted)
-
-
-def _trained(docs: DataFrame, s: Settings, counted: Column | None) -> tuple[Model, Tables]:
     rows = docs.select(F.coalesce("text", F.lit("")).alias("text"), (F.lit(True) if counted is None else counted).alias("counted"))
-    counts = lineage_cut(token_counts(rows, s.number_bits))
+    with little_disk(docs.sparkSession):
+        made = lineage_cut(chunked(rows, s.chunk_tokens))
+        model, tables, _ = _trained(made, s, False)
+        forget(made)
+    return model, tables
+
+
+def _trained(made: DataFrame, s: Settings, ask: bool) -> tuple[Model, Tables, DataFrame]:
+    """The model of some chunks, its tables, and the pairs by part. `ask`: for `pair_counts`; the table of pairs then lacks those that come once."""
+    spark = made.sparkSession
+    key = F.pandas_udf(lambda words: pd.Series([number(w, s.number_bits) for w in words], dtype="int64"), "long")
+    counts = made.select(F.inline(F.arrays_zip(F.col("words").alias("word"), F.col("times").alias("n")))).groupBy("word").agg(F.sum("n").alias("n"))
+    counts = lineage_cut(counts.select("word", key("word").alias("key"), "n"))
     shared = counts.groupBy("key").agg(F.count(F.lit(1)).alias("words")).filter("words > 1")
     sums = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count(F.when(F.col("n") > 0, 1)).alias("distinct")).first()
     total, distinct = sums["total"], sums["distinct"]
@@ -199,23 +373,28 @@ def _trained(docs: DataFrame, s: Settings, counted: Column | None) -> tuple[Mode
     often = often.union(counts.join(shared, "key", "left_semi").select("word", "n")).distinct().orderBy(F.desc("n"), "word").toPandas()
     ids = {bytes(w): i for i, w in enumerate(often["word"])}
     n = often["n"].to_numpy(np.int64)
-    spark = docs.sparkSession
     places = spark.createDataFrame(pd.DataFrame({"word": often["word"], "place": np.arange(len(n), dtype=np.int64)}), "word binary, place long")
-    pairs = pair_counts(rows.filter("counted"), ids, s.number_bits)
-    words = counts.join(places, "word", "left").select("word", F.coalesce("place", "key").alias("key"), "n")
+    words = counts.join(F.broadcast(places), "word", "left").select("word", F.coalesce("place", "key").alias("key"), "n")
     is_context = F.col("n") >= max(1, s.context_share * total, s.word_share * total)
-    if s.word_share or s.context_share or s.pair_share:
+    smaller = bool(s.word_share or s.context_share or s.pair_share)
+    parts = s.slices * max(1, math.ceil(total / (s.slices * s.slice_tokens)))
+    with few_rows_at_once(spark):
+        dealt = lineage_cut(pair_counts(
+            made, spark.sparkContext.broadcast(ids), parts, 1 if smaller else 2, max(1, total / s.hot_pairs), ask, s.number_bits))
+    pairs = dealt.filter(F.col("kind") == PAIRS).select("part", F.inline(F.arrays_zip("u", "w", "n", "at")))
+    if smaller:
         pairs = pairs.filter(F.col("n") >= s.pair_share * total)
         pairs = pairs.join(words.filter(is_context).select(F.col("key").alias("u")), "u", "left_semi")
-        pairs = pairs.join(words.filter(F.col("n") >= s.word_share * total).select(F.col("key").alias("w")), "w", "left_semi")
-    pairs = lineage_cut(pairs.select("u", "w", "n"))
-    held = pairs.groupBy(F.col("u").alias("key")).agg(F.sum("n").alias("held"), F.count(F.when(F.col("n") == 1, 1)).alias("ones"))
-    words = counted_words = lineage_cut(words.join(held, "key", "left").fillna(0, ["held", "ones"]))
+        pairs = lineage_cut(pairs.join(words.filter(F.col("n") >= s.word_share * total).select(F.col("key").alias("w")), "w", "left_semi"))
+    # a word is a context as often as it is a token; what it has beside the sampled pairs are pairs that come once
+    held = pairs.groupBy(F.col("u").alias("key")).agg(F.sum("n").alias("sampled"))
+    words = words.join(held, "key", "left").fillna(0, ["sampled"]).withColumn("held", F.col("sampled") if smaller else F.col("n"))
+    words = counted_words = lineage_cut(words.withColumn("ones", F.col("held") - F.col("sampled")).drop("sampled"))
     forget(counts)
     known = words.filter("n > 0").select("word", "key", "n", "ones")
 
     base = 1.0 / (distinct + 1)
-    seated = pairs.filter("n > 1").withColumn("t", F.lit(1.0)).withColumn("ts", F.lit(0.0))
+    seated = pairs.withColumn("t", F.lit(1.0)).withColumn("ts", F.lit(0.0))
     parent_tables = float(distinct)
     parents, last, chances = None, None, []
     for sweep in range(s.burn_in + s.sweeps):
@@ -237,7 +416,7 @@ def _trained(docs: DataFrame, s: Settings, counted: Column | None) -> tuple[Mode
         ready = ready.withColumn("weight", (s.strength + s.discount * (F.col("tables") - F.col("t"))) * F.col("p")).withColumn("draw", F.xxhash64("u", "w"))
         drawn = ready.withColumn("t", _seated("n", F.col("weight"), "draw", s.discount, 2 * sweep + 1, s.one_by_one))
         kept = F.col("ts") + F.col("t") if sweep >= s.burn_in else F.col("ts")
-        seated = lineage_cut(drawn.select("u", "w", "n", "t", kept.alias("ts")))
+        seated = lineage_cut(drawn.select("part", "at", "u", "w", "n", "t", kept.alias("ts")))
         if last is not None:
             forget(last)
         last = seated
@@ -248,16 +427,19 @@ def _trained(docs: DataFrame, s: Settings, counted: Column | None) -> tuple[Mode
             chance = chance.select("key", "p", F.lit(rest).alias("unknown"))
             parents = chance if parents is None else parents.unionByName(chance)
     parents = parents.groupBy("key").agg(F.avg("p").alias("parent"), F.avg("unknown").alias("unknown"))
-    averaged = seated.select("u", "w", "n", (F.col("ts") / s.sweeps).alias("t"))
+    averaged = seated.select("part", "at", "u", "w", "n", (F.col("ts") / s.sweeps).alias("t"))
     rooms = averaged.groupBy(F.col("u").alias("key")).agg(F.sum("t").alias("again"))
     room = F.col("n") + F.lit(s.strength)
     tables = F.col("ones") + F.coalesce("again", F.lit(0.0))
     back = F.when(is_context, 1 - (F.col("held") - tables * s.discount) / room).otherwise(F.lit(1.0))
     words = lineage_cut(words.join(rooms, "key", "left").join(parents, "key", "left").select(
         "word", "key", "n", "parent", "unknown", room.alias("room"), back.alias("back")))
-    for table in (counted_words, *chances):
+    for table in (counted_words, *chances, *[pairs] * smaller):
         forget(table)
-    pairs = pairs.filter("n = 1").withColumn("t", F.lit(1.0)).unionByName(averaged)
+    pairs = averaged.drop("part", "at")
+    if not ask:
+        ones = dealt.filter(F.col("kind") == ONES).select(F.inline(F.arrays_zip("u", "w")))
+        pairs = pairs.unionByName(ones.withColumn("n", F.lit(1).cast("long")).withColumn("t", F.lit(1.0)))
     # hot_words and hot_pairs rows at most come back
     hot = words.filter("key >= 0").orderBy("key").select("parent", "back", "room").toPandas()
     got = pairs.filter(is_hot(s, total)).toPandas()
@@ -269,13 +451,70 @@ def _trained(docs: DataFrame, s: Settings, counted: Column | None) -> tuple[Mode
     model = Model(
         ids, n, hot["parent"].to_numpy(np.float64), hot["back"].to_numpy(np.float64), keys[order], share[order], total, distinct,
         1.0 if unknown is None else float(unknown), s.number_bits)
-    return model, Tables(words.drop("unknown"), pairs)
+    return model, Tables(words.drop("unknown"), pairs, averaged), dealt
 
 
 def is_hot(s: Settings, total: int) -> Column:
     return (F.col("u") >= 0) & (F.col("w") >= 0) & (F.col("n") >= max(1, total / s.hot_pairs))
 
 
+#: What a chunk is told. Kind WORD: n, parent and back of the words at places `asked` of the chunk. PAIR: what the pairs at those places have of their own, times `room`.
+#: ONE: the places of pairs that another chunk has once.
+WORD, PAIR, ONE = range(3)
+TOLD = "chunk long, kind int, asked array<int>, a array<double>, b array<double>, c array<double>"
+
+
+def word_answers(made: DataFrame, words: DataFrame, ids: Broadcast, parts: int, bits: int) -> DataFrame:
+    """TOLD of the words without a place: each chunk asks once for each of its words."""
+    sent = T.StructType.fromDDL("part int, chunk long, asked array<int>, keys array<long>")
+    sent_arrow, told = to_arrow_schema(sent), to_arrow_schema(T.StructType.fromDDL(TOLD))
+
+    def ask(batches):
+        for batch in batches:
+            for chunk, names in zip(batch.column("chunk").to_pylist(), batch.column("words")):
+                keys = numbers(names.values.to_pylist(), ids.value, bits)
+                asked = np.flatnonzero(keys < 0)
+                part = (-1 - keys[asked]) % parts
+                order = np.argsort(part, kind="stable")
+                own, sizes = np.unique(part, return_counts=True)
+                yield batch_of(sent_arrow, len(own), part=own, chunk=chunk, asked=listed(asked[order], sizes, pa.list_(pa.int32())),
+                               keys=listed(keys[asked][order], sizes, pa.list_(pa.int64())))
+
+    def answer(asks: pa.Table, known: pa.Table) -> pa.Table:
+        keys = known.column("key").to_numpy()
+        order = np.argsort(keys)
+        at = order[np.searchsorted(keys, flat(asks.column("keys")), sorter=order)] if asks.num_rows else np.zeros(0, dtype=np.int64)
+        sizes = lengths(asks.column("asked"))
+        values = {k: listed(known.column(c).to_numpy()[at], sizes, pa.list_(pa.float64())) for k, c in (("a", "n"), ("b", "parent"), ("c", "back"))}
+        return pa.Table.from_batches([batch_of(
+            told, asks.num_rows, chunk=asks.column("chunk").to_numpy(), kind=WORD, asked=listed(flat(asks.column("asked")), sizes, pa.list_(pa.int32())), **values)])
+
+    known = words.filter("key < 0").select(F.pmod(-1 - F.col("key"), F.lit(parts)).cast("int").alias("part"), "key", F.col("n").cast("double").alias("n"), "parent", "back")
+    return made.select("chunk", "words").mapInArrow(ask, sent).groupBy("part").cogroup(known.groupBy("part")).applyInArrow(answer, TOLD)
+
+
+def pair_answers(dealt: DataFrame, sampled: DataFrame, discount: float) -> DataFrame:
+    """TOLD of the sampled pairs that chunks asked for."""
+    told = to_arrow_schema(T.StructType.fromDDL(TOLD))
+
+    def answer(asks: pa.Table, known: pa.Table) -> pa.Table:
+        at = flat(asks.column("at"))
+        places = known.column("at").to_numpy()
+        own = np.full(max(at.max(initial=-1), places.max(initial=-1)) + 1, np.nan)
+        own[places] = known.column("own").to_numpy()
+        own = own[at]
+        there = ~np.isnan(own)
+        sizes = lengths(asks.column("at"))
+        sizes = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[there], minlength=len(sizes))
+        return pa.Table.from_batches([batch_of(
+            told, asks.num_rows, chunk=asks.column("chunk").to_numpy(), kind=PAIR,
+            asked=listed(flat(asks.column("asked"))[there], sizes, pa.list_(pa.int32())), a=listed(own[there], sizes, pa.list_(pa.float64())))])
+
+    asks = dealt.filter((F.col("kind") == ASKED) & (F.size("at") > 0)).select("part", "chunk", "at", "asked")
+    known = sampled.select("part", "at", (F.col("n") - F.col("t") * discount).alias("own"))
+    return asks.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(answer, TOLD)
+
+
 def scored(docs: DataFrame, fold: int = 7, held_out: int = 2, settings: Settings = Settings()) -> DataFrame:
     """All documents: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity."""
     with little_disk(docs.sparkSession):
@@ -283,76 +522,59 @@ def scored(docs: DataFrame, fold: int = 7, held_out: int = 2, settings: Settings
 
 
 def _scored(docs: DataFrame, fold: int, held_out: int, s: Settings) -> DataFrame:
-    rows = docs.select(
-        "doc_id", (remainder(F.col("doc_id"), fold) == held_out).alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
-    model, tables = trained(rows, s, ~F.col("held_out"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    spark = docs.sparkSession
+    rows = docs.select("doc_id", (remainder(F.col("doc_id"), fold) != held_out).alias("counted"), F.coalesce("text", F.lit("")).alias("text"))
+    made = lineage_cut(chunked(rows, s.chunk_tokens))
+    model, tables, dealt = _trained(made, s, True)
+    shared, ids = spark.sparkContext.broadcast(model), spark.sparkContext.broadcast(model.ids)
     room = float(model.total + model.distinct + 1)
+    # in a model of everything, a pair that training texts of the chunk have and that nobody answers comes once
+    alone = 0.0 if s.word_share or s.context_share or s.pair_share else 1 - s.discount
+    out = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), *T.StructType.fromDDL(
+        "held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double").fields])
+    arrow = to_arrow_schema(out)
 
-    def run(texts):
+    def run(left: pa.Table, told: pa.Table) -> pa.Table:
         m = shared.value
         width = max(len(m.ids), 1)
-        log_base = np.log10((m.counts + 1) / room)
-        end = numbers([END], m.ids, m.bits)
-        out: dict[str, list] = {"n_tokens": [], "known": [], "base": [], "model": [], "us": [], "ws": []}
-        for t in texts:
-            x = numbers(tokens(t), m.ids, m.bits)
-            before = np.concatenate([end, x[:-1]])
-            often = x >= 0
-            hot, p = np.zeros(len(x), dtype=bool), np.zeros(0)
-            if len(m.pairs):
-                both = np.flatnonzero(often & (before >= 0))
-                key = before[both] * width + x[both]
-                at = np.minimum(np.searchsorted(m.pairs, key), len(m.pairs) - 1)
-                found = m.pairs[at] == key
-                hot[both[found]] = True
-                p = m.back_off[before[hot]] * m.parent[x[hot]] + m.shares[at[found]]
-            out["n_tokens"].append(len(x))
-            out["known"].append(int((m.counts[x[often]] > 0).sum()))
-            out["base"].append(float(log_base[x[often]].sum()))
-            out["model"].append(float(np.log10(p).sum()))
-            out["us"].append(before[~hot])
-            out["ws"].append(x[~hot])
-        return out
-
-    first = map_texts(
-        rows, ["doc_id", "held_out"],
-        "n_tokens long, known long, base double, model double, us array<long>, ws array<long>", run)
-    first = lineage_cut(first.withColumn("row", F.monotonically_increasing_id()))
-    words = tables.words
-    n = F.coalesce(F.col("n"), F.lit(0))
-    rare = first.select("row", F.explode(F.filter("ws", lambda x: x < 0)).alias("key")).groupBy("row", "key").agg(F.count(F.lit(1)).alias("times"))
-    rare = rare.join(words.filter("key < 0").select("key", "n"), "key", "left").select(
-        "row", F.when(n > 0, F.col("times")).otherwise(0).alias("known"), (F.col("times") * F.log10((n + 1) / F.lit(room))).alias("base"),
-        F.lit(0.0).alias("model"))
-    rare = lineage_cut(rare.groupBy("row").agg(*[F.sum(c).alias(c) for c in ("known", "base", "model")]))
-    # pairs of the model, other than the hot ones; tokens whose pair the model lacks keep their numbers
-    context = words.select(F.col("key").alias("u"), "back", "room")
-    dish = words.select(F.col("key").alias("w"), "parent")
-    p = (F.col("n") - F.col("t") * s.discount) / F.col("room") + F.col("back") * F.col("parent")
-    cold = first.select("row", F.inline(F.arrays_zip("us", "ws"))).toDF("row", "u", "w")
-    lacks = F.col("model").isNull()
-    slices = max(1, min(s.slices, model.total // s.slice_tokens))
-    found = None
-    for i in range(slices):
-        own = F.pmod(F.xxhash64("u", "w"), F.lit(slices)) == i
-        ready = of_words(of_words(tables.pairs.filter(~is_hot(s, model.total) & own), context, "u"), dish, "w").select("u", "w", F.log10(p).alias("model"))
-        part = lineage_cut(cold.filter(own).join(ready, ["u", "w"], "left").groupBy(
-            "row", F.when(lacks, F.col("u")).alias("u"), F.when(lacks, F.col("w")).alias("w")).agg(F.count(F.lit(1)).alias("times"), F.sum("model").alias("model")))
-        found = part if found is None else found.unionByName(part)
-    nothing = [F.lit(0).alias("known"), F.lit(0.0).alias("base")]
-    seen = found.filter("u IS NULL").select("row", *nothing, "model")
-    lone = F.log10(F.coalesce("back", F.lit(1.0)) * F.coalesce("parent", F.lit(model.unknown)))
-    missed = of_words(of_words(found.filter("u IS NOT NULL").select("row", "u", "w", "times"), context, "u", "left"), dish, "w", "left").select(
-        "row", *nothing, (F.col("times") * lone).alias("model"))
-    added = lineage_cut(rare.unionByName(seen).unionByName(missed).groupBy("row").agg(
-        F.sum("known").alias("more_known"), F.sum("base").alias("more_base"), F.sum("model").alias("more_model")))
-    out = first.drop("us", "ws").join(added, "row", "left")
-    none = F.lit(0.0)
-    out = out.select(
-        "doc_id", "held_out", "n_tokens",
-        (F.col("known") + F.coalesce("more_known", F.lit(0))).cast("long").alias("n_known"),
-        F.lit(model.total).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more_base", none)).alias("base_score"),
-        (F.col("model") + F.coalesce("more_model", none)).alias("score"))
-    return out.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
+        [batch] = left.combine_chunks().to_batches()
+        [c] = chunks(batch, m.ids, m.bits)
+        n, parent, back = np.zeros(len(c.keys)), np.full(len(c.keys), np.nan), np.ones(len(c.keys))
+        often = c.keys >= 0
+        n[often], parent[often], back[often] = (v[c.keys[often]] for v in (m.counts, m.parent, m.back_off))
+        own = np.where(c.n > 0, alone, 0.0)
+        kind = told.column("kind").to_numpy()
+        for k, values in ((WORD, (n, parent, back)), (PAIR, (own,)), (ONE, ())):
+            rows = told.filter(pa.array(kind == k))
+            at = flat(rows.column("asked"))
+            for v, name in zip(values, "abc"):
+                v[at] = flat(rows.column(name))
+            if k == ONE:
+                own[at] = 1 - s.discount
+        parent[np.isnan(parent)] = m.unknown
+        # p by pair, then by token
+        first = c.order[c.starts]
+        u, w = c.u[first], c.x[first]
+        share = own / (n[u] + s.strength)
+        if len(m.pairs):
+            both = np.flatnonzero((c.keys[u] >= 0) & (c.keys[w] >= 0))
+            key = c.keys[u[both]] * width + c.keys[w[both]]
+            at = np.minimum(np.searchsorted(m.pairs, key), len(m.pairs) - 1)
+            found = m.pairs[at] == key
+            share[both[found]] = m.shares[at[found]]
+        logs = np.empty(len(c.x))
+        logs[c.order] = np.repeat(np.log10(back[u] * parent[w] + share), np.diff([*c.starts, len(c.x)]))
+        starts = np.cumsum(c.lens) - c.lens
+        total = lambda v: np.add.reduceat(v, starts)
+        columns = [batch.column("ids")[0].values, pa.array(~c.counted), pa.array(c.lens), pa.array(total((n > 0)[c.x].astype(np.int64))),
+                   pa.array(np.full(len(c.lens), m.total)), pa.array(total(np.log10((n + 1) / room)[c.x])), pa.array(total(logs))]
+        return pa.Table.from_arrays([v.cast(f.type) for v, f in zip(columns, arrow)], schema=arrow)
+
+    parts = s.slices * max(1, math.ceil(model.distinct / (s.slices * s.slice_tokens)))
+    told = word_answers(made, tables.words, ids, parts, s.number_bits).unionByName(pair_answers(dealt, tables.sampled, s.discount))
+    once = dealt.filter((F.col("kind") == ONCE) & (F.size("asked") > 0)).select("chunk", F.lit(ONE).alias("kind"), "asked")
+    told = told.unionByName(once, allowMissingColumns=True)
+    result = lineage_cut(made.drop("times").groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(run, out))
+    for table in (made, dealt):
+        forget(table)
+    return result.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))

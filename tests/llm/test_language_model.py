@@ -158,3 +158,24 @@ def test_past_steps_leave_the_disk_and_slices_change_nothing(spark, documents, m
     few, one = (sorted((str(r["doc_id"]), r["n_tokens"], r["n_known"], round(r["base_score"], 6), round(r["score"], 6)) for r in scored(docs, settings=s).collect())
                 for s in (Settings(hot_pairs=5, slices=3, slice_tokens=1), Settings(hot_pairs=5)))
     assert few == one and len(few) == len(rows)
+
+
+def test_tasks_hold_a_chunk_and_chunks_change_nothing(documents):
+    """Tokens and pairs are held for `chunk_tokens` tokens or one document more, not for a batch of documents."""
+    rows = [(i, f"the cat sat on w{i % 9} and v{i % 7} by w{i * 3} " * (1 + i % 3)) for i in range(60)] + [(None, ""), (99, None), (100, "sat the sat the")]
+    docs = documents(rows)
+    made = language_model.chunked(docs.select("text", F.lit(True).alias("counted")).fillna(""), 40).select("lens").collect()
+    assert len(made) > 15 and all(sum(r["lens"][:-1]) < 40 for r in made)
+    assert sorted(n for r in made for n in r["lens"]) == sorted(len(tokens(t or "")) for _, t in rows)
+    few, one = (sorted((str(r["doc_id"]), r["n_tokens"], r["n_known"], round(r["base_score"], 6), round(r["score"], 6)) for r in scored(docs, settings=s).collect())
+                for s in (Settings(hot_words=5, hot_pairs=5, chunk_tokens=40), Settings(hot_words=5, hot_pairs=5)))
+    assert few == one and len(few) == len(rows)
+
+
+def test_pairs_that_share_a_hash_stay_apart():
+    rng = np.random.default_rng(1)
+    u, w = rng.integers(-9, 9, 2000), rng.integers(-9, 9, 2000)
+    for hash_ in (language_model.mixed, lambda u, w: (u + w).astype(np.uint64) % np.uint64(5)):
+        order, starts, h = language_model.grouped(u, w, hash_)
+        assert (np.diff(h.astype(np.float64)) >= 0).all() and len(starts) == len(set(zip(u.tolist(), w.tolist())))
+        assert Counter(zip(u.tolist(), w.tolist())) == Counter(dict(zip(zip(u[order[starts]].tolist(), w[order[starts]].tolist()), np.diff([*starts, len(u)]).tolist())))
