@@ -28,7 +28,6 @@ from itertools import repeat
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.core.broadcast import Broadcast
@@ -142,6 +141,18 @@ def numbers(words: list[bytes], ids: dict[bytes, int], bits: int) -> np.ndarray:
     return x
 
 
+def packed(values: np.ndarray, up: bool = False) -> bytes:
+    """Numbers as bytes, those of the same significance side by side, because tables and shuffles compress them better so. `up`: they ascend, and their steps are kept."""
+    values = np.diff(values, prepend=values.dtype.type(0)) if up else values
+    return np.ascontiguousarray(np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T).tobytes()
+
+
+def unpacked(data: bytes, kind: type, up: bool = False) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    values = np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, len(data) // size).T).view(kind).reshape(-1)
+    return np.cumsum(values, dtype=kind) if up else values
+
+
 class Places(dict):
     """Places of words in the order they come."""
 
@@ -150,8 +161,8 @@ class Places(dict):
         return place
 
 
-#: A chunk: some documents' ids, whether they train and how many tokens they have; its words, how often each comes in training, and the place of every token's word.
-CHUNK = "chunk long, counted array<boolean>, lens array<long>, words array<binary>, times array<long>, x array<int>"
+#: A chunk: some documents' ids, whether they train and how many tokens they have; its words, how often each comes in training, and the place of every token's word, packed.
+CHUNK = "chunk long, counted array<boolean>, lens array<long>, words array<binary>, times array<long>, x binary"
 
 
 def chunked(rows: DataFrame, size: int) -> DataFrame:
@@ -164,7 +175,7 @@ def chunked(rows: DataFrame, size: int) -> DataFrame:
         lens = [len(v) for v in x]
         every = np.concatenate(x)
         times = np.bincount(every[np.repeat(counted, lens)], minlength=len(places))
-        values = [chunk, counted, lens, list(places), times, every, docs]
+        values = [chunk, counted, lens, list(places), times, packed(every), docs]
         return pa.RecordBatch.from_arrays([pa.array([v], type=f.type) for v, f in zip(values, arrow)], schema=arrow)
 
     def run(batches):
@@ -187,19 +198,16 @@ def chunked(rows: DataFrame, size: int) -> DataFrame:
     return rows.mapInArrow(run, out)
 
 
-def flat(lists) -> np.ndarray:
-    """The values of a column of lists, one list after the other."""
-    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
-    return lists.flatten().to_numpy(zero_copy_only=False)
-
-
-def lengths(lists) -> np.ndarray:
-    return pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+def flat(column, kind: type, up: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of a column of packed ones, one row after the other, and how many each row has."""
+    each = [unpacked(v, kind, up) for v in column.to_pylist()]
+    return np.concatenate([np.zeros(0, kind), *each]), np.array([len(v) for v in each], dtype=np.int64)
 
 
-def listed(values: np.ndarray, sizes: np.ndarray, kind: pa.DataType) -> pa.Array:
-    """A column of lists of `sizes` values each."""
-    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(values, kind.value_type))
+def listed(values: np.ndarray, sizes: np.ndarray, up: bool = False) -> pa.Array:
+    """A column of packed numbers, `sizes` in each row."""
+    ends = np.cumsum(sizes)
+    return pa.array([packed(values[a:b], up) for a, b in zip(ends - sizes, ends)], pa.binary())
 
 
 def batch_of(schema: pa.Schema, rows: int, **columns) -> pa.RecordBatch:
@@ -264,8 +272,9 @@ class Chunk:
 
 def chunks(batch, ids: dict[bytes, int], bits: int) -> Iterator[Chunk]:
     for i in range(batch.num_rows):
-        words, lens, counted, x = (batch.column(c)[i].values for c in ("words", "lens", "counted", "x"))
-        words, lens, counted, x = words.to_pylist(), lens.to_numpy(), counted.to_numpy(zero_copy_only=False).astype(bool), x.to_numpy()
+        words, lens, counted = (batch.column(c)[i].values for c in ("words", "lens", "counted"))
+        words, lens, counted = words.to_pylist(), lens.to_numpy(), counted.to_numpy(zero_copy_only=False).astype(bool)
+        x = unpacked(batch.column("x")[i].as_py(), np.int32)
         keys = numbers(words, ids, bits)
         # every document has an end
         u = before(x, lens, words.index(END))
@@ -274,16 +283,16 @@ def chunks(batch, ids: dict[bytes, int], bits: int) -> Iterator[Chunk]:
         yield Chunk(batch.column("chunk")[i].as_py(), counted, lens, keys, x, u, order, starts, hashes[starts], n)
 
 
-#: Pairs by part. Kind PAIRS: (u, w, n, at) of those to sample. ASKED: places `asked` among the pairs of a chunk, of pairs `at`. ONCE: places in a chunk of pairs that
-#: another chunk has once. ONES: (u, w) of all other pairs.
+#: Pairs by part. Kind PAIRS: (u, w, n) of those to sample. ASKED: packed places `asked` among the pairs of a chunk, of the pairs `at` those places of PAIRS. ONCE: places in a
+#: chunk of pairs that another chunk has once. ONES: (u, w) of all other pairs.
 PAIRS, ASKED, ONCE, ONES = range(4)
-DEALT = "part int, kind int, chunk long, u array<long>, w array<long>, n array<long>, at array<int>, asked array<int>"
+DEALT = "part int, kind int, chunk long, u array<long>, w array<long>, n array<long>, at binary, asked binary"
 
 
 def pair_counts(rows: DataFrame, shared: Broadcast, parts: int, least: int, hot: float, ask: bool, bits: int) -> DataFrame:
     """The pairs of all chunks, counted: a chunk sends each of its pairs once to one of `parts` parts. Pairs of at least `least` are to be sampled. `ask`: whether the chunks'
     places are kept (but of pairs of hot words with `hot` or more, which the tasks will know), or else the pairs that come once."""
-    sent = T.StructType.fromDDL("part int, chunk long, start long, u array<long>, w array<long>, n array<long>")
+    sent = T.StructType.fromDDL("part int, chunk long, start long, u binary, w binary, n binary")
     sent_arrow, out_arrow = to_arrow_schema(sent), to_arrow_schema(T.StructType.fromDDL(DEALT))
 
     def send(batches):
@@ -295,12 +304,12 @@ def pair_counts(rows: DataFrame, shared: Broadcast, parts: int, least: int, hot:
                     u, w, n, c.hashes = u[n > 0], w[n > 0], n[n > 0], c.hashes[n > 0]
                 part = (((c.hashes >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
                 own, start, sizes = np.unique(part, return_index=True, return_counts=True)
-                lists = {k: listed(v, sizes, pa.list_(pa.int64())) for k, v in (("u", u), ("w", w), ("n", n))}
+                lists = {k: listed(v, sizes) for k, v in (("u", u), ("w", w), ("n", n))}
                 yield batch_of(sent_arrow, len(own), part=own, chunk=c.number, start=start, **lists)
 
     def count(table: pa.Table) -> pa.Table:
         part = table.column("part")[0].as_py()
-        u, w, n = (flat(table.column(c)) for c in "uwn")
+        (u, sizes), (w, _), (n, _) = (flat(table.column(c), np.int64) for c in "uwn")
         order, starts, _ = grouped(u, w)
         total = np.add.reduceat(n[order], starts)
         pu, pw = u[order[starts]], w[order[starts]]
@@ -308,20 +317,20 @@ def pair_counts(rows: DataFrame, shared: Broadcast, parts: int, least: int, hot:
         of[order] = np.repeat(np.arange(len(starts)), np.diff([*starts, len(u)]))
         sampled = total >= least
         at = np.cumsum(sampled) - 1
-        one = lambda kind, **lists: batch_of(out_arrow, 1, part=part, kind=kind, **{k: listed(v, [len(v)], out_arrow.field(k).type) for k, v in lists.items()})
-        out = [one(PAIRS, u=pu[sampled], w=pw[sampled], n=total[sampled], at=at[sampled])]
+        one = lambda kind, **lists: batch_of(out_arrow, 1, part=part, kind=kind, **{k: pa.array([v], out_arrow.field(k).type) for k, v in lists.items()})
+        out = [one(PAIRS, u=pu[sampled], w=pw[sampled], n=total[sampled])]
         if not ask:
             once = (total > 0) & ~sampled
             return pa.Table.from_batches([*out, one(ONES, u=pu[once], w=pw[once])])
-        sizes, chunk = lengths(table.column("u")), table.column("chunk").to_numpy()
+        chunk = table.column("chunk").to_numpy()
         row = np.repeat(np.arange(len(sizes)), sizes)
         place = np.arange(len(u)) - np.repeat(np.cumsum(sizes) - sizes - table.column("start").to_numpy(), sizes)
         known = sampled & ~((pu >= 0) & (pw >= 0) & (total >= hot))
         for kind, those in ((ASKED, known[of]), (ONCE, ((total > 0) & ~sampled)[of] & (n == 0))):
             each = np.bincount(row[those], minlength=len(sizes))
-            lists = {"asked": listed(place[those], each, pa.list_(pa.int32()))}
+            lists = {"asked": listed(place[those].astype(np.int32), each, True)}
             if kind == ASKED:
-                lists["at"] = listed(at[of[those]], each, pa.list_(pa.int32()))
+                lists["at"] = listed(at[of[those]].astype(np.int32), each, True)
             out.append(batch_of(out_arrow, len(sizes), part=part, kind=kind, chunk=chunk, **lists))
         return pa.Table.from_batches(out)
 
@@ -329,9 +338,10 @@ def pair_counts(rows: DataFrame, shared: Broadcast, parts: int, least: int, hot:
 
 
 def of_words(pairs: DataFrame, words: DataFrame, name: str, how: str = "inner") -> DataFrame:
-    """`pairs` joined by number with `words`: hot ones, at most hot_words, by a broadcast, so that no frequent word makes a large group."""
+    """`pairs` joined by number with `words`: hot ones, at most hot_words, by a broadcast, so that no frequent word makes a large group; the many pairs of others
+    are not sorted but stream past their words."""
     hot = pairs.filter(F.col(name) >= 0).join(F.broadcast(words.filter(F.col(name) >= 0)), name, how)
-    return hot.unionByName(pairs.filter(F.col(name) < 0).join(words.filter(F.col(name) < 0), name, how))
+    return hot.unionByName(pairs.filter(F.col(name) < 0).join(words.filter(F.col(name) < 0).hint("shuffle_hash"), name, how))
 
 
 @dataclass
@@ -381,7 +391,7 @@ def _trained(made: DataFrame, s: Settings, ask: bool) -> tuple[Model, Tables, Da
     with few_rows_at_once(spark):
         dealt = lineage_cut(pair_counts(
             made, spark.sparkContext.broadcast(ids), parts, 1 if smaller else 2, max(1, total / s.hot_pairs), ask, s.number_bits))
-    pairs = dealt.filter(F.col("kind") == PAIRS).select("part", F.inline(F.arrays_zip("u", "w", "n", "at")))
+    pairs = dealt.filter(F.col("kind") == PAIRS).select("part", F.posexplode(F.arrays_zip("u", "w", "n")).alias("at", "pair")).select("part", "at", "pair.*")
     if smaller:
         pairs = pairs.filter(F.col("n") >= s.pair_share * total)
         pairs = pairs.join(words.filter(is_context).select(F.col("key").alias("u")), "u", "left_semi")
@@ -391,7 +401,8 @@ def _trained(made: DataFrame, s: Settings, ask: bool) -> tuple[Model, Tables, Da
     words = words.join(held, "key", "left").fillna(0, ["sampled"]).withColumn("held", F.col("sampled") if smaller else F.col("n"))
     words = counted_words = lineage_cut(words.withColumn("ones", F.col("held") - F.col("sampled")).drop("sampled"))
     forget(counts)
-    known = words.filter("n > 0").select("word", "key", "n", "ones")
+    none = F.lit(0.0)
+    known = words.filter("n > 0").select("key", "n", "ones", F.xxhash64("word").alias("draw"), none.alias("kept"), none.alias("again"))
 
     base = 1.0 / (distinct + 1)
     seated = pairs.withColumn("t", F.lit(1.0)).withColumn("ts", F.lit(0.0))
@@ -399,12 +410,13 @@ def _trained(made: DataFrame, s: Settings, ask: bool) -> tuple[Model, Tables, Da
     parents, last, chances = None, None, []
     for sweep in range(s.burn_in + s.sweeps):
         # the parent seats one customer for each table of a context, and one for each token outside the pairs of the model
-        sent = seated.groupBy(F.col("w").alias("key")).agg(F.sum(F.col("n") - F.col("t")).alias("kept"))
-        rooms = seated.groupBy(F.col("u").alias("key")).agg(F.sum("t").alias("again"))
+        sent = seated.select(F.col("w").alias("key"), (F.col("n") - F.col("t")).alias("kept"))
+        rooms = seated.select(F.col("u").alias("key"), F.col("t").alias("again"))
         fresh = F.lit((s.parent_strength + s.parent_discount * parent_tables) * base)
-        served = known.join(sent, "key", "left").join(rooms, "key", "left").select(
-            "word", "key", (F.col("n") - F.coalesce("kept", F.lit(0.0))).alias("k"), (F.col("ones") + F.coalesce("again", F.lit(0.0))).alias("tables"),
-            F.xxhash64("word").alias("draw"))
+        # one shuffle of sums by word; only a word's own row has what is known of it
+        served = known.unionByName(sent, allowMissingColumns=True).unionByName(rooms, allowMissingColumns=True)
+        served = served.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("n", "ones", "draw", "kept", "again")]).select(
+            "key", "draw", (F.col("n") - F.col("kept")).alias("k"), (F.col("ones") + F.col("again")).alias("tables"))
         served = lineage_cut(served.withColumn("t", _seated("k", fresh, "draw", s.parent_discount, 2 * sweep, s.one_by_one)).select("key", "k", "t", "tables"))
         mass = served.agg(F.coalesce(F.sum("k"), F.lit(0.0)).alias("k"), F.coalesce(F.sum("t"), F.lit(0.0)).alias("t")).first()
         parent_tables = mass["t"]
@@ -458,15 +470,15 @@ def is_hot(s: Settings, total: int) -> Column:
     return (F.col("u") >= 0) & (F.col("w") >= 0) & (F.col("n") >= max(1, total / s.hot_pairs))
 
 
-#: What a chunk is told. Kind WORD: n, parent and back of the words at places `asked` of the chunk. PAIR: what the pairs at those places have of their own, times `room`.
+#: What a chunk is told, packed. Kind WORD: n, parent and back of the words at places `asked` of the chunk. PAIR: what the pairs at those places have of their own, times `room`.
 #: ONE: the places of pairs that another chunk has once.
 WORD, PAIR, ONE = range(3)
-TOLD = "chunk long, kind int, asked array<int>, a array<double>, b array<double>, c array<double>"
+TOLD = "chunk long, kind int, asked binary, a binary, b binary, c binary"
 
 
 def word_answers(made: DataFrame, words: DataFrame, ids: Broadcast, parts: int, bits: int) -> DataFrame:
     """TOLD of the words without a place: each chunk asks once for each of its words."""
-    sent = T.StructType.fromDDL("part int, chunk long, asked array<int>, keys array<long>")
+    sent = T.StructType.fromDDL("part int, chunk long, asked binary, keys binary")
     sent_arrow, told = to_arrow_schema(sent), to_arrow_schema(T.StructType.fromDDL(TOLD))
 
     def ask(batches):
@@ -477,17 +489,17 @@ def word_answers(made: DataFrame, words: DataFrame, ids: Broadcast, parts: int,
                 part = (-1 - keys[asked]) % parts
                 order = np.argsort(part, kind="stable")
                 own, sizes = np.unique(part, return_counts=True)
-                yield batch_of(sent_arrow, len(own), part=own, chunk=chunk, asked=listed(asked[order], sizes, pa.list_(pa.int32())),
-                               keys=listed(keys[asked][order], sizes, pa.list_(pa.int64())))
+                yield batch_of(sent_arrow, len(own), part=own, chunk=chunk, asked=listed(asked[order].astype(np.int32), sizes, True),
+                               keys=listed(keys[asked][order], sizes))
 
     def answer(asks: pa.Table, known: pa.Table) -> pa.Table:
         keys = known.column("key").to_numpy()
         order = np.argsort(keys)
-        at = order[np.searchsorted(keys, flat(asks.column("keys")), sorter=order)] if asks.num_rows else np.zeros(0, dtype=np.int64)
-        sizes = lengths(asks.column("asked"))
-        values = {k: listed(known.column(c).to_numpy()[at], sizes, pa.list_(pa.float64())) for k, c in (("a", "n"), ("b", "parent"), ("c", "back"))}
+        wanted, sizes = flat(asks.column("keys"), np.int64)
+        at = order[np.searchsorted(keys, wanted, sorter=order)] if len(wanted) else wanted
+        values = {k: listed(known.column(c).to_numpy()[at], sizes) for k, c in (("a", "n"), ("b", "parent"), ("c", "back"))}
         return pa.Table.from_batches([batch_of(
-            told, asks.num_rows, chunk=asks.column("chunk").to_numpy(), kind=WORD, asked=listed(flat(asks.column("asked")), sizes, pa.list_(pa.int32())), **values)])
+            told, asks.num_rows, chunk=asks.column("chunk").to_numpy(), kind=WORD, asked=asks.column("asked").combine_chunks(), **values)])
 
     known = words.filter("key < 0").select(F.pmod(-1 - F.col("key"), F.lit(parts)).cast("int").alias("part"), "key", F.col("n").cast("double").alias("n"), "parent", "back")
     return made.select("chunk", "words").mapInArrow(ask, sent).groupBy("part").cogroup(known.groupBy("part")).applyInArrow(answer, TOLD)
@@ -498,19 +510,18 @@ def pair_answers(dealt: DataFrame, sampled: DataFrame, discount: float) -> DataF
     told = to_arrow_schema(T.StructType.fromDDL(TOLD))
 
     def answer(asks: pa.Table, known: pa.Table) -> pa.Table:
-        at = flat(asks.column("at"))
+        at, sizes = flat(asks.column("at"), np.int32, True)
         places = known.column("at").to_numpy()
         own = np.full(max(at.max(initial=-1), places.max(initial=-1)) + 1, np.nan)
         own[places] = known.column("own").to_numpy()
         own = own[at]
         there = ~np.isnan(own)
-        sizes = lengths(asks.column("at"))
         sizes = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[there], minlength=len(sizes))
         return pa.Table.from_batches([batch_of(
             told, asks.num_rows, chunk=asks.column("chunk").to_numpy(), kind=PAIR,
-            asked=listed(flat(asks.column("asked"))[there], sizes, pa.list_(pa.int32())), a=listed(own[there], sizes, pa.list_(pa.float64())))])
+            asked=listed(flat(asks.column("asked"), np.int32, True)[0][there], sizes, True), a=listed(own[there], sizes))])
 
-    asks = dealt.filter((F.col("kind") == ASKED) & (F.size("at") > 0)).select("part", "chunk", "at", "asked")
+    asks = dealt.filter((F.col("kind") == ASKED) & (F.length("at") > 0)).select("part", "chunk", "at", "asked")
     known = sampled.select("part", "at", (F.col("n") - F.col("t") * discount).alias("own"))
     return asks.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(answer, TOLD)
 
@@ -546,9 +557,9 @@ def _scored(docs: DataFrame, fold: int, held_out: int, s: Settings) -> DataFrame
         kind = told.column("kind").to_numpy()
         for k, values in ((WORD, (n, parent, back)), (PAIR, (own,)), (ONE, ())):
             rows = told.filter(pa.array(kind == k))
-            at = flat(rows.column("asked"))
+            at, _ = flat(rows.column("asked"), np.int32, True)
             for v, name in zip(values, "abc"):
-                v[at] = flat(rows.column(name))
+                v[at], _ = flat(rows.column(name), np.float64)
             if k == ONE:
                 own[at] = 1 - s.discount
         parent[np.isnan(parent)] = m.unknown
@@ -571,10 +582,13 @@ def _scored(docs: DataFrame, fold: int, held_out: int, s: Settings) -> DataFrame
         return pa.Table.from_arrays([v.cast(f.type) for v, f in zip(columns, arrow)], schema=arrow)
 
     parts = s.slices * max(1, math.ceil(model.distinct / (s.slices * s.slice_tokens)))
-    told = word_answers(made, tables.words, ids, parts, s.number_bits).unionByName(pair_answers(dealt, tables.sampled, s.discount))
-    once = dealt.filter((F.col("kind") == ONCE) & (F.size("asked") > 0)).select("chunk", F.lit(ONE).alias("kind"), "asked")
-    told = told.unionByName(once, allowMissingColumns=True)
-    result = lineage_cut(made.drop("times").groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(run, out))
-    for table in (made, dealt):
+    told = lineage_cut(word_answers(made, tables.words, ids, parts, s.number_bits))
+    forget(tables.words)
+    more = lineage_cut(pair_answers(dealt, tables.sampled, s.discount))
+    forget(tables.sampled)
+    once = dealt.filter((F.col("kind") == ONCE) & (F.length("asked") > 0)).select("chunk", F.lit(ONE).alias("kind"), "asked")
+    every = told.unionByName(more).unionByName(once, allowMissingColumns=True)
+    result = lineage_cut(made.drop("times").groupBy("chunk").cogroup(every.groupBy("chunk")).applyInArrow(run, out))
+    for table in (made, dealt, told, more):
         forget(table)
     return result.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
