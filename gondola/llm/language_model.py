@@ -9,9 +9,11 @@ parameters are averaged over the sweeps, and the averaged probabilities score al
 
 Every word is a dish and a context, and every pair counts, however rare; the tables of words and pairs stay in Spark. A pair seen once has
 one table whatever is drawn, so only pairs seen again are sampled. What travels to the tasks is a hot head, on which the result does not depend
-(but for the draws, which follow the numbers of words): words of at least one in `hot_words` tokens and pairs of at least one in `hot_pairs` (so at most that many). Documents meet
-all other words and pairs in joins, a slice of the pairs after the other (`slices` of them, fewer where a slice would hold under `slice_tokens` training tokens), and a table
-goes as soon as what was made of it is written, so that the disk holds one step at a time. Words are known by number: hot ones by their place, others by a hash of `number_bits` bits; words that share a hash
+(but for the draws, which follow the numbers of words): words of at least one in `hot_words` tokens and pairs of at least one in `hot_pairs` (so at most that many). Texts are
+tokenised once, in chunks of `chunk_tokens` tokens (or one document more). A chunk sends each of its distinct pairs once to the part of the pair's hash (at least `slices` parts, of `slice_tokens` training
+tokens each on average), where pairs are counted and where the chunk's place of each is kept; when the seats are sampled, the parts answer the chunks by place, and so do parts of
+the words for each word of a chunk that is not hot. A pair that comes once needs no answer where its own chunk holds it. So a task holds a chunk or a part, and a table goes as soon as what was made of it is
+written. Words are known by number: hot ones by their place, others by a hash of `number_bits` bits; words that share a hash
 (N words make about N * N / 2^64 such pairs: five for ten thousand million words) are numbered by place like the hot ones, so no two words are taken for one. `word_share`, `context_share` and `pair_share` make a smaller model on request (0: everything).
 
 Defined results: null or empty texts consist of the end token; null ids count as empty text for the fold; repeated rows are scored
@@ -64,7 +66,7 @@ class Settings:
     number_bits: int = 63
     slices: int = 4
     slice_tokens: int = 1_000_000
-    chunk_tokens: int = 2_000_000
+    chunk_tokens: int = 1_000_000
 
 
 def uniform(keys: np.ndarray, step: int, seed: int) -> np.ndarray:
@@ -369,6 +371,11 @@ def trained(docs: DataFrame, s: Settings, counted: Column | None = None) -> tupl
     return model, tables
 
 
+def parts_of(s: Settings, total: int) -> int:
+    """Parts that pairs and words are dealt to, for `total` training tokens."""
+    return s.slices * max(1, math.ceil(total / (s.slices * s.slice_tokens)))
+
+
 def _trained(made: DataFrame, s: Settings, ask: bool) -> tuple[Model, Tables, DataFrame]:
     """The model of some chunks, its tables, and the pairs by part. `ask`: for `pair_counts`; the table of pairs then lacks those that come once."""
     spark = made.sparkSession
@@ -387,7 +394,7 @@ def _trained(made: DataFrame, s: Settings, ask: bool) -> tuple[Model, Tables, Da
     words = counts.join(F.broadcast(places), "word", "left").select("word", F.coalesce("place", "key").alias("key"), "n")
     is_context = F.col("n") >= max(1, s.context_share * total, s.word_share * total)
     smaller = bool(s.word_share or s.context_share or s.pair_share)
-    parts = s.slices * max(1, math.ceil(total / (s.slices * s.slice_tokens)))
+    parts = parts_of(s, total)
     with few_rows_at_once(spark):
         dealt = lineage_cut(pair_counts(
             made, spark.sparkContext.broadcast(ids), parts, 1 if smaller else 2, max(1, total / s.hot_pairs), ask, s.number_bits))
@@ -581,8 +588,7 @@ def _scored(docs: DataFrame, fold: int, held_out: int, s: Settings) -> DataFrame
                    pa.array(np.full(len(c.lens), m.total)), pa.array(total(np.log10((n + 1) / room)[c.x])), pa.array(total(logs))]
         return pa.Table.from_arrays([v.cast(f.type) for v, f in zip(columns, arrow)], schema=arrow)
 
-    parts = s.slices * max(1, math.ceil(model.distinct / (s.slices * s.slice_tokens)))
-    told = lineage_cut(word_answers(made, tables.words, ids, parts, s.number_bits))
+    told = lineage_cut(word_answers(made, tables.words, ids, parts_of(s, model.total), s.number_bits))
     forget(tables.words)
     more = lineage_cut(pair_answers(dealt, tables.sampled, s.discount))
     forget(tables.sampled)
