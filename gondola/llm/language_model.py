@@ -590,11 +590,12 @@ def _scored(docs: DataFrame, fold: int, held_out: int, s: Settings) -> DataFrame
 
     told = lineage_cut(word_answers(made, tables.words, ids, parts_of(s, model.total), s.number_bits))
     forget(tables.words)
-    more = lineage_cut(pair_answers(dealt, tables.sampled, s.discount))
-    forget(tables.sampled)
     once = dealt.filter((F.col("kind") == ONCE) & (F.length("asked") > 0)).select("chunk", F.lit(ONE).alias("kind"), "asked")
-    every = told.unionByName(more).unionByName(once, allowMissingColumns=True)
+    more = lineage_cut(pair_answers(dealt, tables.sampled, s.discount).unionByName(once, allowMissingColumns=True))
+    for table in (tables.sampled, dealt):
+        forget(table)
+    every = told.unionByName(more)
     result = lineage_cut(made.drop("times").groupBy("chunk").cogroup(every.groupBy("chunk")).applyInArrow(run, out))
-    for table in (made, dealt, told, more):
+    for table in (made, told, more):
         forget(table)
     return result.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
