@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from gondola.llm.common import remainder
-from gondola.session import few_rows_at_once, forget, lineage_cut, little_disk
+from gondola.session import few_rows_at_once, few_rows_in_a_group, forget, lineage_cut, little_disk, sized_shuffles
 
 #: The end token; no word is empty.
 END = b""
@@ -200,6 +200,12 @@ def chunked(rows: DataFrame, size: int) -> DataFrame:
     return rows.mapInArrow(run, out)
 
 
+def chunk_cut(rows: DataFrame, size: int) -> DataFrame:
+    """`chunked` as a table, of which a task writes and reads a few chunks at once, however many it has."""
+    with few_rows_in_a_group(rows.sparkSession):
+        return lineage_cut(chunked(rows, size))
+
+
 def flat(column, kind: type, up: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """The numbers of a column of packed ones, one row after the other, and how many each row has."""
     each = [unpacked(v, kind, up) for v in column.to_pylist()]
@@ -365,7 +371,7 @@ def train(docs: DataFrame, settings: Settings = Settings(), counted: Column | No
 def trained(docs: DataFrame, s: Settings, counted: Column | None = None) -> tuple[Model, Tables]:
     rows = docs.select(F.coalesce("text", F.lit("")).alias("text"), (F.lit(True) if counted is None else counted).alias("counted"))
     with little_disk(docs.sparkSession):
-        made = lineage_cut(chunked(rows, s.chunk_tokens))
+        made = chunk_cut(rows, s.chunk_tokens)
         model, tables, _ = _trained(made, s, False)
         forget(made)
     return model, tables
@@ -383,7 +389,7 @@ def _trained(made: DataFrame, s: Settings, ask: bool) -> tuple[Model, Tables, Da
     counts = made.select(F.inline(F.arrays_zip(F.col("words").alias("word"), F.col("times").alias("n")))).groupBy("word").agg(F.sum("n").alias("n"))
     counts = lineage_cut(counts.select("word", key("word").alias("key"), "n"))
     shared = counts.groupBy("key").agg(F.count(F.lit(1)).alias("words")).filter("words > 1")
-    sums = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count(F.when(F.col("n") > 0, 1)).alias("distinct")).first()
+    sums = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count(F.when(F.col("n") > 0, 1)).alias("distinct"), F.count(F.lit(1)).alias("words")).first()
     total, distinct = sums["total"], sums["distinct"]
     # hot_words at most, and the few words that share a hash, numbered by rank
     often = counts.filter(F.col("n") >= max(1, total / s.hot_words)).select("word", "n")
@@ -435,7 +441,9 @@ def _trained(made: DataFrame, s: Settings, ask: bool) -> tuple[Model, Tables, Da
         ready = ready.withColumn("weight", (s.strength + s.discount * (F.col("tables") - F.col("t"))) * F.col("p")).withColumn("draw", F.xxhash64("u", "w"))
         drawn = ready.withColumn("t", _seated("n", F.col("weight"), "draw", s.discount, 2 * sweep + 1, s.one_by_one))
         kept = F.col("ts") + F.col("t") if sweep >= s.burn_in else F.col("ts")
-        seated = lineage_cut(drawn.select("part", "at", "u", "w", "n", "t", kept.alias("ts")))
+        with sized_shuffles(spark, sums["words"]):
+            # a task holds its words hashed
+            seated = lineage_cut(drawn.select("part", "at", "u", "w", "n", "t", kept.alias("ts")))
         if last is not None:
             forget(last)
         last = seated
@@ -483,10 +491,10 @@ WORD, PAIR, ONE = range(3)
 TOLD = "chunk long, kind int, asked binary, a binary, b binary, c binary"
 
 
-def word_answers(made: DataFrame, words: DataFrame, ids: Broadcast, parts: int, bits: int) -> DataFrame:
-    """TOLD of the words without a place: each chunk asks once for each of its words."""
+def word_asks(made: DataFrame, ids: Broadcast, parts: int, bits: int) -> DataFrame:
+    """What the chunks ask of the words without a place: each once for each of its words, by part."""
     sent = T.StructType.fromDDL("part int, chunk long, asked binary, keys binary")
-    sent_arrow, told = to_arrow_schema(sent), to_arrow_schema(T.StructType.fromDDL(TOLD))
+    sent_arrow = to_arrow_schema(sent)
 
     def ask(batches):
         for batch in batches:
@@ -499,6 +507,13 @@ def word_answers(made: DataFrame, words: DataFrame, ids: Broadcast, parts: int,
                 yield batch_of(sent_arrow, len(own), part=own, chunk=chunk, asked=listed(asked[order].astype(np.int32), sizes, True),
                                keys=listed(keys[asked][order], sizes))
 
+    return made.select("chunk", "words").mapInArrow(ask, sent)
+
+
+def word_answers(asks: DataFrame, words: DataFrame, parts: int) -> DataFrame:
+    """TOLD of the words that chunks asked for."""
+    told = to_arrow_schema(T.StructType.fromDDL(TOLD))
+
     def answer(asks: pa.Table, known: pa.Table) -> pa.Table:
         keys = known.column("key").to_numpy()
         order = np.argsort(keys)
@@ -509,7 +524,7 @@ def word_answers(made: DataFrame, words: DataFrame, ids: Broadcast, parts: int,
             told, asks.num_rows, chunk=asks.column("chunk").to_numpy(), kind=WORD, asked=asks.column("asked").combine_chunks(), **values)])
 
     known = words.filter("key < 0").select(F.pmod(-1 - F.col("key"), F.lit(parts)).cast("int").alias("part"), "key", F.col("n").cast("double").alias("n"), "parent", "back")
-    return made.select("chunk", "words").mapInArrow(ask, sent).groupBy("part").cogroup(known.groupBy("part")).applyInArrow(answer, TOLD)
+    return asks.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(answer, TOLD)
 
 
 def pair_answers(dealt: DataFrame, sampled: DataFrame, discount: float) -> DataFrame:
@@ -542,7 +557,7 @@ def scored(docs: DataFrame, fold: int = 7, held_out: int = 2, settings: Settings
 def _scored(docs: DataFrame, fold: int, held_out: int, s: Settings) -> DataFrame:
     spark = docs.sparkSession
     rows = docs.select("doc_id", (remainder(F.col("doc_id"), fold) != held_out).alias("counted"), F.coalesce("text", F.lit("")).alias("text"))
-    made = lineage_cut(chunked(rows, s.chunk_tokens))
+    made = chunk_cut(rows, s.chunk_tokens)
     model, tables, dealt = _trained(made, s, True)
     shared, ids = spark.sparkContext.broadcast(model), spark.sparkContext.broadcast(model.ids)
     room = float(model.total + model.distinct + 1)
@@ -588,8 +603,13 @@ def _scored(docs: DataFrame, fold: int, held_out: int, s: Settings) -> DataFrame
                    pa.array(np.full(len(c.lens), m.total)), pa.array(total(np.log10((n + 1) / room)[c.x])), pa.array(total(logs))]
         return pa.Table.from_arrays([v.cast(f.type) for v, f in zip(columns, arrow)], schema=arrow)
 
-    told = lineage_cut(word_answers(made, tables.words, ids, parts_of(s, model.total), s.number_bits))
-    forget(tables.words)
+    parts = parts_of(s, model.total)
+    # chunks go to Python a few at a time, the many words of a part do not
+    with few_rows_at_once(spark):
+        asks = lineage_cut(word_asks(made, ids, parts, s.number_bits))
+    told = lineage_cut(word_answers(asks, tables.words, parts))
+    for table in (asks, tables.words):
+        forget(table)
     once = dealt.filter((F.col("kind") == ONCE) & (F.length("asked") > 0)).select("chunk", F.lit(ONE).alias("kind"), "asked")
     more = lineage_cut(pair_answers(dealt, tables.sampled, s.discount).unionByName(once, allowMissingColumns=True))
     for table in (tables.sampled, dealt):
