@@ -8,8 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gondola.operators.kit import column_percentiles, exact_percentiles, hashed_side, latest, order_positions, ranks
-from gondola.session import lineage_cut, sized_shuffles
+from gondola.operators.kit import column_percentiles, exact_percentiles, hashed_side, latest, null_safe_join, order_positions, ranks, rows_at
+from gondola.session import forget, lineage_cut, little_disk, sized_shuffles
 
 # Localised names of weekdays (Sunday first) and months.
 WEEKDAYS = ["Domingo", "Segunda-feira", "Terça-feira", "Quarta-feira", "Quinta-feira", "Sexta-feira", "Sábado"]
@@ -61,8 +61,17 @@ def abc_by_revenue(lines: DataFrame, a: float = 0.80, b: float = 0.95) -> DataFr
         F.when(share <= a, "A").when(share <= b, "B").otherwise("C").alias("abc"))
 
 
-def _class_by_place(place: Column, rows: Column, a: float, b: float) -> Column:
-    return F.when(place <= F.ceil(rows * a), "A").when(place <= F.ceil(rows * b), "B").otherwise("C")
+#: Rows of one per store that are sent to all tasks.
+SENT_STORES = 1 << 19
+
+
+def _class_by_place(place: Column, upto_a: Column, upto_b: Column) -> Column:
+    return F.when(place <= upto_a, "A").when(place <= upto_b, "B").otherwise("C")
+
+
+def _descending(value: Column) -> Column:
+    """What ascends as a value descends, nulls last, then with product and row."""
+    return F.struct(value.isNull().alias("none"), (-value).alias("value"), F.col("product_id").alias("product_id"), F.col("_row").alias("row"))
 
 
 def store_product_abc(
@@ -71,26 +80,32 @@ def store_product_abc(
     """Every listed (account, store, product) with demand, margin, days of stock and its class by place
     in the store: A for the first `a` share of products, B up to `b`, else C; no demand, no class.
 
-    `listing`: account_id, store_id, product_id, stock; `sold`: store_id, product_id, qty, revenue, cost."""
-    base = listing.join(sold, ["store_id", "product_id"], "left")
-    base = (
-        base.withColumn("margin", F.round(
-            (F.col("revenue") - F.col("cost")).cast("double") / F.when(F.col("qty") > 0, F.col("qty")).otherwise(1), 6))
-        .withColumn("daily_demand", F.col("qty") / period_days)
-        .withColumn("days_of_stock", F.when(F.col("daily_demand") > 0, F.col("stock") / F.col("daily_demand")))
-    )
-    store = ["account_id", "store_id"]
-    by_demand = order_positions(base, store, [F.col("qty").desc_nulls_last(), F.col("product_id")])
-    by_demand = by_demand.withColumnRenamed("position", "demand_place").drop("group_rows")
-    by_margin = order_positions(by_demand, store, [F.col("margin").desc_nulls_last(), F.col("product_id")])
-    rows, margin_place = F.col("group_rows"), F.col("position")
+    A class is told from the rows at the limits of the store, so what is sorted and written for each order is no more than the order takes, and the listing
+    itself is written once. `listing`: account_id, store_id, product_id, stock; `sold`: store_id, product_id, qty, revenue, cost."""
+    margin = F.round((F.col("revenue") - F.col("cost")).cast("double") / F.when(F.col("qty") > 0, F.col("qty")).otherwise(1), 6)
+    store, shares = ["account_id", "store_id"], {"a": a, "b": b}
+    with little_disk(listing.sparkSession):
+        sold = lineage_cut(sold.select("store_id", "product_id", "qty", margin.alias("margin")))
+        base = lineage_cut(listing.join(sold, ["store_id", "product_id"], "left").select(
+            *store, "product_id", "stock", "qty", "margin", F.monotonically_increasing_id().alias("_row")))
+        forget(sold)
+        limits = [
+            rows_at(base.select(*store, value, "product_id", "_row"), store, [F.col(value).desc_nulls_last(), F.col("product_id"), F.col("_row")], shares)
+            .select(*store, *[F.when(F.col(x).isNotNull(), F.struct(
+                F.col(f"{x}.{value}").isNull().alias("none"), (-F.col(f"{x}.{value}")).alias("value"), F.col(f"{x}.product_id"), F.col(f"{x}._row").alias("row"))
+            ).alias(f"{value}_{x}") for x in shares])
+            for value in ("qty", "margin")]
+        limits = lineage_cut(null_safe_join(*limits, store))
+        few = limits.count() <= SENT_STORES
+    rows = null_safe_join(base, F.broadcast(limits) if few else limits, store)
+    daily = F.col("qty") / period_days
     none = F.lit(None).cast("string")
-    return by_margin.select(
+    return rows.select(
         *store, "product_id", "qty", F.round("margin", 4).alias("margin"),
-        F.round("daily_demand", 6).alias("daily_demand"), F.round("days_of_stock", 4).alias("days_of_stock"),
+        F.round(daily, 6).alias("daily_demand"), F.round(F.when(daily > 0, F.col("stock") / daily), 4).alias("days_of_stock"),
         F.when(F.col("qty").isNull() | (F.col("qty") == 0), none)
-        .otherwise(_class_by_place(F.col("demand_place"), rows, a, b)).alias("demand_abc"),
-        _class_by_place(margin_place, rows, a, b).alias("margin_abc"))
+        .otherwise(_class_by_place(_descending(F.col("qty")), F.col("qty_a"), F.col("qty_b"))).alias("demand_abc"),
+        _class_by_place(_descending(F.col("margin")), F.col("margin_a"), F.col("margin_b")).alias("margin_abc"))
 
 
 def coverage_days(stock: Column, daily: Column) -> Column:

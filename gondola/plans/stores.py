@@ -57,8 +57,10 @@ _LISTING = """listing AS (
 
 
 def _listing(t):
-    return src.lines(t).join(src.stores(t), "store_id").groupBy("account_id", "store_id", "product_id").agg(
-        F.sum(F.when(F.col("channel") == "O", F.col("qty")).otherwise(0)).alias("stock"))
+    # lines are summed by store and product, as what they meet next; a store that is there n times counts n times
+    stock = src.lines(t).groupBy("store_id", "product_id").agg(F.sum(F.when(F.col("channel") == "O", F.col("qty")).otherwise(0)).alias("stock"))
+    stores = src.stores(t).groupBy("store_id", "account_id").agg(F.count(F.lit(1)).alias("_times"))
+    return stock.join(stores, "store_id").select("account_id", "store_id", "product_id", (F.col("stock") * F.col("_times")).alias("stock"))
 
 
 @query("d73_store_product_abc", f"""
@@ -79,10 +81,12 @@ SELECT account_id, store_id, product_id, qty, {r('margin', 4)} AS margin, {r('da
        CASE WHEN mp <= ceil(n * 0.2) THEN 'A' WHEN mp <= ceil(n * 0.5) THEN 'B' ELSE 'C' END AS margin_abc
 FROM x""")
 def store_product_abc(t):
-    sold = (
-        src.lines(t).filter("sale_kind <> 'R'").join(src.products(t), "product_id")
-        .groupBy("store_id", "product_id")
-        .agg(F.sum("qty").alias("qty"), F.sum("net").alias("revenue"), F.sum(src.cost()).alias("cost")))
+    # lines are summed before they meet the products; a product that is there n times counts n times, each with its price
+    units = src.lines(t).filter("sale_kind <> 'R'").groupBy("store_id", "product_id").agg(F.sum("qty").alias("qty"), F.sum("net").alias("revenue"))
+    prices = src.products(t).groupBy("product_id").agg(F.count(F.lit(1)).alias("_times"), F.sum("list_price").alias("_price"))
+    sold = units.join(prices, "product_id").select(
+        "store_id", "product_id", (F.col("qty") * F.col("_times")).alias("qty"), (F.col("revenue") * F.col("_times")).cast("decimal(26,4)").alias("revenue"),
+        (F.col("qty") * F.col("_price")).cast("decimal(26,4)").alias("cost"))
     days = src.headers(t).agg(F.datediff(F.max("sold_on"), F.min("sold_on")) + 1).scalar()
     return op.store_product_abc(_listing(t), sold, days)
 
